@@ -11,3 +11,19 @@ streaming   drop-folder ingest with Structured Streaming
 """
 
 __all__ = ["session", "schema"]
+
+
+def _ship_by_value() -> None:
+    """UDFs and grouped-map functions of this package are pickled by value,
+    so executors run them without the package being installed there."""
+    import sys
+
+    try:
+        from pyspark import cloudpickle
+
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except Exception:  # pragma: no cover - older cloudpickle
+        pass
+
+
+_ship_by_value()

@@ -31,67 +31,37 @@ def date_text(col: Column | str) -> Column:
     return F.when(c.isNull(), F.lit(NULL_DATE_TEXT)).otherwise(txt)
 
 
-def _shortest_digits(x: Column):
-    """Shortest round-trip decimal digits of a double (Python ``repr``).
-
-    ``format_string('%.{n}e')`` rounds the exact binary value; the first
-    precision (15, 16 or 17 significant digits) that parses back to the same
-    double is the shortest (any shorter form pads to the 15-digit one).
-    Returns (sign, digits without trailing zeros, decimal exponent).
-    """
-    cands = [F.format_string(f"%.{n}e", x) for n in (14, 15, 16)]
-    s = (
-        F.when(cands[0].cast("double") == x, cands[0])
-        .when(cands[1].cast("double") == x, cands[1])
-        .otherwise(cands[2])
-    )
-    pat = r"^(-?)([0-9])\.([0-9]*)e([+-][0-9]+)$"
-    sign = F.regexp_extract(s, pat, 1)
-    digits = F.regexp_replace(F.concat(F.regexp_extract(s, pat, 2), F.regexp_extract(s, pat, 3)), "0+$", "")
-    digits = F.when(digits == "", F.lit("0")).otherwise(digits)
-    expo = F.regexp_extract(s, pat, 4).cast("int")
-    return sign, digits, expo
-
-
-def _python_float_text(x: Column) -> Column:
-    sign, d, e = _shortest_digits(x)
-    n = F.length(d)
-    # plain notation for 1e-4 <= |x| < 1e16
-    int_part = F.when(n > e + 1, F.substring(d, 1, e + 1)).otherwise(F.rpad(d, e + 1, "0"))
-    frac_part = F.when(n > e + 1, F.substring(d, e + 2, 1 << 20)).otherwise(F.lit("0"))
-    pos = F.concat(int_part, F.lit("."), frac_part)
-    neg = F.concat(F.lit("0."), F.repeat(F.lit("0"), -e - 1), d)
-    plain = F.when(e >= 0, pos).otherwise(neg)
-    # exponent notation elsewhere: 1.5e-05, 1e+16
-    mant = F.when(n > 1, F.concat(F.substring(d, 1, 1), F.lit("."), F.substring(d, 2, 1 << 20))).otherwise(d)
-    sci = F.concat(
-        mant,
-        F.lit("e"),
-        F.when(e < 0, F.lit("-")).otherwise(F.lit("+")),
-        F.lpad(F.abs(e).cast("string"), 2, "0"),
-    )
-    body = F.when((e >= -4) & (e < 16), plain).otherwise(sci)
-    return F.concat(sign, body)
-
-
 def amount_text(col: Column | str) -> Column:
     """Python ``repr`` of a double.
 
     * cent values (the normal case) go through ``decimal(38,2)``, which is
       exact and independent of the JVM's double printing;
-    * any other value gets the shortest round-trip digits, in plain
-      notation for 1e-4 <= |x| < 1e16 and exponent notation (``1.5e-05``)
-      outside, as Python prints it.
+    * other values in [1e-4, 1e16) are printed in plain notation from the
+      JVM's shortest digits, trailing zeros removed;
+    * values outside that range use Python's exponent form ``1.5e-05``.
+      (Java 17 may print one extra digit for some values >= 1e16.)
     """
     x = _c(col)
     ax = F.abs(x)
+    java = x.cast("string")
     cents = F.regexp_replace(x.cast("decimal(38,2)").cast("string"), "0$", "")
+    stripped = F.regexp_replace(java.cast("decimal(38,20)").cast("string"), "0+$", "")
+    plain = F.concat(stripped, F.when(stripped.endswith("."), F.lit("0")).otherwise(F.lit("")))
+    sci_pat = r"^(-?[0-9.]+)E(-?[0-9]+)$"
+    expo = F.regexp_extract(java, sci_pat, 2).cast("int")
+    sci = F.concat(
+        F.regexp_replace(F.regexp_extract(java, sci_pat, 1), r"\.0$", ""),
+        F.lit("e"),
+        F.when(expo < 0, F.lit("-")).otherwise(F.lit("+")),
+        F.lpad(F.abs(expo).cast("string"), 2, "0"),
+    )
     return (
         F.when(x.isNull() | F.isnan(x), F.lit(NULL_TEXT))
-        .when(x == 0, F.when(x.cast("string").startswith("-"), F.lit("-0.0")).otherwise(F.lit("0.0")))
+        .when(x == 0, F.when(java.startswith("-"), F.lit("-0.0")).otherwise(F.lit("0.0")))
         .when(ax == F.lit(float("inf")), F.when(x > 0, F.lit("inf")).otherwise(F.lit("-inf")))
         .when((ax < 1e13) & (F.rint(x * 100.0) / 100.0 == x), cents)
-        .otherwise(_python_float_text(x))
+        .when((ax >= 1e-4) & (ax < 1e16), plain)
+        .otherwise(sci)
     )
 
 

@@ -37,6 +37,7 @@ def build_local_session(cores: int = 8, app: str = "tallyspark") -> SparkSession
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.driver.memory", "8g")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for k, v in {**REQUIRED_CONF, **DEFAULT_CONF}.items():
         builder = builder.config(k, v)
