@@ -271,9 +271,12 @@ def normalise(grid: DataFrame, files: DataFrame, layout: StatementLayout,
 
     strict = layout.date_strict and on_error == "raise"
     amount, currency = amount_and_currency(layout)
+    # the row-position guard keeps the (possibly raising) strict parse from
+    # being pushed below the header join onto header or preamble rows
+    below_header = F.col("row_no") > F.col("hdr_row")
     out = data.select(
         "file", "row_no",
-        date_value(layout, strict).alias("date"),
+        F.when(below_header, date_value(layout, strict)).alias("date"),
         "account_name",
         C.collapse_ws(_cell("description")).alias("description"),  # D4
         currency.alias("currency"),
@@ -292,9 +295,14 @@ def normalise_all(grid: DataFrame, routed: DataFrame, layouts=LAYOUTS,
     """Every routed file through its layout, in one plan (union of one
     branch per layout).  ``routed`` has (file, account_name, currency, bank,
     account_type)."""
+    # only the layouts that occur get a branch (one row per file is routed;
+    # the distinct (bank, type) pairs are at most a handful)
+    present = {(r[0], r[1]) for r in routed.select("bank", "account_type").distinct().collect()}
     rows = None
     rejects = None
     for lay in layouts:
+        if (lay.bank, lay.account_type) not in present and lay is not layouts[0]:
+            continue
         files = routed.where((F.col("bank") == lay.bank) & (F.col("account_type") == lay.account_type))
         r, j = normalise(grid, files, lay, on_error)
         rows = r if rows is None else rows.unionByName(r)

@@ -240,46 +240,64 @@ _FOLD_OUT = T.StructType(
 
 
 def _fold_block(threshold: float):
+    """Grouped-map function: folds every block of a bucket (blocks are at
+    most ``fold_group_limit`` rows; a bucket holds a bounded number of rows
+    on average, so the per-call overhead is shared by many blocks)."""
+    out_cols = [f.name for f in _FOLD_OUT.fields]
+
     def _hash(date_txt, desc, amt_txt, acct):
         txt = f"{date_txt}{'nan' if desc is None else desc}{amt_txt}{'nan' if acct is None else acct}"
         return hashlib.sha256(txt.encode()).hexdigest()
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.astype(object).where(pd.notna(pdf), None)
-        led = [dict(r) for _, r in pdf[pdf["_kind"] == "L"].iterrows()]
+    def fold_one(rows: list[dict]) -> list[dict]:
+        led = [r for r in rows if r["_kind"] == "L"]
         for r in led:
             r["_added"], r["_merged"] = False, 0
-        st = pdf[pdf["_kind"] == "S"].sort_values(["stmt_seq", "row_no"], kind="stable")
+        stmt_rows = sorted((r for r in rows if r["_kind"] == "S"), key=lambda r: (r["stmt_seq"], r["row_no"]))
         out_stmt = []
-        for _, grp in st.groupby("stmt_seq", sort=True):
-            rows = [dict(r) for _, r in grp.iterrows()]
+        i = 0
+        while i < len(stmt_rows):
+            j = i
+            while j < len(stmt_rows) and stmt_rows[j]["stmt_seq"] == stmt_rows[i]["stmt_seq"]:
+                j += 1
+            batch = stmt_rows[i:j]
+            i = j
             before = [r["description"] for r in led]
             after = list(before)
-            for r in rows:
+            for r in batch:
                 r["_merged"] = 0
                 nd = r["description"]
                 if nd is None:
                     continue
-                for i, od in enumerate(before):
+                for k, od in enumerate(before):
                     if od is None or od == nd:
                         continue
                     if SequenceMatcher(None, od, nd).ratio() >= threshold:
-                        after[i] = nd
+                        after[k] = nd
                         r["_merged"] += 1
-            for i, r in enumerate(led):
-                if after[i] != before[i]:
-                    r["description"] = after[i]
+            for k, r in enumerate(led):
+                if after[k] != before[k]:
+                    r["description"] = after[k]
                     r["id"] = _hash(r["_date_txt"], r["description"], r["_amt_txt"], r["account_name"])
             present = {r["id"] for r in led}
-            for r in rows:
+            for r in batch:
                 r["_added"] = r["id"] not in present
-                r["_kind"] = "S"
-            led.extend([dict(r) for r in rows if r["_added"]])
-            out_stmt.extend([r for r in rows if not r["_added"]])
-        out = pd.DataFrame(led + out_stmt, columns=list(pdf.columns) + ["_added", "_merged"])
-        out["_merged"] = out["_merged"].fillna(0).astype("int64")
-        out["_added"] = out["_added"].astype(bool)
-        return out[[f.name for f in _FOLD_OUT.fields]]
+            led.extend(r for r in batch if r["_added"])
+            out_stmt.extend(r for r in batch if not r["_added"])
+        return led + out_stmt
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        recs = pdf.astype(object).where(pd.notna(pdf), None).to_dict("records")
+        blocks: dict = {}
+        for r in recs:
+            blocks.setdefault((r["date"], r["amount"], r["account_name"]), []).append(r)
+        out = []
+        for rows in blocks.values():
+            out.extend(fold_one(rows))
+        res = pd.DataFrame(out, columns=list(pdf.columns) + ["_added", "_merged"])
+        res["_merged"] = res["_merged"].fillna(0).astype("int64")
+        res["_added"] = res["_added"].fillna(False).astype(bool)
+        return res[out_cols]
 
     return fold
 
@@ -300,9 +318,18 @@ def _fold_input(ledger: DataFrame, stmts: DataFrame) -> DataFrame:
     return both.withColumn("_date_txt", date_text("date")).withColumn("_amt_txt", amount_text("amount"))
 
 
-def _fold_small(ledger: DataFrame, stmts: DataFrame, threshold: float) -> DataFrame:
+# target rows per grouped-map call when folding small contested blocks
+FOLD_ROWS_PER_CALL = 4000
+
+
+def _fold_small(ledger: DataFrame, stmts: DataFrame, threshold: float, n_rows: int) -> DataFrame:
+    """Fold small contested blocks: rows are grouped by a hash bucket of the
+    block key; the bucket count grows with the rows, so a call handles
+    ~FOLD_ROWS_PER_CALL rows whatever the total."""
     inp = _fold_input(ledger, stmts)
-    return inp.groupBy(*KEYS).applyInPandas(_fold_block(threshold), schema=_FOLD_OUT)
+    n_buckets = max(1, -(-n_rows // FOLD_ROWS_PER_CALL))
+    inp = inp.withColumn("_bucket", F.pmod(F.xxhash64(*KEYS), F.lit(n_buckets)))
+    return inp.groupBy("_bucket").applyInPandas(_fold_block(threshold), schema=_FOLD_OUT)
 
 
 # ---------------------------------------------------------------------------
@@ -374,7 +401,12 @@ def merge_batch(
 ) -> MergeResult:
     """Merge statements (in ``order_col`` order) into the ledger."""
     ledger = normalise_ledger(ledger)
-    stmts = prepare_statements(stmts, order_col)
+    # statements are the new (small) side and are used by every step below:
+    # materialise them once in the shared checkpoint folder
+    stmts = _checkpoint(prepare_statements(stmts, order_col))
+    if not single_statement:
+        # one statement in the batch: no fold is possible (tiny aggregate)
+        single_statement = (stmts.agg(F.countDistinct("stmt_seq")).first()[0] or 0) <= 1
 
     if single_statement:
         led2, added, updates = _single_pass(ledger, stmts, threshold, first_wins=False)
@@ -392,12 +424,13 @@ def merge_batch(
             fold_ledger.select(*KEYS).unionByName(fold_stmts.select(*KEYS))
             .groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_n"))
         )
+        sizes = _checkpoint(sizes)  # one row per contested block
         big = sizes.where(F.col("_n") > fold_group_limit).select(*KEYS)
-        big = _checkpoint(big)
+        n_small = sizes.where(F.col("_n") <= fold_group_limit).agg(F.sum("_n")).first()[0] or 0
         small_out = _fold_small(
             fold_ledger.join(big, on=KEYS, how="left_anti"),
             fold_stmts.join(big, on=KEYS, how="left_anti"),
-            threshold,
+            threshold, int(n_small),
         )
         small_out = _checkpoint(small_out)
         fold_led = small_out.where((F.col("_kind") == "L") | F.col("_added")).select(*LEDGER_COLUMNS)
