@@ -16,9 +16,12 @@ from pyspark.sql import functions as F
 # ---------------------------------------------------------------------------
 # Python's str.split()/str.strip() whitespace = Java's Unicode \s plus the
 # four information separators U+001C..U+001F.
-WS_CLASS = r"[\s\x1c-\x1f]"
-WS_RUN = r"(?U)" + WS_CLASS + "+"
-WS_ONLY = r"(?U)^" + WS_CLASS + "*$"
+# Listed explicitly (a plain character class is much faster than (?U)\s).
+WS_CLASS = (
+    r"[\t\n\x0b\f\r\x1c-\x1f \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+)
+WS_RUN = WS_CLASS + "+"
+WS_ONLY = "^" + WS_CLASS + "*$"
 # Characters kept by the numeric cleaner: digits, dot and minus.
 NUMERIC_JUNK = r"[^0-9.\-]"
 # Text that a plain float parser accepts after cleaning.
@@ -69,12 +72,23 @@ def blank_to_null(col: Column | str) -> Column:
     return F.when(c.rlike(WS_ONLY), F.lit(None).cast("string")).otherwise(c)
 
 
-def to_number(col: Column | str) -> Column:
-    """``to_numeric(errors='coerce')`` on trimmed text; junk -> NULL."""
+def to_number(col: Column | str, digits_only: bool = False) -> Column:
+    """``to_numeric(errors='coerce')`` on trimmed text; junk -> NULL.
+
+    ``digits_only``: the text went through :func:`keep_numeric_chars`, so
+    only digits, dots and minus signs are left and a plain ``try_cast``
+    accepts exactly what the reference accepts."""
+    if digits_only:
+        return _c(col).try_cast("double")
     c = F.trim(_c(col))
     return F.when(c.rlike(NUMBER_TEXT), c.cast("double"))
 
 
+def numeric_text(col: Column | str) -> Column:
+    """D2 + D3: keep digits, dots and minus; empty -> NULL."""
+    return F.nullif(keep_numeric_chars(col), F.lit(""))
+
+
 def round_half_even_2(col: Column | str) -> Column:
     """Numpy ``round(2)``: scale by 100, round half to even, unscale."""
     return F.rint(_c(col) * F.lit(100.0)) / F.lit(100.0)

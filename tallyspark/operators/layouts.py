@@ -182,12 +182,12 @@ def _cell(fld: str) -> Column:
 def _amount_text(fld: str, layout: StatementLayout) -> Column:
     raw = _cell(fld)
     if layout.strip_amount_chars:
-        return C.blank_to_null(C.keep_numeric_chars(raw))  # D2, D3
+        return C.numeric_text(raw)  # D2, D3
     return C.collapse_ws(raw)  # D4 only
 
 
-def _number(txt: Column) -> Column:
-    return C.round_half_even_2(C.to_number(txt))  # D9, D10
+def _number(txt: Column, layout: StatementLayout) -> Column:
+    return C.round_half_even_2(C.to_number(txt, digits_only=layout.strip_amount_chars))  # D9, D10
 
 
 def amount_and_currency(layout: StatementLayout) -> tuple[Column, Column]:
@@ -197,14 +197,14 @@ def amount_and_currency(layout: StatementLayout) -> tuple[Column, Column]:
         hnl = _amount_text("amount_hnl", layout)
         usd = _amount_text("amount_usd", layout)
         currency = F.when(hnl.isNull(), F.lit("USD")).otherwise(F.lit("HNL"))
-        amount = _number(F.coalesce(hnl, usd))
+        amount = _number(F.coalesce(hnl, usd), layout)
     elif layout.amount_rule == "debit_credit":
-        debits = C.negate(_number(_amount_text("debits", layout)))
-        credits = _number(_amount_text("credits", layout))
+        debits = C.negate(_number(_amount_text("debits", layout), layout))
+        credits = _number(_amount_text("credits", layout), layout)
         amount = F.when(debits.isNull() | (debits == 0), credits).otherwise(debits)
         currency = account_currency
     else:
-        amount = _number(_amount_text("amount", layout))
+        amount = _number(_amount_text("amount", layout), layout)
         currency = account_currency
     if layout.negate_amount:
         amount = C.negate(amount)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions.identity import row_id
 from tallyspark.schema import LEDGER_COLUMNS
+from tallyspark.session import ensure_checkpoint_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +47,13 @@ def preamble_rows(files: DataFrame, depth: F.Column, first_cell: str) -> DataFra
     )
 
 
+def materialise(grid: DataFrame) -> DataFrame:
+    """Rendered statement rows are checkpointed, as the folder scan does, so
+    the normaliser reads them instead of re-rendering them per use."""
+    ensure_checkpoint_dir(grid.sparkSession)
+    return grid.checkpoint(eager=True)
+
+
 def money(col) -> F.Column:
     """``1,234.50`` (cent values)."""
     return F.format_number(F.col(col) if isinstance(col, str) else col, 2)
@@ -87,7 +95,7 @@ def bac_card_grid(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     files = data.select("file").distinct()
     grid = header_rows(files, BAC_CARD_HEADER).unionByName(data)
     routed = files.select("file", F.lit("BAC ECONOMIA").alias("account_name"), F.lit("USD/HNL").alias("currency"))
-    return grid, routed
+    return materialise(grid), routed
 
 
 def bac_savings_grid(spark, sf_dir, account: str = "BAC USD 911", by: str = "c_nationkey",
@@ -111,7 +119,7 @@ def bac_savings_grid(spark, sf_dir, account: str = "BAC USD 911", by: str = "c_n
     files = data.select("file").distinct()
     grid = header_rows(files, BAC_SAVINGS_HEADER).unionByName(data)
     routed = files.select("file", F.lit(account).alias("account_name"), F.lit("USD").alias("currency"))
-    return grid, routed
+    return materialise(grid), routed
 
 
 def santander_grid(spark, sf_dir, prefix: str, account: str) -> tuple[DataFrame, DataFrame]:
@@ -132,7 +140,7 @@ def santander_grid(spark, sf_dir, prefix: str, account: str) -> tuple[DataFrame,
         .unionByName(data)
     )
     routed = files.select("file", F.lit(account).alias("account_name"), F.lit("EUR").alias("currency"))
-    return grid, routed
+    return materialise(grid), routed
 
 
 def ficohsa_grid(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
@@ -162,7 +170,7 @@ def ficohsa_grid(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
         "file", depth.cast("long").alias("row_no"), F.array(*[F.lit(h) for h in FICOHSA_HEADER]).alias("cells"))
     grid = pre.unionByName(hdr).unionByName(data.drop("c_nationkey"))
     routed = files.select("file", F.lit("FICOHSA AHORRO").alias("account_name"), F.lit("HNL").alias("currency"))
-    return grid, routed
+    return materialise(grid), routed
 
 
 def revolut_grid(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
@@ -178,7 +186,7 @@ def revolut_grid(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     files = data.select("file").distinct()
     grid = header_rows(files, REVOLUT_HEADER).unionByName(data)
     routed = files.select("file", F.lit("REVOLUT EUR").alias("account_name"), F.lit("EUR").alias("currency"))
-    return grid, routed
+    return materialise(grid), routed
 
 
 # ---------------------------------------------------------------------------
