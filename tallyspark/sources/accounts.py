@@ -21,7 +21,7 @@ _MAP_TYPE = "map<string, struct<currency: string, bank: string, type: string, id
 
 def read_accounts(spark: SparkSession, path: str) -> DataFrame:
     """Accounts JSON file -> ACCOUNTS rows."""
-    raw = spark.read.option("wholetext", "true").text(path)
+    raw = spark.read.text(path, wholetext=True)
     parsed = raw.select(F.explode(F.from_json("value", _MAP_TYPE)).alias("account_name", "a"))
     return parsed.select(
         "account_name",
