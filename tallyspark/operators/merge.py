@@ -44,7 +44,6 @@ from tallyspark.functions.similarity import (
     length_band,
     length_bound,
     similar_at_least,
-    similar_either_order,
 )
 from tallyspark.schema import LEDGER, LEDGER_COLUMNS
 from tallyspark.session import ensure_checkpoint_dir
@@ -52,6 +51,15 @@ from tallyspark.session import ensure_checkpoint_dir
 KEYS = ["date", "amount", "account_name"]
 # blocks with more rows than this are folded by distributed steps
 DEFAULT_FOLD_GROUP_LIMIT = 5000
+# statement-side tables up to this many rows are broadcast to the ledger scan
+BROADCAST_ROW_LIMIT = 2_000_000
+
+
+def sized_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+    """Broadcast ``df`` only when its row count (checked here) is within
+    ``limit``; otherwise leave the join to a shuffle.  Callers pass
+    checkpointed or cheap statement-side tables, so the count is cheap."""
+    return F.broadcast(df) if df.count() <= limit else df
 
 
 @dataclass
@@ -168,11 +176,21 @@ def candidate_pairs(left: DataFrame, right: DataFrame, left_text: str, right_tex
     )
 
 
-def fuzzy_updates(ledger: DataFrame, stmts: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
+def touched_ledger(ledger: DataFrame, stmts: DataFrame) -> DataFrame:
+    """Ledger rows the statements can affect: rows in the statements' blocks
+    (semi join against the broadcast block keys, checked size) plus rows
+    with a missing key part (their ids can still equal a statement id).
+    Materialised: it is the small working set of the merge."""
+    blocks = _checkpoint(stmts.where(_keys_not_null()).select(*KEYS).distinct())
+    in_blocks = ledger.join(sized_broadcast(blocks), on=KEYS, how="left_semi")
+    null_keys = ledger.where(~_keys_not_null())
+    return _checkpoint(in_blocks.unionByName(null_keys))
+
+
+def fuzzy_updates(touched: DataFrame, stmts: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
     """One row per re-described ledger id: (l_id, new_desc, merged,
-    n_file).  ``merged`` counts matched (ledger row, new row) pairs."""
-    blocks = stmts.where(_keys_not_null()).select(*KEYS).distinct()
-    touched = ledger.join(blocks, on=KEYS, how="left_semi")
+    n_file).  ``merged`` counts matched (ledger row, new row) pairs.
+    ``touched``: the ledger rows of the statements' blocks."""
     pairs = candidate_pairs(_ledger_texts(touched), _new_texts(stmts), "l_desc", "n_desc", threshold)
     pairs = pairs.where(similar_at_least(F.col("l_desc"), F.col("n_desc"), F.lit(float(threshold))))
     return pairs.groupBy("l_id").agg(
@@ -186,7 +204,7 @@ def apply_updates(ledger: DataFrame, updates: DataFrame) -> DataFrame:
     """G6 + F2: new description for every ledger row with an updated id,
     then the id is recomputed for those rows only."""
     upd = updates.select(F.col("l_id").alias("id"), "new_desc")
-    j = ledger.join(upd, on="id", how="left")
+    j = ledger.join(sized_broadcast(upd), on="id", how="left")
     desc = F.coalesce(F.col("new_desc"), F.col("description"))
     out = j.withColumn("description", desc).withColumn(
         "id", F.when(F.col("new_desc").isNotNull(), row_id()).otherwise(F.col("id"))
@@ -207,7 +225,8 @@ def new_rows(ledger_ids: DataFrame, stmts: DataFrame) -> DataFrame:
     The ledger is reduced to the ids the statements carry first (semi join,
     statement side is the small build side), so the anti join never
     shuffles the whole ledger."""
-    present = ledger_ids.select("id").join(stmts.select("id"), on="id", how="left_semi")
+    ids = stmts.select("id").distinct()
+    present = ledger_ids.select("id").join(sized_broadcast(ids), on="id", how="left_semi")
     return stmts.join(present, on="id", how="left_anti")
 
 
@@ -338,11 +357,14 @@ def _fold_small(ledger: DataFrame, stmts: DataFrame, threshold: float, n_rows: i
 
 def _single_pass(ledger: DataFrame, stmts: DataFrame, threshold: float, first_wins: bool):
     """Returns (ledger', added, updates).  ``stmts`` must not hold a
-    contested block."""
-    updates = fuzzy_updates(ledger, stmts, threshold)
+    contested block.  The full ledger is read once for the output (a
+    broadcast join with the updates); everything else works on the
+    touched rows."""
+    touched = touched_ledger(ledger, stmts)
+    updates = _checkpoint(fuzzy_updates(touched, stmts, threshold))
     led2 = apply_updates(ledger, updates)
     cand = first_statement_rows(stmts) if first_wins else stmts
-    added = new_rows(led2, cand)
+    added = new_rows(apply_updates(touched, updates), cand)
     return led2, added, updates
 
 
@@ -373,22 +395,25 @@ def _fold_large(ledger: DataFrame, stmts: DataFrame, threshold: float):
 # public entry points
 # ---------------------------------------------------------------------------
 
-def contested_blocks(ledger: DataFrame, stmts: DataFrame, threshold: float) -> DataFrame:
-    """Blocks with >= 2 statements and >= 1 pair of distinct similar texts
-    (in either order) among ledger and statement texts of the block."""
+def contested_blocks(ledger: DataFrame, stmts: DataFrame) -> DataFrame:
+    """Blocks that need the sequential fold: >= 2 statements and >= 2
+    distinct texts among the block's ledger and statement rows.  Any other
+    block gives the same result in one pass (with one statement the fold is
+    a single step; with one text no re-description can happen).  Two
+    aggregates, no pairwise comparison."""
     multi = (
         stmts.where(_keys_not_null()).groupBy(*KEYS)
         .agg(F.countDistinct("stmt_seq").alias("n_seq"))
         .where(F.col("n_seq") >= 2).select(*KEYS)
     )
-    lt = ledger.join(multi, on=KEYS, how="left_semi").where(F.col("description").isNotNull()).select(*KEYS, "description")
-    st = stmts.join(multi, on=KEYS, how="left_semi").where(F.col("description").isNotNull()).select(*KEYS, "description")
-    texts = lt.unionByName(st).distinct()
-    a = texts.withColumnRenamed("description", "ta")
-    b = texts.withColumnRenamed("description", "tb")
-    pairs = candidate_pairs(a, b, "ta", "tb", threshold).where(F.col("ta") < F.col("tb"))
-    pairs = pairs.where(similar_either_order(F.col("ta"), F.col("tb"), F.lit(float(threshold))))
-    return pairs.select(*KEYS).distinct()
+    multi = _checkpoint(multi)
+    lt = ledger.join(sized_broadcast(multi), on=KEYS, how="left_semi").select(*KEYS, "description")
+    st = stmts.join(multi, on=KEYS, how="left_semi").select(*KEYS, "description")
+    texts = lt.unionByName(st).where(F.col("description").isNotNull())
+    return (
+        texts.groupBy(*KEYS).agg(F.countDistinct("description").alias("n_txt"))
+        .where(F.col("n_txt") >= 2).select(*KEYS)
+    )
 
 
 def merge_batch(
@@ -412,8 +437,8 @@ def merge_batch(
         led2, added, updates = _single_pass(ledger, stmts, threshold, first_wins=False)
         fold_led = fold_added = fold_upd = None
     else:
-        contested = contested_blocks(ledger, stmts, threshold)
-        contested = _checkpoint(contested)  # small; reused four times
+        contested = _checkpoint(contested_blocks(ledger, stmts))  # small; reused four times
+        contested = sized_broadcast(contested)
         plain_stmts = stmts.join(contested, on=KEYS, how="left_anti")
         fold_stmts = stmts.join(contested, on=KEYS, how="left_semi")
         plain_ledger = ledger.join(contested, on=KEYS, how="left_anti")

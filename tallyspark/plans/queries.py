@@ -21,7 +21,7 @@ from tallyspark.operators import layouts as LY
 from tallyspark.operators.identify import account_from_filename, match_accounts, split_unique
 from tallyspark.operators.merge import (
     _ledger_texts, _new_texts, apply_updates, candidate_pairs, fuzzy_updates, merge_batch,
-    merge_statement, new_rows, normalise_ledger, prepare_statements,
+    merge_statement, new_rows, normalise_ledger, prepare_statements, touched_ledger,
 )
 from tallyspark.plans import fixtures as FX
 from tallyspark.schema import LEDGER_COLUMNS, enforce_schema
@@ -550,7 +550,7 @@ select old_id, new_description, merged from upd
 def q22(spark, sf):
     """Threshold, last matching new row wins, matched pair count."""
     led, st = _merge_inputs(spark, sf)
-    upd = fuzzy_updates(led, st, DEFAULT_THRESHOLD)
+    upd = fuzzy_updates(touched_ledger(led, st), st, DEFAULT_THRESHOLD)
     return upd.select(F.col("l_id").alias("old_id"), F.col("new_desc").alias("new_description"),
                       F.col("merged").cast("long").alias("merged"))
 
@@ -562,7 +562,7 @@ select row_no, id, description from added
 def q23(spark, sf):
     """Statement rows whose id is not in the re-described ledger."""
     led, st = _merge_inputs(spark, sf)
-    led2 = apply_updates(led, fuzzy_updates(led, st, DEFAULT_THRESHOLD))
+    led2 = apply_updates(led, fuzzy_updates(touched_ledger(led, st), st, DEFAULT_THRESHOLD))
     return new_rows(led2, st).select("row_no", "id", "description")
 
 
