@@ -20,6 +20,14 @@ REQUIRED_CONF = {
     "spark.sql.legacy.javaCharsets": "true",
 }
 
+# Performance settings applied only when the cluster did not set them at
+# launch.  The cleaning/hashing projections are wide; generated methods above
+# HotSpot's 8000-byte JIT limit would run interpreted, so such stages use
+# per-operator compiled projections instead.
+PERF_CONF = {
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
 # Defaults that only apply when the cluster did not choose its own.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -39,7 +47,7 @@ def build_local_session(cores: int = 8, app: str = "tallyspark") -> SparkSession
         .config("spark.driver.memory", "8g")
         .config("spark.ui.showConsoleProgress", "false")
     )
-    for k, v in {**REQUIRED_CONF, **DEFAULT_CONF}.items():
+    for k, v in {**REQUIRED_CONF, **DEFAULT_CONF, **PERF_CONF}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -48,13 +56,21 @@ def build_local_session(cores: int = 8, app: str = "tallyspark") -> SparkSession
 
 
 def ensure_session_defaults(spark: SparkSession) -> None:
-    """Apply the settings the engine needs for exact results."""
+    """Apply the settings the engine needs for exact results, and the
+    performance defaults the cluster did not set at launch."""
     for k, v in REQUIRED_CONF.items():
         try:
             if spark.conf.get(k, None) != v:
                 spark.conf.set(k, v)
         except Exception:  # static conf on a running session: keep what is there
             pass
+    launch = spark.sparkContext.getConf()
+    for k, v in PERF_CONF.items():
+        if not launch.contains(k):
+            try:
+                spark.conf.set(k, v)
+            except Exception:
+                pass
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
