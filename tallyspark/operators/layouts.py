@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions import clean as C
 from tallyspark.functions.identity import row_id
+from tallyspark.operators.common import checkpointed, sized_broadcast
 
 
 @dataclass(frozen=True)
@@ -252,10 +253,12 @@ def normalise(grid: DataFrame, files: DataFrame, layout: StatementLayout,
         rejects = files.select("file", F.lit(layout.not_implemented).alias("reason"))
         return rows, rejects
 
-    g = grid.join(files.select("file"), on="file", how="left_semi")
+    # per-file tables are small (one row per file): broadcast after a size
+    # check, so the grid is never shuffled by file (a file may be huge)
+    g = grid.join(sized_broadcast(files.select("file")), on="file", how="left_semi")
     headers = find_headers(g, layout.header)
-    pos = header_positions(headers, layout)
-    ok = pos.where(F.size("_missing") == 0).join(files, on="file")
+    pos = checkpointed(header_positions(headers, layout))
+    ok = sized_broadcast(checkpointed(pos.where(F.size("_missing") == 0).join(files, on="file")))
     rejects = (
         pos.where(F.size("_missing") > 0)
         .select("file", F.concat(F.lit("missing_columns: "), F.array_join("_missing", ", ")).alias("reason"))
@@ -297,6 +300,7 @@ def normalise_all(grid: DataFrame, routed: DataFrame, layouts=LAYOUTS,
     account_type)."""
     # only the layouts that occur get a branch (one row per file is routed;
     # the distinct (bank, type) pairs are at most a handful)
+    routed = checkpointed(routed)  # one row per file, used by every branch
     present = {(r[0], r[1]) for r in routed.select("bank", "account_type").distinct().collect()}
     rows = None
     rejects = None

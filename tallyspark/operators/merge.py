@@ -46,22 +46,12 @@ from tallyspark.functions.similarity import (
     similar_at_least,
 )
 from tallyspark.schema import LEDGER, LEDGER_COLUMNS
-from tallyspark.session import ensure_checkpoint_dir
+from tallyspark.operators.common import checkpointed as _checkpoint
+from tallyspark.operators.common import sized_broadcast
 
 KEYS = ["date", "amount", "account_name"]
 # blocks with more rows than this are folded by distributed steps
 DEFAULT_FOLD_GROUP_LIMIT = 5000
-# statement-side tables up to this many rows are broadcast to the ledger scan
-BROADCAST_ROW_LIMIT = 2_000_000
-
-
-def sized_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast ``df`` only when its row count (checked here) is within
-    ``limit``; otherwise leave the join to a shuffle.  Callers pass
-    checkpointed or cheap statement-side tables, so the count is cheap."""
-    return F.broadcast(df) if df.count() <= limit else df
-
-
 @dataclass
 class MergeResult:
     ledger: DataFrame  # LEDGER columns: updated ledger plus appended rows
@@ -368,11 +358,6 @@ def _single_pass(ledger: DataFrame, stmts: DataFrame, threshold: float, first_wi
     return led2, added, updates
 
 
-def _checkpoint(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def _fold_large(ledger: DataFrame, stmts: DataFrame, threshold: float):
     """Fold big contested blocks statement by statement with the native pass;
     lineage is cut after each step.  Steps = statements touching them."""

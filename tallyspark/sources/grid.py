@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspark.functions.clean import NA_TOKENS
+from tallyspark.operators.common import checkpointed, sized_broadcast
 from tallyspark.session import ensure_checkpoint_dir
 
 DEFAULT_MAX_COLUMNS = 48
@@ -65,8 +66,9 @@ def number_rows(raw: DataFrame) -> DataFrame:
     # one row per split: a file has few splits, this window is tiny
     w = Window.partitionBy("file").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+    splits = checkpointed(splits.select("file", "_split", "_mid0", "_off"))
     return (
-        raw.join(splits.select("file", "_split", "_mid0", "_off"), on=["file", "_split"])
+        raw.join(sized_broadcast(splits), on=["file", "_split"])
         .select("file", (F.col("_off") + F.col("_mid") - F.col("_mid0")).alias("row_no"), "cells")
     )
 
