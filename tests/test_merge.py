@@ -77,3 +77,17 @@ def test_batch_fold_equals_sequential(spark):
             assert got == sorted(r["id"] for r in exp), (trial, limit)
             tot = res.metrics.agg(F.sum("merged")).first()[0]
             assert tot == merged, (trial, limit)
+
+
+def test_hot_block_distributed_fold(spark):
+    """One block holds every row (a hot key): the fold runs statement by
+    statement on the distributed path and equals the sequential model."""
+    d = D(2024, 2, 1)
+    ledger = [_row(d, f"TRANSFER REF {i:04d}", 9.99) for i in range(0, 120, 2)]
+    s1 = [_row(d, f"TRANSFER REF {i:04d}", 9.99) for i in range(0, 90)]
+    s2 = [_row(d, f"TRANSFER REF {i:04d} OK", 9.99) for i in range(60, 140)]
+    res = merge_batch(_ledger(spark, ledger), _stmts(spark, [s1, s2]), fold_group_limit=50)
+    got = sorted(r.id for r in res.ledger.collect())
+    exp, merged = fold(ledger, [s1, s2])
+    assert got == sorted(r["id"] for r in exp)
+    assert res.metrics.agg(F.sum("merged")).first()[0] == merged

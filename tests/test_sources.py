@@ -75,3 +75,21 @@ def test_html_visible_table(spark):
     pages = spark.createDataFrame([(1, "u", html), (2, "u", "<p>no table</p>")], "page_id long, url string, html string")
     got = [(r.page_id, r.row_no, r.cells) for r in extract_tables(pages).orderBy("row_no").collect()]
     assert got == [(1, 0, ["Account Name", "Fecha", "Monto"]), (1, 1, ["MY ACCOUNT", "05/01/2024", "1,00 & x"])]
+
+
+def test_row_numbers_across_splits(spark):
+    """One file read as many splits: row numbers stay the file's line order
+    (per-split numbering shifted by earlier splits' counts, no file window)."""
+    d = _dir()
+    with open(os.path.join(d, "big.csv"), "w") as f:
+        for i in range(3000):
+            f.write(f"{i},row {i}\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        g = grid_scan(spark, d, multi_line=False)
+        rows = g.select("row_no", F.element_at("cells", 1).cast("long").alias("v")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert len(rows) == 3000
+    assert all(r.row_no == r.v for r in rows)
