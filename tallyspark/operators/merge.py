@@ -177,11 +177,28 @@ def touched_ledger(ledger: DataFrame, stmts: DataFrame) -> DataFrame:
     return _checkpoint(in_blocks.unionByName(null_keys))
 
 
-def fuzzy_updates(touched: DataFrame, stmts: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
+MODES = ("reference", "protect_exact")
+
+
+def fuzzy_updates(touched: DataFrame, stmts: DataFrame, threshold: float = DEFAULT_THRESHOLD,
+                  mode: str = "reference") -> DataFrame:
     """One row per re-described ledger id: (l_id, new_desc, merged,
     n_file).  ``merged`` counts matched (ledger row, new row) pairs.
-    ``touched``: the ledger rows of the statements' blocks."""
-    pairs = candidate_pairs(_ledger_texts(touched), _new_texts(stmts), "l_desc", "n_desc", threshold)
+    ``touched``: the ledger rows of the statements' blocks.
+
+    ``mode="protect_exact"``: a ledger text that the statement repeats
+    exactly, and a statement text already in the ledger, take no part in
+    re-description (two real, similar transactions of one day and amount
+    then keep their own descriptions)."""
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}")
+    lt, nt = _ledger_texts(touched), _new_texts(stmts)
+    if mode == "protect_exact":
+        same = lt.select(*KEYS, F.col("l_desc").alias("t")).join(
+            nt.select(*KEYS, F.col("n_desc").alias("t")), on=KEYS + ["t"], how="left_semi")
+        lt = lt.join(same.withColumnRenamed("t", "l_desc"), on=KEYS + ["l_desc"], how="left_anti")
+        nt = nt.join(same.withColumnRenamed("t", "n_desc"), on=KEYS + ["n_desc"], how="left_anti")
+    pairs = candidate_pairs(lt, nt, "l_desc", "n_desc", threshold)
     pairs = pairs.where(similar_at_least(F.col("l_desc"), F.col("n_desc"), F.lit(float(threshold))))
     return pairs.groupBy("l_id").agg(
         F.max_by("n_desc", "n_last").alias("new_desc"),
@@ -248,7 +265,7 @@ _FOLD_OUT = T.StructType(
 )
 
 
-def _fold_block(threshold: float):
+def _fold_block(threshold: float, mode: str = "reference"):
     """Grouped-map function: folds every block of a bucket (blocks are at
     most ``fold_group_limit`` rows; a bucket holds a bounded number of rows
     on average, so the per-call overhead is shared by many blocks)."""
@@ -273,14 +290,21 @@ def _fold_block(threshold: float):
             i = j
             before = [r["description"] for r in led]
             after = list(before)
+            if mode == "protect_exact":
+                stmt_texts = {r["description"] for r in batch}
+                led_texts = set(before)
             for r in batch:
                 r["_merged"] = 0
                 nd = r["description"]
                 if nd is None:
                     continue
+                if mode == "protect_exact" and nd in led_texts:
+                    continue
                 for k, od in enumerate(before):
                     if od is None or od == nd:
                         continue
+                    if mode == "protect_exact" and od in stmt_texts:
+                        continue
                     if SequenceMatcher(None, od, nd).ratio() >= threshold:
                         after[k] = nd
                         r["_merged"] += 1
@@ -331,34 +355,36 @@ def _fold_input(ledger: DataFrame, stmts: DataFrame) -> DataFrame:
 FOLD_ROWS_PER_CALL = 4000
 
 
-def _fold_small(ledger: DataFrame, stmts: DataFrame, threshold: float, n_rows: int) -> DataFrame:
+def _fold_small(ledger: DataFrame, stmts: DataFrame, threshold: float, n_rows: int,
+                mode: str = "reference") -> DataFrame:
     """Fold small contested blocks: rows are grouped by a hash bucket of the
     block key; the bucket count grows with the rows, so a call handles
     ~FOLD_ROWS_PER_CALL rows whatever the total."""
     inp = _fold_input(ledger, stmts)
     n_buckets = max(1, -(-n_rows // FOLD_ROWS_PER_CALL))
     inp = inp.withColumn("_bucket", F.pmod(F.xxhash64(*KEYS), F.lit(n_buckets)))
-    return inp.groupBy("_bucket").applyInPandas(_fold_block(threshold), schema=_FOLD_OUT)
+    return inp.groupBy("_bucket").applyInPandas(_fold_block(threshold, mode), schema=_FOLD_OUT)
 
 
 # ---------------------------------------------------------------------------
 # single pass (no fold needed)
 # ---------------------------------------------------------------------------
 
-def _single_pass(ledger: DataFrame, stmts: DataFrame, threshold: float, first_wins: bool):
+def _single_pass(ledger: DataFrame, stmts: DataFrame, threshold: float, first_wins: bool,
+                 mode: str = "reference"):
     """Returns (ledger', added, updates).  ``stmts`` must not hold a
     contested block.  The full ledger is read once for the output (a
     broadcast join with the updates); everything else works on the
     touched rows."""
     touched = touched_ledger(ledger, stmts)
-    updates = _checkpoint(fuzzy_updates(touched, stmts, threshold))
+    updates = _checkpoint(fuzzy_updates(touched, stmts, threshold, mode))
     led2 = apply_updates(ledger, updates)
     cand = first_statement_rows(stmts) if first_wins else stmts
     added = new_rows(apply_updates(touched, updates), cand)
     return led2, added, updates
 
 
-def _fold_large(ledger: DataFrame, stmts: DataFrame, threshold: float):
+def _fold_large(ledger: DataFrame, stmts: DataFrame, threshold: float, mode: str = "reference"):
     """Fold big contested blocks statement by statement with the native pass;
     lineage is cut after each step.  Steps = statements touching them."""
     seqs = [r[0] for r in stmts.select("stmt_seq").distinct().orderBy("stmt_seq").collect()]
@@ -367,7 +393,7 @@ def _fold_large(ledger: DataFrame, stmts: DataFrame, threshold: float):
     upd_all = None
     for s in seqs:
         sk = stmts.where(F.col("stmt_seq") == F.lit(s))
-        led2, added, updates = _single_pass(state, sk, threshold, first_wins=False)
+        led2, added, updates = _single_pass(state, sk, threshold, first_wins=False, mode=mode)
         added = _checkpoint(added)
         state = _checkpoint(led2.unionByName(_to_ledger_rows(added)))
         added_all = added if added_all is None else added_all.unionByName(added)
@@ -408,6 +434,7 @@ def merge_batch(
     order_col: str = "stmt_seq",
     single_statement: bool = False,
     fold_group_limit: int = DEFAULT_FOLD_GROUP_LIMIT,
+    mode: str = "reference",
 ) -> MergeResult:
     """Merge statements (in ``order_col`` order) into the ledger."""
     ledger = normalise_ledger(ledger)
@@ -419,7 +446,7 @@ def merge_batch(
         single_statement = (stmts.agg(F.countDistinct("stmt_seq")).first()[0] or 0) <= 1
 
     if single_statement:
-        led2, added, updates = _single_pass(ledger, stmts, threshold, first_wins=False)
+        led2, added, updates = _single_pass(ledger, stmts, threshold, first_wins=False, mode=mode)
         fold_led = fold_added = fold_upd = None
     else:
         contested = _checkpoint(contested_blocks(ledger, stmts))  # small; reused four times
@@ -428,7 +455,7 @@ def merge_batch(
         fold_stmts = stmts.join(contested, on=KEYS, how="left_semi")
         plain_ledger = ledger.join(contested, on=KEYS, how="left_anti")
         fold_ledger = ledger.join(contested, on=KEYS, how="left_semi")
-        led2, added, updates = _single_pass(plain_ledger, plain_stmts, threshold, first_wins=True)
+        led2, added, updates = _single_pass(plain_ledger, plain_stmts, threshold, first_wins=True, mode=mode)
 
         sizes = (
             fold_ledger.select(*KEYS).unionByName(fold_stmts.select(*KEYS))
@@ -440,7 +467,7 @@ def merge_batch(
         small_out = _fold_small(
             fold_ledger.join(big, on=KEYS, how="left_anti"),
             fold_stmts.join(big, on=KEYS, how="left_anti"),
-            threshold, int(n_small),
+            threshold, int(n_small), mode,
         )
         small_out = _checkpoint(small_out)
         fold_led = small_out.where((F.col("_kind") == "L") | F.col("_added")).select(*LEDGER_COLUMNS)
@@ -453,7 +480,7 @@ def merge_batch(
             big_led, big_added, big_upd = _fold_large(
                 fold_ledger.join(big, on=KEYS, how="left_semi"),
                 fold_stmts.join(big, on=KEYS, how="left_semi"),
-                threshold,
+                threshold, mode,
             )
             fold_led = fold_led.unionByName(big_led)
             fold_added = fold_added.unionByName(_added_rows(big_added))
@@ -477,9 +504,10 @@ def merge_batch(
     )
 
 
-def merge_statement(ledger: DataFrame, stmt: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> MergeResult:
+def merge_statement(ledger: DataFrame, stmt: DataFrame, threshold: float = DEFAULT_THRESHOLD,
+                    mode: str = "reference") -> MergeResult:
     """G3-G9 for one statement."""
-    return merge_batch(ledger, stmt, threshold, single_statement=True)
+    return merge_batch(ledger, stmt, threshold, single_statement=True, mode=mode)
 
 
 def run_metrics(stmts: DataFrame, upd_pairs: DataFrame, added_rows: DataFrame) -> DataFrame:

@@ -62,9 +62,9 @@ def load_statements(spark: SparkSession, in_dir: str | list[str], accounts: Data
 def run_batch(spark: SparkSession, in_dir: str | list[str], ledger: DataFrame, accounts: DataFrame,
               out_path: str | None = None, threshold: float = 0.8, on_error: str = "raise",
               out_format: str = "parquet", delete_inputs: bool = False,
-              glob: str | None = "*.csv") -> BatchResult:
+              glob: str | None = "*.csv", mode: str = "reference") -> BatchResult:
     stmts, rejects = load_statements(spark, in_dir, accounts, on_error, glob=glob)
-    res = merge_batch(ledger, stmts, threshold)
+    res = merge_batch(ledger, stmts, threshold, mode=mode)
     if out_path:
         if out_format == "csv":
             write_ledger_csv(res.ledger, out_path)

@@ -30,7 +30,8 @@ def version_path(root: str, version: int) -> str:
 
 
 def _stream_grid(spark: SparkSession, in_dir: str, max_cols: int, max_files: int | None,
-                 glob: str = "*.csv", recursive: bool = False):
+                 glob: str = "*.csv", recursive: bool = False, clean_source: str | None = None,
+                 archive_dir: str | None = None):
     schema = T.StructType([T.StructField(f"c{i}", T.StringType(), True) for i in range(max_cols)])
     r = (
         spark.readStream.schema(schema)
@@ -40,6 +41,12 @@ def _stream_grid(spark: SparkSession, in_dir: str, max_cols: int, max_files: int
     )
     if max_files:
         r = r.option("maxFilesPerTrigger", str(max_files))
+    if clean_source:
+        # A9 for the stream: the source archives / deletes a file once a
+        # later batch has committed (the last file stays until then)
+        r = r.option("cleanSource", clean_source)
+        if archive_dir:
+            r = r.option("sourceArchiveDir", archive_dir)
     df = r.csv(in_dir)
     na = list(NA_TOKENS)
     cells = F.transform(F.array(*[F.col(f"c{i}") for i in range(max_cols)]),
@@ -55,7 +62,9 @@ def start_ingest(spark: SparkSession, in_dir: str, ledger_root: str, accounts: D
                  checkpoint: str | None = None, initial_ledger: DataFrame | None = None,
                  threshold: float = 0.8, max_cols: int = DEFAULT_MAX_COLUMNS,
                  max_files_per_trigger: int | None = None, available_now: bool = True,
-                 on_error: str = "reject", glob: str = "*.csv", recursive: bool = False):
+                 on_error: str = "reject", glob: str = "*.csv", recursive: bool = False,
+                 mode: str = "reference", clean_source: str | None = None,
+                 archive_dir: str | None = None):
     """Start the ingest query; returns the StreamingQuery."""
     ensure_session_defaults(spark)
     accounts, _ = screen_patterns(accounts)
@@ -75,10 +84,11 @@ def start_ingest(spark: SparkSession, in_dir: str, ledger_root: str, accounts: D
         rows, _ = normalise_all(grid, routed, LAYOUTS, on_error)
         stmts = rows.withColumn("stmt_seq", F.col("file"))
         ledger = read_ledger(spark, version_path(ledger_root, batch_id))
-        res = merge_batch(ledger, stmts, threshold)
+        res = merge_batch(ledger, stmts, threshold, mode=mode)
         res.ledger.write.mode("overwrite").parquet(version_path(ledger_root, batch_id + 1))
 
-    w = _stream_grid(spark, in_dir, max_cols, max_files_per_trigger, glob, recursive).writeStream \
+    src = _stream_grid(spark, in_dir, max_cols, max_files_per_trigger, glob, recursive, clean_source, archive_dir)
+    w = src.writeStream \
         .foreachBatch(merge_micro_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()

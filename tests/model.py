@@ -30,7 +30,7 @@ def _key_eq(a, b):
     return a is not None and b is not None and a == b and a == a
 
 
-def fold(ledger: list[dict], statements: list[list[dict]], threshold: float = 0.8):
+def fold(ledger: list[dict], statements: list[list[dict]], threshold: float = 0.8, mode: str = "reference"):
     """ledger rows and statements: dicts with date, description, amount,
     account_name.  Returns (final ledger rows, merged pair count)."""
     led = [dict(r, id=py_id(r["date"], r["description"], r["amount"], r["account_name"])) for r in ledger]
@@ -43,6 +43,13 @@ def fold(ledger: list[dict], statements: list[list[dict]], threshold: float = 0.
             if n["description"] is None:
                 continue
             for i, l in enumerate(led):
+                if mode == "protect_exact":
+                    # either text has an exact partner in the same block: skip
+                    same_block = lambda a, b: all(_key_eq(a[k], b[k]) for k in ("date", "amount", "account_name"))
+                    if any(same_block(o, n) and before[j] == n["description"] for j, o in enumerate(led)):
+                        continue
+                    if any(same_block(r, l) and r["description"] == before[i] for r in rows):
+                        continue
                 if not (_key_eq(l["date"], n["date"]) and _key_eq(l["amount"], n["amount"])
                         and _key_eq(l["account_name"], n["account_name"])):
                     continue

@@ -91,3 +91,20 @@ def test_hot_block_distributed_fold(spark):
     exp, merged = fold(ledger, [s1, s2])
     assert got == sorted(r["id"] for r in exp)
     assert res.metrics.agg(F.sum("merged")).first()[0] == merged
+
+
+def test_q2_protect_exact(spark):
+    d = D(2024, 1, 5)
+    ledger = [_row(d, "PAYMENT 001", 1.0), _row(d, "PAYMENT 002", 1.0)]
+    stmt = [_row(d, "PAYMENT 001", 1.0), _row(d, "PAYMENT 002", 1.0), _row(d, "PAYMENT 003", 1.0)]
+    res = merge_statement(_ledger(spark, ledger), _stmts(spark, [stmt]), mode="protect_exact")
+    assert sorted(r.description for r in res.ledger.collect()) == ["PAYMENT 001", "PAYMENT 002", "PAYMENT 003"]
+
+
+def test_protect_exact_matches_model(spark):
+    rng = random.Random(11)
+    ledger, stmts = _random_case(rng, 25, 3, 20)
+    for limit in (5000, 3):
+        res = merge_batch(_ledger(spark, ledger), _stmts(spark, stmts), fold_group_limit=limit, mode="protect_exact")
+        exp, _ = fold(ledger, stmts, mode="protect_exact")
+        assert sorted(r.id for r in res.ledger.collect()) == sorted(r["id"] for r in exp), limit
