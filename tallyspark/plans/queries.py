@@ -754,3 +754,58 @@ def q32(spark, sf):
                      max_files_per_trigger=1, glob="part-*", recursive=True)
     q.awaitTermination()
     return latest_version(spark, f"{root}/ledger", q)
+
+
+@register("q33_folder_ingest", f"""
+select cast(date '2024-01-01' + cast(c_custkey % 365 as integer) as timestamp) as date,
+       case when c_nationkey % 2 = 0 then 'BAC USD 911' else 'BAC HNL 271' end as account_name,
+       case when ({_BAL}) < 0 then 'Expense' else 'Income' end as tran_type,
+       cast(null as varchar) as category, cast(null as varchar) as tag,
+       c_name || ' ' || c_mktsegment as description, cast(null as varchar) as notes,
+       case when c_nationkey % 2 = 0 then 'USD' else 'HNL' end as currency,
+       {_BAL} as amount,
+       {_id("cast(date '2024-01-01' + cast(c_custkey % 365 as integer) as timestamp)",
+            "c_name || ' ' || c_mktsegment", _BAL,
+            "case when c_nationkey % 2 = 0 then 'BAC USD 911' else 'BAC HNL 271' end")} as id
+from customer where c_nationkey <> 24
+""")
+def q33(spark, sf):
+    """A1-A3 + B1-B7 + N2 + G7-G9 end to end: statement CSV files on disk
+    (one per nation; odd nations written in cp1252; nation 24 belongs to an
+    unknown account) -> folder scan -> identify -> normalise -> merge."""
+    from tallyspark.plans.pipeline import run_batch
+    from tallyspark.sources.accounts import accounts_from_dict
+    from tallyspark.sources.ledger import empty_ledger
+
+    root = scratch_path(spark, f"folder-{uuid.uuid4().hex}")
+    c = T(spark, sf, "customer")
+    acct = (F.when(F.col("c_nationkey") == 24, F.lit("BAC XXX 000"))
+            .when(F.col("c_nationkey") % 2 == 0, F.lit("BAC USD 911")).otherwise(F.lit("BAC HNL 271")))
+    neg = F.col("c_acctbal") < 0
+    data = c.select(
+        F.col("c_nationkey").alias("nation"), (F.col("c_custkey") + 1).alias("row_no"),
+        csv_line([
+            acct,
+            FX.dmy(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("c_custkey") % 365).cast("int"))),
+            FX.s("c_custkey"),
+            F.concat(F.col("c_name"), F.lit("  "), F.col("c_mktsegment")),
+            F.when(neg, FX.money(-F.col("c_acctbal"))).otherwise(F.lit("")),
+            F.when(~neg, FX.money("c_acctbal")).otherwise(F.lit("")),
+            FX.money(F.abs(F.col("c_acctbal"))),
+        ]).alias("line"),
+    )
+    header = csv_line([F.lit(h) for h in FX.BAC_SAVINGS_HEADER])
+    heads = data.select("nation", F.lit(0).cast("long").alias("row_no"), header.alias("line")).distinct()
+    lines = data.unionByName(heads).repartition("nation").sortWithinPartitions("nation", "row_no")
+    for enc, parity in (("UTF-8", 0), ("windows-1252", 1)):
+        # one column, separator / quote characters that never occur: lines are written verbatim
+        (lines.where(F.col("nation") % 2 == parity).select("nation", "line").write
+         .option("sep", "\u0001").option("quote", "\u0002").option("escape", "\u0003")
+         .option("encoding", enc).partitionBy("nation").csv(f"{root}/in/{enc}"))
+    accounts = accounts_from_dict(spark, {
+        "BAC USD 911": {"currency": "USD", "bank": "BAC", "type": "savings", "id_pattern": "BACUSD911"},
+        "BAC HNL 271": {"currency": "HNL", "bank": "BAC", "type": "savings", "id_pattern": "BACHNL271"},
+    })
+    res = run_batch(spark, [f"{root}/in/UTF-8", f"{root}/in/windows-1252"], empty_ledger(spark), accounts,
+                    glob="part-*")
+    return res.merge.ledger

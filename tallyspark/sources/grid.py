@@ -37,6 +37,8 @@ def _reader(spark: SparkSession, max_cols: int, encoding: str, multi_line: bool,
         .option("escape", '"')
         .option("encoding", encoding)
         .option("mode", "PERMISSIVE")
+        # a drop folder is a set of files: read sub-folders, infer no partitions
+        .option("recursiveFileLookup", "true")
         .option("ignoreLeadingWhiteSpace", "false")
         .option("ignoreTrailingWhiteSpace", "false")
     )
