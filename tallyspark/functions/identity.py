@@ -25,9 +25,10 @@ def date_text(col: Column | str) -> Column:
     """``str(pandas.Timestamp)``: ``yyyy-MM-dd HH:mm:ss`` plus ``.ffffff``
     when the value has a fraction; ``NaT`` when missing."""
     c = _c(col)
-    frac = F.date_format(c, "SSSSSS")
     base = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
-    txt = F.when(frac == "000000", base).otherwise(F.concat(base, F.lit("."), frac))
+    micros = F.pmod(F.unix_micros(c.cast("timestamp")), F.lit(1_000_000))
+    txt = F.when(micros == 0, base).otherwise(
+        F.concat(base, F.lit("."), F.lpad(micros.cast("string"), 6, "0")))
     return F.when(c.isNull(), F.lit(NULL_DATE_TEXT)).otherwise(txt)
 
 
@@ -44,7 +45,8 @@ def amount_text(col: Column | str) -> Column:
     x = _c(col)
     ax = F.abs(x)
     java = x.cast("string")
-    cents = F.regexp_replace(x.cast("decimal(38,2)").cast("string"), "0$", "")
+    dec = x.cast("decimal(38,2)").cast("string")  # always two decimals
+    cents = F.when(dec.endswith("0"), dec.substr(F.lit(1), F.length(dec) - 1)).otherwise(dec)
     stripped = F.regexp_replace(java.cast("decimal(38,20)").cast("string"), "0+$", "")
     plain = F.concat(stripped, F.when(stripped.endswith("."), F.lit("0")).otherwise(F.lit("")))
     sci_pat = r"^(-?[0-9.]+)E(-?[0-9]+)$"

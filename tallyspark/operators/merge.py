@@ -47,7 +47,7 @@ from tallyspark.functions.similarity import (
 )
 from tallyspark.schema import LEDGER, LEDGER_COLUMNS
 from tallyspark.operators.common import checkpointed as _checkpoint
-from tallyspark.operators.common import sized_broadcast
+from tallyspark.operators.common import BROADCAST_ROW_LIMIT, sized_broadcast
 
 KEYS = ["date", "amount", "account_name"]
 # blocks with more rows than this are folded by distributed steps
@@ -450,7 +450,13 @@ def merge_batch(
         fold_led = fold_added = fold_upd = None
     else:
         contested = _checkpoint(contested_blocks(ledger, stmts))  # small; reused four times
-        contested = sized_broadcast(contested)
+        n_contested = contested.count()
+        contested = F.broadcast(contested) if n_contested <= BROADCAST_ROW_LIMIT else contested
+    if not single_statement and n_contested == 0:
+        # no block needs the sequential fold: one pass, first statement wins
+        led2, added, updates = _single_pass(ledger, stmts, threshold, first_wins=True, mode=mode)
+        fold_led = fold_added = fold_upd = None
+    elif not single_statement:
         plain_stmts = stmts.join(contested, on=KEYS, how="left_anti")
         fold_stmts = stmts.join(contested, on=KEYS, how="left_semi")
         plain_ledger = ledger.join(contested, on=KEYS, how="left_anti")
