@@ -73,13 +73,19 @@ def _keys_not_null():
     return F.col("date").isNotNull() & F.col("amount").isNotNull() & F.col("account_name").isNotNull()
 
 
-def normalise_ledger(ledger: DataFrame) -> DataFrame:
-    """Ledger in canonical column order with a fresh id (F1)."""
+def normalise_ledger(ledger: DataFrame, trust_ids: bool = False) -> DataFrame:
+    """Ledger in canonical column order with a fresh id (F1).
+
+    ``trust_ids``: keep stored ids (a parquet ledger written by this engine
+    always stores the id of its content) and hash only rows without one;
+    this skips re-hashing the whole ledger on every run."""
     led = ledger
     for c in LEDGER_COLUMNS:
         if c not in led.columns:
             led = led.withColumn(c, F.lit(None).cast(LEDGER[c].dataType))
     led = _nan_to_null(led.select(*LEDGER_COLUMNS))
+    if trust_ids:
+        return led.withColumn("id", F.coalesce(F.col("id"), row_id()))
     return led.withColumn("id", row_id())
 
 
@@ -300,12 +306,17 @@ def _fold_block(threshold: float, mode: str = "reference"):
                     continue
                 if mode == "protect_exact" and nd in led_texts:
                     continue
+                sm = SequenceMatcher(None)
+                sm.set_seq2(nd)  # the new text is analysed once per row
                 for k, od in enumerate(before):
                     if od is None or od == nd:
                         continue
                     if mode == "protect_exact" and od in stmt_texts:
                         continue
-                    if SequenceMatcher(None, od, nd).ratio() >= threshold:
+                    sm.set_seq1(od)
+                    # exact upper bounds first, the full ratio only when needed
+                    if (sm.real_quick_ratio() >= threshold and sm.quick_ratio() >= threshold
+                            and sm.ratio() >= threshold):
                         after[k] = nd
                         r["_merged"] += 1
             for k, r in enumerate(led):
@@ -435,9 +446,10 @@ def merge_batch(
     single_statement: bool = False,
     fold_group_limit: int = DEFAULT_FOLD_GROUP_LIMIT,
     mode: str = "reference",
+    trust_ledger_ids: bool = False,
 ) -> MergeResult:
     """Merge statements (in ``order_col`` order) into the ledger."""
-    ledger = normalise_ledger(ledger)
+    ledger = normalise_ledger(ledger, trust_ledger_ids)
     # statements are the new (small) side and are used by every step below:
     # materialise them once in the shared checkpoint folder
     stmts = _checkpoint(prepare_statements(stmts, order_col))

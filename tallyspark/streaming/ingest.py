@@ -84,7 +84,8 @@ def start_ingest(spark: SparkSession, in_dir: str, ledger_root: str, accounts: D
         rows, _ = normalise_all(grid, routed, LAYOUTS, on_error)
         stmts = rows.withColumn("stmt_seq", F.col("file"))
         ledger = read_ledger(spark, version_path(ledger_root, batch_id))
-        res = merge_batch(ledger, stmts, threshold, mode=mode)
+        # versions are written by this job: their stored ids are trusted
+        res = merge_batch(ledger, stmts, threshold, mode=mode, trust_ledger_ids=batch_id > 0)
         res.ledger.write.mode("overwrite").parquet(version_path(ledger_root, batch_id + 1))
 
     src = _stream_grid(spark, in_dir, max_cols, max_files_per_trigger, glob, recursive, clean_source, archive_dir)
