@@ -630,7 +630,7 @@ def q27(spark, sf):
 @register("q28_run_metrics", f"""
 with recursive {_MERGE_CTE.strip()}, {_RATIO_CTE.strip()}, {_UPD_CTE.strip()}
 select 'stmt_orders' as file, (select count(*) from s) as parsed,
-       (select coalesce(sum(merged), 0) from upd) as merged, (select count(*) from added) as added
+       (select cast(coalesce(sum(merged), 0) as bigint) from upd) as merged, (select count(*) from added) as added
 """)
 def q28(spark, sf):
     """Per statement file rows parsed, pairs re-described, rows added."""
@@ -663,10 +663,10 @@ def q29(spark, sf):
 with n as (select r.r_regionkey, r.r_name, n.n_name, n.n_nationkey,
                   row_number() over (partition by r.r_regionkey order by n.n_nationkey) as rn
            from nation n join region r on n.n_regionkey = r.r_regionkey)
-select distinct 100000 + r_regionkey as page_id, cast(0 as bigint) as row_no,
+select distinct cast(100000 + r_regionkey as bigint) as page_id, cast(0 as bigint) as row_no,
        'Account Name,Nation,Key,Note' as line from n
 union all
-select 100000 + r_regionkey as page_id, rn as row_no,
+select cast(100000 + r_regionkey as bigint) as page_id, rn as row_no,
        r_name || ',' || n_name || ',' || n_nationkey || ',a & b' as line from n
 """)
 def q30(spark, sf):
