@@ -741,13 +741,14 @@ def q32(spark, sf):
     grid, _ = FX.bac_savings_grid(spark, sf, by="c_custkey", prefix="")
     data = grid.where(F.col("row_no") > 0)
     header = csv_line_from_array(F.array(*[F.lit(h) for h in FX.BAC_SAVINGS_HEADER]))
-    for j in range(3):
-        # statement file j: every customer whose key % 3 <> j (each row is in two files)
-        part = data.where((F.col("row_no") - 1) % 3 != j)
-        lines = part.select("row_no", csv_line_from_array(F.col("cells")).alias("line"))
-        head = part.select(F.lit(0).cast("long").alias("row_no"), header.alias("line")).distinct()
-        lines.unionByName(head).repartition(1).sortWithinPartitions("row_no").select("line") \
-            .write.mode("errorifexists").text(f"{root}/drop/statement_{j}")
+    # statement j holds every customer whose key % 3 <> j (each row is in two
+    # files); one write, one file per statement (hash-partitioned by j)
+    rows = data.select(F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("j"), "row_no", "cells") \
+        .where((F.col("row_no") - 1) % 3 != F.col("j"))
+    lines = rows.select("j", "row_no", csv_line_from_array(F.col("cells")).alias("line"))
+    heads = rows.select("j").distinct().select("j", F.lit(0).cast("long").alias("row_no"), header.alias("line"))
+    (lines.unionByName(heads).repartition("j").sortWithinPartitions("j", "row_no").select("j", "line")
+     .write.mode("errorifexists").partitionBy("j").text(f"{root}/drop"))
     accounts = accounts_from_dict(spark, {"BAC USD 911": {"currency": "USD", "bank": "BAC", "type": "savings",
                                                           "id_pattern": "BACUSD911"}})
     q = start_ingest(spark, f"{root}/drop", f"{root}/ledger", accounts, checkpoint=f"{root}/ckpt",
