@@ -14,6 +14,7 @@ files of all banks are normalised in one plan:
 
 from __future__ import annotations
 
+import dataclasses
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -123,10 +124,22 @@ REVOLUT_CARD = StatementLayout(
     not_implemented="credit card cleaning not implemented for Revolut",
 )
 
+# Variants for Santander CSV exports: the header is found by its first cell
+# instead of a fixed row (blank lines in a CSV shift physical rows).  Pass
+# ``layouts=SANTANDER_BY_KEYWORD_LAYOUTS`` to use them.
+SANTANDER_CARD_BY_KEYWORD = dataclasses.replace(
+    SANTANDER_CARD, header=HeaderRule("keyword", keyword="FECHA OPERACIÓN"))
+SANTANDER_SAVINGS_BY_KEYWORD = dataclasses.replace(
+    SANTANDER_SAVINGS, header=HeaderRule("keyword", keyword="FECHA OPERACIÓN"))
+
 LAYOUTS: tuple[StatementLayout, ...] = (
     BAC_CARD, BAC_SAVINGS, SANTANDER_CARD, SANTANDER_SAVINGS, FICOHSA_SAVINGS,
     REVOLUT_SAVINGS, REVOLUT_CARD,
 )
+SANTANDER_BY_KEYWORD_LAYOUTS: tuple[StatementLayout, ...] = (
+    BAC_CARD, BAC_SAVINGS, SANTANDER_CARD_BY_KEYWORD, SANTANDER_SAVINGS_BY_KEYWORD, FICOHSA_SAVINGS,
+    REVOLUT_SAVINGS, REVOLUT_CARD,
+)
 # banks with a normaliser; a known bank with another account type is rejected
 KNOWN_BANKS = ("BAC", "SANTANDER", "REVOLUT", "FICOHSA")
 

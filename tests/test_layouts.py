@@ -117,3 +117,16 @@ def test_bad_pattern_screened(spark):
 def test_account_from_filename(spark):
     df = spark.createDataFrame([("BAC USD 911 (2).csv",), ("plain.csv",)], "f string")
     assert [r[0] for r in df.select(account_from_filename(F.col("f"))).collect()] == ["BAC USD 911", "plain"]
+
+
+def test_santander_header_by_row_or_keyword(spark):
+    hdr = ["FECHA OPERACIÓN", "FECHA VALOR", "CONCEPTO", "IMPORTE EUR", "SALDO"]
+    data = ["05/01/2024", "05/01/2024", "Compra", "-12.50", "100"]
+    fixed = {"f.csv": [["Cuenta"]] * 7 + [hdr, data]}
+    shifted = {"s.csv": [["Cuenta"]] * 5 + [hdr, data]}  # two preamble lines fewer
+    r1, _ = LY.normalise(_grid(spark, fixed), _routed(spark, ["f.csv"]), LY.SANTANDER_SAVINGS)
+    assert [(r.amount, r.tran_type) for r in r1.collect()] == [(-12.5, "Expense")]
+    r2, j2 = LY.normalise(_grid(spark, shifted), _routed(spark, ["s.csv"]), LY.SANTANDER_SAVINGS)
+    assert r2.count() == 0 and j2.count() == 1  # row 7 is data here: missing columns
+    r3, _ = LY.normalise(_grid(spark, shifted), _routed(spark, ["s.csv"]), LY.SANTANDER_SAVINGS_BY_KEYWORD)
+    assert [(r.amount, r.tran_type) for r in r3.collect()] == [(-12.5, "Expense")]
