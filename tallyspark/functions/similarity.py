@@ -71,4 +71,7 @@ def length_band(length: Column, threshold: float) -> Column:
     r = (2.0 - threshold) / threshold
     if r <= 1.0:  # t == 1: only equal lengths
         return length.cast("long")
-    return F.floor(F.log(F.greatest(length, F.lit(1)).cast("double")) / F.lit(math.log(r))).cast("long")
+    # the nudge keeps exact powers of r from landing one band low through
+    # rounding, so partners are never more than one band apart
+    ratio = F.log(F.greatest(length, F.lit(1)).cast("double")) / F.lit(math.log(r))
+    return F.floor(ratio + F.lit(1e-9)).cast("long")

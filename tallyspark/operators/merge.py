@@ -52,6 +52,8 @@ from tallyspark.operators.common import BROADCAST_ROW_LIMIT, sized_broadcast
 KEYS = ["date", "amount", "account_name"]
 # blocks with more rows than this are folded by distributed steps
 DEFAULT_FOLD_GROUP_LIMIT = 5000
+
+
 @dataclass
 class MergeResult:
     ledger: DataFrame  # LEDGER columns: updated ledger plus appended rows
@@ -247,17 +249,6 @@ def new_rows(ledger_ids: DataFrame, stmts: DataFrame) -> DataFrame:
 # fold of contested blocks
 # ---------------------------------------------------------------------------
 
-_FOLD_IN = T.StructType(
-    [T.StructField("_kind", T.StringType())]
-    + [T.StructField(f.name, f.dataType) for f in LEDGER.fields]
-    + [
-        T.StructField("file", T.StringType()),
-        T.StructField("stmt_seq", T.StringType()),
-        T.StructField("row_no", T.LongType()),
-        T.StructField("_date_txt", T.StringType()),
-        T.StructField("_amt_txt", T.StringType()),
-    ]
-)
 _FOLD_OUT = T.StructType(
     [T.StructField(f.name, f.dataType) for f in LEDGER.fields]
     + [
