@@ -20,6 +20,11 @@ from pyspark.sql import functions as F
 WS_CLASS = (
     r"[\t\n\x0b\f\r\x1c-\x1f \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 )
+# the same characters as a plain string, for btrim
+WS_CHARS = (
+    "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
 WS_RUN = WS_CLASS + "+"
 WS_ONLY = "^" + WS_CLASS + "*$"
 # Characters kept by the numeric cleaner: digits, dot and minus.
@@ -53,7 +58,7 @@ def na_tokens_to_null(col: Column | str) -> Column:
 def is_blank(col: Column | str) -> Column:
     """NULL, empty or whitespace-only text (D1 / D3 predicate)."""
     c = _c(col)
-    return c.isNull() | c.rlike(WS_ONLY)
+    return c.isNull() | (F.btrim(c, F.lit(WS_CHARS)) == "")
 
 
 def collapse_ws(col: Column | str) -> Column:
@@ -61,6 +66,13 @@ def collapse_ws(col: Column | str) -> Column:
     return F.trim(F.regexp_replace(_c(col), WS_RUN, " "))
 
 
+def strip_ws(col: Column | str) -> Column:
+    """Leading and trailing whitespace removed (Python ``str.strip``).
+    Equals :func:`collapse_ws` for text without inner whitespace, such as a
+    valid day-first date."""
+    return F.btrim(_c(col), F.lit(WS_CHARS))
+
+
 def keep_numeric_chars(col: Column | str) -> Column:
     """Delete every character that is not a digit, a dot or a minus."""
     return F.regexp_replace(_c(col), NUMERIC_JUNK, "")
@@ -69,7 +81,7 @@ def keep_numeric_chars(col: Column | str) -> Column:
 def blank_to_null(col: Column | str) -> Column:
     """D3: whitespace-only text -> NULL."""
     c = _c(col)
-    return F.when(c.rlike(WS_ONLY), F.lit(None).cast("string")).otherwise(c)
+    return F.when(F.btrim(c, F.lit(WS_CHARS)) == "", F.lit(None).cast("string")).otherwise(c)
 
 
 def to_number(col: Column | str, digits_only: bool = False) -> Column:
@@ -99,15 +111,18 @@ def negate(col: Column | str) -> Column:
     return _c(col) * F.lit(-1.0)
 
 
-def parse_date(col: Column | str, fmt: str = DAY_FIRST, strict: bool = False) -> Column:
+def parse_date(col: Column | str, fmt: str = DAY_FIRST, strict: bool = False,
+               stripped: bool = False) -> Column:
     """Parse day-first text to ``timestamp_ntz``.
 
     Empty text is missing in both modes.  ``strict`` raises on malformed
-    text (ANSI ``to_timestamp``); lenient gives NULL.
+    text (ANSI ``to_timestamp``); lenient gives NULL.  ``stripped``: the
+    text has no leading/trailing whitespace, so blank means empty.
     """
     c = _c(col)
     parsed = F.to_timestamp(c, fmt) if strict else F.try_to_timestamp(c, F.lit(fmt))
-    return F.when(is_blank(c), F.lit(None)).otherwise(parsed).cast("timestamp_ntz")
+    blank = (c.isNull() | (c == "")) if stripped else is_blank(c)
+    return F.when(blank, F.lit(None)).otherwise(parsed).cast("timestamp_ntz")
 
 
 def parse_timestamp_day(col: Column | str, fmt: str = ISO_SECONDS, strict: bool = True) -> Column:

@@ -234,10 +234,11 @@ def tran_type(layout: StatementLayout, amount: Column) -> Column:
 
 
 def date_value(layout: StatementLayout, strict: bool) -> Column:
-    txt = C.collapse_ws(_cell("date"))
     if layout.date_to_day:
-        return C.parse_timestamp_day(txt, layout.date_format, strict)
-    return C.parse_date(txt, layout.date_format, strict)
+        # timestamps hold an inner blank: whitespace runs are collapsed
+        return C.parse_timestamp_day(C.collapse_ws(_cell("date")), layout.date_format, strict)
+    # a valid day-first date has no inner whitespace: stripping equals D4
+    return C.parse_date(C.strip_ws(_cell("date")), layout.date_format, strict, stripped=True)
 
 
 # ---------------------------------------------------------------------------

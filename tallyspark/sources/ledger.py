@@ -13,7 +13,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.functions.clean import WS_ONLY, na_tokens_to_null
+from tallyspark.functions.clean import blank_to_null, na_tokens_to_null
 from tallyspark.functions.identity import amount_text
 from tallyspark.schema import LEDGER, LEDGER_COLUMNS, LEDGER_DECLARED, enforce_schema
 
@@ -44,7 +44,7 @@ def clean_ledger_text(df: DataFrame) -> DataFrame:
     out = []
     for c in df.columns:
         col = na_tokens_to_null(F.col(c).cast("string"))
-        out.append(F.when(col.rlike(WS_ONLY), F.lit(None).cast("string")).otherwise(col).alias(c))
+        out.append(blank_to_null(col).alias(c))
     return df.select(*out)
 
 
