@@ -18,9 +18,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def sized_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast ``df`` only when its row count (checked here) is within
-    ``limit``; otherwise leave the join to a shuffle (AQE may still split
-    skewed partitions).  Callers pass materialised small-side tables, so the
-    count is cheap."""
-    return F.broadcast(df) if df.count() <= limit else df
+def sized_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT, bound: int | None = None) -> DataFrame:
+    """Broadcast ``df`` only when its row count is within ``limit``;
+    otherwise leave the join to a shuffle (AQE may still split skewed
+    partitions).  ``bound``: a proven upper bound of the row count (e.g. the
+    statement row count for a table derived from the statements); without
+    it the rows are counted here (callers pass materialised tables)."""
+    n = bound if bound is not None else df.count()
+    return F.broadcast(df) if n <= limit else df

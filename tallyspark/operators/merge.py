@@ -174,13 +174,13 @@ def candidate_pairs(left: DataFrame, right: DataFrame, left_text: str, right_tex
     )
 
 
-def touched_ledger(ledger: DataFrame, stmts: DataFrame) -> DataFrame:
+def touched_ledger(ledger: DataFrame, stmts: DataFrame, n_stmts: int | None = None) -> DataFrame:
     """Ledger rows the statements can affect: rows in the statements' blocks
     (semi join against the broadcast block keys, checked size) plus rows
     with a missing key part (their ids can still equal a statement id).
     Materialised: it is the small working set of the merge."""
-    blocks = _checkpoint(stmts.where(_keys_not_null()).select(*KEYS).distinct())
-    in_blocks = ledger.join(sized_broadcast(blocks), on=KEYS, how="left_semi")
+    blocks = stmts.where(_keys_not_null()).select(*KEYS).distinct()  # <= statement rows
+    in_blocks = ledger.join(sized_broadcast(blocks, bound=n_stmts), on=KEYS, how="left_semi")
     null_keys = ledger.where(~_keys_not_null())
     return _checkpoint(in_blocks.unionByName(null_keys))
 
@@ -234,14 +234,14 @@ def first_statement_rows(stmts: DataFrame) -> DataFrame:
     return stmts.join(first, on="id").where(F.col("stmt_seq") == F.col("_first")).drop("_first")
 
 
-def new_rows(ledger_ids: DataFrame, stmts: DataFrame) -> DataFrame:
+def new_rows(ledger_ids: DataFrame, stmts: DataFrame, n_stmts: int | None = None) -> DataFrame:
     """Statement rows whose id is not in the ledger.
 
     The ledger is reduced to the ids the statements carry first (semi join,
     statement side is the small build side), so the anti join never
     shuffles the whole ledger."""
-    ids = stmts.select("id").distinct()
-    present = ledger_ids.select("id").join(sized_broadcast(ids), on="id", how="left_semi")
+    ids = stmts.select("id").distinct()  # <= statement rows
+    present = ledger_ids.select("id").join(sized_broadcast(ids, bound=n_stmts), on="id", how="left_semi")
     return stmts.join(present, on="id", how="left_anti")
 
 
@@ -373,16 +373,18 @@ def _fold_small(ledger: DataFrame, stmts: DataFrame, threshold: float, n_rows: i
 # ---------------------------------------------------------------------------
 
 def _single_pass(ledger: DataFrame, stmts: DataFrame, threshold: float, first_wins: bool,
-                 mode: str = "reference"):
+                 mode: str = "reference", n_stmts: int | None = None):
     """Returns (ledger', added, updates).  ``stmts`` must not hold a
     contested block.  The full ledger is read once for the output (a
     broadcast join with the updates); everything else works on the
     touched rows."""
-    touched = touched_ledger(ledger, stmts)
+    if n_stmts is None:
+        n_stmts = stmts.count()
+    touched = touched_ledger(ledger, stmts, n_stmts)
     updates = _checkpoint(fuzzy_updates(touched, stmts, threshold, mode))
     led2 = apply_updates(ledger, updates)
     cand = first_statement_rows(stmts) if first_wins else stmts
-    added = new_rows(apply_updates(touched, updates), cand)
+    added = new_rows(apply_updates(touched, updates), cand, n_stmts)
     return led2, added, updates
 
 
@@ -408,7 +410,7 @@ def _fold_large(ledger: DataFrame, stmts: DataFrame, threshold: float, mode: str
 # public entry points
 # ---------------------------------------------------------------------------
 
-def contested_blocks(ledger: DataFrame, stmts: DataFrame) -> DataFrame:
+def contested_blocks(ledger: DataFrame, stmts: DataFrame, n_stmts: int | None = None) -> DataFrame:
     """Blocks that need the sequential fold: >= 2 statements and >= 2
     distinct texts among the block's ledger and statement rows.  Any other
     block gives the same result in one pass (with one statement the fold is
@@ -419,8 +421,7 @@ def contested_blocks(ledger: DataFrame, stmts: DataFrame) -> DataFrame:
         .agg(F.countDistinct("stmt_seq").alias("n_seq"))
         .where(F.col("n_seq") >= 2).select(*KEYS)
     )
-    multi = _checkpoint(multi)
-    lt = ledger.join(sized_broadcast(multi), on=KEYS, how="left_semi").select(*KEYS, "description")
+    lt = ledger.join(sized_broadcast(multi, bound=n_stmts), on=KEYS, how="left_semi").select(*KEYS, "description")
     st = stmts.join(multi, on=KEYS, how="left_semi").select(*KEYS, "description")
     texts = lt.unionByName(st).where(F.col("description").isNotNull())
     return (
@@ -444,27 +445,29 @@ def merge_batch(
     # statements are the new (small) side and are used by every step below:
     # materialise them once in the shared checkpoint folder
     stmts = _checkpoint(prepare_statements(stmts, order_col))
+    n_stmts = stmts.count()  # bounds every statement-derived table below
     if not single_statement:
         # one statement in the batch: no fold is possible (tiny aggregate)
         single_statement = (stmts.agg(F.countDistinct("stmt_seq")).first()[0] or 0) <= 1
 
     if single_statement:
-        led2, added, updates = _single_pass(ledger, stmts, threshold, first_wins=False, mode=mode)
+        led2, added, updates = _single_pass(ledger, stmts, threshold, first_wins=False, mode=mode, n_stmts=n_stmts)
         fold_led = fold_added = fold_upd = None
     else:
-        contested = _checkpoint(contested_blocks(ledger, stmts))  # small; reused four times
+        contested = _checkpoint(contested_blocks(ledger, stmts, n_stmts))  # small; reused four times
         n_contested = contested.count()
         contested = F.broadcast(contested) if n_contested <= BROADCAST_ROW_LIMIT else contested
     if not single_statement and n_contested == 0:
         # no block needs the sequential fold: one pass, first statement wins
-        led2, added, updates = _single_pass(ledger, stmts, threshold, first_wins=True, mode=mode)
+        led2, added, updates = _single_pass(ledger, stmts, threshold, first_wins=True, mode=mode, n_stmts=n_stmts)
         fold_led = fold_added = fold_upd = None
     elif not single_statement:
         plain_stmts = stmts.join(contested, on=KEYS, how="left_anti")
         fold_stmts = stmts.join(contested, on=KEYS, how="left_semi")
         plain_ledger = ledger.join(contested, on=KEYS, how="left_anti")
         fold_ledger = ledger.join(contested, on=KEYS, how="left_semi")
-        led2, added, updates = _single_pass(plain_ledger, plain_stmts, threshold, first_wins=True, mode=mode)
+        led2, added, updates = _single_pass(plain_ledger, plain_stmts, threshold, first_wins=True, mode=mode,
+                                            n_stmts=n_stmts)
 
         sizes = (
             fold_ledger.select(*KEYS).unionByName(fold_stmts.select(*KEYS))
