@@ -54,7 +54,7 @@ def materialise(grid: DataFrame) -> DataFrame:
     return grid.checkpoint(eager=True)
 
 
-def money(col) -> F.Column:
+def grouped_amount(col) -> F.Column:
     """``1,234.50`` (cent values)."""
     return F.format_number(F.col(col) if isinstance(col, str) else col, 2)
 
@@ -88,8 +88,8 @@ def bac_card_grid(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
             F.when(k == 0, F.lit("  ")).otherwise(F.lit("BAC ECONOMIA")),
             dmy("l_shipdate"),
             F.concat(F.lit("  PART "), s("l_partkey"), F.lit("\t SUPP  "), s("l_suppkey"), F.lit(" ")),
-            F.when(is_o, F.concat(F.lit("L "), money("l_extendedprice"))),
-            F.when(~is_o, F.concat(F.lit("$"), money("l_extendedprice"))).otherwise(F.lit("")),
+            F.when(is_o, F.concat(F.lit("L "), grouped_amount("l_extendedprice"))),
+            F.when(~is_o, F.concat(F.lit("$"), grouped_amount("l_extendedprice"))).otherwise(F.lit("")),
         ],
     ))
     files = data.select("file").distinct()
@@ -111,9 +111,9 @@ def bac_savings_grid(spark, sf_dir, account: str = "BAC USD 911", by: str = "c_n
             dmy(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("c_custkey") % 365).cast("int"))),
             s("c_custkey"),
             F.concat(F.col("c_name"), F.lit("  "), F.col("c_mktsegment")),
-            F.when(neg, money(-F.col("c_acctbal"))).otherwise(F.lit("")),
-            F.when(~neg, F.concat(F.lit("+"), money("c_acctbal"))).otherwise(F.lit("")),
-            money(F.abs(F.col("c_acctbal"))),
+            F.when(neg, grouped_amount(-F.col("c_acctbal"))).otherwise(F.lit("")),
+            F.when(~neg, F.concat(F.lit("+"), grouped_amount("c_acctbal"))).otherwise(F.lit("")),
+            grouped_amount(F.abs(F.col("c_acctbal"))),
         ],
     ))
     files = data.select("file").distinct()
@@ -156,9 +156,9 @@ def ficohsa_grid(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
                 dmy(F.date_add(F.lit("2023-06-01").cast("date"), (F.col("c_custkey") % 200).cast("int"))),
                 F.concat(F.lit(" "), F.col("c_name"), F.lit("  "), F.col("c_mktsegment")),
                 F.lit(""),
-                F.when(neg, F.concat(F.lit("L"), money(-F.col("c_acctbal")))).otherwise(F.lit("")),
-                F.when(~neg, F.concat(F.lit("L"), money("c_acctbal"))).otherwise(F.lit("")),
-                money(F.abs(F.col("c_acctbal"))),
+                F.when(neg, F.concat(F.lit("L"), grouped_amount(-F.col("c_acctbal")))).otherwise(F.lit("")),
+                F.when(~neg, F.concat(F.lit("L"), grouped_amount("c_acctbal"))).otherwise(F.lit("")),
+                grouped_amount(F.abs(F.col("c_acctbal"))),
             ],
         ),
         F.col("c_nationkey"),

@@ -103,7 +103,7 @@ def q02(spark, sf):
     """Currency text -> number, blanks -> NULL, half-even."""
     li = T(spark, sf, "lineitem")
     k = (F.col("l_orderkey") + F.col("l_linenumber")) % 5
-    p = FX.money("l_extendedprice")
+    p = FX.grouped_amount("l_extendedprice")
     txt = (F.when(k == 0, F.lit("  ")).when(k == 1, F.concat(F.lit("$-"), p))
            .when(k == 2, F.concat(F.lit("L "), p, F.lit(" HNL"))).otherwise(F.concat(F.lit(" "), p)))
     amt = C.round_half_even_2(C.to_number(C.blank_to_null(C.keep_numeric_chars(txt))))
@@ -790,9 +790,9 @@ def q33(spark, sf):
             FX.dmy(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("c_custkey") % 365).cast("int"))),
             FX.s("c_custkey"),
             F.concat(F.col("c_name"), F.lit("  "), F.col("c_mktsegment")),
-            F.when(neg, FX.money(-F.col("c_acctbal"))).otherwise(F.lit("")),
-            F.when(~neg, FX.money("c_acctbal")).otherwise(F.lit("")),
-            FX.money(F.abs(F.col("c_acctbal"))),
+            F.when(neg, FX.grouped_amount(-F.col("c_acctbal"))).otherwise(F.lit("")),
+            F.when(~neg, FX.grouped_amount("c_acctbal")).otherwise(F.lit("")),
+            FX.grouped_amount(F.abs(F.col("c_acctbal"))),
         ]).alias("line"),
     )
     header = csv_line([F.lit(h) for h in FX.BAC_SAVINGS_HEADER])
