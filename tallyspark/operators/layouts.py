@@ -299,6 +299,13 @@ def normalise(grid: DataFrame, files: DataFrame, layout: StatementLayout,
         currency.alias("currency"),
         amount.alias("amount"),
     )
+    if layout.date_strict and on_error != "raise":
+        # rows the strict parse would have failed on: counted per file
+        txt = _cell("date")
+        bad = data.where(F.col("row_no") > F.col("hdr_row")).where(~C.is_blank(txt)).select(
+            "file", date_value(layout, False).alias("_d")).where(F.col("_d").isNull())
+        rejects = rejects.unionByName(bad.groupBy("file").agg(
+            F.concat(F.lit("bad_date_rows: "), F.count(F.lit(1)).cast("string")).alias("reason")))
     if layout.drop_null_dates:
         out = out.where(F.col("date").isNotNull())  # D8
     out = out.withColumn("tran_type", tran_type(layout, F.col("amount")))

@@ -130,3 +130,14 @@ def test_santander_header_by_row_or_keyword(spark):
     assert r2.count() == 0 and j2.count() == 1  # row 7 is data here: missing columns
     r3, _ = LY.normalise(_grid(spark, shifted), _routed(spark, ["s.csv"]), LY.SANTANDER_SAVINGS_BY_KEYWORD)
     assert [(r.amount, r.tran_type) for r in r3.collect()] == [(-12.5, "Expense")]
+
+
+def test_strict_dates_reject_mode(spark):
+    hdr = ["Account Name", "Fecha", "Referencia", "Descripción", "Débitos", "Créditos", "Balance"]
+    g = _grid(spark, {"b.csv": [hdr,
+                                ["X", "05/01/2024", "1", "ok", "1.00", None, "0"],
+                                ["X", "31/02/2024", "2", "bad", "1.00", None, "0"],
+                                ["X", "", "3", "blank date", "1.00", None, "0"]]})
+    rows, rej = LY.normalise(g, _routed(spark, ["b.csv"]), LY.BAC_SAVINGS, on_error="reject")
+    assert [r.description for r in rows.collect()] == ["ok"]
+    assert [(r.file, r.reason) for r in rej.collect()] == [("b.csv", "bad_date_rows: 1")]
