@@ -227,10 +227,12 @@ def apply_updates(ledger: DataFrame, updates: DataFrame) -> DataFrame:
     return out.select(*LEDGER_COLUMNS)
 
 
-def first_statement_rows(stmts: DataFrame) -> DataFrame:
+def first_statement_rows(stmts: DataFrame, n_stmts: int | None = None) -> DataFrame:
     """An id enters with the first statement holding it; all duplicates of
-    that statement stay (aggregate + join, not a window: no hot-id task)."""
-    first = stmts.groupBy("id").agg(F.min("stmt_seq").alias("_first"))
+    that statement stay.  A map-side-combined aggregate per id, broadcast
+    back behind the statement-count bound: no window, no hot-id task."""
+    first = stmts.groupBy("id").agg(F.min("stmt_seq").alias("_first"))  # <= statement rows
+    first = sized_broadcast(first, bound=n_stmts)
     return stmts.join(first, on="id").where(F.col("stmt_seq") == F.col("_first")).drop("_first")
 
 
@@ -383,7 +385,7 @@ def _single_pass(ledger: DataFrame, stmts: DataFrame, threshold: float, first_wi
     touched = touched_ledger(ledger, stmts, n_stmts)
     updates = _checkpoint(fuzzy_updates(touched, stmts, threshold, mode))
     led2 = apply_updates(ledger, updates)
-    cand = first_statement_rows(stmts) if first_wins else stmts
+    cand = first_statement_rows(stmts, n_stmts) if first_wins else stmts
     added = new_rows(apply_updates(touched, updates), cand, n_stmts)
     return led2, added, updates
 
