@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import langid, mixing, sharding, tokens
+from tallyspark.llm import langid, minhash, mixing, sharding, tokens
 from tallyspark.llm.common import read_table
 
 #: production parameters
@@ -23,6 +23,13 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+NEAR = minhash.Params(shingle=3, percent=85)
+
+
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), NEAR)
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = tokens.count_tokens(read_table(spark, sf_dir, "documents"), tokenizer_path())
     return counts.withColumn("over_limit", F.col("n_tokens") > CONTEXT_TOKENS)
@@ -71,6 +78,7 @@ FROM copies
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash_dedup": op1_minhash_dedup,
     "op2_token_counts": op2_token_counts,
     "op3_language_id": op3_language_id,
     "op4_sharding": op4_sharding,
