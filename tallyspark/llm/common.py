@@ -12,6 +12,7 @@ from tallyspark.session import scratch_path
 # rows of an Arrow batch handed to Python: whole texts may be long, so batches
 # are kept far below Spark's default of 10,000 rows
 ARROW_ROWS = 1000
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,9 +30,16 @@ def materialised(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the cluster's shared scratch folder and read
     it back: cuts lineage, fixes row ids, survives lost executors, and later
     readers take only the columns they need."""
-    path = f"{scratch_path(df.sparkSession, name)}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{scratch_path(spark, name)}-{uuid.uuid4().hex}"
+    # nothing reads this query's shuffle files after the write
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import langid, minhash, mixing, sharding, tokens
+from tallyspark.llm import langid, minhash, mixing, sharding, substrings, tokens
 from tallyspark.llm.common import read_table
 
 #: production parameters
@@ -46,6 +46,11 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(read_table(spark, sf_dir, "documents"), SHARDS, keep=["doc_id"])
 
 
+def op5_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substrings.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     rates = mixing.source_rates(docs, **MIX)
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_language_id": op3_language_id,
     "op4_sharding": op4_sharding,
+    "op5_repeated_substrings": op5_repeated_substrings,
     "op8_mix_sources": op8_mix_sources,
 }
 
