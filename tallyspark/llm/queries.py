@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import langid, minhash, mixing, sharding, substrings, tokens
+from tallyspark.llm import decontam, langid, minhash, mixing, sharding, substrings, tokens, warc
 from tallyspark.llm.common import read_table
+from tallyspark.session import scratch_path
 
 #: production parameters
 SHARDS = 24
@@ -51,12 +52,36 @@ def op5_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontam.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return out.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     rates = mixing.source_rates(docs, **MIX)
     return mixing.mix_sources(docs.select("doc_id", "source"), rates, seed=MIX_SEED)
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.archive(read_table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    page = r"^urn:page:(-?\d+)$"
+    return warc.read_bundles(index).select(
+        F.regexp_extract("record_id", page, 1).try_cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.regexp_extract("refers_to", page, 1).try_cast("long").alias("refers_to"),
+    )
+
+
 OP8_SQL = f"""
 WITH stats AS (
   SELECT source, CAST(sum(coalesce(octet_length(encode(text)), 0)) AS BIGINT) AS bytes FROM documents GROUP BY source),
@@ -88,7 +113,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
     "op4_sharding": op4_sharding,
     "op5_repeated_substrings": op5_repeated_substrings,
+    "op6_decontamination": op6_decontamination,
     "op8_mix_sources": op8_mix_sources,
+    "op9_warc": op9_warc,
 }
 
 ORACLES: dict[str, str] = {
