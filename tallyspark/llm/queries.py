@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import decontam, langid, minhash, mixing, sharding, substrings, tokens, warc
+from tallyspark.llm import decontam, embeddings, html, html_labels, langid, minhash, mixing, sharding, substrings, tokens, warc
 from tallyspark.llm.common import read_table
 from tallyspark.session import scratch_path
 
@@ -64,6 +64,12 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = html.train(html_labels.labelled_pages())
+    out = html.extract(read_table(spark, sf_dir, "pages"), model)
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     rates = mixing.source_rates(docs, **MIX)
@@ -82,6 +88,10 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(read_table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 OP8_SQL = f"""
 WITH stats AS (
   SELECT source, CAST(sum(coalesce(octet_length(encode(text)), 0)) AS BIGINT) AS bytes FROM documents GROUP BY source),
@@ -114,8 +124,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sharding": op4_sharding,
     "op5_repeated_substrings": op5_repeated_substrings,
     "op6_decontamination": op6_decontamination,
+    "op7_html_text": op7_html_text,
     "op8_mix_sources": op8_mix_sources,
     "op9_warc": op9_warc,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
 ORACLES: dict[str, str] = {
