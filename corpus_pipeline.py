@@ -1,3 +1,93 @@
-STAGES = []
+"""A training corpus from ``documents``: five stages, each by one operator.
+
+Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which
+``run`` writes as Parquet in the shared scratch folder and rereads as the next
+stage's ``docs``.  All but the last return the columns of ``docs``.
+
+1. ``language_id`` drops documents without a letter, and those whose language
+   the classifier cannot tell (posterior below ``MIN_SCORE``).
+2. ``near_dedup`` keeps one document, that of the smallest id, of each group of
+   near-duplicates (5-word shingles, similarity 0.8); equal rows leave one row.
+3. ``decontaminate`` drops documents that hold a benchmark window.
+4. ``mix_sources`` repeats or thins each source to its target share of bytes.
+5. ``shard`` assigns every row a shard and its place there.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyspark.llm import decontam, langid, minhash, mixing, sharding
+from tallyspark.llm.common import materialised, read_table
+
+MIN_SCORE = 0.5
+NEAR = minhash.Params(shingle=5, percent=80)
+MIX = {"alpha": 0.5, "epochs": 1.0}
+MIX_SEED = 20240601
+SHARDS = 24
+
+
+def _back(df: DataFrame, docs: DataFrame) -> DataFrame:
+    return df.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps rows with a predicted language.  A null or empty text, and one
+    without a letter, goes.  Without any labelled row nothing can be told and
+    every row with a letter stays."""
+    model = langid.train(docs.where(~langid.held_out()))
+    if not model.langs:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    return _back(langid.identify(docs, model).where(F.col("score") >= MIN_SCORE), docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the smallest id of each group.  Rows that repeat an id and a text
+    leave one row; rows of a null id stay, each on its own."""
+    found = minhash.near_duplicates(docs, NEAR).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    ids = docs.where("doc_id IS NOT NULL").join(found, "doc_id", "left_semi")
+    # a repeated id: one row for each text under it
+    again = materialised(ids.groupBy("doc_id").agg(F.count("*").alias("k")).where("k > 1").select("doc_id"), "dedup-repeated")
+    if not again.isEmpty():
+        once = ids.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+        ids = _back(ids.join(again, "doc_id", "left_anti"), docs).union(_back(once, docs))
+    return _back(ids, docs).union(docs.where("doc_id IS NULL"))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the rows that hold a window of a benchmark item.  The row itself
+    is carried through the operator, so repeated and null ids are told apart."""
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"), "text")
+    found = decontam.contamination(row, read_table(spark, sf_dir, "benchmark"), id_col="row").where("n_hit = 0")
+    return found.select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows repeated by their Poisson draws, in a global shuffle."""
+    rates = mixing.source_rates(docs, **MIX)
+    return _back(mixing.mix_sources(docs, rates, seed=MIX_SEED), docs)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row with its shard and slot; shards are of near-equal bytes."""
+    return sharding.assign_shards(docs, SHARDS)
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("mix_sources", mix_sources),
+    ("shard", shard),
+]
+
+#: naive Bayes, MinHash and the hashed draws of their results have no SQL form
 ORACLE_SQL = None
-def run(spark, sf_dir): raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialised(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
