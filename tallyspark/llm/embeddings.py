@@ -206,7 +206,7 @@ def _linked(classes: DataFrame, dim: int, threshold: float, target: float) -> tu
         links = np.zeros(len(q), np.int64)
         np.add.at(links, i, x["mult"].to_numpy()[j])
         other = np.zeros(len(x), np.int64)
-        np.add.at(other, j[~back], q["mult"].to_numpy()[i[~back]])
+        np.add.at(other, j[~back], q["q_mult"].to_numpy()[i[~back]])
         left, right = _labels(len(q), len(x), i, j)
         li, rj = np.unique(i), np.unique(j)
         return pd.DataFrame(
