@@ -33,7 +33,7 @@ K = 64
 SAMPLE = 16_384
 ROUNDS = 12
 #: queries that the number of cells is measured with, and the recall to reach
-QUERIES = 512
+QUERIES = 2048
 TARGET = 0.999
 #: cells are visited in powers of two up to
 MOST_CELLS = 1024
@@ -117,7 +117,8 @@ def _sample(vectors: DataFrame, n: int, seed: int) -> np.ndarray:
 
 def cells_to_visit(vectors: DataFrame, books: Codebooks, threshold: float, target: float) -> tuple[int, float]:
     """The fewest cells (a power of two) that find the target share of a query
-    sample's links, by brute force against all vectors, and that share."""
+    sample's links (mean over queries), by brute force against all vectors, and
+    that share."""
     spark = vectors.sparkSession
     asked = _sample(vectors, QUERIES, 11)
     most = min(MOST_CELLS, len(books.first) * len(books.second))
@@ -125,23 +126,29 @@ def cells_to_visit(vectors: DataFrame, books: Codebooks, threshold: float, targe
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q, order, own = shared.value
-        ranks = np.zeros(most + 1, np.int64)
+        ranks: dict[tuple[int, int], int] = {}
         for b in batches:
             x = _matrix(b.column(0))
             home = own.visits(x, 1)[:, 0]
-            i, j = np.nonzero((q @ x.T >= threshold) & (q @ x.T < 1 - 1e-12))
-            hit = order[i] == home[j][:, None]
-            ranks += np.bincount(np.where(hit.any(1), hit.argmax(1), most), minlength=most + 1)
-        at = np.flatnonzero(ranks)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(ranks[at])], names=["at", "n"])
-
-    found = vectors.select("unit").mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect()
-    ranks = np.zeros(most + 1)
+            cosine = q @ x.T
+            i, j = np.nonzero((cosine >= threshold) & (cosine < 1 - 1e-12))
+            for lo in range(0, len(i), 10_000):
+                hit = order[i[lo : lo + 10_000]] == home[j[lo : lo + 10_000]][:, None]
+                rank = np.where(hit.any(1), hit.argmax(1), most)
+                for key in zip(i[lo : lo + 10_000].tolist(), rank.tolist(), strict=True):
+                    ranks[key] = ranks.get(key, 0) + 1
+        rows = [(*k, n) for k, n in ranks.items()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], pa.int64()) for c in range(3)], names=["q", "at", "n"])
+
+    found = vectors.select("unit").mapInArrow(run, "q long, at long, n long").groupBy("q", "at").agg(F.sum("n").alias("n")).collect()
+    ranks = np.zeros((len(asked), most + 1))
     for r in found:
-        ranks[r["at"]] = r["n"]
-    if not ranks.sum():
+        ranks[r["q"], r["at"]] = r["n"]
+    ranks = ranks[ranks.sum(1) > 0]
+    if not len(ranks):
         return min(LEAST_CELLS, most), 1.0
-    share = np.cumsum(ranks[:-1]) / ranks.sum()
+    # the mean over queries, so a crowded group does not speak for the rest
+    share = (np.cumsum(ranks[:, :-1], axis=1) / ranks.sum(1, keepdims=True)).mean(0)
     n = 1
     while n < most and share[n - 1] < target:
         n = min(2 * n, most)
