@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import in_blocks, materialised, shuffle_partitions, small_batches
+from tallyspark.llm.common import in_blocks, materialised, release, shuffle_partitions, small_batches
 
 WINDOW = 100
 GRAM = 20
@@ -184,11 +184,13 @@ def _split(names: DataFrame) -> tuple[DataFrame, DataFrame]:
     another name (doc, run)."""
     # one position has one name per level, so (doc, run) orders the members
     groups = names.groupBy("s1", "s2").agg(F.min(F.struct("doc", "run")).alias("first"), F.first("c").alias("c"), F.count("*").alias("k"))
-    groups = materialised(groups.select("s1", "s2", "c", "k", F.col("first.doc").alias("fdoc"), F.col("first.run").alias("frun")), "names")
+    groups = materialised(groups.select("s1", "s2", "c", "k", F.col("first.doc").alias("fdoc"), F.col("first.run").alias("frun")), "substr-groups")
     again = names.join(groups.where("k > 1").select("s1", "s2", "fdoc", "frun"), ["s1", "s2"]).where("doc <> fdoc OR run <> frun")
+    again = materialised(again.select("doc", "run"), "substr-again")
     cores = groups.groupBy("c").agg(F.count("*").alias("n")).where("n > 1").select("c")
-    unsure = groups.join(cores, "c").select(F.col("fdoc").alias("doc"), F.col("frun").alias("run"))
-    return again.select("doc", "run"), unsure
+    unsure = materialised(groups.join(cores, "c").select(F.col("fdoc").alias("doc"), F.col("frun").alias("run")), "substr-unsure")
+    release(groups, names)
+    return again, unsure
 
 
 def _pieces(ctx: DataFrame, size: int) -> DataFrame:
@@ -223,9 +225,14 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     copies = materialised(thin.join(firsts, ["x1", "x2", "n"]).where("doc <> first").select("doc", "n"), "substr-copies")
     live = materialised(every.join(shared, "h").join(copies.select("doc"), "doc", "left_anti"), "substr-live")
 
-    again, unsure = _split(materialised(_named(docs, live), "substr-names"))
+    release(every)
+    names = materialised(_named(docs, live), "substr-names")
+    release(live)
+    again, unsure = _split(names)
     out = [again]
-    ctx = materialised(_contexts(docs, unsure), "substr-contexts").selectExpr("*", "shiftright(run, 7) & 127 AS a", "run & 127 AS b")
+    contexts = materialised(_contexts(docs, unsure), "substr-contexts")
+    release(unsure)
+    ctx = contexts.selectExpr("*", "shiftright(run, 7) & 127 AS a", "run & 127 AS b")
     again, unsure = _split(materialised(_pieces(ctx, PIECE), "substr-pieces"))
     out.append(again)
     # the windows of open pieces, from the run that holds them
@@ -240,7 +247,9 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
         r.selectExpr("doc", "shiftright(run, 14) - (run & 127) AS start", f"shiftright(run, 14) - (shiftright(run, 7) & 127) + {WINDOW} AS stop") for r in out
     ]
     found = ranges[0].union(ranges[1]).union(ranges[2])
-    return materialised(found.union(copies.selectExpr("doc", "0L AS start", "cast(n as long) AS stop")), "substr-ranges")
+    found = materialised(found.union(copies.selectExpr("doc", "0L AS start", "cast(n as long) AS stop")), "substr-ranges")
+    release(contexts, groups, copies, unsure, *out[:2])
+    return found
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
