@@ -4,15 +4,15 @@ Two small collections of ``BANDS`` hashes, each over ``ROWS`` MinHash values,
 are computed per set; a table key is a pair of one hash from each.  BANDS**2
 tables thus cost 2 * BANDS * ROWS MinHash values.  Two sets of Jaccard
 similarity s meet in some table with probability (1 - (1 - s**ROWS)**BANDS)**2:
-0.9999996 at 0.85 and 0.99998 at 0.8 with 16 bands of 3 rows.  Pairs that meet
-are verified on the full shingle sets.
+0.99998 at 0.85 with 16 bands of 4 rows, and 0.99995 at 0.8 with 20.  Pairs
+that meet are verified on the full shingle sets.
 
 Work is on distinct sets, so copies cost one row each.  A key is kept only if
 both its halves are shared by another set.  Inside a table bucket, sets are
-compared with a representative; those that it does not cover are compared with
-a new one, round by round, and what is then left between different components
-is compared pair by pair, unless the lengths or the triangle inequality of the
-Jaccard distance rule a link out.  No bucket is capped.
+compared with one representative.  Where that leaves members in different
+components, the members of such buckets form families, and what the
+representatives did not cover is compared with its whole family in bounded
+blocks.  No bucket is capped.
 """
 
 from __future__ import annotations
@@ -27,18 +27,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyspark.llm.common import in_blocks, materialised, small_batches, utf8
+from tallyspark.llm.common import in_blocks, materialised, release, small_batches, utf8
 from tallyspark.llm.graph import connected_components
 
 BANDS = 16
-ROWS = 3
+ROWS = 4
 SEED = 20240601
 #: texts hashed together (bounds the arrays of a task)
 BLOCK_BYTES = 2 << 20
 #: distinct words whose hashes a task keeps
 HELD_WORDS = 500_000
-#: representatives tried per bucket before pairs are compared one by one
-STAR_ROUNDS = 4
+#: sets on either side of a block of comparisons, and hashes compared at once
+BLOCK_SETS = 256
+SLICE = 4096
 
 
 @dataclass(frozen=True)
@@ -206,49 +207,98 @@ def set_links(docs: DataFrame, classes: DataFrame, p: Params, id_col: str, text_
     keyed = materialised(keyed.join(classes.select("sig", "n"), "sig"), "minhash-keys")
     full = keyed.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key")
     buckets = materialised(keyed.join(full, "key"), "minhash-buckets")
+    release(keyed)
     if buckets.isEmpty():
         return None
     wanted = classes.join(buckets.select("sig").distinct(), "sig").select("doc_id", "sig")
     sets = materialised(_sets(docs, wanted, p, id_col, text_col), "minhash-sets")
 
     def linked(d: DataFrame) -> DataFrame:
-        return d.where(F.col("common") * 100 >= (F.col("na") + F.col("nb") - F.col("common")) * p.percent)
-
-    # rounds of representatives; strays: members that theirs does not cover
-    strays, done, found = buckets, None, []
-    pivots = []
-    for _ in range(STAR_ROUNDS):
-        rep = strays.groupBy("key").agg(F.min(F.struct("sig", "n")).alias("rep"), F.count("*").alias("k")).where("k > 1")
-        rep = rep.select("key", F.col("rep.sig").alias("a"), F.col("rep.n").alias("na"))
-        star = strays.join(rep, "key").select("key", "a", "na", F.col("sig").alias("b"), F.col("n").alias("nb"))
-        todo = _pairs(star, p)
-        if done is not None:
-            todo = todo.join(done.select("a", "b"), ["a", "b"], "left_anti")
-        new = materialised(_verified(todo, sets), "minhash-verified")
-        done = new if done is None else done.union(new)
-        ok = linked(done).select("a", "b")
-        both = ok.union(ok.select(F.col("b").alias("a"), F.col("a").alias("b"))).withColumn("hit", F.lit(True))
-        pivots.append(star.select("key", F.col("a").alias("pivot"), "b"))
-        left = star.where("a <> b").join(both, ["a", "b"], "left").where("hit IS NULL")
-        strays = materialised(left.select("key", F.col("b").alias("sig"), F.col("nb").alias("n")), "minhash-strays")
-        if strays.isEmpty():
-            return linked(done).select("a", "b")
-
-    # what the representatives leave: a stray against the bucket's other members
-    comps = connected_components(linked(done).select("a", "b")).withColumnRenamed("node", "sig")
-    dist = done.select("a", "b", (1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))).alias("d"))
-    dist = dist.union(dist.select(F.col("b").alias("a"), F.col("a").alias("b"), "d"))
-    first_pivot = pivots[0].join(dist, (F.col("pivot") == dist["a"]) & (pivots[0]["b"] == dist["b"]), "left").select("key", pivots[0]["b"].alias("sig"), "d")
-    told = buckets.join(first_pivot, ["key", "sig"], "left").join(comps, "sig", "left").withColumn("c", F.coalesce("component", "sig"))
-    told = told.select("key", "sig", "n", "d", "c")
-    u = told.join(strays.select("key").distinct(), "key").select("key", F.col("sig").alias("a"), F.col("n").alias("na"), F.col("d").alias("da"), F.col("c").alias("ca"))
-    v = told.join(strays.select("key", "sig"), ["key", "sig"]).select("key", F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("d").alias("db"), F.col("c").alias("cb"))
-    reach = 1 - p.percent / 100 + 1e-9
-    near = F.coalesce(F.abs(F.col("da") - F.col("db")) <= reach, F.lit(True))
-    crossed = u.join(v, "key").where("ca <> cb").where(near)
-    todo = _pairs(crossed, p).join(done.select("a", "b"), ["a", "b"], "left_anti")
-    last = materialised(_verified(todo, sets), "minhash-verified")
-    return linked(done.union(last)).select("a", "b")
+        return d.where(F.col("common") * 100 >= (F.col("na") + F.col("nb") - F.col("common")) * p.percent).select("a", "b")
+
+    # every member against its bucket's representative
+    rep = buckets.groupBy("key").agg(F.min(F.struct("sig", "n")).alias("rep"))
+    rep = rep.select("key", F.col("rep.sig").alias("a"), F.col("rep.n").alias("na"))
+    star = buckets.join(rep, "key").select("key", "a", "na", F.col("sig").alias("b"), F.col("n").alias("nb"))
+    links = materialised(linked(_verified(_pairs(star, p), sets)), "minhash-links")
+    either = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).withColumn("hit", F.lit(True))
+    strays = star.where("a <> b").join(either, ["a", "b"], "left").where("hit IS NULL").select("key", F.col("b").alias("sig"))
+    strays = materialised(strays, "minhash-strays")
+    comps = materialised(connected_components(links).withColumnRenamed("node", "sig"), "minhash-components")
+    # open buckets hold a stray, a third member, and more than one component
+    told = buckets.join(strays.select("key").distinct(), "key", "left_semi").join(comps, "sig", "left")
+    told = told.select("key", "sig", F.coalesce("component", "sig").alias("c"))
+    open_ = told.groupBy("key").agg(F.count("*").alias("k"), F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("sig").alias("least"))
+    open_ = materialised(told.join(open_.where("k > 2 AND lo <> hi").select("key", "least"), "key"), "minhash-open")
+    if not open_.isEmpty():
+        families = connected_components(open_.select(F.col("sig").alias("a"), F.col("least").alias("b"))).withColumnRenamed("node", "sig")
+        members = open_.select("sig", "c").distinct().join(families.withColumnRenamed("component", "family"), "sig")
+        asked = strays.join(open_.select("key").distinct(), "key", "left_semi").select("sig").distinct()
+        links = links.union(_across(members, asked, sets, p))
+    release(buckets, strays)
+    return links
+
+
+def common_sizes(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every set of ``xs`` with every one of
+    ``ys`` (sorted distinct hashes), in slices of the hashes that both have."""
+    hx, hy = np.concatenate(xs), np.concatenate(ys)
+    ix, iy = np.repeat(np.arange(len(xs)), [len(x) for x in xs]), np.repeat(np.arange(len(ys)), [len(y) for y in ys])
+    both = np.intersect1d(hx, hy)
+    out = np.zeros((len(xs), len(ys)), np.float32)
+    if not len(both):
+        return out
+    px, py = np.searchsorted(both, hx), np.searchsorted(both, hy)
+    okx, oky = both[np.minimum(px, len(both) - 1)] == hx, both[np.minimum(py, len(both) - 1)] == hy
+    ix, px, iy, py = ix[okx], px[okx], iy[oky], py[oky]
+    ox, oy = np.argsort(px, kind="stable"), np.argsort(py, kind="stable")
+    ix, px, iy, py = ix[ox], px[ox], iy[oy], py[oy]
+    for lo in range(0, len(both), SLICE):
+        x0, x1 = np.searchsorted(px, (lo, lo + SLICE))
+        y0, y1 = np.searchsorted(py, (lo, lo + SLICE))
+        a, b = np.zeros((len(xs), SLICE), np.float32), np.zeros((len(ys), SLICE), np.float32)
+        a[ix[x0:x1], px[x0:x1] - lo] = 1
+        b[iy[y0:y1], py[y0:y1] - lo] = 1
+        out += a @ b.T
+    return out
+
+
+def _across(members: DataFrame, asked: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
+    """Edges that join components: every asked set against the members
+    (sig, c, family) of its family, in blocks of both.  A block compares full
+    sets in numpy and returns spanning edges, not pairs, so what Spark moves
+    grows with the members."""
+    asked = members.join(asked, "sig", "left_semi")
+    parts = members.groupBy("family").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("m"))
+    parts = materialised(parts.join(asked.groupBy("family").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("q")), "family"), "minhash-blocks")
+
+    def dealt(rows: DataFrame, own: str, other: str, salt: int) -> DataFrame:
+        block = F.pmod(F.xxhash64(F.lit(salt), "sig"), F.col(own)).cast("int")
+        return rows.join(parts, "family").withColumn("own", block).withColumn("other", F.explode(F.expr(f"sequence(0, {other} - 1)"))).join(sets, "sig")
+
+    x = dealt(members, "m", "q", 1).select("family", F.col("own").alias("mb"), F.col("other").alias("qb"), "sig", "c", "shingles")
+    y = dealt(asked, "q", "m", 2).select(
+        F.col("family").alias("qfamily"), F.col("other").alias("qmb"), F.col("own").alias("qqb"), F.col("sig").alias("qsig"), F.col("c").alias("qc"), F.col("shingles").alias("qshingles")
+    )
+
+    def compare(m, q):
+        import pandas as pd
+
+        none = pd.DataFrame({"a": pd.Series(dtype=object), "b": pd.Series(dtype=object)})
+        if not len(m) or not len(q):
+            return none
+        xs, ys = [np.frombuffer(s, np.uint64) for s in m["shingles"]], [np.frombuffer(s, np.uint64) for s in q["qshingles"]]
+        common = common_sizes(xs, ys).astype(np.int64)
+        total = np.array([len(s) for s in xs])[:, None] + np.array([len(s) for s in ys])[None, :] - common
+        i, j = np.nonzero(common * 100 >= total * p.percent)
+        a, b = m["sig"].to_numpy()[i], q["qsig"].to_numpy()[j]
+        # one edge for each pair of components that meet here
+        ca, cb = m["c"].to_numpy()[i], q["qc"].to_numpy()[j]
+        edges = {(min(u, v), max(u, v)): (s, t) for u, v, s, t in zip(ca, cb, a, b, strict=True) if u != v}
+        return pd.DataFrame(list(edges.values()), columns=["a", "b"]) if edges else none
+
+    met = x.groupBy("family", "mb", "qb").cogroup(y.groupBy("qfamily", "qmb", "qqb")).applyInPandas(compare, "a binary, b binary")
+    return materialised(met, "minhash-across")
 
 
 def near_duplicates(df: DataFrame, p: Params, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
