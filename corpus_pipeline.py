@@ -22,7 +22,7 @@ from tallyspark.llm import decontam, langid, minhash, mixing, sharding
 from tallyspark.llm.common import materialised, read_table
 
 MIN_SCORE = 0.5
-NEAR = minhash.Params(shingle=5, percent=80)
+NEAR = minhash.Params(shingle=5, percent=80, bands=20)
 MIX = {"alpha": 0.5, "epochs": 1.0}
 MIX_SEED = 20240601
 SHARDS = 24
