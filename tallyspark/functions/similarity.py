@@ -60,7 +60,9 @@ def similar_either_order(a: pd.Series, b: pd.Series, t: pd.Series) -> pd.Series:
 def length_bound(len_a: Column, len_b: Column, threshold: float) -> Column:
     """``2*min/(la+lb) >= t`` is a necessary condition for ``ratio >= t``
     (matched characters never exceed the shorter text)."""
-    return F.least(len_a, len_b) * F.lit(2.0) >= F.lit(float(threshold)) * (len_a + len_b)
+    # the quotient, as the ratio itself is computed: a product rounds apart from it
+    total = len_a + len_b
+    return F.when(total > 0, F.least(len_a, len_b) * F.lit(2.0) / F.greatest(total, F.lit(1)) >= F.lit(float(threshold))).otherwise(F.lit(True))
 
 
 def length_band(length: Column, threshold: float) -> Column:

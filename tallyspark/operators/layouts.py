@@ -44,7 +44,7 @@ class HeaderRule:
         if self.kind == "row":
             return F.col("row_no") == self.row
         if self.kind == "keyword":
-            return F.element_at("cells", 1) == F.lit(self.keyword)
+            return F.get("cells", F.lit(0)) == F.lit(self.keyword)
         raise ValueError(f"unknown header rule {self.kind}")
 
 
@@ -175,8 +175,7 @@ def header_positions(headers: DataFrame, layout: StatementLayout) -> DataFrame:
     cols.append(F.array_except(req, F.coalesce(F.col("header"), F.array())).alias("_missing"))
     if layout.drop_before_blank_check and layout.dropped:
         drops = F.array(*[F.lit(t) for t in layout.dropped])
-        first_kept = F.element_at(
-            F.filter("header", lambda x: x.isNull() | ~F.array_contains(drops, x)), 1)
+        first_kept = F.get(F.filter("header", lambda x: x.isNull() | ~F.array_contains(drops, x)), F.lit(0))
         blank_pos = F.array_position("header", first_kept).cast("int")
     else:
         blank_pos = F.lit(1)
@@ -186,7 +185,7 @@ def header_positions(headers: DataFrame, layout: StatementLayout) -> DataFrame:
 
 def _cell(fld: str) -> Column:
     p = F.col(f"_p_{fld}")
-    return F.when(p > 0, F.element_at("cells", F.greatest(p, F.lit(1))))
+    return F.when(p > 0, F.get("cells", F.greatest(p, F.lit(1)) - 1))
 
 
 # ---------------------------------------------------------------------------
@@ -283,7 +282,7 @@ def normalise(grid: DataFrame, files: DataFrame, layout: StatementLayout,
     )
 
     data = g.join(ok, on="file").where(F.col("row_no") > F.col("hdr_row"))
-    blank_cell = F.element_at("cells", F.greatest(F.col("_p_blank"), F.lit(1)))
+    blank_cell = F.get("cells", F.greatest(F.col("_p_blank"), F.lit(1)) - 1)
     data = data.where(~C.is_blank(F.when(F.col("_p_blank") > 0, blank_cell)))  # D1
 
     strict = layout.date_strict and on_error == "raise"

@@ -30,6 +30,7 @@ statement-sized tables; it is scanned, never shuffled on its own.
 from __future__ import annotations
 
 import hashlib
+from decimal import Decimal
 from dataclasses import dataclass
 from difflib import SequenceMatcher
 
@@ -264,7 +265,7 @@ _FOLD_OUT = T.StructType(
 )
 
 
-def _fold_block(threshold: float, mode: str = "reference"):
+def _fold_block(threshold: float, mode: str = "reference", numeric: bool = False):
     """Grouped-map function: folds every block of a bucket (blocks are at
     most ``fold_group_limit`` rows; a bucket holds a bounded number of rows
     on average, so the per-call overhead is shared by many blocks)."""
@@ -278,7 +279,7 @@ def _fold_block(threshold: float, mode: str = "reference"):
         led = [r for r in rows if r["_kind"] == "L"]
         for r in led:
             r["_added"], r["_merged"] = False, 0
-        stmt_rows = sorted((r for r in rows if r["_kind"] == "S"), key=lambda r: (r["stmt_seq"], r["row_no"]))
+        stmt_rows = sorted((r for r in rows if r["_kind"] == "S"), key=lambda r: (Decimal(r["stmt_seq"]) if numeric else r["stmt_seq"], r["row_no"]))
         out_stmt = []
         i = 0
         while i < len(stmt_rows):
@@ -364,10 +365,12 @@ def _fold_small(ledger: DataFrame, stmts: DataFrame, threshold: float, n_rows: i
     """Fold small contested blocks: rows are grouped by a hash bucket of the
     block key; the bucket count grows with the rows, so a call handles
     ~FOLD_ROWS_PER_CALL rows whatever the total."""
+    # statement numbers keep their own order where the text form would not
+    numeric = isinstance(stmts.schema["stmt_seq"].dataType, T.NumericType)
     inp = _fold_input(ledger, stmts)
     n_buckets = max(1, -(-n_rows // FOLD_ROWS_PER_CALL))
     inp = inp.withColumn("_bucket", F.pmod(F.xxhash64(*KEYS), F.lit(n_buckets)))
-    return inp.groupBy("_bucket").applyInPandas(_fold_block(threshold, mode), schema=_FOLD_OUT)
+    return inp.groupBy("_bucket").applyInPandas(_fold_block(threshold, mode, numeric), schema=_FOLD_OUT)
 
 
 # ---------------------------------------------------------------------------
@@ -527,12 +530,13 @@ def merge_statement(ledger: DataFrame, stmt: DataFrame, threshold: float = DEFAU
 def run_metrics(stmts: DataFrame, upd_pairs: DataFrame, added_rows: DataFrame) -> DataFrame:
     """Per file rows parsed, matched pairs re-described, rows added."""
     parsed = stmts.groupBy("file").agg(F.count(F.lit(1)).alias("parsed"))
-    merged = upd_pairs.groupBy(F.col("n_file").alias("file")).agg(F.sum("merged").alias("merged"))
-    added = added_rows.groupBy("file").agg(F.count(F.lit(1)).alias("added"))
+    merged = upd_pairs.groupBy(F.col("n_file").alias("m_file")).agg(F.sum("merged").alias("merged"))
+    added = added_rows.groupBy(F.col("file").alias("a_file")).agg(F.count(F.lit(1)).alias("added"))
     return (
-        parsed.join(merged, on="file", how="left").join(added, on="file", how="left")
+        parsed.join(merged, parsed["file"].eqNullSafe(merged["m_file"]), "left")
+        .join(added, parsed["file"].eqNullSafe(added["a_file"]), "left")
         .select(
-            "file",
+            parsed["file"],
             F.col("parsed").cast("long").alias("parsed"),
             F.coalesce(F.col("merged"), F.lit(0)).cast("long").alias("merged"),
             F.coalesce(F.col("added"), F.lit(0)).cast("long").alias("added"),

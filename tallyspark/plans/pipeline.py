@@ -11,6 +11,7 @@ committed (the reference deletes first and may lose data).
 from __future__ import annotations
 
 import os
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -89,5 +90,5 @@ def delete_consumed(stmts: DataFrame) -> list[str]:
             os.remove(p)
             done.append(f)
         except FileNotFoundError:
-            pass
+            warnings.warn(f"consumed input {f} was not there to delete", stacklevel=2)
     return done

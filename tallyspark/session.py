@@ -59,11 +59,8 @@ def ensure_session_defaults(spark: SparkSession) -> None:
     """Apply the settings the engine needs for exact results, and the
     performance defaults the cluster did not set at launch."""
     for k, v in REQUIRED_CONF.items():
-        try:
-            if spark.conf.get(k, None) != v:
-                spark.conf.set(k, v)
-        except Exception:  # static conf on a running session: keep what is there
-            pass
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)  # raises where it cannot be set: ids would be wrong
     launch = spark.sparkContext.getConf()
     for k, v in PERF_CONF.items():
         if not launch.contains(k):
@@ -88,6 +85,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="tallyspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local

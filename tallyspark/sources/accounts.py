@@ -9,9 +9,12 @@ every ``rlike`` of the identification join.
 
 from __future__ import annotations
 
-import re
 
+from py4j.protocol import Py4JJavaError
+from pyspark import SparkContext
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import functions as F
 
 from tallyspark.schema import ACCOUNTS
@@ -22,7 +25,10 @@ _MAP_TYPE = "map<string, struct<currency: string, bank: string, type: string, id
 def read_accounts(spark: SparkSession, path: str) -> DataFrame:
     """Accounts JSON file -> ACCOUNTS rows."""
     raw = spark.read.text(path, wholetext=True)
-    parsed = raw.select(F.explode(F.from_json("value", _MAP_TYPE)).alias("account_name", "a"))
+    read = raw.select(F.from_json("value", _MAP_TYPE).alias("m"))
+    if not read.where("m IS NULL").isEmpty():
+        raise ValueError(f"accounts file {path} is not a JSON map of accounts")
+    parsed = read.select(F.explode("m").alias("account_name", "a"))
     return parsed.select(
         "account_name",
         F.col("a.currency").alias("currency"),
@@ -44,10 +50,12 @@ def accounts_from_dict(spark: SparkSession, cfg: dict) -> DataFrame:
 def pattern_is_valid(pattern: str | None) -> bool:
     if pattern is None:
         return False
+    # the engine that runs the patterns judges them
+    jvm = SparkContext._active_spark_context._jvm
     try:
-        re.compile(pattern)
+        jvm.java.util.regex.Pattern.compile(pattern)
         return True
-    except re.error:
+    except (Py4JJavaError, IllegalArgumentException):
         return False
 
 

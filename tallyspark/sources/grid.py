@@ -16,6 +16,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,13 +49,31 @@ def _reader(spark: SparkSession, max_cols: int, encoding: str, multi_line: bool,
     return r
 
 
+def decoded(path):
+    """The plain name of a file: ``_metadata`` has it URL-encoded."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def literal_paths(paths: list[str]) -> list[str]:
+    """Paths to be read as they are, without glob characters."""
+    return [re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in paths]
+
+
+def widest_line(spark: SparkSession, paths, glob: str | None) -> int:
+    """Cells of the widest line: no cell falls off the end of a row."""
+    r = spark.read.option("recursiveFileLookup", "true").option("encoding", "ISO-8859-1")
+    lines = (r.option("pathGlobFilter", glob) if glob else r).text(paths)
+    n = lines.agg(F.max(F.length("value") - F.length(F.replace("value", F.lit(","), F.lit(""))))).first()[0]
+    return (n or 0) + 1
+
+
 def _raw_rows(spark, paths, max_cols, encoding, multi_line, glob) -> DataFrame:
     df = _reader(spark, max_cols, encoding, multi_line, glob).csv(paths)
     na = list(NA_TOKENS)
     cells = F.array(*[F.col(f"c{i}") for i in range(max_cols)])
     cells = F.transform(cells, lambda x: F.when(x.isin(*na), F.lit(None).cast("string")).otherwise(x))
     return df.select(
-        F.col("_metadata.file_path").alias("file"),
+        decoded(F.col("_metadata.file_path")).alias("file"),
         F.col("_metadata.file_block_start").alias("_split"),
         F.monotonically_increasing_id().alias("_mid"),
         cells.alias("cells"),
@@ -85,17 +105,24 @@ def grid_scan(
     checkpoint: bool = True,
 ) -> DataFrame:
     """Scan a folder (or list) of statement CSV files into GRID rows."""
+    max_cols = max(max_cols, widest_line(spark, path, glob))
     utf8 = _raw_rows(spark, path, max_cols, "UTF-8", multi_line, glob)
     if fallback_encoding:
         bad = (
             utf8.where(F.exists("cells", lambda x: F.contains(x, F.lit(REPLACEMENT_CHAR))))
             .select("file").distinct()
         )
-        bad_files = [r[0] for r in bad.collect()]  # file names only, never rows
+        suspects = [r[0] for r in bad.collect()]  # file names only, never rows
+        # a replacement character may stand in the file itself: the bytes decide
+        bad_files = []
+        if suspects:
+            whole = spark.read.format("binaryFile").load(literal_paths(suspects))
+            bad = whole.where(~F.is_valid_utf8(F.col("content"))).select(decoded(F.col("_metadata.file_path")).alias("file"))
+            bad_files = [r[0] for r in bad.collect()]
         if bad_files:
             utf8 = utf8.join(F.broadcast(bad.alias("b")), on="file", how="left_anti") \
                 if len(bad_files) <= 100_000 else utf8.join(bad, on="file", how="left_anti")
-            other = _raw_rows(spark, bad_files, max_cols, fallback_encoding, multi_line, None)
+            other = _raw_rows(spark, literal_paths(bad_files), max_cols, fallback_encoding, multi_line, None)
             utf8 = utf8.unionByName(other)
     grid = number_rows(utf8)
     if checkpoint:
@@ -115,10 +142,11 @@ def grid_from_rows(df: DataFrame, file_col: str, row_col: str, cell_cols: list[s
 
 def file_text(grid: DataFrame, max_rows: int = 40) -> DataFrame:
     """First rows of each file as text: cells joined by a blank, rows by a
-    newline (bounded: at most ``max_rows`` rows per file are gathered)."""
+    newline (bounded: at most ``max_rows`` rows per file are gathered).  Empty
+    cells at a row's end add nothing, so the grid's width does not matter."""
     head = grid.where(F.col("row_no") < max_rows).select(
         "file", "row_no",
-        F.array_join(F.transform("cells", lambda x: F.coalesce(x, F.lit(""))), " ").alias("line"),
+        F.rtrim(F.array_join(F.transform("cells", lambda x: F.coalesce(x, F.lit(""))), " ")).alias("line"),
     )
     return head.groupBy("file").agg(
         F.array_join(

@@ -53,8 +53,9 @@ def strip_text(col: Column) -> Column:
 def account_name(html: Column) -> Column:
     div = F.regexp_extract(
         html, r'(?is)<[a-z0-9]+\b[^>]*\bid\s*=\s*["\']' + ACCOUNT_DIV_ID + r'["\'][^>]*>.*?<span\b[^>]*>(.*?)</span>', 1)
-    cls = r"\s+".join(ACCOUNT_H2_CLASSES.split())
-    h2 = F.regexp_extract(html, r'(?is)<h2\b[^>]*\bclass\s*=\s*["\']' + cls + r'["\'][^>]*>(.*?)</h2>', 1)
+    # all of the classes, in any order and beside others
+    cls = "".join(rf"""(?=(?:[^"']*\s)?{c}[\s"'])""" for c in ACCOUNT_H2_CLASSES.split())
+    h2 = F.regexp_extract(html, r'(?is)<h2\b[^>]*\bclass\s*=\s*["\']' + cls + r'[^>]*>(.*?)</h2>', 1)
     trim = lambda c: F.regexp_replace(c, r"^[\n\t]+|[\n\t]+$", "")
     return F.when(div != "", trim(div)).when(h2 != "", trim(h2))
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import os
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,13 +32,12 @@ def empty_ledger(spark: SparkSession) -> DataFrame:
 
 
 def _path_exists(spark: SparkSession, path: str) -> bool:
-    if "://" not in path or path.startswith("file:"):
-        return os.path.exists(path.replace("file://", "").replace("file:", ""))
+    """Asks the path's own file system; anything but "not there" raises."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
     try:
-        spark.read.format("binaryFile").load(path).select("path").isEmpty()
-        return True
-    except Exception:
-        return False
+        return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
+    except (Py4JJavaError, PySparkException) as e:
+        raise FileReadError(f"storage of {path} cannot be reached: {e}") from e
 
 
 def clean_ledger_text(df: DataFrame) -> DataFrame:
@@ -53,7 +54,7 @@ def read_ledger_csv(spark: SparkSession, path: str, missing_ok: bool = True) ->
     if not _path_exists(spark, path):
         if missing_ok:
             return empty_ledger(spark)
-        raise FileReadError(f"could not read ledger file {path}")
+        raise FileReadError(f"no ledger CSV at {path}")
     raw = (
         spark.read.option("header", "true").option("multiLine", "true")
         .option("escape", '"').option("inferSchema", "false").csv(path)
@@ -62,11 +63,17 @@ def read_ledger_csv(spark: SparkSession, path: str, missing_ok: bool = True) ->
     return enforce_schema(clean_ledger_text(raw), LEDGER_DECLARED)
 
 
-def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet ledger; an absent path is the empty ledger."""
+def read_ledger(spark: SparkSession, path: str, missing_ok: bool = False) -> DataFrame:
+    """Parquet ledger.  An absent path raises, unless ``missing_ok`` says that
+    this is a first run; unreachable storage always raises."""
     if not _path_exists(spark, path):
-        return empty_ledger(spark)
-    return enforce_schema(spark.read.parquet(path), LEDGER_DECLARED)
+        if missing_ok:
+            return empty_ledger(spark)
+        raise FileReadError(f"no ledger at {path}")
+    found = spark.read.parquet(path)
+    if "ym" in found.columns and "ym" not in LEDGER_COLUMNS:  # the month partition of write_ledger
+        found = found.drop("ym")
+    return enforce_schema(found, LEDGER_DECLARED)
 
 
 def write_ledger(df: DataFrame, path: str, partition_by_month: bool = False) -> None:
@@ -126,5 +133,5 @@ def validate_output_path(path: str) -> str:
         return path
     parent = os.path.dirname(os.path.abspath(path.replace("file://", "")))
     if not os.path.isdir(parent):
-        raise ValueError(f"The directory does not exist. Directory: {parent}")
+        raise ValueError(f"output folder {parent} is missing")
     return path

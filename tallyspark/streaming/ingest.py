@@ -19,9 +19,9 @@ from tallyspark.operators.identify import identify
 from tallyspark.operators.layouts import LAYOUTS, normalise_all
 from tallyspark.operators.merge import merge_batch
 from tallyspark.sources.accounts import screen_patterns
-from tallyspark.sources.grid import DEFAULT_MAX_COLUMNS, number_rows
+from tallyspark.sources.grid import DEFAULT_MAX_COLUMNS, decoded, number_rows
 from tallyspark.sources.ledger import _path_exists, empty_ledger, read_ledger, write_ledger
-from tallyspark.session import ensure_checkpoint_dir, ensure_session_defaults
+from tallyspark.session import ensure_session_defaults
 from tallyspark.functions.clean import NA_TOKENS
 
 
@@ -52,7 +52,7 @@ def _stream_grid(spark: SparkSession, in_dir: str, max_cols: int, max_files: int
     cells = F.transform(F.array(*[F.col(f"c{i}") for i in range(max_cols)]),
                         lambda x: F.when(x.isin(*na), F.lit(None).cast("string")).otherwise(x))
     return df.select(
-        F.col("_metadata.file_path").alias("file"),
+        decoded(F.col("_metadata.file_path")).alias("file"),
         F.col("_metadata.file_block_start").alias("_split"),
         cells.alias("cells"),
     )
@@ -70,7 +70,7 @@ def start_ingest(spark: SparkSession, in_dir: str, ledger_root: str, accounts: D
     accounts, _ = screen_patterns(accounts)
     accounts = accounts.cache()
     if checkpoint is None:
-        checkpoint = ensure_checkpoint_dir(spark).rstrip("/") + "/ingest-stream"
+        checkpoint = ledger_root.rstrip("/") + "/_stream"  # a restart finds it again
 
     base = initial_ledger if initial_ledger is not None else empty_ledger(spark)
     v0 = version_path(ledger_root, 0)
@@ -96,7 +96,10 @@ def start_ingest(spark: SparkSession, in_dir: str, ledger_root: str, accounts: D
 
 
 def latest_version(spark: SparkSession, ledger_root: str, query) -> DataFrame:
-    """Ledger after the last completed micro-batch of ``query``."""
-    progress = query.recentProgress
-    last = max([p["batchId"] for p in progress if p.get("numInputRows", 0) > 0] or [-1])
-    return read_ledger(spark, version_path(ledger_root, last + 1))
+    """The newest committed ledger version under ``ledger_root``."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(ledger_root)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(root)]
+    found = sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version="))
+    done = [v for v in found if _path_exists(spark, version_path(ledger_root, v) + "/_SUCCESS")]
+    return read_ledger(spark, version_path(ledger_root, done[-1]))
