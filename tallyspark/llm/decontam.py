@@ -88,12 +88,13 @@ class _Block:
         self.size = [min(shingle, len(w)) for w in self.windows]
         self.grams = [_grams(h, n) for h, n in zip(hashes, self.size, strict=True)]
         self.sizes = sorted(set(self.size))
-        self.all = np.unique(np.concatenate(self.grams))
+        self.all = np.unique(np.concatenate(self.grams)) if rows else np.zeros(0, np.uint64)
+        self.prefix: dict[int, list[tuple[int, int]]] = {}
 
     def order(self, frequency: np.ndarray) -> None:
         """Choose each window's rarest shingle (the first of equals)."""
         first = [int(np.argmin(frequency[np.searchsorted(self.all, g)])) for g in self.grams]
-        self.prefix: dict[int, list[tuple[int, int]]] = {}
+        self.prefix = {}
         for k, at in enumerate(first):
             self.prefix.setdefault(int(self.grams[k][at]), []).append((k, at))
         self.all = np.unique(np.fromiter(self.prefix, np.uint64, len(self.prefix)))
@@ -127,7 +128,10 @@ def _frequencies(docs: DataFrame, shared, n: int) -> np.ndarray:
     return out
 
 
-def _probe(docs: DataFrame, shared, id_type: str) -> DataFrame:
+def _probe(docs: DataFrame, shared, id_type: str, with_text: bool) -> DataFrame:
+    """(id, n_words, spans, items) with the block's hits added; the text only
+    for a caller that reads it again."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, cache = shared.value, _Hashes()
         for b in batches:
@@ -148,12 +152,14 @@ def _probe(docs: DataFrame, shared, id_type: str) -> DataFrame:
                                 if start >= 0 and start + len(win) <= len(w) and w[start : start + len(win)] == win:
                                     spans.append((start, start + len(win)))
                                     ids.update(block.items[b" ".join(win)])
-                    out.append((doc, text, _merged(spans), sorted(ids)))
+                    out.append((doc, len(w), _merged(spans), sorted(ids), text)[: len(names)])
                 cols = list(zip(*out, strict=True))
-                kinds = [b.schema.field(0).type, b.schema.field(1).type, pa.list_(pa.list_(pa.int64())), pa.list_(pa.string())]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["id", "text", "spans", "items"])
+                kinds = [b.schema.field(0).type, pa.int64(), pa.list_(pa.list_(pa.int64())), pa.list_(pa.string()), b.schema.field(1).type]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
 
-    return docs.mapInArrow(run, f"id {id_type}, text string, spans array<array<bigint>>, items array<string>")
+    names = ["id", "n_words", "spans", "items", "text"][: 5 if with_text else 4]
+    schema = f"id {id_type}, n_words long, spans array<array<bigint>>, items array<string>"
+    return docs.mapInArrow(run, schema + ", text string" * with_text)
 
 
 def _merged(spans: list) -> list[list[int]]:
@@ -175,10 +181,11 @@ def contamination(
     item_text_col: str = "text",
     window: int = WINDOW,
     block_windows: int = BLOCK_WINDOWS,
+    with_text: bool = True,
 ) -> DataFrame:
-    """One row per input row: id, text, ``n_words``, ``n_hit``, ``spans`` (hit
-    word ranges, merged), ``items`` (sorted ids, as strings, of the items that
-    own an occurring window).
+    """One row per input row: id, ``n_words``, ``n_hit``, ``spans`` (hit word
+    ranges, merged), ``items`` (sorted ids, as strings, of the items that own
+    an occurring window), and the text unless ``with_text`` is false.
 
     A null or empty text has no words and no hit.  A null item id is hit but
     not listed; repeated items and items that share an id count once.  No item
@@ -189,18 +196,18 @@ def contamination(
     spark = docs.sparkSession
     small_batches(spark)
     windows = materialised(item_windows(items, item_col, item_text_col, window), "decontam-windows")
-    n_blocks = -(-windows.count() // block_windows)
+    # without an item one empty block still counts the words
+    n_blocks = max(1, -(-windows.count() // block_windows))
     slim = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     id_type = slim.schema["id"].dataType.simpleString()
     state = slim.withColumn("spans", F.expr("cast(array() as array<array<bigint>>)")).withColumn("items", F.expr("cast(array() as array<string>)"))
     for k in range(n_blocks):
         rows = windows.where(F.pmod("key", F.lit(n_blocks)) == k).select("item", "words").collect()
-        if not rows:
-            continue
         block = _Block([(r["item"], r["words"]) for r in rows], SHINGLE)
-        block.order(_frequencies(slim, spark.sparkContext.broadcast(block), len(block.all)))
-        state = _probe(state, spark.sparkContext.broadcast(block), id_type)
-    # the same words, counted natively: runs of word characters
-    n_words = F.coalesce(F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")), F.lit(0)).cast("long")
+        if rows:
+            block.order(_frequencies(slim, spark.sparkContext.broadcast(block), len(block.all)))
+        last = k == n_blocks - 1
+        state = _probe(state.select("id", "text", "spans", "items"), spark.sparkContext.broadcast(block), id_type, with_text or not last)
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s[1] - s[0])
-    return state.select(F.col("id").alias(id_col), "text", n_words.alias("n_words"), hit.alias("n_hit"), "spans", "items")
+    text = ["text"] if with_text else []
+    return state.select(F.col("id").alias(id_col), *text, "n_words", hit.alias("n_hit"), "spans", "items")
