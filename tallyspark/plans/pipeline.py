@@ -46,6 +46,8 @@ def load_statements(spark: SparkSession, in_dir: str | list[str], accounts: Data
     ``stmt_seq`` = file path (statement order), and rejects (file, reason)."""
     ensure_session_defaults(spark)
     accounts, bad_patterns = screen_patterns(accounts)
+    if bad_patterns:
+        warnings.warn(f"accounts left out, their id_pattern does not compile: {', '.join(bad_patterns)}", stacklevel=2)
     grid = grid_scan(spark, in_dir, glob=glob)
     routed, rej_id = identify(grid, accounts, num_chars)
     rows, rej_norm = normalise_all(grid, routed, layouts, on_error)
@@ -63,9 +65,10 @@ def load_statements(spark: SparkSession, in_dir: str | list[str], accounts: Data
 def run_batch(spark: SparkSession, in_dir: str | list[str], ledger: DataFrame, accounts: DataFrame,
               out_path: str | None = None, threshold: float = 0.8, on_error: str = "raise",
               out_format: str = "parquet", delete_inputs: bool = False,
-              glob: str | None = "*.csv", mode: str = "reference") -> BatchResult:
-    stmts, rejects = load_statements(spark, in_dir, accounts, on_error, glob=glob)
-    res = merge_batch(ledger, stmts, threshold, mode=mode)
+              glob: str | None = "*.csv", mode: str = "reference", num_chars: int = 400,
+              layouts=LAYOUTS, trust_ledger_ids: bool = False) -> BatchResult:
+    stmts, rejects = load_statements(spark, in_dir, accounts, on_error, num_chars, layouts, glob)
+    res = merge_batch(ledger, stmts, threshold, mode=mode, trust_ledger_ids=trust_ledger_ids)
     if out_path:
         if out_format == "csv":
             write_ledger_csv(res.ledger, out_path)

@@ -9,12 +9,10 @@ every ``rlike`` of the identification join.
 
 from __future__ import annotations
 
-
 from py4j.protocol import Py4JJavaError
 from pyspark import SparkContext
 from pyspark.errors import IllegalArgumentException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.errors import IllegalArgumentException
 from pyspark.sql import functions as F
 
 from tallyspark.schema import ACCOUNTS
