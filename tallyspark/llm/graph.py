@@ -2,15 +2,67 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.llm.common import materialised
 
+#: edges that a task contracts at once (bounds its memory)
+HELD_EDGES = 200_000
+
+
+def _spanning_stars(edges: list[tuple]) -> dict:
+    """Node -> smallest node that these edges reach, for the other nodes."""
+    parent: dict = {}
+
+    def root(n):
+        while (up := parent.get(n, n)) != n:
+            parent[n] = parent.get(up, up)
+            n = up
+        return n
+
+    for a, b in edges:
+        a, b = root(a), root(b)
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+    return {n: root(n) for n in parent}
+
+
+def _contracted(edges: DataFrame) -> DataFrame:
+    """The edges of every task's share, in bounded runs, as spanning stars:
+    the same components in fewer edges and shorter paths, without a shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        kind = None
+
+        def stars() -> pa.RecordBatch:
+            found = _spanning_stars(held)
+            return pa.RecordBatch.from_arrays([pa.array(found.keys(), kind), pa.array(found.values(), kind)], names=["a", "b"])
+
+        for batch in batches:
+            kind = batch.schema.field(0).type
+            held.extend(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+            if len(held) >= HELD_EDGES:
+                yield stars()
+                held.clear()
+        if held:
+            yield stars()
+
+    return edges.mapInArrow(run, edges.schema).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+
 
-def _state(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    return tuple(row)
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether no node is both a leaf and a centre, or a leaf of two centres."""
+    ends = edges.select(
+        F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("centre")), F.struct(F.col("b").alias("node"), F.col("b").alias("centre")))).alias("e")
+    ).select("e.*")
+    # a leaf knows its centre only, a centre itself only
+    told = ends.groupBy("node").agg(F.min("centre").alias("lo"), F.max("centre").alias("hi"))
+    return told.where("lo <> hi").isEmpty()
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -19,16 +71,16 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Each round links a node's larger neighbours to the smallest node of its
     neighbourhood, then its smaller ones (large star, small star), until only
-    stars are left: a number of rounds logarithmic in the nodes.  A node's
-    smallest neighbour is found by a pre-aggregated group, and joined back, so
-    a node with very many neighbours is no group in one task.  Rounds are
-    written tables in the shared folder.  Self-loops, repeated edges, either
-    direction and nulls (dropped) are allowed; no edge gives no row.
+    stars are left: a number of rounds logarithmic in the nodes.  Before each
+    round every task contracts its own edges.  A node's smallest neighbour is
+    found by a pre-aggregated group, and joined back, so a node with very many
+    neighbours is no group in one task.  Rounds are written tables in the
+    shared folder.  Self-loops, repeated edges, either direction and nulls
+    (dropped) are allowed; no edge gives no row.
     """
     spread = edges.select("a", "b").where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
-    now = materialised(spread.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "cc-edges")
-    state = _state(now)
-    while state[0]:
+    now = materialised(_contracted(spread), "cc-edges")
+    while not _all_stars(now):
         both = now.select("a", "b").union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
@@ -40,10 +92,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
             .where("a <> b")
             .distinct()
         )
-        now = materialised(small, "cc-edges")
-        new = _state(now)
-        if new == state:
-            break
-        state = new
+        now = materialised(_contracted(materialised(small, "cc-round")), "cc-edges")
+    now = now.distinct()
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)

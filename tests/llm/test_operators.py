@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pytest
 
+from tallyspark.llm.graph import connected_components
 from tallyspark.llm import decontam, embeddings, html, html_labels, langid, minhash, mixing, sharding, substrings, tokens, warc
 from tallyspark.llm.queries import tokenizer_path
 
@@ -232,3 +233,34 @@ def test_pipeline(spark, docs, tmp_path):
     assert P.mix_sources(spark, docs, str(tmp_path)).columns == docs.columns
     docs.limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     assert P.run(spark, str(tmp_path)).isEmpty()
+
+
+def test_components(spark):
+    """A long path, a hub, a cycle and random edges over many partitions
+    against a walk over the graph; nulls and self-loops name no node."""
+    import random
+
+    rng = random.Random(7)
+    edges = [(i, i + 1) for i in range(0, 60)] + [(1000, 1000 + i) for i in range(1, 80)]
+    edges += [(2000 + i, 2000 + (i + 1) % 9) for i in range(9)]
+    edges += [(rng.randrange(3000, 3300), rng.randrange(3000, 3300)) for _ in range(160)]
+    rng.shuffle(edges)
+    near: dict = {}
+    for a, b in edges:
+        if a != b:
+            near.setdefault(a, set()).add(b)
+            near.setdefault(b, set()).add(a)
+    want, seen = {}, set()
+    for n in sorted(near):
+        todo = [n] if n not in seen else []
+        while todo:
+            m = todo.pop()
+            if m not in seen:
+                seen.add(m)
+                want[m] = n
+                todo.extend(near[m])
+    rows = [*edges, (None, 1), (5, None), (7, 7)]
+    df = spark.createDataFrame(rows, "a long, b long").repartition(7)
+    got = connected_components(df).collect()
+    assert len(got) == len(want) and {r["node"]: r["component"] for r in got} == want
+    assert connected_components(df.where("a < 0")).count() == 0
