@@ -193,18 +193,18 @@ def _pairs(rows: DataFrame, p: Params) -> DataFrame:
 def set_links(docs: DataFrame, classes: DataFrame, p: Params, id_col: str, text_col: str) -> DataFrame | None:
     """Edges (a, b) between classes of equal sets whose components are those
     of all links that the tables find; None where no key is shared."""
-    half = classes.select("sig", F.posexplode("halves").alias("band", "h"))
+    half = classes.select("sig", "n", F.posexplode("halves").alias("band", "h"))
     shared = half.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h")
-    live = half.join(shared, "h").groupBy("sig").agg(F.collect_list(F.struct("band", "h")).alias("hs"))
+    live = half.join(shared, "h").groupBy("sig", "n").agg(F.collect_list(F.struct("band", "h")).alias("hs"))
     first = F.filter("hs", lambda x: x["band"] < p.bands)
     second = F.filter("hs", lambda x: x["band"] >= p.bands)
     live = live.where((F.size(first) > 0) & (F.size(second) > 0))
     keyed = (
-        live.select("sig", F.explode(first).alias("x"), second.alias("ys"))
-        .select("sig", "x", F.explode("ys").alias("y"))
-        .select("sig", F.xxhash64("x.h", "y.h").alias("key"))
+        live.select("sig", "n", F.explode(first).alias("x"), second.alias("ys"))
+        .select("sig", "n", "x", F.explode("ys").alias("y"))
+        .select("sig", "n", F.xxhash64("x.h", "y.h").alias("key"))
     )
-    keyed = materialised(keyed.join(classes.select("sig", "n"), "sig"), "minhash-keys")
+    keyed = materialised(keyed, "minhash-keys")
     full = keyed.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key")
     buckets = materialised(keyed.join(full, "key"), "minhash-buckets")
     release(keyed)
