@@ -18,6 +18,7 @@ from tallyspark.functions import clean as C
 from tallyspark.functions.identity import row_id
 from tallyspark.functions.similarity import DEFAULT_THRESHOLD, similarity_ratio, similar_at_least
 from tallyspark.operators import layouts as LY
+from tallyspark.operators.common import checkpointed
 from tallyspark.operators.identify import account_from_filename, match_accounts, split_unique
 from tallyspark.operators.merge import (
     _ledger_texts, _new_texts, apply_updates, candidate_pairs, fuzzy_updates, merge_batch,
@@ -562,7 +563,8 @@ select row_no, id, description from added
 def q23(spark, sf):
     """Statement rows whose id is not in the re-described ledger."""
     led, st = _merge_inputs(spark, sf)
-    led2 = apply_updates(led, fuzzy_updates(touched_ledger(led, st), st, DEFAULT_THRESHOLD))
+    updates = checkpointed(fuzzy_updates(touched_ledger(led, st), st, DEFAULT_THRESHOLD))  # counted, then joined
+    led2 = apply_updates(led, updates)
     return new_rows(led2, st).select("row_no", "id", "description")
 
 
