@@ -70,10 +70,16 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
-def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op8_mix_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix itself: whole documents, repeated and globally shuffled."""
     docs = read_table(spark, sf_dir, "documents")
     rates = mixing.source_rates(docs, **MIX)
-    return mixing.mix_sources(docs.select("doc_id", "source"), rates, seed=MIX_SEED)
+    return mixing.mix_sources(docs, rates, seed=MIX_SEED)
+
+
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The draws and the order of ``op8_mix_documents``, which have an SQL form."""
+    return op8_mix_documents(spark, sf_dir).select("doc_id", "source", "copy_no", "mix_key")
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,6 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_repeated_substrings": op5_repeated_substrings,
     "op6_decontamination": op6_decontamination,
     "op7_html_text": op7_html_text,
+    "op8_mix_documents": op8_mix_documents,
     "op8_mix_sources": op8_mix_sources,
     "op9_warc": op9_warc,
     "op10_embedding_dedup": op10_embedding_dedup,

@@ -114,6 +114,20 @@ def test_mixing(spark, docs, empty):
     assert mixing.mix_sources(empty, mixing.source_rates(empty)).isEmpty()
 
 
+def test_mix_returns_whole_documents(spark, docs, tmp_path):
+    from tallyspark.llm.queries import QUERIES
+
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    whole = QUERIES["op8_mix_documents"](spark, str(tmp_path))
+    assert whole.columns == [*docs.columns, "copy_no", "mix_key"]
+    rows = whole.collect()
+    given = {tuple(r) for r in docs.collect()}
+    assert rows and {tuple(r)[:-2] for r in rows} <= given
+    drawn = QUERIES["op8_mix_sources"](spark, str(tmp_path)).collect()
+    assert sorted(map(str, drawn)) == sorted(str(r) for r in whole.select("doc_id", "source", "copy_no", "mix_key").collect())
+    assert [r["mix_key"] for r in rows] == sorted(r["mix_key"] for r in rows)
+
+
 def test_substrings(docs, empty, spark):
     rng = np.random.default_rng(5)
     base = "".join(chr(97 + c) for c in rng.integers(0, 4, 900))
