@@ -234,6 +234,29 @@ def test_embeddings(spark):
     assert embeddings.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<double>")).isEmpty()
 
 
+def test_embeddings_with_rare_links(spark, monkeypatch):
+    """One pair that lies across cells, none in the first block of queries:
+    blocks are drawn until the pair is met."""
+    rng = np.random.default_rng(11)
+    monkeypatch.setattr(embeddings, "QUERIES", 16)
+    base = rng.normal(size=(3000, 32))
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    rows = [(i, v.tolist()) for i, v in enumerate(base)]
+    noise = rng.normal(size=(4, 32))
+    noise /= np.linalg.norm(noise, axis=1)[:, None]
+    rows += [(9000 + i, (base[i] + 0.46 * noise[i]).tolist()) for i in range(4)]
+    out = embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).where("n_links > 0").collect()
+    x = np.array([v for _, v in rows])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    want = {rows[i][0]: int(n) for i, n in enumerate((x @ x.T >= 0.9).sum(1) - 1) if n}
+    assert want and {r["vec_id"]: r["n_links"] for r in out} == want
+
+    units = embeddings.unit_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "embedding", "vec_id").withColumnRenamed("id", "node")
+    books = embeddings.fit(embeddings._sample(units, 4096, 7)[1])
+    n, share, linked = embeddings.cells_to_visit(units, books, 0.9, 0.999)
+    assert linked == len(want) and share >= 0.999
+
+
 def test_pipeline(spark, docs, tmp_path):
     import corpus_pipeline as P
 
