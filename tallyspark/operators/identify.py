@@ -57,8 +57,9 @@ def split_unique(matches: DataFrame, files: DataFrame) -> tuple[DataFrame, DataF
 
 def identify(grid: DataFrame, accounts: DataFrame, num_chars: int = DEFAULT_NUM_CHARS,
              normalize: bool = True) -> tuple[DataFrame, DataFrame]:
-    """B1-B5 over GRID rows: (routed files, rejects)."""
-    texts = file_text(grid)
+    """B1-B5 over GRID rows: (routed files, rejects).  ``normalize=False``
+    matches the patterns on the whole text of a file (B3)."""
+    texts = file_text(grid, num_chars if normalize else None)
     matches = match_accounts(texts, accounts, num_chars, normalize)
     return split_unique(matches, texts)
 

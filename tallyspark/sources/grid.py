@@ -140,17 +140,19 @@ def grid_from_rows(df: DataFrame, file_col: str, row_col: str, cell_cols: list[s
     )
 
 
-def file_text(grid: DataFrame, max_rows: int = 40) -> DataFrame:
-    """First rows of each file as text: cells joined by a blank, rows by a
-    newline (bounded: at most ``max_rows`` rows per file are gathered).  Empty
-    cells at a row's end add nothing, so the grid's width does not matter."""
-    head = grid.where(F.col("row_no") < max_rows).select(
-        "file", "row_no",
-        F.rtrim(F.array_join(F.transform("cells", lambda x: F.coalesce(x, F.lit(""))), " ")).alias("line"),
-    )
-    return head.groupBy("file").agg(
-        F.array_join(
-            F.transform(F.sort_array(F.collect_list(F.struct("row_no", "line"))), lambda s: s["line"]),
-            "\n",
-        ).alias("text")
+def file_text(grid: DataFrame, num_chars: int | None = 400) -> DataFrame:
+    """The first ``num_chars`` characters of each file as text (None: all of
+    it): cells joined by a blank, rows by a newline.  Empty cells at a row's
+    end add nothing, so the grid's width does not matter."""
+    line = F.rtrim(F.array_join(F.transform("cells", lambda x: F.coalesce(x, F.lit(""))), " "))
+    head = grid.select("file", "row_no", line.alias("line"))
+    if num_chars is not None:
+        # a row adds its newline at least, so row k starts at character k or later
+        head = head.where(F.col("row_no") < num_chars).withColumn("line", F.substring("line", 1, num_chars))
+    text = F.array_join(
+        F.transform(F.sort_array(F.collect_list(F.struct("row_no", "line"))), lambda s: s["line"]),
+        "\n",
     )
+    if num_chars is not None:
+        text = F.substring(text, 1, num_chars)
+    return head.groupBy("file").agg(text.alias("text"))

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyspark.functions.similarity import length_bound
-from tallyspark.sources.accounts import pattern_is_valid, read_accounts
+from tallyspark.operators.identify import identify
+from tallyspark.sources.accounts import accounts_from_dict, pattern_is_valid, read_accounts
 from tallyspark.sources.grid import file_text, grid_scan
 from tallyspark.sources.ledger import FileReadError, read_ledger
 
@@ -37,6 +38,20 @@ def test_wide_files_keep_all_cells(spark, tmp_path):
     assert texts[8] == texts[200]
 
 
+def test_fingerprint_reads_past_short_rows(spark, tmp_path):
+    short = "".join(f"{i % 10}\n" for i in range(60))
+    (tmp_path / "late.csv").write_text(short + "BAC USD 911,x\n")
+    (tmp_path / "later.csv").write_text(short * 20 + "BAC USD 911,x\n")
+    accounts = accounts_from_dict(spark, {"BAC USD 911": {"currency": "USD", "bank": "BAC", "type": "savings", "id_pattern": "BAC ?USD ?911"}})
+    grid = grid_scan(spark, str(tmp_path))
+    names = lambda routed: sorted(os.path.basename(r["file"]) for r in routed.collect())
+    routed, rejects = identify(grid, accounts)
+    assert names(routed) == ["late.csv"] and names(rejects) == ["later.csv"]
+    assert names(identify(grid, accounts, num_chars=100)[0]) == []
+    assert names(identify(grid, accounts, num_chars=5000)[0]) == ["late.csv", "later.csv"]
+    assert names(identify(grid, accounts, normalize=False)[0]) == ["late.csv", "later.csv"]
+
+
 def test_length_bound_at_the_threshold(spark):
     row = spark.range(1).select(length_bound(F.lit(55), F.lit(145), 0.55).alias("b"), length_bound(F.lit(0), F.lit(0), 0.8).alias("z")).first()
     assert row["b"] and row["z"]
