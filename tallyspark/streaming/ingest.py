@@ -1,9 +1,10 @@
 """Incremental drop-folder ingest with Structured Streaming.
 
 ``readStream`` over the statement folder (file source: every new file is
-picked up exactly once per checkpoint), ``foreachBatch`` runs the batch
-merge on the files of the micro-batch and writes ledger version
-``batch_id + 1`` from version ``batch_id``.  A replayed batch recomputes
+picked up exactly once per checkpoint) carries file names only;
+``foreachBatch`` runs the batch job's scan and merge on the files of the
+micro-batch and writes its rejects and ledger version ``batch_id + 1`` from
+version ``batch_id``.  A replayed batch recomputes
 the same version from the same input, so a restart after a failure
 overwrites it with identical content (idempotent sink); the file source's
 checkpoint guarantees the batch boundaries are replayed unchanged.
@@ -13,29 +14,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tallyspark.operators.identify import identify
-from tallyspark.operators.layouts import LAYOUTS, normalise_all
 from tallyspark.operators.merge import merge_batch
-from tallyspark.sources.accounts import screen_patterns
-from tallyspark.sources.grid import DEFAULT_MAX_COLUMNS, decoded, number_rows
+from tallyspark.plans.pipeline import load_statements
+from tallyspark.sources.grid import DEFAULT_MAX_COLUMNS, decoded, literal_paths
 from tallyspark.sources.ledger import _path_exists, empty_ledger, read_ledger, write_ledger
 from tallyspark.session import ensure_session_defaults
-from tallyspark.functions.clean import NA_TOKENS
 
 
 def version_path(root: str, version: int) -> str:
     return f"{root.rstrip('/')}/version={version:09d}"
 
 
-def _stream_grid(spark: SparkSession, in_dir: str, max_cols: int, max_files: int | None,
-                 glob: str = "*.csv", recursive: bool = False, clean_source: str | None = None,
-                 archive_dir: str | None = None):
-    schema = T.StructType([T.StructField(f"c{i}", T.StringType(), True) for i in range(max_cols)])
+def rejects_path(root: str, version: int) -> str:
+    return f"{root.rstrip('/')}/_rejects/version={version:09d}"
+
+
+def _stream_files(spark: SparkSession, in_dir: str, max_files: int | None,
+                  glob: str = "*.csv", recursive: bool = False, clean_source: str | None = None,
+                  archive_dir: str | None = None):
     r = (
-        spark.readStream.schema(schema)
-        .option("header", "false").option("multiLine", "true").option("escape", '"')
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", str(recursive).lower())
     )
@@ -47,15 +47,7 @@ def _stream_grid(spark: SparkSession, in_dir: str, max_cols: int, max_files: int
         r = r.option("cleanSource", clean_source)
         if archive_dir:
             r = r.option("sourceArchiveDir", archive_dir)
-    df = r.csv(in_dir)
-    na = list(NA_TOKENS)
-    cells = F.transform(F.array(*[F.col(f"c{i}") for i in range(max_cols)]),
-                        lambda x: F.when(x.isin(*na), F.lit(None).cast("string")).otherwise(x))
-    return df.select(
-        decoded(F.col("_metadata.file_path")).alias("file"),
-        F.col("_metadata.file_block_start").alias("_split"),
-        cells.alias("cells"),
-    )
+    return r.load(in_dir).select(decoded(F.col("_metadata.file_path")).alias("file"))
 
 
 def start_ingest(spark: SparkSession, in_dir: str, ledger_root: str, accounts: DataFrame,
@@ -65,9 +57,9 @@ def start_ingest(spark: SparkSession, in_dir: str, ledger_root: str, accounts: D
                  on_error: str = "reject", glob: str = "*.csv", recursive: bool = False,
                  mode: str = "reference", clean_source: str | None = None,
                  archive_dir: str | None = None):
-    """Start the ingest query; returns the StreamingQuery."""
+    """Start the ingest query; returns the StreamingQuery.  ``rejects_path``
+    has the rejects (file, reason) of the batch that wrote a version."""
     ensure_session_defaults(spark)
-    accounts, _ = screen_patterns(accounts)
     accounts = accounts.cache()
     if checkpoint is None:
         checkpoint = ledger_root.rstrip("/") + "/_stream"  # a restart finds it again
@@ -78,17 +70,16 @@ def start_ingest(spark: SparkSession, in_dir: str, ledger_root: str, accounts: D
         write_ledger(base, v0)
 
     def merge_micro_batch(batch: DataFrame, batch_id: int) -> None:
-        raw = batch.withColumn("_mid", F.monotonically_increasing_id())
-        grid = number_rows(raw).checkpoint(eager=True)
-        routed, _ = identify(grid, accounts)
-        rows, _ = normalise_all(grid, routed, LAYOUTS, on_error)
-        stmts = rows.withColumn("stmt_seq", F.col("file"))
+        files = [r[0] for r in batch.collect()]  # file names only, never rows
+        stmts, rejects = load_statements(spark, literal_paths(files), accounts, on_error, glob=None, max_cols=max_cols)
+        # before the version: a version that is there has its rejects
+        rejects.write.mode("overwrite").parquet(rejects_path(ledger_root, batch_id + 1))
         ledger = read_ledger(spark, version_path(ledger_root, batch_id))
         # versions are written by this job: their stored ids are trusted
         res = merge_batch(ledger, stmts, threshold, mode=mode, trust_ledger_ids=batch_id > 0)
         res.ledger.write.mode("overwrite").parquet(version_path(ledger_root, batch_id + 1))
 
-    src = _stream_grid(spark, in_dir, max_cols, max_files_per_trigger, glob, recursive, clean_source, archive_dir)
+    src = _stream_files(spark, in_dir, max_files_per_trigger, glob, recursive, clean_source, archive_dir)
     w = src.writeStream \
         .foreachBatch(merge_micro_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")

@@ -10,7 +10,7 @@ from tallyspark.plans import fixtures as FX
 from tallyspark.plans.pipeline import delete_consumed, run_batch
 from tallyspark.sources.accounts import accounts_from_dict
 from tallyspark.sources.ledger import empty_ledger
-from tallyspark.streaming.ingest import latest_version, start_ingest
+from tallyspark.streaming.ingest import latest_version, rejects_path, start_ingest
 from tests.conftest import SF001
 from tests.model import fold
 
@@ -64,6 +64,28 @@ def test_stream_equals_batch(spark):
     assert key(stream) == key(batch)
 
 
+def test_stream_reads_files_as_the_batch_does(spark, tmp_path):
+    """Cells past the 48th, cp1252 and rejects."""
+    drop = tmp_path / "drop"
+    drop.mkdir()
+    pad = "," * 50
+    wide = SAV_HDR.replace("Account Name,", "Account Name" + pad + ",")
+    _write(drop, "wide.csv", [wide, f"BAC USD 911{pad},05/01/2024,1,WIDE ROW,20.00,,0"])
+    (drop / "old [1].csv").write_bytes((SAV_HDR + "\nBAC USD 911,06/01/2024,2,CAFÉ,30.00,,0\nBAC USD 911,99/99/2024,2,BAD DATE,30.00,,0\n").encode("cp1252"))
+    _write(drop, "unknown.csv", ["nobody,here", "1,2"])
+    acc = accounts_from_dict(spark, ACCOUNTS)
+    batch = run_batch(spark, str(drop), empty_ledger(spark), acc, on_error="reject")
+    root = str(tmp_path / "ledger")
+    q = start_ingest(spark, str(drop), root, acc, max_files_per_trigger=1)
+    q.awaitTermination()
+    rows = lambda df: sorted((r.id, r.description) for r in df.collect())
+    assert [d for _, d in rows(batch.merge.ledger)] and {d for _, d in rows(batch.merge.ledger)} == {"WIDE ROW", "CAFÉ"}
+    assert rows(latest_version(spark, root, q)) == rows(batch.merge.ledger)
+    told = [r for v in (1, 2, 3) for r in spark.read.parquet(rejects_path(root, v)).collect()]
+    names = lambda found: sorted((os.path.basename(r.file), r.reason) for r in found)
+    assert names(told) == names(batch.rejects.collect()) and len(told) == 2
+
+
 def test_contested_batch_equals_sequential_model(spark):
     led, st = FX.contested_inputs(spark, SF001)
     res = merge_batch(led, st)
