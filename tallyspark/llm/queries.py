@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import decontam, embeddings, html, html_labels, langid, minhash, mixing, sharding, substrings, tokens, warc
+from tallyspark.llm import decontam, embeddings, filter_audit, html, html_labels, langid, minhash, mixing, prefix_trie, sharding, substrings, tokens, toxicity, warc
 from tallyspark.llm.common import read_table
 from tallyspark.session import scratch_path
 
@@ -98,6 +99,33 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(read_table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
+#: a document is predicted toxic from this score on
+TOXIC_FROM = 0.3
+
+
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    labels = read_table(spark, sf_dir, "labels").where(~toxicity.held_out()).select("doc_id", "toxic")
+    model = toxicity.train(docs.select("doc_id", "text").join(labels, "doc_id").select("text", "toxic"))
+    found = toxicity.score(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", toxicity.held_out().alias("held_out"), "score", F.when(F.col("score") >= TOXIC_FROM, 1).otherwise(0).alias("predicted"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def lender(conv_id: int) -> tuple[int, int]:
+    """The conversation whose first turns replace those of ``conv_id``, and
+    how many; of a negative id the next smaller multiple of five."""
+    return conv_id - conv_id % 5, zlib.crc32(str(conv_id).encode()) % 9
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = prefix_trie.prefix_trie(read_table(spark, sf_dir, "conversations"), lender)
+    return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
 OP8_SQL = f"""
 WITH stats AS (
   SELECT source, CAST(sum(coalesce(octet_length(encode(text)), 0)) AS BIGINT) AS bytes FROM documents GROUP BY source),
@@ -123,6 +151,81 @@ SELECT doc_id, source, CAST(copy_no AS BIGINT) AS copy_no,
 FROM copies
 """
 
+OP12_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+firsts AS (SELECT text, min(doc_id) AS least FROM docs GROUP BY text),
+known AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id),
+flags AS (
+  SELECT d.part, coalesce(k.good, 0) AS good, coalesce(k.toxic, 0) AS toxic,
+    CAST(len(words) < 200 AS INT)
+    + 2 * CAST(100 * len(list_distinct(words)) < 50 * len(words) AS INT)
+    + 4 * CAST(100 * len(regexp_replace(d.text, '[^A-Z]', '', 'g')) > 2 * len(d.text) AS INT)
+    + 8 * CAST(regexp_matches(d.text, '[#$%&*|]') AS INT)
+    + 16 * CAST(coalesce(f.least < d.doc_id, false) AS INT) AS mask
+  FROM docs d JOIN firsts f ON d.text = f.text LEFT JOIN known k ON d.doc_id = k.doc_id),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f, unnest([1, 2, 4, 8, 16]) AS bit),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND (a.bit | b.bit | c.bit | d.bit | e.bit) = 31),
+steps AS (
+  SELECT filter_order, s.step AS step, bits[s.step] AS bit, coalesce(list_sum(bits[1:s.step - 1]), 0) AS before
+  FROM orders, (SELECT unnest(range(1, 6)) AS step) s),
+cells AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM flags GROUP BY part, mask),
+counted AS (
+  SELECT part, filter_order, step, bit,
+    sum(CASE WHEN (mask & bit) = 0 AND (mask & before) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN (mask & bit) <> 0 AND (mask & before) = 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN (mask & bit) <> 0 AND (mask & before) <> 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN (mask & bit) <> 0 AND (mask & before) = 0 THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN (mask & bit) <> 0 AND (mask & before) = 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM cells, steps GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM counted
+"""
+
+OP13_SQL = """
+WITH own AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos,
+    sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS t, strlen(coalesce(text, '')) AS size
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, conv_id - ((conv_id % 5) + 5) % 5 AS base,
+    xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda ch: CAST(unicode(ch) AS BIGINT))),
+      lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x // 2, 3988292384 * (x % 2)))), 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM own)),
+built AS (
+  SELECT c.conv_id, 0 AS seg, o.pos, o.t, o.size FROM convs c JOIN own o ON o.conv_id = c.base AND o.pos <= c.h
+  UNION ALL SELECT c.conv_id, 1, o.pos, o.t, o.size FROM convs c JOIN own o ON o.conv_id = c.conv_id AND o.pos > c.h),
+lists AS (SELECT conv_id, list(t ORDER BY seg, pos) AS ts, list(size ORDER BY seg, pos) AS sizes FROM built GROUP BY conv_id),
+full_ AS (SELECT c.conv_id, coalesce(l.ts, []) AS ts, coalesce(l.sizes, []) AS sizes FROM convs c LEFT JOIN lists l ON c.conv_id = l.conv_id),
+paths AS (
+  SELECT conv_id, d.d AS depth, array_to_string(ts[1:d.d], '/') AS prefix, CASE WHEN d.d > 0 THEN array_to_string(ts[1:d.d - 1], '/') END AS parent,
+    CASE WHEN d.d > 0 THEN sizes[d.d] ELSE 0 END AS size, d.d = len(ts) AS last
+  FROM full_, LATERAL (SELECT unnest(range(0, len(ts) + 1)) AS d) d),
+nodes AS (
+  SELECT prefix, depth, any_value(parent) AS parent, any_value(size) AS size, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CASE WHEN last THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends_sha256
+  FROM paths GROUP BY prefix, depth),
+kids AS (SELECT parent, depth - 1 AS depth, count(*) AS k FROM nodes WHERE depth > 0 GROUP BY parent, depth),
+told AS (SELECT n.*, coalesce(k.k, 0) AS n_children FROM nodes n LEFT JOIN kids k ON k.parent = n.prefix AND k.depth = n.depth),
+above AS (
+  SELECT p.prefix AS top, p.depth AS top_depth, n.prefix, n.depth FROM told n JOIN paths q ON q.conv_id = n.conv_id AND q.depth = n.depth
+  JOIN paths p ON p.conv_id = n.conv_id AND p.depth <= n.depth),
+sums AS (
+  SELECT a.top, a.top_depth, sum(CASE WHEN n.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n.n_convs - 1) * n.size) AS saved
+  FROM above a JOIN told n ON n.prefix = a.prefix AND n.depth = a.depth GROUP BY a.top, a.top_depth)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, CAST(n.n_children AS BIGINT) AS n_children,
+  CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM told n JOIN sums s ON s.top = n.prefix AND s.top_depth = n.depth
+LEFT JOIN told p ON n.depth > 0 AND p.prefix = n.parent AND p.depth = n.depth - 1
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_token_counts": op2_token_counts,
@@ -135,8 +238,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix_sources": op8_mix_sources,
     "op9_warc": op9_warc,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_toxicity": op11_toxicity,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLES: dict[str, str] = {
     "op8_mix_sources": OP8_SQL,
+    "op12_filter_audit": OP12_SQL,
+    "op13_prefix_trie": OP13_SQL,
 }
