@@ -106,7 +106,7 @@ TOXIC_FROM = 0.3
 def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     labels = read_table(spark, sf_dir, "labels").where(~toxicity.held_out()).select("doc_id", "toxic")
-    model = toxicity.train(docs.select("doc_id", "text").join(labels, "doc_id").select("text", "toxic"))
+    model = toxicity.train(docs, labels)
     found = toxicity.score(docs.select("doc_id", "text"), model)
     return found.select("doc_id", toxicity.held_out().alias("held_out"), "score", F.when(F.col("score") >= TOXIC_FROM, 1).otherwise(0).alias("predicted"))
 

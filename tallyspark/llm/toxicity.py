@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from tallyspark.llm.common import free_names, materialised, release, small_batches
 
 #: labelled texts of either label that training reads (about; by text hash)
-SAMPLE_ROWS = 40_000
+SAMPLE_ROWS = 20_000
 #: toxic texts that the greedy cover reads, and candidate entries it chooses from
 COVER_ROWS = 20_000
 CANDIDATES = 50_000
@@ -138,22 +138,26 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(4)) == 2
 
 
-def _sample(labelled: DataFrame, rows: int) -> tuple[DataFrame, dict[int, int]]:
-    """Distinct texts of about ``rows`` labelled rows per label, folded."""
-    part = F.pmod(F.xxhash64(F.lit(SEED), "text"), F.lit(1 << 30)) / float(1 << 30)
-    known = labelled.where("toxic IN (0, 1) AND text IS NOT NULL")
-    sizes = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+def _sample(docs: DataFrame, labels: DataFrame, rows: int, id_col: str, text_col: str) -> tuple[DataFrame, dict[int, int]]:
+    """Distinct texts of about ``rows`` labelled rows per label, folded.  The
+    rows are chosen by ids and hashes; only chosen texts are moved."""
+    whole = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).where("text IS NOT NULL").withColumn("h", F.xxhash64("text"))
+    known = labels.where("toxic IN (0, 1)").select(F.col(f"`{id_col}`").alias("id"), F.col("toxic").cast("int").alias("toxic")).distinct()
+    pairs = materialised(whole.select("id", "h").join(known, "id").distinct(), "toxicity-labelled")
+    part = F.pmod(F.xxhash64(F.lit(SEED), "h"), F.lit(1 << 30)) / float(1 << 30)
     share = F.lit(0.0)
-    for label, n in sizes.items():
-        share = F.when(F.col("toxic") == label, F.lit(min(1.0, rows / n))).otherwise(share)
-    drawn = known.where(part < share).groupBy(F.xxhash64("text").alias("h"), "toxic").agg(F.first("text").alias("text"))
+    for r in pairs.groupBy("toxic").agg(F.countDistinct("h").alias("n")).collect():
+        share = F.when(F.col("toxic") == r["toxic"], F.lit(min(1.0, rows / r["n"]))).otherwise(share)
+    # one id of every chosen text and label: about 2 * rows rows of 20 bytes
+    chosen = pairs.where(part < share).groupBy("h", "toxic").agg(F.min("id").alias("id"))
+    drawn = whole.join(F.broadcast(chosen), ["id", "h"]).groupBy("h", "toxic").agg(F.first("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([fold(t) for t in b.column(2).to_pylist()], pa.string())], names=["h", "toxic", "folded"])
 
-    drawn = drawn.select("h", F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(run, "h long, toxic int, folded string")
-    drawn = materialised(drawn, "toxicity-sample")
+    drawn = materialised(drawn.mapInArrow(run, "h long, toxic int, folded string"), "toxicity-sample")
+    release(pairs)
     return drawn, {r["toxic"]: r["n"] for r in drawn.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
 
 
@@ -225,15 +229,16 @@ def _curve(x: np.ndarray, bad: np.ndarray, n: np.ndarray) -> tuple[float, float]
     return float(a), float(b)
 
 
-def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """A model of rows (text, toxic).  Null texts and labels other than 0 and
-    1 teach nothing; copies of a text count once per label.  Without a toxic
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """A model of documents (id, text) and labels (id, toxic).  Null ids and
+    texts and labels other than 0 and 1 teach nothing; copies of a text count
+    once per label; an id of both labels teaches both.  Without a toxic
     or without a clean text there is nothing to tell apart: the model is that
     of the known insults, each of the same weight."""
     seeds = {f" {fold(w).strip()} " for w in SEEDS}
     harmless = [fold(p) for p in EXCEPTIONS]
-    small_batches(labelled.sparkSession)
-    sample, n = _sample(labelled, sample_rows)
+    small_batches(docs.sparkSession)
+    sample, n = _sample(docs, labels, sample_rows, id_col, text_col)
     if not n.get(0) or not n.get(1):
         return Model(dict.fromkeys(sorted(seeds), MIN_WEIGHT * 2), harmless)
     least = max(1, int(MIN_GAIN * n[1]))
