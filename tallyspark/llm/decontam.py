@@ -14,7 +14,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +23,10 @@ WINDOW = 10
 SHINGLE = 3
 #: windows broadcast at once (about 150 bytes each); more are joined in blocks
 BLOCK_WINDOWS = 200_000
+#: texts hashed together, and words at once (bounds the arrays of a task)
 BLOCK_BYTES = 1 << 20
-HELD_WORDS = 500_000
+SLICE_WORDS = 200_000
+SEED = 20240607
 #: fixed values: ASCII letters in lower case, digits and other scripts are words
 _WORD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
@@ -34,25 +35,54 @@ def words(text: str | None) -> list[bytes]:
     return utf8(text).translate(_WORD).split()
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= HELD_WORDS:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
 def _mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     return h ^ (h >> np.uint64(32))
 
 
-def _grams(h: np.ndarray, n: int) -> np.ndarray:
-    m = max(0, len(h) - n + 1)
-    out = np.full(m, n, np.uint64)
-    for i in range(n):
-        out = _mix(out) + h[i : i + m] * np.uint64(0x9E3779B97F4A7C15)
-    return _mix(out)
+_BYTE = np.random.default_rng(SEED).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_PLACE = np.random.default_rng(SEED + 1).integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+class Words:
+    """The words of a block of texts: bytes, ends, text number, hashes.  The
+    hashes only find candidates; words are compared as bytes."""
+
+    def __init__(self, texts: list[bytes]):
+        parts = [t.translate(_WORD) for t in texts]
+        self.raw = b" ".join([*parts, b""])
+        at = np.frombuffer(self.raw, np.uint8)
+        inside = np.zeros(len(at) + 2, bool)
+        inside[1:-1] = at != 32
+        self.starts = np.flatnonzero(inside[1:-1] & ~inside[:-2])
+        self.ends = np.flatnonzero(inside[1:-1] & ~inside[2:]) + 1
+        begins = np.cumsum([0] + [len(p) + 1 for p in parts])
+        self.text = np.searchsorted(begins, self.starts, "right") - 1
+        #: first word of every text, and the number of words
+        self.first = np.searchsorted(self.starts, begins)
+        self.hashes = np.zeros(len(self.starts), np.uint64)
+        for lo in range(0, len(self.starts), SLICE_WORDS):
+            starts, ends = self.starts[lo : lo + SLICE_WORDS], self.ends[lo : lo + SLICE_WORDS]
+            size = ends - starts
+            offset = np.cumsum(size) - size
+            of = np.arange(int(size.sum())) - np.repeat(offset, size)
+            own = at[starts[0] : ends[-1]]
+            byte = _BYTE[own[inside[1 + starts[0] : 1 + ends[-1]]]]
+            self.hashes[lo : lo + SLICE_WORDS] = _mix(np.add.reduceat(byte * _PLACE[of & 63], offset) + size.astype(np.uint64))
+
+    def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hash and first word of all runs of n words inside one text."""
+        m = max(0, len(self.hashes) - n + 1)
+        at = np.flatnonzero(self.text[:m] == self.text[len(self.text) - m :])
+        out = np.full(len(at), n, np.uint64)
+        for i in range(n):
+            out = _mix(out) + self.hashes[at + i] * np.uint64(0x9E3779B97F4A7C15)
+        return _mix(out), at
+
+    def holds(self, start: int, window: list[bytes]) -> bool:
+        """Whether the words from ``start`` on are the window, in one text."""
+        text, end = self.text[start], start + len(window)
+        return start >= self.first[text] and end <= self.first[text + 1] and self.raw[self.starts[start] : self.ends[end - 1]].split() == window
 
 
 def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
@@ -81,44 +111,57 @@ class _Block:
         self.items: dict[bytes, list[str]] = {}
         for item, w in rows:
             self.items.setdefault(bytes(w), []).extend([] if item is None else [item])
-        self.windows = [w.split(b" ") for w in sorted(self.items)]
-        cache = _Hashes()
-        hashes = [np.array([cache[x] for x in w], np.uint64) for w in self.windows]
+        texts = sorted(self.items)
+        self.windows = [w.split(b" ") for w in texts]
         #: a window shorter than a shingle is one shingle itself
         self.size = [min(shingle, len(w)) for w in self.windows]
-        self.grams = [_grams(h, n) for h, n in zip(hashes, self.size, strict=True)]
         self.sizes = sorted(set(self.size))
-        self.all = np.unique(np.concatenate(self.grams)) if rows else np.zeros(0, np.uint64)
+        self.grams: list[np.ndarray] = [np.zeros(0, np.uint64)] * len(texts)
+        words = Words(texts)
+        for n in self.sizes:
+            hashes, at = words.grams(n)
+            of = words.text[at]
+            for k, own in enumerate(np.split(hashes, np.searchsorted(of, np.arange(1, len(texts))))):
+                if self.size[k] == n:
+                    self.grams[k] = own
         self.prefix: dict[int, list[tuple[int, int]]] = {}
+        self.look_for(np.unique(np.concatenate(self.grams)) if texts else np.zeros(0, np.uint64))
+
+    def look_for(self, hashes: np.ndarray) -> None:
+        self.all = hashes
+        # most shingles of a text are told apart by these bits alone
+        self.bits = np.zeros(1 << 22, bool)
+        self.bits[self.all >> np.uint64(42)] = True
 
     def order(self, frequency: np.ndarray) -> None:
         """Choose each window's rarest shingle (the first of equals)."""
         first = [int(np.argmin(frequency[np.searchsorted(self.all, g)])) for g in self.grams]
-        self.prefix = {}
         for k, at in enumerate(first):
             self.prefix.setdefault(int(self.grams[k][at]), []).append((k, at))
-        self.all = np.unique(np.fromiter(self.prefix, np.uint64, len(self.prefix)))
+        self.look_for(np.unique(np.fromiter(self.prefix, np.uint64, len(self.prefix))))
 
-
-def _found(h: np.ndarray, known: np.ndarray) -> np.ndarray:
-    at = np.searchsorted(known, h)
-    return np.flatnonzero(known[np.minimum(at, len(known) - 1)] == h)
+    def hits(self, words: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places in ``all`` and first words, per size, of shingles it has."""
+        for n in self.sizes:
+            hashes, at = words.grams(n)
+            some = np.flatnonzero(self.bits[hashes >> np.uint64(42)])
+            place = np.minimum(np.searchsorted(self.all, hashes[some]), len(self.all) - 1)
+            good = self.all[place] == hashes[some]
+            yield place[good], at[some[good]]
 
 
 def _frequencies(docs: DataFrame, shared, n: int) -> np.ndarray:
     """Documents that hold each of the block's shingles, over all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, cache = shared.value, _Hashes()
+        block = shared.value
         counts = np.zeros(len(block.all), np.int64)
         for b in batches:
-            for text in b.column(0).to_pylist():
-                w = words(text)
-                h = np.fromiter((cache[x] for x in w), np.uint64, len(w))
-                for size in block.sizes:
-                    g = _grams(h, size)
-                    if len(g):
-                        counts[np.searchsorted(block.all, np.unique(g[_found(g, block.all)]))] += 1
+            for part in in_blocks(b.column(0).to_pylist(), lambda t: len(t or ""), BLOCK_BYTES):
+                words = Words([utf8(t) for t in part])
+                for place, at in block.hits(words):
+                    # once per text
+                    counts += np.bincount(np.unique(words.text[at] * len(block.all) + place) % len(block.all), minlength=len(block.all))
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["at", "n"])
 
@@ -133,26 +176,23 @@ def _probe(docs: DataFrame, shared, id_type: str, with_text: bool) -> DataFrame:
     for a caller that reads it again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, cache = shared.value, _Hashes()
+        block = shared.value
         for b in batches:
             rows = list(zip(*[b.column(i).to_pylist() for i in range(4)], strict=True))
             for part in in_blocks(rows, lambda r: len(r[1] or ""), BLOCK_BYTES):
-                out = []
-                for doc, text, hits, items in part:
-                    w = words(text)
-                    h = np.fromiter((cache[x] for x in w), np.uint64, len(w))
-                    spans, ids = [tuple(x) for x in hits], set(items)
-                    for size in block.sizes:
-                        g = _grams(h, size)
-                        if not len(g):
-                            continue
-                        for p in _found(g, block.all).tolist():
-                            for k, at in block.prefix[int(g[p])]:
-                                win, start = block.windows[k], p - at
-                                if start >= 0 and start + len(win) <= len(w) and w[start : start + len(win)] == win:
-                                    spans.append((start, start + len(win)))
-                                    ids.update(block.items[b" ".join(win)])
-                    out.append((doc, len(w), _merged(spans), sorted(ids), text)[: len(names)])
+                words = Words([utf8(r[1]) for r in part])
+                found = [([tuple(x) for x in hits], set(items)) for _, _, hits, items in part]
+                for place, at in block.hits(words):
+                    for g, p in zip(block.all[place].tolist(), at.tolist(), strict=True):
+                        text = words.text[p]
+                        first = int(words.first[text])
+                        for k, inner in block.prefix[g]:
+                            win, start = block.windows[k], p - inner
+                            if start >= first and words.holds(start, win):
+                                found[text][0].append((start - first, start - first + len(win)))
+                                found[text][1].update(block.items[b" ".join(win)])
+                n_words = np.diff(words.first[: len(part) + 1]).tolist()
+                out = [(r[0], n, _merged(spans), sorted(ids), r[1])[: len(names)] for r, n, (spans, ids) in zip(part, n_words, found, strict=True)]
                 cols = list(zip(*out, strict=True))
                 kinds = [b.schema.field(0).type, pa.int64(), pa.list_(pa.list_(pa.int64())), pa.list_(pa.string()), b.schema.field(1).type]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
