@@ -3,8 +3,10 @@
 A text becomes its lower-cased letters, every run of other characters one
 blank.  Its character 2-, 3- and 4-grams are hashed into ``DIM`` buckets.
 Training sums bucket counts per language with one distributed aggregation; the
-log-probability matrix (languages x DIM) is broadcast, and scoring multiplies
-each text's sparse bucket counts with it in numpy.
+log-probability matrix (languages x DIM) is broadcast, and the sparse bucket
+counts of a batch of texts (text, bucket, count) are multiplied with it in
+numpy.  More than ``BLOCK_LANGS`` languages are scored block by block, a
+running best and a running sum per text.
 """
 
 from __future__ import annotations
@@ -19,12 +21,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyspark.llm.common import small_batches
+from tallyspark.llm.common import in_blocks, materialised, small_batches
 
 DIM = 1 << 15
 ORDERS = (2, 3, 4)
-#: the matrix is collected and broadcast: at most so many languages (128 MB)
-MAX_LANGS = 512
+#: languages whose part of the matrix is collected and broadcast at once (128 MB)
+BLOCK_LANGS = 512
+#: languages whose counts a training task holds before it hands them on
+HELD_LANGS = 128
+#: texts whose bucket counts are one sparse matrix, and entries multiplied at once
+BATCH_TEXTS = 32
+BATCH_ENTRIES = 1 << 16
 #: added to every count
 SMOOTHING = 0.1
 #: a long text is folded into its bucket counts in pieces of so many characters
@@ -53,43 +60,85 @@ def letters(text: str) -> np.ndarray:
     return np.concatenate(([0], low[keep], [0])).astype(np.uint64)
 
 
+def _hashed(s: np.ndarray) -> Iterator[np.ndarray]:
+    """Buckets of the n-grams of every order; entry i starts at ``s[i]``."""
+    h = s * np.uint64(0x9E3779B97F4A7C15)
+    for n in range(2, max(ORDERS) + 1):
+        if len(h) < 2:
+            break
+        h = (h[:-1] ^ (h[:-1] >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + s[n - 1 :] * np.uint64(0x94D049BB133111EB)
+        if n in ORDERS:
+            mixed = (h ^ (h >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+            yield (mixed >> np.uint64(49)).astype(np.int64)
+
+
 def bucket_counts(text: str | None) -> np.ndarray | None:
     """Counts of the hashed n-grams; None for a text without a letter."""
-    if not text:
-        return None
-    counts, any_letter = np.zeros(DIM, dtype=np.int64), False
-    for at in range(0, len(text), PIECE):
-        # a piece takes the next characters along, so no n-gram is lost
-        s = letters(text[at : at + PIECE + max(ORDERS) - 1])
-        if not s.any():
+    found = batch_counts([text])
+    return found[0] if found is not None else None
+
+
+def batch_counts(texts: list[str | None]) -> np.ndarray | None:
+    """Texts x DIM counts of the hashed n-grams (a row of zeros for a text
+    without a letter); None where no text has one."""
+    counts = None
+    pieces = ((k, t[at : at + PIECE + max(ORDERS) - 1]) for k, t in enumerate(texts) for at in range(0, len(t or ""), PIECE))
+    # a piece takes the next characters along, so no n-gram is lost
+    for part in in_blocks(list(pieces), lambda p: len(p[1]), PIECE):
+        runs = [letters(p) for _, p in part]
+        some = [(k, r) for (k, _), r in zip(part, runs, strict=True) if r.any()]
+        if not some:
             continue
-        any_letter = True
-        h = s * np.uint64(0x9E3779B97F4A7C15)
-        for n in range(2, max(ORDERS) + 1):
-            if len(h) < 2:
-                break
-            h = (h[:-1] ^ (h[:-1] >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + s[n - 1 :] * np.uint64(0x94D049BB133111EB)
-            if n in ORDERS:
-                mixed = (h ^ (h >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
-                counts += np.bincount((mixed >> np.uint64(49)).astype(np.int64), minlength=DIM)
-    return counts if any_letter else None
+        if counts is None:
+            counts = np.zeros(len(texts) * DIM, np.int64)
+        s = np.concatenate([r for _, r in some])
+        of = np.repeat(np.arange(len(some)), [len(r) for _, r in some])
+        row = np.array([k for k, _ in some], np.int64) * DIM
+        for bucket in _hashed(s):
+            last = of[len(s) - len(bucket) :]
+            own = of[: len(bucket)] == last  # not over the end of a text
+            counts += np.bincount(row[last[own]] + bucket[own], minlength=len(counts))
+    return None if counts is None else counts.reshape(len(texts), DIM)
 
 
 @dataclass(frozen=True)
-class Model:
+class Block:
     langs: list[str]
     #: DIM x languages
     log_prob: np.ndarray
     log_prior: np.ndarray
 
-    def score(self, text: str | None) -> tuple[str, float]:
-        counts = bucket_counts(text)
-        if counts is None or not self.langs:
-            return UND, 0.0
-        at = np.flatnonzero(counts)
-        logits = counts[at] @ self.log_prob[at] + self.log_prior
-        best = int(np.argmax(logits))
-        return self.langs[best], float(1.0 / np.exp(logits - logits[best]).sum())
+    def logits(self, counts: np.ndarray) -> np.ndarray:
+        """Texts x languages: the sparse counts times the matrix."""
+        text, bucket = np.nonzero(counts)
+        n = counts[text, bucket].astype(float)
+        out = np.tile(self.log_prior, (len(counts), 1))
+        step = max(1, BATCH_ENTRIES * 4 // max(4, len(self.langs)))
+        for lo in range(0, len(n), step):
+            rows, first = np.unique(text[lo : lo + step], return_index=True)
+            out[rows] += np.add.reduceat(n[lo : lo + step, None] * self.log_prob[bucket[lo : lo + step]], first, axis=0)
+        return out
+
+
+@dataclass(frozen=True)
+class Model:
+    langs: list[str]
+    #: documents and n-grams of every language
+    docs: np.ndarray
+    grams: np.ndarray
+    #: (lang, bucket, n), a written table
+    sums: DataFrame | None
+
+    def blocks(self) -> Iterator[Block]:
+        for lo in range(0, len(self.langs), BLOCK_LANGS):
+            langs = self.langs[lo : lo + BLOCK_LANGS]
+            rows = self.sums if len(self.langs) <= BLOCK_LANGS else self.sums.where(F.col("lang").between(langs[0], langs[-1]))
+            table = rows.where("bucket >= 0").toPandas()
+            counts = np.full((DIM, len(langs)), SMOOTHING)
+            col = table["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy(dtype=np.int64)
+            counts[table["bucket"].to_numpy(dtype=np.int64), col] += table["n"].to_numpy(dtype=np.int64)
+            total = self.grams[lo : lo + BLOCK_LANGS] + SMOOTHING * DIM
+            yield Block(langs, np.log(counts / total), np.log(self.docs[lo : lo + BLOCK_LANGS] / self.docs.sum()))
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -101,80 +150,95 @@ def held_out(id_col: str = "doc_id") -> Column:
 def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
     """Learn from every row with a language and a letter.
 
-    The model has one row of counts per language and bucket, so what reaches
-    the driver is bounded by MAX_LANGS x DIM; more languages raise.  No usable
-    row gives a model without languages, which answers ``und`` only.
+    Counts per language and bucket are a written table.  The driver reads the
+    names of the languages, and the counts of ``BLOCK_LANGS`` of them at once.
+    No usable row gives a model without languages, which answers ``und`` only.
     """
     small_batches(labelled.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         docs: dict[str, int] = {}
+
+        def flushed() -> Iterator[pa.RecordBatch]:
+            for lang, counts in sums.items():
+                at = np.flatnonzero(counts)
+                # bucket -1 carries the number of documents
+                cols = [pa.array([lang] * (len(at) + 1), pa.string()), pa.array(np.append(at, -1).astype(np.int32)), pa.array(np.append(counts[at], docs[lang]))]
+                yield pa.RecordBatch.from_arrays(cols, names=["lang", "bucket", "n"])
+            sums.clear()
+            docs.clear()
+
         for b in batches:
-            for text, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                counts = bucket_counts(text)
-                if counts is None:
-                    continue
-                if lang in sums:
-                    sums[lang] += counts
-                else:
-                    if len(sums) >= MAX_LANGS:
-                        raise ValueError(f"more than {MAX_LANGS} languages")
-                    sums[lang] = counts
-                docs[lang] = docs.get(lang, 0) + 1
-        for lang, counts in sums.items():
-            at = np.flatnonzero(counts)
-            # bucket -1 carries the number of documents
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([lang] * (len(at) + 1), pa.string()),
-                    pa.array(np.append(at, -1).astype(np.int32)),
-                    pa.array(np.append(counts[at], docs[lang])),
-                ],
-                names=["lang", "bucket", "n"],
-            )
+            rows = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+            for lo in range(0, len(rows), BATCH_TEXTS):
+                part = rows[lo : lo + BATCH_TEXTS]
+                found = batch_counts([t for t, _ in part])
+                for (_, lang), counts in zip(part, found if found is not None else (), strict=found is not None):
+                    if not counts.any():
+                        continue
+                    if lang in sums:
+                        sums[lang] += counts
+                    else:
+                        if len(sums) >= HELD_LANGS:
+                            yield from flushed()
+                        sums[lang] = counts.copy()
+                    docs[lang] = docs.get(lang, 0) + 1
+        yield from flushed()
 
     rows = labelled.where(F.col(f"`{lang_col}`").isNotNull() & F.col(f"`{text_col}`").isNotNull()).select(
         F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang")
     )
     sums = rows.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    table = sums.toPandas()
-    langs = sorted(table["lang"].unique())
-    if len(langs) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages: {len(langs)}")
-    counts, docs = np.zeros((DIM, len(langs))), np.zeros(len(langs))
-    col = table["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy(dtype=np.int64)
-    bucket, n = table["bucket"].to_numpy(), table["n"].to_numpy()
-    counts[bucket[bucket >= 0], col[bucket >= 0]] = n[bucket >= 0]
-    docs[col[bucket < 0]] = n[bucket < 0]
-    counts += SMOOTHING
-    log_prior = np.log(docs / docs.sum()) if langs else docs
-    return Model(langs, np.log(counts / counts.sum(axis=0, keepdims=True)), log_prior)
+    sums = materialised(sums, "langid-sums")
+    sizes = sums.groupBy("lang").agg(F.sum(F.when(F.col("bucket") < 0, F.col("n"))).alias("docs"), F.sum(F.when(F.col("bucket") >= 0, F.col("n"))).alias("grams"))
+    table = sizes.orderBy("lang").toPandas()
+    return Model(table["lang"].tolist(), table["docs"].to_numpy(float), table["grams"].to_numpy(float), sums)
 
 
 def identify(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``df`` with ``lang_pred`` and ``score`` (posterior of the prediction).
 
     A null text, or one without a letter, is ``und`` with score 0.  Ties go to
-    the language first in the alphabet.  Only the text is read for the
+    the language first in byte order.  Only the text is read for the
     prediction; the other columns are carried, and input columns with a
-    computed name are replaced.  An empty table gives no row.
+    computed name are replaced.  Repeated rows and ids are scored each.  An
+    empty table gives no row.  Every block of languages is one pass over the
+    texts.
     """
     spark = df.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast(model)
     kept = [c for c in df.columns if c.lower() not in ("lang_pred", "score")]
-    slim = df.select(*[F.col(f"`{c}`") for c in kept])
+    out = df.select(*[F.col(f"`{c}`") for c in kept])
     at = kept.index(text_col)
-    schema = T.StructType([*slim.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-
-    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        for b in batches:
-            found = [m.score(t) for t in b.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())],
-                names=[*b.schema.names, "lang_pred", "score"],
-            )
-
-    return slim.mapInArrow(predict, schema)
+    fields = out.schema.fields
+    # best language and its logit so far, and the sum of exp(logit - best)
+    state = [T.StructField("lang_pred", T.StringType()), T.StructField("_best", T.DoubleType()), T.StructField("_sum", T.DoubleType())]
+    out = out.select("*", F.lit(UND).alias("lang_pred"), F.lit(float("-inf")).alias("_best"), F.lit(0.0).alias("_sum"))
+
+    def step(shared):
+        def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            block = shared.value
+            for b in batches:
+                texts, lang, best, total = (c.to_pylist() for c in (b.column(at), *b.columns[len(fields) :]))
+                for lo in range(0, len(texts), BATCH_TEXTS):
+                    counts = batch_counts(texts[lo : lo + BATCH_TEXTS])
+                    if counts is None:
+                        continue
+                    logits = block.logits(counts)
+                    for k in np.flatnonzero(counts.any(axis=1)):
+                        row, i = logits[k], lo + k
+                        top = int(np.argmax(row))
+                        if row[top] > best[i]:
+                            total[i] *= np.exp(best[i] - row[top])
+                            lang[i], best[i] = block.langs[top], float(row[top])
+                        total[i] += float(np.exp(row - best[i]).sum())
+                cols = [*b.columns[: len(fields)], pa.array(lang, pa.string()), pa.array(best, pa.float64()), pa.array(total, pa.float64())]
+                yield pa.RecordBatch.from_arrays(cols, names=b.schema.names)
+
+        return predict
+
+    for block in model.blocks():
+        out = out.mapInArrow(step(spark.sparkContext.broadcast(block)), T.StructType([*fields, *state]))
+    score = F.when(F.col("_sum") > 0, 1 / F.col("_sum")).otherwise(0.0)
+    return out.select(*[F.col(f"`{c}`") for c in kept], "lang_pred", score.alias("score"))
