@@ -106,16 +106,21 @@ def _half_keys(sets: list[np.ndarray], p: Params) -> np.ndarray:
     return keys.T
 
 
-def sketches(df: DataFrame, p: Params, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, n, sig, halves) per row: set size, 128-bit digest of the set,
-    and its 2 * bands half keys; sig and halves are null for an empty set."""
+def sketches(df: DataFrame, p: Params, id_col: str, text_col: str, carry: tuple[Column, ...] = ()) -> DataFrame:
+    """(doc_id, n, sig, halves, *carry) per row: set size, 128-bit digest of
+    the set, and its 2 * bands half keys; sig and halves are null for an empty
+    set."""
     small_batches(df.sparkSession)
+    slim = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), *carry)
+    carried = slim.schema.fields[2:]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _Words()
         for b in batches:
             rows = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+            at = 0
             for block in in_blocks(rows, lambda r: len(r[1] or ""), BLOCK_BYTES):
+                own, at = b.slice(at, len(block)).columns[2:], at + len(block)
                 sets = [shingle_set(t, p.shingle, cache) for _, t in block]
                 full = [s for s in sets if len(s)]
                 halves = iter(_half_keys(full, p).view(np.int64).tolist() if full else [])
@@ -125,12 +130,13 @@ def sketches(df: DataFrame, p: Params, id_col: str, text_col: str) -> DataFrame:
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                         pa.array([next(halves) if len(s) else None for s in sets], pa.list_(pa.int64())),
+                        *own,
                     ],
-                    names=["doc_id", "n", "sig", "halves"],
+                    names=["doc_id", "n", "sig", "halves", *(f.name for f in carried)],
                 )
 
-    slim = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    return slim.mapInArrow(run, "doc_id long, n long, sig binary, halves array<long>")
+    schema = T.StructType.fromDDL("doc_id long, n long, sig binary, halves array<long>")
+    return slim.mapInArrow(run, T.StructType([*schema.fields, *carried]))
 
 
 def _sets(df: DataFrame, wanted: DataFrame, p: Params, id_col: str, text_col: str) -> DataFrame:
@@ -301,6 +307,28 @@ def _across(members: DataFrame, asked: DataFrame, sets: DataFrame, p: Params) ->
     return materialised(met, "minhash-across")
 
 
+def components(df: DataFrame, p: Params, id_col: str = "doc_id", text_col: str = "text", carry: tuple[Column, ...] = ()) -> DataFrame:
+    """(doc_id, n, sig, component, least, *carry) per row: ``component`` is
+    the digest of one set of the component and ``least`` its smallest id,
+    nulls aside; all three are null for an empty set."""
+    rows = materialised(sketches(df, p, id_col, text_col, carry), "minhash-sketches")
+    classes = (
+        rows.where("sig IS NOT NULL")
+        .groupBy("sig")
+        .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("halves").alias("halves"))
+    )
+    classes = materialised(classes, "minhash-classes")
+    links = set_links(df, classes, p, id_col, text_col)
+    ids = classes.select("sig", F.col("doc_id").alias("least"), F.col("sig").alias("component"))
+    if links is not None:
+        comps = connected_components(links)
+        of = ids.drop("component").join(comps.withColumnRenamed("node", "sig"), "sig")
+        least = of.groupBy("component").agg(F.min("least").alias("of_component"))
+        wide = of.join(least, "component").select("sig", "of_component", F.col("component").alias("joined"))
+        ids = ids.join(wide, "sig", "left").select("sig", F.coalesce("of_component", "least").alias("least"), F.coalesce("joined", "component").alias("component"))
+    return rows.drop("halves").join(ids, "sig", "left")
+
+
 def near_duplicates(df: DataFrame, p: Params, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, ``n_shingles``, ``component_id``, ``kept``.
 
@@ -312,22 +340,7 @@ def near_duplicates(df: DataFrame, p: Params, id_col: str = "doc_id", text_col:
     (null-safe comparison).  Other input columns are not read.  An empty table
     gives no row.
     """
-    rows = materialised(sketches(df, p, id_col, text_col), "minhash-sketches")
-    classes = (
-        rows.where("sig IS NOT NULL")
-        .groupBy("sig")
-        .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("halves").alias("halves"))
-    )
-    classes = materialised(classes, "minhash-classes")
-    links = set_links(df, classes, p, id_col, text_col)
-    ids = classes.select("sig", F.col("doc_id").alias("least"))
-    if links is not None:
-        comps = connected_components(links)
-        of = ids.join(comps.withColumnRenamed("node", "sig"), "sig")
-        least = of.groupBy("component").agg(F.min("least").alias("of_component"))
-        wide = of.join(least, "component").select("sig", "of_component")
-        ids = ids.join(wide, "sig", "left").select("sig", F.coalesce("of_component", "least").alias("least"))
-    out = rows.select("doc_id", "n", "sig").join(ids, "sig", "left")
+    out = components(df, p, id_col, text_col)
     component = F.when(F.col("sig").isNull(), F.col("doc_id")).otherwise(F.col("least"))
     return out.select(
         F.col("doc_id").alias(id_col),
