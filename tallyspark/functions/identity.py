@@ -82,3 +82,9 @@ def row_id(
         F.concat(date_text(date), text_or_nan(description), amount_text(amount), text_or_nan(account_name)),
         256,
     )
+
+
+def id_of_texts(date: Column | str, description: Column | str, amount_txt: Column | str, account_name: Column | str) -> Column:
+    """``row_id`` of an amount that is already its Python text.  Grouping
+    makes -0.0 and 0.0 equal, whose texts, and so ids, differ."""
+    return F.sha2(F.concat(date_text(date), text_or_nan(description), _c(amount_txt), text_or_nan(account_name)), 256)

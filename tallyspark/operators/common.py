@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.session import ensure_checkpoint_dir
+from tallyspark.session import ensure_checkpoint_dir, scratch_path
 
-# small-side tables up to this many rows are broadcast (checked by a count)
-BROADCAST_ROW_LIMIT = 2_000_000
+# Small-side tables are broadcast up to this size, as Spark would hold it.
+BROADCAST_BYTES = 48 << 20
+# bytes of a row besides its texts and arrays
+ROW_BYTES = 16
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -18,11 +22,39 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def sized_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT, bound: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only when its row count is within ``limit``;
-    otherwise leave the join to a shuffle (AQE may still split skewed
-    partitions).  ``bound``: a proven upper bound of the row count (e.g. the
-    statement row count for a table derived from the statements); without
-    it the rows are counted here (callers pass materialised tables)."""
-    n = bound if bound is not None else df.count()
-    return F.broadcast(df) if n <= limit else df
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as Parquet in the shared scratch folder: like ``checkpointed``,
+    and later reads take only the columns and row groups they need."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _bytes(df: DataFrame):
+    """Upper estimate of a row's bytes in memory."""
+    out = F.lit(ROW_BYTES)
+    for f in df.schema.fields:
+        c, kind = F.col(f"`{f.name}`"), f.dataType.typeName()
+        if kind in ("string", "binary"):
+            out = out + F.coalesce(F.octet_length(c), F.lit(0)) + 8
+        elif kind in ("array", "map", "struct"):
+            out = out + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) * 2
+        else:
+            out = out + 8
+    return out
+
+
+def size_of(df: DataFrame) -> int:
+    """Bytes of ``df`` in memory, texts included (an upper estimate); reads
+    it once, so callers pass materialised or cheap tables."""
+    return df.agg(F.sum(_bytes(df).cast("long"))).first()[0] or 0
+
+
+def sized_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES, bound: int | None = None) -> DataFrame:
+    """Broadcast ``df`` only when its bytes are within ``limit``; otherwise
+    leave the join to a shuffle, which AQE may still split.  ``bound``: a
+    proven upper bound of the bytes (that of the table ``df`` is taken from);
+    without it ``df`` is measured."""
+    size = bound if bound is not None else size_of(df)
+    return F.broadcast(df) if size <= limit else df

@@ -15,31 +15,30 @@ Spark plan
 Blocks ``(date, amount, account_name)`` never interact, so the statement
 fold runs per block:
 
-* blocks touched by one statement, and blocks where no two distinct texts
-  are similar, need no fold: one native pass (candidate join on the block
-  key plus a length band, exact length bound, UDF on survivors only,
-  ``max_by`` for last-writer-wins, id-based anti-join);
-* *contested* blocks (>= 2 statements and >= 1 similar pair) are folded
-  with ``applyInPandas`` when small; larger ones are folded statement by
-  statement with the native pass, so no group is ever collected whole.
-
-The big ledger side is only ever the probe side of joins against
+* blocks touched by one statement, and blocks with one distinct text, need no
+  fold: one native pass (candidate join on the block key plus a length band,
+  exact length bound, UDF on survivors only, ``max_by`` for last-writer-wins,
+  id-based anti-join);
+* *contested* blocks (>= 2 statements and >= 2 distinct texts) are folded in
+  rounds: round ``r`` takes the ``r``-th statement of every block at once,
+  with the same native pass.  Rows of equal id and text move together, so the
+  state of a round is a table of distinct texts, written in the shared folder;
+  a block leaves it after its last statement.
+
+Both give the same two small tables, re-descriptions by ledger id and the
+statement rows that enter, so the big ledger is read twice, for the touched
+rows and for the output.  It is only ever the probe side of joins against
 statement-sized tables; it is scanned, never shuffled on its own.
 """
 
 from __future__ import annotations
 
-import hashlib
-from decimal import Decimal
 from dataclasses import dataclass
-from difflib import SequenceMatcher
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tallyspark.functions.identity import amount_text, date_text, row_id
+from tallyspark.functions.identity import amount_text, id_of_texts, row_id
 from tallyspark.functions.similarity import (
     DEFAULT_THRESHOLD,
     length_band,
@@ -48,18 +47,16 @@ from tallyspark.functions.similarity import (
 )
 from tallyspark.schema import LEDGER, LEDGER_COLUMNS
 from tallyspark.operators.common import checkpointed as _checkpoint
-from tallyspark.operators.common import BROADCAST_ROW_LIMIT, sized_broadcast
+from tallyspark.operators.common import size_of, sized_broadcast
 
 KEYS = ["date", "amount", "account_name"]
-# blocks with more rows than this are folded by distributed steps
-DEFAULT_FOLD_GROUP_LIMIT = 5000
 
 
 @dataclass
 class MergeResult:
     ledger: DataFrame  # LEDGER columns: updated ledger plus appended rows
     added: DataFrame  # appended statement rows (LEDGER columns + file, stmt_seq, row_no)
-    updates: DataFrame  # (old_id, new_description): fuzzy re-descriptions
+    updates: DataFrame  # (old_id, new_description): re-descriptions of ledger rows
     metrics: DataFrame  # per file: parsed, merged, added
 
 
@@ -175,13 +172,13 @@ def candidate_pairs(left: DataFrame, right: DataFrame, left_text: str, right_tex
     )
 
 
-def touched_ledger(ledger: DataFrame, stmts: DataFrame, n_stmts: int | None = None) -> DataFrame:
+def touched_ledger(ledger: DataFrame, stmts: DataFrame, n_bytes: int | None = None) -> DataFrame:
     """Ledger rows the statements can affect: rows in the statements' blocks
     (semi join against the broadcast block keys, checked size) plus rows
     with a missing key part (their ids can still equal a statement id).
     Materialised: it is the small working set of the merge."""
-    blocks = stmts.where(_keys_not_null()).select(*KEYS).distinct()  # <= statement rows
-    in_blocks = ledger.join(sized_broadcast(blocks, bound=n_stmts), on=KEYS, how="left_semi")
+    blocks = stmts.where(_keys_not_null()).select(*KEYS).distinct()  # within the statements' bytes
+    in_blocks = ledger.join(sized_broadcast(blocks, bound=n_bytes), on=KEYS, how="left_semi")
     null_keys = ledger.where(~_keys_not_null())
     return _checkpoint(in_blocks.unionByName(null_keys))
 
@@ -189,6 +186,19 @@ def touched_ledger(ledger: DataFrame, stmts: DataFrame, n_stmts: int | None = No
 MODES = ("reference", "protect_exact")
 
 
+def _without_exact(lt: DataFrame, nt: DataFrame, mode: str) -> tuple[DataFrame, DataFrame]:
+    """``mode="protect_exact"``: texts that both sides of a block have take
+    no part in re-description."""
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}")
+    if mode == "reference":
+        return lt, nt
+    same = lt.select(*KEYS, F.col("l_desc").alias("t")).join(
+        nt.select(*KEYS, F.col("n_desc").alias("t")), on=KEYS + ["t"], how="left_semi")
+    return (lt.join(same.withColumnRenamed("t", "l_desc"), on=KEYS + ["l_desc"], how="left_anti"),
+            nt.join(same.withColumnRenamed("t", "n_desc"), on=KEYS + ["n_desc"], how="left_anti"))
+
+
 def fuzzy_updates(touched: DataFrame, stmts: DataFrame, threshold: float = DEFAULT_THRESHOLD,
                   mode: str = "reference") -> DataFrame:
     """One row per re-described ledger id: (l_id, new_desc, merged,
@@ -199,14 +209,7 @@ def fuzzy_updates(touched: DataFrame, stmts: DataFrame, threshold: float = DEFAU
     exactly, and a statement text already in the ledger, take no part in
     re-description (two real, similar transactions of one day and amount
     then keep their own descriptions)."""
-    if mode not in MODES:
-        raise ValueError(f"mode must be one of {MODES}")
-    lt, nt = _ledger_texts(touched), _new_texts(stmts)
-    if mode == "protect_exact":
-        same = lt.select(*KEYS, F.col("l_desc").alias("t")).join(
-            nt.select(*KEYS, F.col("n_desc").alias("t")), on=KEYS + ["t"], how="left_semi")
-        lt = lt.join(same.withColumnRenamed("t", "l_desc"), on=KEYS + ["l_desc"], how="left_anti")
-        nt = nt.join(same.withColumnRenamed("t", "n_desc"), on=KEYS + ["n_desc"], how="left_anti")
+    lt, nt = _without_exact(_ledger_texts(touched), _new_texts(stmts), mode)
     pairs = candidate_pairs(lt, nt, "l_desc", "n_desc", threshold)
     pairs = pairs.where(similar_at_least(F.col("l_desc"), F.col("n_desc"), F.lit(float(threshold))))
     return pairs.groupBy("l_id").agg(
@@ -228,23 +231,23 @@ def apply_updates(ledger: DataFrame, updates: DataFrame) -> DataFrame:
     return out.select(*LEDGER_COLUMNS)
 
 
-def first_statement_rows(stmts: DataFrame, n_stmts: int | None = None) -> DataFrame:
+def first_statement_rows(stmts: DataFrame, n_bytes: int | None = None) -> DataFrame:
     """An id enters with the first statement holding it; all duplicates of
     that statement stay.  A map-side-combined aggregate per id, broadcast
     back behind the statement-count bound: no window, no hot-id task."""
-    first = stmts.groupBy("id").agg(F.min("stmt_seq").alias("_first"))  # <= statement rows
-    first = sized_broadcast(first, bound=n_stmts)
+    first = stmts.groupBy("id").agg(F.min("stmt_seq").alias("_first"))  # within the statements' bytes
+    first = sized_broadcast(first, bound=n_bytes)
     return stmts.join(first, on="id").where(F.col("stmt_seq") == F.col("_first")).drop("_first")
 
 
-def new_rows(ledger_ids: DataFrame, stmts: DataFrame, n_stmts: int | None = None) -> DataFrame:
+def new_rows(ledger_ids: DataFrame, stmts: DataFrame, n_bytes: int | None = None) -> DataFrame:
     """Statement rows whose id is not in the ledger.
 
     The ledger is reduced to the ids the statements carry first (semi join,
     statement side is the small build side), so the anti join never
     shuffles the whole ledger."""
-    ids = stmts.select("id").distinct()  # <= statement rows
-    present = ledger_ids.select("id").join(sized_broadcast(ids, bound=n_stmts), on="id", how="left_semi")
+    ids = stmts.select("id").distinct()  # within the statements' bytes
+    present = ledger_ids.select("id").join(sized_broadcast(ids, bound=n_bytes), on="id", how="left_semi")
     return stmts.join(present, on="id", how="left_anti")
 
 
@@ -252,170 +255,85 @@ def new_rows(ledger_ids: DataFrame, stmts: DataFrame, n_stmts: int | None = None
 # fold of contested blocks
 # ---------------------------------------------------------------------------
 
-_FOLD_OUT = T.StructType(
-    [T.StructField(f.name, f.dataType) for f in LEDGER.fields]
-    + [
-        T.StructField("_kind", T.StringType()),
-        T.StructField("file", T.StringType()),
-        T.StructField("stmt_seq", T.StringType()),
-        T.StructField("row_no", T.LongType()),
-        T.StructField("_added", T.BooleanType()),
-        T.StructField("_merged", T.LongType()),
-    ]
-)
-
-
-def _fold_block(threshold: float, mode: str = "reference", numeric: bool = False):
-    """Grouped-map function: folds every block of a bucket (blocks are at
-    most ``fold_group_limit`` rows; a bucket holds a bounded number of rows
-    on average, so the per-call overhead is shared by many blocks)."""
-    out_cols = [f.name for f in _FOLD_OUT.fields]
-
-    def _hash(date_txt, desc, amt_txt, acct):
-        txt = f"{date_txt}{'nan' if desc is None else desc}{amt_txt}{'nan' if acct is None else acct}"
-        return hashlib.sha256(txt.encode()).hexdigest()
-
-    def fold_one(rows: list[dict]) -> list[dict]:
-        led = [r for r in rows if r["_kind"] == "L"]
-        for r in led:
-            r["_added"], r["_merged"] = False, 0
-        stmt_rows = sorted((r for r in rows if r["_kind"] == "S"), key=lambda r: (Decimal(r["stmt_seq"]) if numeric else r["stmt_seq"], r["row_no"]))
-        out_stmt = []
-        i = 0
-        while i < len(stmt_rows):
-            j = i
-            while j < len(stmt_rows) and stmt_rows[j]["stmt_seq"] == stmt_rows[i]["stmt_seq"]:
-                j += 1
-            batch = stmt_rows[i:j]
-            i = j
-            before = [r["description"] for r in led]
-            after = list(before)
-            if mode == "protect_exact":
-                stmt_texts = {r["description"] for r in batch}
-                led_texts = set(before)
-            for r in batch:
-                r["_merged"] = 0
-                nd = r["description"]
-                if nd is None:
-                    continue
-                if mode == "protect_exact" and nd in led_texts:
-                    continue
-                sm = SequenceMatcher(None)
-                sm.set_seq2(nd)  # the new text is analysed once per row
-                for k, od in enumerate(before):
-                    if od is None or od == nd:
-                        continue
-                    if mode == "protect_exact" and od in stmt_texts:
-                        continue
-                    sm.set_seq1(od)
-                    # exact upper bounds first, the full ratio only when needed
-                    if (sm.real_quick_ratio() >= threshold and sm.quick_ratio() >= threshold
-                            and sm.ratio() >= threshold):
-                        after[k] = nd
-                        r["_merged"] += 1
-            for k, r in enumerate(led):
-                if after[k] != before[k]:
-                    r["description"] = after[k]
-                    r["id"] = _hash(r["_date_txt"], r["description"], r["_amt_txt"], r["account_name"])
-            present = {r["id"] for r in led}
-            for r in batch:
-                r["_added"] = r["id"] not in present
-            led.extend(r for r in batch if r["_added"])
-            out_stmt.extend(r for r in batch if not r["_added"])
-        return led + out_stmt
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        recs = pdf.astype(object).where(pd.notna(pdf), None).to_dict("records")
-        blocks: dict = {}
-        for r in recs:
-            blocks.setdefault((r["date"], r["amount"], r["account_name"]), []).append(r)
-        out = []
-        for rows in blocks.values():
-            out.extend(fold_one(rows))
-        res = pd.DataFrame(out, columns=list(pdf.columns) + ["_added", "_merged"])
-        res["_merged"] = res["_merged"].fillna(0).astype("int64")
-        res["_added"] = res["_added"].fillna(False).astype(bool)
-        return res[out_cols]
-
-    return fold
-
-
-def _fold_input(ledger: DataFrame, stmts: DataFrame) -> DataFrame:
-    lrows = ledger.select(
-        F.lit("L").alias("_kind"), *LEDGER_COLUMNS,
-        F.lit(None).cast("string").alias("file"), F.lit(None).cast("string").alias("stmt_seq"),
-        F.lit(None).cast("long").alias("row_no"),
-    )
-    srows = stmts.select(
-        F.lit("S").alias("_kind"), "date", "account_name", "tran_type",
-        F.lit(None).cast("string").alias("category"), F.lit(None).cast("string").alias("tag"),
-        "description", F.lit(None).cast("string").alias("notes"), "currency", "amount", "id",
-        "file", F.col("stmt_seq").cast("string").alias("stmt_seq"), "row_no",
-    )
-    both = lrows.unionByName(srows)
-    return both.withColumn("_date_txt", date_text("date")).withColumn("_amt_txt", amount_text("amount"))
-
-
-# target rows per grouped-map call when folding small contested blocks
-FOLD_ROWS_PER_CALL = 4000
-
-
-def _fold_small(ledger: DataFrame, stmts: DataFrame, threshold: float, n_rows: int,
-                mode: str = "reference") -> DataFrame:
-    """Fold small contested blocks: rows are grouped by a hash bucket of the
-    block key; the bucket count grows with the rows, so a call handles
-    ~FOLD_ROWS_PER_CALL rows whatever the total."""
-    # statement numbers keep their own order where the text form would not
-    numeric = isinstance(stmts.schema["stmt_seq"].dataType, T.NumericType)
-    inp = _fold_input(ledger, stmts)
-    n_buckets = max(1, -(-n_rows // FOLD_ROWS_PER_CALL))
-    inp = inp.withColumn("_bucket", F.pmod(F.xxhash64(*KEYS), F.lit(n_buckets)))
-    return inp.groupBy("_bucket").applyInPandas(_fold_block(threshold, mode, numeric), schema=_FOLD_OUT)
-
-
-# ---------------------------------------------------------------------------
-# single pass (no fold needed)
-# ---------------------------------------------------------------------------
-
-def _single_pass(ledger: DataFrame, stmts: DataFrame, threshold: float, first_wins: bool,
-                 mode: str = "reference", n_stmts: int | None = None):
-    """Returns (ledger', added, updates).  ``stmts`` must not hold a
-    contested block.  The full ledger is read once for the output (a
-    broadcast join with the updates); everything else works on the
-    touched rows."""
-    if n_stmts is None:
-        n_stmts = stmts.count()
-    touched = touched_ledger(ledger, stmts, n_stmts)
-    updates = _checkpoint(fuzzy_updates(touched, stmts, threshold, mode))
-    led2 = apply_updates(ledger, updates)
-    cand = first_statement_rows(stmts, n_stmts) if first_wins else stmts
-    added = new_rows(apply_updates(touched, updates), cand, n_stmts)
-    return led2, added, updates
-
-
-def _fold_large(ledger: DataFrame, stmts: DataFrame, threshold: float, mode: str = "reference"):
-    """Fold big contested blocks statement by statement with the native pass;
-    lineage is cut after each step.  Steps = statements touching them."""
-    seqs = [r[0] for r in stmts.select("stmt_seq").distinct().orderBy("stmt_seq").collect()]
-    state = ledger
-    added_all = None
-    upd_all = None
-    for s in seqs:
-        sk = stmts.where(F.col("stmt_seq") == F.lit(s))
-        led2, added, updates = _single_pass(state, sk, threshold, first_wins=False, mode=mode)
-        added = _checkpoint(added)
-        state = _checkpoint(led2.unionByName(_to_ledger_rows(added)))
-        added_all = added if added_all is None else added_all.unionByName(added)
-        u = updates.select("l_id", "new_desc", "merged", "n_file")
-        upd_all = u if upd_all is None else upd_all.unionByName(u)
-    return state, added_all, upd_all
+_NODE = ["date", "amount", "account_name", "origin", "added_by", "id", "description", "amount_txt", "n"]
+
+
+def _ranked(stmts: DataFrame) -> DataFrame:
+    """Distinct (block, statement, id, description) of statement rows with
+    the statement's dense rank in its block, the last row holding the text,
+    the number of rows and the file."""
+    texts = stmts.withColumn("amount_txt", amount_text("amount")).groupBy(*KEYS, "stmt_seq", "id", "description", "amount_txt").agg(
+        F.max("row_no").alias("n_last"), F.count(F.lit(1)).alias("n_cnt"), F.max("file").alias("n_file"))
+    # ranks of the block's statements, not of its rows: one row per statement
+    seqs = stmts.select(*KEYS, "stmt_seq").distinct()
+    block = Window.partitionBy(*KEYS)
+    seqs = seqs.withColumn("rank", F.row_number().over(block.orderBy("stmt_seq"))) \
+        .withColumn("n_ranks", F.count(F.lit(1)).over(block))
+    return texts.join(seqs, on=KEYS + ["stmt_seq"])
+
+
+def fold_rounds(touched: DataFrame, stmts: DataFrame, threshold: float,
+                mode: str = "reference") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Fold of contested blocks.  ``touched`` and ``stmts`` hold the ledger
+    and statement rows of those blocks.  Returns
+
+    * (l_id, new_desc): ledger rows whose text ends up another one;
+    * the statement rows that enter, with their final description and id;
+    * (n_file, merged): matched (ledger row, statement row) pairs per file.
+    """
+    turns = _checkpoint(_ranked(stmts))
+    rounds = turns.agg(F.max("n_ranks")).first()[0] or 0
+    ledger_ids = touched.withColumn("amount_txt", amount_text("amount")).groupBy(*KEYS, "id", "description", "amount_txt").agg(
+        F.count(F.lit(1)).alias("n"))
+    seq_type = stmts.schema["stmt_seq"].dataType
+    ends = turns.select(*KEYS, "n_ranks").distinct()
+    state = _checkpoint(ledger_ids.withColumn("origin", F.col("id")).withColumn("added_by", F.lit(None).cast(seq_type)).select(*_NODE))
+    done, pairs_of = [], []
+    for r in range(1, rounds + 1):
+        now = turns.where(F.col("rank") == r)
+        old = state.where(F.col("description").isNotNull())
+        new = now.where(F.col("description").isNotNull())
+        lft = old.groupBy(*KEYS, F.col("description").alias("l_desc")).agg(F.sum("n").alias("l_n"))
+        rgt = new.groupBy(*KEYS, F.col("description").alias("n_desc")).agg(
+            F.max("n_last").alias("n_last"), F.sum("n_cnt").alias("n_cnt"), F.max("n_file").alias("n_file"))
+        lft, rgt = _without_exact(lft, rgt, mode)
+        pairs = candidate_pairs(lft, rgt, "l_desc", "n_desc", threshold)
+        pairs = pairs.where(similar_at_least(F.col("l_desc"), F.col("n_desc"), F.lit(float(threshold))))
+        moved = _checkpoint(pairs.groupBy(*KEYS, "l_desc").agg(
+            F.max_by("n_desc", "n_last").alias("new_desc"),
+            F.max("n_file").alias("n_file"),
+            F.sum(F.col("l_n") * F.col("n_cnt")).alias("merged")))
+        pairs_of.append(moved.select("n_file", "merged"))
+        # a null text never moves: plain equality leaves it out
+        after = state.join(moved.select(*KEYS, F.col("l_desc").alias("description"), "new_desc"), on=KEYS + ["description"], how="left")
+        text = F.coalesce("new_desc", "description")
+        after = after.withColumn("id", F.when(F.col("new_desc").isNotNull(), id_of_texts("date", text, "amount_txt", "account_name")).otherwise(F.col("id")))
+        after = after.withColumn("description", text).select(*_NODE)
+        enter = now.join(after.select(*KEYS, "id").distinct(), on=KEYS + ["id"], how="left_anti").select(
+            *KEYS, F.col("id").alias("origin"), F.col("stmt_seq").alias("added_by"), "id", "description", "amount_txt", F.col("n_cnt").alias("n"))
+        state = _checkpoint(after.unionByName(enter).join(ends, on=KEYS).withColumn("open", F.col("n_ranks") > r).drop("n_ranks"))
+        done.append(state.where(~F.col("open")).select(*_NODE))
+        state = state.where("open").select(*_NODE)
+    nodes = done[0]
+    for d in done[1:]:
+        nodes = nodes.unionByName(d)
+    merged = pairs_of[0]
+    for m in pairs_of[1:]:
+        merged = merged.unionByName(m)
+    changed = nodes.where(F.col("added_by").isNull() & (F.col("id") != F.col("origin"))).select(
+        F.col("origin").alias("l_id"), F.col("description").alias("new_desc"))
+    final = nodes.where(F.col("added_by").isNotNull()).select(
+        *KEYS, F.col("origin").alias("id"), F.col("added_by").alias("stmt_seq"), F.col("id").alias("new_id"), F.col("description").alias("new_desc"))
+    entered = stmts.join(final, on=KEYS + ["id", "stmt_seq"]).withColumn("description", F.col("new_desc")) \
+        .withColumn("id", F.col("new_id")).select(*stmts.columns)
+    return changed, entered, merged.groupBy("n_file").agg(F.sum("merged").alias("merged"))
 
 
 # ---------------------------------------------------------------------------
 # public entry points
 # ---------------------------------------------------------------------------
 
-def contested_blocks(ledger: DataFrame, stmts: DataFrame, n_stmts: int | None = None) -> DataFrame:
+def contested_blocks(touched: DataFrame, stmts: DataFrame, n_bytes: int | None = None) -> DataFrame:
     """Blocks that need the sequential fold: >= 2 statements and >= 2
     distinct texts among the block's ledger and statement rows.  Any other
     block gives the same result in one pass (with one statement the fold is
@@ -426,7 +344,7 @@ def contested_blocks(ledger: DataFrame, stmts: DataFrame, n_stmts: int | None =
         .agg(F.countDistinct("stmt_seq").alias("n_seq"))
         .where(F.col("n_seq") >= 2).select(*KEYS)
     )
-    lt = ledger.join(sized_broadcast(multi, bound=n_stmts), on=KEYS, how="left_semi").select(*KEYS, "description")
+    lt = touched.join(sized_broadcast(multi, bound=n_bytes), on=KEYS, how="left_semi").select(*KEYS, "description")
     st = stmts.join(multi, on=KEYS, how="left_semi").select(*KEYS, "description")
     texts = lt.unionByName(st).where(F.col("description").isNotNull())
     return (
@@ -441,7 +359,6 @@ def merge_batch(
     threshold: float = DEFAULT_THRESHOLD,
     order_col: str = "stmt_seq",
     single_statement: bool = False,
-    fold_group_limit: int = DEFAULT_FOLD_GROUP_LIMIT,
     mode: str = "reference",
     trust_ledger_ids: bool = False,
 ) -> MergeResult:
@@ -450,74 +367,35 @@ def merge_batch(
     # statements are the new (small) side and are used by every step below:
     # materialise them once in the shared checkpoint folder
     stmts = _checkpoint(prepare_statements(stmts, order_col))
-    n_stmts = stmts.count()  # bounds every statement-derived table below
+    n_bytes = size_of(stmts)  # bounds every table of statement keys and ids below
+    touched = touched_ledger(ledger, stmts, n_bytes)  # all later steps read this, not the ledger
     if not single_statement:
         # one statement in the batch: no fold is possible (tiny aggregate)
         single_statement = (stmts.agg(F.countDistinct("stmt_seq")).first()[0] or 0) <= 1
-
-    if single_statement:
-        led2, added, updates = _single_pass(ledger, stmts, threshold, first_wins=False, mode=mode, n_stmts=n_stmts)
-        fold_led = fold_added = fold_upd = None
-    else:
-        contested = _checkpoint(contested_blocks(ledger, stmts, n_stmts))  # small; reused four times
-        n_contested = contested.count()
-        contested = F.broadcast(contested) if n_contested <= BROADCAST_ROW_LIMIT else contested
-    if not single_statement and n_contested == 0:
-        # no block needs the sequential fold: one pass, first statement wins
-        led2, added, updates = _single_pass(ledger, stmts, threshold, first_wins=True, mode=mode, n_stmts=n_stmts)
-        fold_led = fold_added = fold_upd = None
-    elif not single_statement:
-        plain_stmts = stmts.join(contested, on=KEYS, how="left_anti")
-        fold_stmts = stmts.join(contested, on=KEYS, how="left_semi")
-        plain_ledger = ledger.join(contested, on=KEYS, how="left_anti")
-        fold_ledger = ledger.join(contested, on=KEYS, how="left_semi")
-        led2, added, updates = _single_pass(plain_ledger, plain_stmts, threshold, first_wins=True, mode=mode,
-                                            n_stmts=n_stmts)
-
-        sizes = (
-            fold_ledger.select(*KEYS).unionByName(fold_stmts.select(*KEYS))
-            .groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_n"))
-        )
-        sizes = _checkpoint(sizes)  # one row per contested block
-        big = sizes.where(F.col("_n") > fold_group_limit).select(*KEYS)
-        n_small = sizes.where(F.col("_n") <= fold_group_limit).agg(F.sum("_n")).first()[0] or 0
-        small_out = _fold_small(
-            fold_ledger.join(big, on=KEYS, how="left_anti"),
-            fold_stmts.join(big, on=KEYS, how="left_anti"),
-            threshold, int(n_small), mode,
-        )
-        small_out = _checkpoint(small_out)
-        fold_led = small_out.where((F.col("_kind") == "L") | F.col("_added")).select(*LEDGER_COLUMNS)
-        fold_added = small_out.where(F.col("_added")).select(*LEDGER_COLUMNS, "file", "stmt_seq", "row_no")
-        fold_upd = small_out.where(F.col("_kind") == "S").select(
-            F.lit(None).cast("string").alias("l_id"), F.lit(None).cast("string").alias("new_desc"),
-            F.col("_merged").alias("merged"), F.col("file").alias("n_file"),
-        )
-        if not big.isEmpty():
-            big_led, big_added, big_upd = _fold_large(
-                fold_ledger.join(big, on=KEYS, how="left_semi"),
-                fold_stmts.join(big, on=KEYS, how="left_semi"),
-                threshold, mode,
-            )
-            fold_led = fold_led.unionByName(big_led)
-            fold_added = fold_added.unionByName(_added_rows(big_added))
-            fold_upd = fold_upd.unionByName(big_upd)
-
+    plain, plain_touched, fold = stmts, touched, None
+    if not single_statement:
+        contested = _checkpoint(contested_blocks(touched, stmts, n_bytes))
+        if not contested.isEmpty():
+            plain = stmts.join(contested, on=KEYS, how="left_anti")
+            plain_touched = touched.join(contested, on=KEYS, how="left_anti")
+            fold = fold_rounds(touched.join(contested, on=KEYS, how="left_semi"),
+                               stmts.join(contested, on=KEYS, how="left_semi"), threshold, mode)
+
+    updates = _checkpoint(fuzzy_updates(plain_touched, plain, threshold, mode))
+    cand = plain if single_statement else first_statement_rows(plain, n_bytes)
+    added = new_rows(apply_updates(plain_touched, updates), cand, n_bytes)
+    merged = updates.select("n_file", "merged")
+    changed = updates.select("l_id", "new_desc")
+    if fold is not None:
+        changed = _checkpoint(changed.unionByName(fold[0]))
+        added = added.unionByName(fold[1])
+        merged = merged.unionByName(fold[2])
     added_rows = _added_rows(added)
-    out_ledger = led2.unionByName(_to_ledger_rows(added))
-    upd_pairs = updates.select("l_id", "new_desc", "merged", "n_file")
-    if fold_led is not None:
-        out_ledger = out_ledger.unionByName(fold_led)
-        added_rows = added_rows.unionByName(fold_added)
-        upd_pairs = upd_pairs.unionByName(fold_upd)
-
-    metrics = run_metrics(stmts, upd_pairs, added_rows)
     return MergeResult(
-        ledger=out_ledger,
+        ledger=apply_updates(ledger, changed).unionByName(_to_ledger_rows(added)),
         added=added_rows,
-        updates=upd_pairs.where(F.col("l_id").isNotNull()).select(
-            F.col("l_id").alias("old_id"), F.col("new_desc").alias("new_description")),
-        metrics=metrics,
+        updates=changed.select(F.col("l_id").alias("old_id"), F.col("new_desc").alias("new_description")),
+        metrics=run_metrics(stmts, merged, added_rows),
     )
 
 

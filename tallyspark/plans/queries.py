@@ -369,9 +369,9 @@ def q16(spark, sf):
     lay = LY.StatementLayout(name="nation", bank="-", account_type="-",
                              header=LY.HeaderRule("keyword", keyword="Key"),
                              columns={"name": "Nation", "key": "Key"})
-    pos = LY.header_positions(LY.find_headers(grid, lay.header), lay)
+    pos = LY.header_positions(LY.find_headers(grid, lay.header), [lay])
     rows = grid.join(pos, on="file").where(F.col("row_no") > F.col("hdr_row"))
-    return rows.select("file", "hdr_row", LY._cell("name").alias("name"), LY._cell("key").cast("long").alias("key"))
+    return rows.select("file", "hdr_row", LY.cell_at("name").alias("name"), LY.cell_at("key").cast("long").alias("key"))
 
 
 ACCOUNT_PATTERNS = [
@@ -425,9 +425,9 @@ select c_custkey, bank, account_type,
        when bank = 'FICOHSA' and account_type = 'savings' then 'ficohsa_savings'
        when bank = 'REVOLUT' and account_type = 'savings' then 'revolut_savings'
        when bank = 'REVOLUT' and account_type = 'credit_card'
-            then 'reject: credit card cleaning not implemented for Revolut'
+            then 'reject: Revolut card statements cannot be read yet'
        when bank in ('BAC', 'SANTANDER', 'REVOLUT', 'FICOHSA') then 'reject: account type not supported'
-       else 'reject: no transformer for bank: ' || bank end as route
+       else 'reject: unknown bank: ' || bank end as route
 from f
 """)
 def q18(spark, sf):
@@ -481,11 +481,13 @@ cand as (
     and 2.0 * least(length(l.description), length(s.description))
         >= {DEFAULT_THRESHOLD} * (length(l.description) + length(s.description)))"""
 
-# Ratcliff/Obershelp (difflib) as a recursive CTE over pairs p(pk, a, b).
-_RATIO_CTE = """
-p as (select row_number() over () as pk, a, b from (select distinct l_desc as a, n_desc as b from cand)),
-w(pk, a, b, m) as (
-  select pk, a, b, 0 from p
+def _ratio_cte(cand: str = "cand", x: str = "") -> str:
+    """Ratcliff/Obershelp (difflib) of the distinct texts of ``cand`` as a
+    recursive CTE over pairs p(pk, a, b); ``x`` tells several of them apart."""
+    return f"""
+p{x} as (select row_number() over () as pk, a, b from (select distinct l_desc as a, n_desc as b from {cand})),
+w{x}(pk, a, b, m) as (
+  select pk, a, b, 0 from p{x}
   union all
   select pk, unnest([a[1:i-1], a[i+l:]]), unnest([b[1:j-1], b[j+l:]]), unnest([l, 0])
   from (select pk, a, b, s.i as i, s.l as l, instr(b, a[s.i:s.i+s.l-1]) as j
@@ -493,13 +495,16 @@ w(pk, a, b, m) as (
                 list_transform(
                   list_filter(range(1, least(length(a) - i + 1, length(b)) + 1),
                               lambda l: contains(b, a[i:i+l-1])),
-                  lambda l: {'nl': -l, 'i': i, 'l': l}))))[1]) as s
-              from w where length(a) > 0 and length(b) > 0)
+                  lambda l: {{'nl': -l, 'i': i, 'l': l}}))))[1]) as s
+              from w{x} where length(a) > 0 and length(b) > 0)
         where s is not null)),
-ratio as (
-  select p.a, p.b, case when length(p.a) + length(p.b) = 0 then 1.0
-         else 2.0::double * sum(w.m)::double / (length(p.a) + length(p.b))::double end as ratio
-  from w join p using (pk) group by p.pk, p.a, p.b)"""
+ratio{x} as (
+  select p{x}.a, p{x}.b, case when length(p{x}.a) + length(p{x}.b) = 0 then 1.0
+         else 2.0::double * sum(w{x}.m)::double / (length(p{x}.a) + length(p{x}.b))::double end as ratio
+  from w{x} join p{x} using (pk) group by p{x}.pk, p{x}.a, p{x}.b)"""
+
+
+_RATIO_CTE = _ratio_cte()
 
 _UPD_CTE = f"""
 upd as (
@@ -621,10 +626,50 @@ def q26(spark, sf):
     return merge_batch(led, st).ledger
 
 
-@register("q27_merge_batch_contested")
+def _fold_step_sql(before: str, j: int, after: str) -> str:
+    """One statement of the fold: ``before`` and ``after`` are the ledger as
+    rows (k, date, account_name, category, description, amount)."""
+    return f"""
+c{j} as (
+  select l.k, l.src, l.description as l_desc, s.description as n_desc, s.k as row_no
+  from {before} l join st s on s.j = {j} and l.date = s.date and l.amount = s.amount and l.account_name = s.account_name
+  where l.description <> s.description
+    and 2.0 * least(length(l.description), length(s.description))
+        >= {DEFAULT_THRESHOLD} * (length(l.description) + length(s.description))),
+{_ratio_cte(f"c{j}", str(j)).strip()},
+u{j} as (
+  select c.k, c.src, arg_max(c.n_desc, c.row_no) as new_desc
+  from c{j} c join ratio{j} r on r.a = c.l_desc and r.b = c.n_desc where r.ratio >= {DEFAULT_THRESHOLD} group by c.k, c.src),
+m{j} as (
+  select l.k, l.src, l.date, l.account_name, l.category, coalesce(u.new_desc, l.description) as description, l.amount
+  from {before} l left join u{j} u on l.k = u.k and l.src = u.src),
+i{j} as (select distinct {_id('date', 'description', 'amount', 'account_name')} as id from m{j}),
+{after} as (
+  select * from m{j}
+  union all
+  select k, {j}, date, account_name, null, description, amount from st
+  where j = {j} and {_id('date', 'description', 'amount', 'account_name')} not in (select id from i{j}))"""
+
+
+@register("q27_merge_batch_contested", f"""
+with recursive o as (
+  select o_orderkey as k, date_trunc('month', o_orderdate)::timestamp as date, floor(o_totalprice / 1e5)::double as amount,
+         'C' || (o_custkey % 50) as account_name, o_orderpriority as category, 'PAY REF ' || (o_orderkey % 1000) as base
+  from orders),
+l as (select k, -1 as src, date, account_name, category, base as description, amount from o where k % 3 = 0),
+st as (
+  select o.k, t.j, o.date, o.account_name, case when t.j = 1 then o.base || ' X' else o.base end as description, o.amount
+  from o, (values (0), (1)) t(j) where (o.k + t.j) % 3 <> 0),
+{_fold_step_sql('l', 0, 'l0').strip()},
+{_fold_step_sql('l0', 1, 'l1').strip()}
+select date, account_name, 'Expense' as tran_type, category, cast(null as varchar) as tag, description,
+       cast(null as varchar) as notes, 'USD' as currency, amount,
+       {_id('date', 'description', 'amount', 'account_name')} as id
+from l1
+""")
 def q27(spark, sf):
     """G10 case 3: blocks with several statements and similar texts are
-    folded per block (checked against the sequential model in tests)."""
+    folded in rounds, the r-th statement of every block at once."""
     led, st = FX.contested_inputs(spark, sf)
     return merge_batch(led, st).ledger
 

@@ -70,23 +70,41 @@ def test_batch_fold_equals_sequential(spark):
     rng = random.Random(7)
     for trial in range(4):
         ledger, stmts = _random_case(rng, 25, 3, 20)
-        for limit in (5000, 3):  # small-group fold and the distributed large-block fold
-            res = merge_batch(_ledger(spark, ledger), _stmts(spark, stmts), fold_group_limit=limit)
-            got = sorted(r.id for r in res.ledger.collect())
-            exp, merged = fold(ledger, stmts)
-            assert got == sorted(r["id"] for r in exp), (trial, limit)
-            tot = res.metrics.agg(F.sum("merged")).first()[0]
-            assert tot == merged, (trial, limit)
-
-
-def test_hot_block_distributed_fold(spark):
-    """One block holds every row (a hot key): the fold runs statement by
-    statement on the distributed path and equals the sequential model."""
+        res = merge_batch(_ledger(spark, ledger), _stmts(spark, stmts))
+        got = sorted(r.id for r in res.ledger.collect())
+        exp, merged = fold(ledger, stmts)
+        assert got == sorted(r["id"] for r in exp), trial
+        assert res.metrics.agg(F.sum("merged")).first()[0] == merged, trial
+
+
+def test_twelve_statements_equal_sequential(spark):
+    """Blocks with up to twelve statements, others with two or one, among
+    them a statement that re-describes rows an earlier one added; statement
+    numbers are sparse and their text order is not their order."""
+    rng = random.Random(23)
+    ledger, stmts = _random_case(rng, 15, 12, 8)
+    d = D(2024, 1, 1)
+    for k in range(12):
+        stmts[k].append(_row(d, f"CARD PAYMENT {k:03d}", 1.0))
+        if k % 5 == 0:
+            stmts[k].append(_row(d, "RENT JANUARY" + "!" * (k // 5), 2.0))
+    rows = []
+    for k, st in enumerate(stmts):
+        rows += [(f"f{k}", 7 * k + 2, i, r["date"], r["account_name"], r["description"], r["amount"]) for i, r in enumerate(st)]
+    res = merge_batch(_ledger(spark, ledger), spark.createDataFrame(rows, SCHEMA_S).repartition(4))
+    exp, merged = fold(ledger, stmts)
+    assert sorted((r.id, str(r.description)) for r in res.ledger.collect()) == sorted((r["id"], str(r["description"])) for r in exp)
+    assert res.metrics.agg(F.sum("merged")).first()[0] == merged
+    assert res.metrics.agg(F.sum("added")).first()[0] == len(exp) - len(ledger)
+
+
+def test_hot_block_fold(spark):
+    """One block holds every row (a hot key)."""
     d = D(2024, 2, 1)
     ledger = [_row(d, f"TRANSFER REF {i:04d}", 9.99) for i in range(0, 120, 2)]
     s1 = [_row(d, f"TRANSFER REF {i:04d}", 9.99) for i in range(0, 90)]
     s2 = [_row(d, f"TRANSFER REF {i:04d} OK", 9.99) for i in range(60, 140)]
-    res = merge_batch(_ledger(spark, ledger), _stmts(spark, [s1, s2]), fold_group_limit=50)
+    res = merge_batch(_ledger(spark, ledger), _stmts(spark, [s1, s2]))
     got = sorted(r.id for r in res.ledger.collect())
     exp, merged = fold(ledger, [s1, s2])
     assert got == sorted(r["id"] for r in exp)
@@ -104,7 +122,6 @@ def test_q2_protect_exact(spark):
 def test_protect_exact_matches_model(spark):
     rng = random.Random(11)
     ledger, stmts = _random_case(rng, 25, 3, 20)
-    for limit in (5000, 3):
-        res = merge_batch(_ledger(spark, ledger), _stmts(spark, stmts), fold_group_limit=limit, mode="protect_exact")
-        exp, _ = fold(ledger, stmts, mode="protect_exact")
-        assert sorted(r.id for r in res.ledger.collect()) == sorted(r["id"] for r in exp), limit
+    res = merge_batch(_ledger(spark, ledger), _stmts(spark, stmts), mode="protect_exact")
+    exp, _ = fold(ledger, stmts, mode="protect_exact")
+    assert sorted(r.id for r in res.ledger.collect()) == sorted(r["id"] for r in exp)
