@@ -7,9 +7,13 @@ interprets a layout into native Spark expressions over GRID rows, so all
 files of all banks are normalised in one plan:
 
     GRID rows of routed files
-      -> header row per file (aggregate over candidate rows, no window)
+      -> header row per file (one aggregate for the rules of all layouts)
       -> column positions per file (array_position on the header)
-      -> data rows: element_at(cells, pos) -> clean -> typed canonical row
+      -> data rows: cells at the file's positions -> clean -> typed row
+
+The grid is scanned twice, for the headers and for the data, however many
+layouts occur; what differs between layouts is data of the per-file table or
+a branch of one projection.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions import clean as C
 from tallyspark.functions.identity import row_id
-from tallyspark.operators.common import checkpointed, sized_broadcast
+from tallyspark.operators.common import checkpointed, sized_broadcast, stored
 
 
 @dataclass(frozen=True)
@@ -121,7 +125,7 @@ REVOLUT_SAVINGS = StatementLayout(
 )
 REVOLUT_CARD = StatementLayout(
     name="revolut_credit_card", bank="REVOLUT", account_type="credit_card",
-    not_implemented="credit card cleaning not implemented for Revolut",
+    not_implemented="Revolut card statements cannot be read yet",
 )
 
 # Variants for Santander CSV exports: the header is found by its first cell
@@ -155,39 +159,67 @@ def layout_for(bank: str, account_type: str, layouts=LAYOUTS) -> StatementLayout
 # header handling
 # ---------------------------------------------------------------------------
 
+def _by_layout(layouts, rule, key) -> Column:
+    """``rule(layout)`` of the row's layout; layouts of equal ``key`` share a
+    branch, and a single key needs none."""
+    groups: dict = {}
+    for lay in layouts:
+        groups.setdefault(key(lay), []).append(lay)
+    if len(groups) == 1:
+        return rule(layouts[0])
+    out = None
+    for same in groups.values():
+        hit, value = F.col("layout").isin(*[lay.name for lay in same]), rule(same[0])
+        out = F.when(hit, value) if out is None else out.when(hit, value)
+    return out
+
+
 def find_headers(grid: DataFrame, rule: HeaderRule) -> DataFrame:
     """(file, hdr_row, header) from the candidate rows of each file."""
-    return (
-        grid.where(rule.predicate())
-        .groupBy("file")
-        .agg(F.min("row_no").alias("hdr_row"), F.min_by("cells", "row_no").alias("header"))
-    )
+    return _headers(grid.where(rule.predicate()), [])
 
 
-def header_positions(headers: DataFrame, layout: StatementLayout) -> DataFrame:
-    """1-based position of every header text the layout uses (0 = missing),
-    the position of the column for the blank-row check, and the list of
-    missing header texts."""
-    cols = [F.col("file"), F.col("hdr_row")]
-    for fld, text in layout.columns.items():
-        cols.append(F.array_position("header", F.lit(text)).cast("int").alias(f"_p_{fld}"))
-    req = F.array(*[F.lit(t) for t in layout.required()])
-    cols.append(F.array_except(req, F.coalesce(F.col("header"), F.array())).alias("_missing"))
-    if layout.drop_before_blank_check and layout.dropped:
-        drops = F.array(*[F.lit(t) for t in layout.dropped])
-        first_kept = F.get(F.filter("header", lambda x: x.isNull() | ~F.array_contains(drops, x)), F.lit(0))
-        blank_pos = F.array_position("header", first_kept).cast("int")
-    else:
-        blank_pos = F.lit(1)
-    cols.append(blank_pos.alias("_p_blank"))
-    return headers.select(*cols)
+def _headers(candidates: DataFrame, by: list[str]) -> DataFrame:
+    return candidates.groupBy("file", *by).agg(F.min("row_no").alias("hdr_row"), F.min_by("cells", "row_no").alias("header"))
 
 
-def _cell(fld: str) -> Column:
+def fields_of(layouts) -> list[str]:
+    """The fields that some layout has."""
+    return list(dict.fromkeys(fld for lay in layouts for fld in lay.columns))
+
+
+def header_positions(headers: DataFrame, layouts) -> DataFrame:
+    """Per file: 1-based position of every field's header text (0 = missing,
+    null = not in the layout), the position of the column for the blank-row
+    check, and the list of missing header texts."""
+    keep = [F.col(c) for c in headers.columns if c != "header"]
+    header = F.coalesce(F.col("header"), F.array().cast("array<string>"))
+    cols = []
+    for fld in fields_of(layouts):
+        at = lambda lay, f=fld: F.array_position(header, F.lit(lay.columns[f])).cast("int") if f in lay.columns else F.lit(None).cast("int")
+        cols.append(_by_layout(layouts, at, lambda lay, f=fld: lay.columns.get(f)).alias(f"_p_{fld}"))
+
+    def blank_position(lay: StatementLayout) -> Column:
+        if not (lay.drop_before_blank_check and lay.dropped):
+            return F.lit(1)
+        drops = F.array(*[F.lit(t) for t in lay.dropped])
+        first_kept = F.get(F.filter(header, lambda x: x.isNull() | ~F.array_contains(drops, x)), F.lit(0))
+        return F.array_position(header, first_kept).cast("int")
+
+    missing = _by_layout(layouts, lambda lay: F.array_except(F.array(*[F.lit(t) for t in lay.required()]), header), lambda lay: tuple(lay.required()))
+    return headers.select(*keep, *cols, missing.alias("_missing"), _by_layout(layouts, blank_position, lambda lay: (lay.drop_before_blank_check, lay.dropped)).alias("_p_blank"))
+
+
+def cell_at(fld: str) -> Column:
+    """The field's cell of a grid row, by the position in its file."""
     p = F.col(f"_p_{fld}")
     return F.when(p > 0, F.get("cells", F.greatest(p, F.lit(1)) - 1))
 
 
+def _cell(fld: str) -> Column:
+    return F.col(f"_{fld}")
+
+
 # ---------------------------------------------------------------------------
 # value rules
 # ---------------------------------------------------------------------------
@@ -246,97 +278,101 @@ def date_value(layout: StatementLayout, strict: bool) -> Column:
 
 def normalise(grid: DataFrame, files: DataFrame, layout: StatementLayout,
               on_error: str = "raise") -> tuple[DataFrame, DataFrame]:
-    """Canonical rows of the files routed to ``layout``.
+    """Canonical rows of the files routed to one ``layout``: (rows, rejects);
+    ``files`` has (file, account_name, currency)."""
+    return _normalise(grid, files.select("file", "account_name", "currency", F.lit(layout.name).alias("layout")), [layout], on_error)
 
-    ``files``: (file, account_name, currency) of the routed files.
-    Returns (rows, rejects) where rejects are (file, reason).
-    """
-    files = files.select("file", "account_name", "currency")
-    if layout.not_implemented:
-        rows = grid.where(F.lit(False)).select(
-            "file", "row_no",
-            F.lit(None).cast("timestamp_ntz").alias("date"),
-            F.lit(None).cast("string").alias("account_name"),
-            F.lit(None).cast("string").alias("tran_type"),
-            F.lit(None).cast("string").alias("description"),
-            F.lit(None).cast("string").alias("currency"),
-            F.lit(None).cast("double").alias("amount"),
-            F.lit(None).cast("string").alias("id"),
-        )
-        rejects = files.select("file", F.lit(layout.not_implemented).alias("reason"))
-        return rows, rejects
 
+def _normalise(grid: DataFrame, files: DataFrame, layouts, on_error: str) -> tuple[DataFrame, DataFrame]:
+    """Canonical rows, and rejects (file, reason), of the files of all
+    ``layouts``; ``files``: (file, account_name, currency, layout)."""
     # per-file tables are small (one row per file): broadcast after a size
     # check, so the grid is never shuffled by file (a file may be huge)
-    g = grid.join(sized_broadcast(files.select("file")), on="file", how="left_semi")
-    headers = find_headers(g, layout.header)
-    pos = checkpointed(header_positions(headers, layout))
-    ok = sized_broadcast(checkpointed(pos.where(F.size("_missing") == 0).join(files, on="file")))
-    rejects = (
-        pos.where(F.size("_missing") > 0)
-        .select("file", F.concat(F.lit("missing_columns: "), F.array_join("_missing", ", ")).alias("reason"))
-        .unionByName(
-            files.select("file").join(headers.select("file"), on="file", how="left_anti")
-            .select("file", F.lit("header_not_found").alias("reason"))
-        )
-    )
-
-    data = g.join(ok, on="file").where(F.col("row_no") > F.col("hdr_row"))
+    files = checkpointed(files)
+    rejects = None
+    for lay in layouts:
+        if lay.not_implemented:
+            r = files.where(F.col("layout") == lay.name).select("file", F.lit(lay.not_implemented).alias("reason"))
+            rejects = r if rejects is None else rejects.unionByName(r)
+    layouts = [lay for lay in layouts if not lay.not_implemented]
+    if not layouts:
+        rows = grid.sparkSession.createDataFrame([], ROWS_SQL)
+        return rows, rejects if rejects is not None else files.select("file", F.lit("").alias("reason")).limit(0)
+
+    files = files.where(F.col("layout").isin(*[lay.name for lay in layouts]))
+    ruled = grid.join(sized_broadcast(files.select("file", "layout")), on="file")
+    # the headers of all layouts in one aggregate: the first row that its rule names
+    headers = _headers(ruled.where(_by_layout(layouts, lambda lay: lay.header.predicate(), lambda lay: lay.header)), ["layout"])
+    headers = files.select("file", "account_name", "currency").join(headers, on="file", how="left")
+    pos = checkpointed(header_positions(headers, layouts))
+    ok = checkpointed(pos.where(F.col("hdr_row").isNotNull() & (F.size("_missing") == 0)))
+    no_header = pos.where(F.col("hdr_row").isNull()).select("file", F.lit("header_not_found").alias("reason"))
+    lacking = pos.where(F.col("hdr_row").isNotNull() & (F.size("_missing") > 0)).select(
+        "file", F.concat(F.lit("missing_columns: "), F.array_join("_missing", ", ")).alias("reason"))
+    own = no_header.unionByName(lacking)
+    rejects = own if rejects is None else rejects.unionByName(own)
+
+    data = grid.join(sized_broadcast(ok), on="file").where(F.col("row_no") > F.col("hdr_row"))
     blank_cell = F.get("cells", F.greatest(F.col("_p_blank"), F.lit(1)) - 1)
     data = data.where(~C.is_blank(F.when(F.col("_p_blank") > 0, blank_cell)))  # D1
+    # the file's cells by field, whatever its layout
+    data = data.select("file", "row_no", "hdr_row", "layout", "account_name", "currency",
+                       *[cell_at(fld).alias(f"_{fld}") for fld in fields_of(layouts)])
 
-    strict = layout.date_strict and on_error == "raise"
-    amount, currency = amount_and_currency(layout)
+    strict = lambda lay: lay.date_strict and on_error == "raise"
     # the row-position guard keeps the (possibly raising) strict parse from
     # being pushed below the header join onto header or preamble rows
     below_header = F.col("row_no") > F.col("hdr_row")
+    date = _by_layout(layouts, lambda lay: date_value(lay, strict(lay)), lambda lay: (lay.date_format, lay.date_to_day, strict(lay)))
+    amount_rule = lambda lay: (lay.amount_rule, lay.strip_amount_chars, lay.negate_amount)
+    rejecting = on_error != "raise" and any(lay.date_strict for lay in layouts)
+    # rows the strict parse would have failed on
+    bad = F.col("layout").isin(*[lay.name for lay in layouts if lay.date_strict]) & ~C.is_blank(_cell("date")) & F.col("date").isNull()
     out = data.select(
-        "file", "row_no",
-        F.when(below_header, date_value(layout, strict)).alias("date"),
-        "account_name",
+        "file", "row_no", "layout", "account_name",
+        F.when(below_header, date).alias("date"),
         C.collapse_ws(_cell("description")).alias("description"),  # D4
-        currency.alias("currency"),
-        amount.alias("amount"),
+        _by_layout(layouts, lambda lay: amount_and_currency(lay)[1], amount_rule).alias("currency"),
+        _by_layout(layouts, lambda lay: amount_and_currency(lay)[0], amount_rule).alias("amount"),
+        *([_cell("date")] if rejecting else []),
     )
-    if layout.date_strict and on_error != "raise":
-        # rows the strict parse would have failed on: counted per file
-        txt = _cell("date")
-        bad = data.where(F.col("row_no") > F.col("hdr_row")).where(~C.is_blank(txt)).select(
-            "file", date_value(layout, False).alias("_d")).where(F.col("_d").isNull())
-        rejects = rejects.unionByName(bad.groupBy("file").agg(
-            F.concat(F.lit("bad_date_rows: "), F.count(F.lit(1)).cast("string")).alias("reason")))
-    if layout.drop_null_dates:
+    if rejecting:
+        # written once, and read for the rows and for the rejects
+        out = stored(out.withColumn("bad", bad).drop("_date"), "normalised")
+        counts = out.where("bad").groupBy("file").agg(F.concat(F.lit("bad_date_rows: "), F.count(F.lit(1)).cast("string")).alias("reason"))
+        rejects = rejects.unionByName(counts)
+    drops = [lay.name for lay in layouts if lay.drop_null_dates]
+    if len(drops) == len(layouts):
         out = out.where(F.col("date").isNotNull())  # D8
-    out = out.withColumn("tran_type", tran_type(layout, F.col("amount")))
+    elif drops:
+        out = out.where(F.col("date").isNotNull() | ~F.col("layout").isin(*drops))
+    out = out.withColumn("tran_type", _by_layout(layouts, lambda lay: tran_type(lay, F.col("amount")), lambda lay: lay.type_rule))
     out = out.withColumn("id", row_id())
     return out.select("file", "row_no", "date", "account_name", "tran_type", "description",
                       "currency", "amount", "id"), rejects
 
 
+ROWS_SQL = "file string, row_no long, date timestamp_ntz, account_name string, tran_type string, description string, currency string, amount double, id string"
+
+
 def normalise_all(grid: DataFrame, routed: DataFrame, layouts=LAYOUTS,
                   on_error: str = "raise") -> tuple[DataFrame, DataFrame]:
-    """Every routed file through its layout, in one plan (union of one
-    branch per layout).  ``routed`` has (file, account_name, currency, bank,
-    account_type)."""
-    # only the layouts that occur get a branch (one row per file is routed;
-    # the distinct (bank, type) pairs are at most a handful)
-    routed = checkpointed(routed)  # one row per file, used by every branch
-    present = {(r[0], r[1]) for r in routed.select("bank", "account_type").distinct().collect()}
-    rows = None
-    rejects = None
+    """Every routed file through its layout, in one plan.  ``routed`` has
+    (file, account_name, currency, bank, account_type)."""
+    routed = checkpointed(routed)  # one row per file
+    name = None
     for lay in layouts:
-        if (lay.bank, lay.account_type) not in present and lay is not layouts[0]:
-            continue
-        files = routed.where((F.col("bank") == lay.bank) & (F.col("account_type") == lay.account_type))
-        r, j = normalise(grid, files, lay, on_error)
-        rows = r if rows is None else rows.unionByName(r)
-        rejects = j if rejects is None else rejects.unionByName(j)
-    known = F.array(*[F.struct(F.lit(l.bank).alias("b"), F.lit(l.account_type).alias("t")) for l in layouts])
-    unrouted = routed.where(~F.array_contains(known, F.struct(F.col("bank").alias("b"), F.col("account_type").alias("t"))))
-    unrouted = unrouted.select(
+        hit = (F.col("bank") == lay.bank) & (F.col("account_type") == lay.account_type)
+        name = F.when(hit, lay.name) if name is None else name.when(hit, lay.name)
+    named = routed.withColumn("layout", name)
+    # the layouts that occur: at most as many names as there are layouts
+    present = {r[0] for r in named.select("layout").distinct().collect()}
+    found = [lay for lay in layouts if lay.name in present]
+    rows, rejects = _normalise(grid, named.where("layout IS NOT NULL").select("file", "account_name", "currency", "layout"), found, on_error)
+    unrouted = named.where("layout IS NULL").select(
         "file",
         F.when(F.col("bank").isin(*KNOWN_BANKS), F.lit("account type not supported"))
-        .otherwise(F.concat(F.lit("no transformer for bank: "), F.coalesce("bank", F.lit("")))).alias("reason"),
+        .otherwise(F.concat(F.lit("unknown bank: "), F.coalesce("bank", F.lit("")))).alias("reason"),
     )
     return rows, rejects.unionByName(unrouted)
 
@@ -346,7 +382,7 @@ def route(bank: Column, account_type: Column, layouts=LAYOUTS) -> Column:
     rejected (unknown bank, unsupported type, not implemented)."""
     expr = (
         F.when(bank.isin(*KNOWN_BANKS), F.lit("reject: account type not supported"))
-        .otherwise(F.concat(F.lit("reject: no transformer for bank: "), F.coalesce(bank, F.lit(""))))
+        .otherwise(F.concat(F.lit("reject: unknown bank: "), F.coalesce(bank, F.lit(""))))
     )
     for lay in reversed(layouts):
         hit = (bank == lay.bank) & (account_type == lay.account_type)

@@ -22,10 +22,11 @@ from tallyspark.operators.layouts import LAYOUTS, normalise_all
 from tallyspark.operators.merge import MergeResult, merge_batch
 from tallyspark.session import ensure_session_defaults
 from tallyspark.sources.accounts import screen_patterns
-from tallyspark.sources.grid import DEFAULT_MAX_COLUMNS, grid_scan
+from tallyspark.operators.common import stored
+from tallyspark.sources.grid import scan_folder
 from tallyspark.sources.ledger import write_ledger, write_ledger_csv
 
-FATAL_REASONS = ("missing_columns", "header_not_found", "credit card cleaning not implemented")
+FATAL_REASONS = ("missing_columns", "header_not_found", *(lay.not_implemented for lay in LAYOUTS if lay.not_implemented))
 
 
 class StatementError(ValueError):
@@ -41,17 +42,18 @@ class BatchResult:
 
 def load_statements(spark: SparkSession, in_dir: str | list[str], accounts: DataFrame,
                     on_error: str = "raise", num_chars: int = 400, layouts=LAYOUTS,
-                    glob: str | None = "*.csv", max_cols: int = DEFAULT_MAX_COLUMNS) -> tuple[DataFrame, DataFrame]:
+                    glob: str | None = "*.csv") -> tuple[DataFrame, DataFrame]:
     """Canonical rows of every identified file, with
     ``stmt_seq`` = file path (statement order), and rejects (file, reason)."""
     ensure_session_defaults(spark)
     accounts, bad_patterns = screen_patterns(accounts)
     if bad_patterns:
         warnings.warn(f"accounts left out, their id_pattern does not compile: {', '.join(bad_patterns)}", stacklevel=2)
-    grid = grid_scan(spark, in_dir, glob=glob, max_cols=max_cols)
+    grid, rej_scan = scan_folder(spark, in_dir, glob)
+    grid = stored(grid, "grid")
     routed, rej_id = identify(grid, accounts, num_chars)
     rows, rej_norm = normalise_all(grid, routed, layouts, on_error)
-    rejects = rej_id.unionByName(rej_norm)
+    rejects = rej_scan.unionByName(rej_id).unionByName(rej_norm)
     if on_error == "raise":
         fatal = rej_norm.where(F.exists(F.array(*[F.lit(r) for r in FATAL_REASONS]),
                                         lambda r: F.col("reason").startswith(r)))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.operators.merge import merge_batch
 from tallyspark.plans.pipeline import load_statements
-from tallyspark.sources.grid import DEFAULT_MAX_COLUMNS, decoded, literal_paths
+from tallyspark.sources.grid import decoded, literal_paths
 from tallyspark.sources.ledger import _path_exists, empty_ledger, read_ledger, write_ledger
 from tallyspark.session import ensure_session_defaults
 
@@ -52,7 +52,7 @@ def _stream_files(spark: SparkSession, in_dir: str, max_files: int | None,
 
 def start_ingest(spark: SparkSession, in_dir: str, ledger_root: str, accounts: DataFrame,
                  checkpoint: str | None = None, initial_ledger: DataFrame | None = None,
-                 threshold: float = 0.8, max_cols: int = DEFAULT_MAX_COLUMNS,
+                 threshold: float = 0.8,
                  max_files_per_trigger: int | None = None, available_now: bool = True,
                  on_error: str = "reject", glob: str = "*.csv", recursive: bool = False,
                  mode: str = "reference", clean_source: str | None = None,
@@ -71,7 +71,7 @@ def start_ingest(spark: SparkSession, in_dir: str, ledger_root: str, accounts: D
 
     def merge_micro_batch(batch: DataFrame, batch_id: int) -> None:
         files = [r[0] for r in batch.collect()]  # file names only, never rows
-        stmts, rejects = load_statements(spark, literal_paths(files), accounts, on_error, glob=None, max_cols=max_cols)
+        stmts, rejects = load_statements(spark, literal_paths(files), accounts, on_error, glob=None)
         # before the version: a version that is there has its rejects
         rejects.write.mode("overwrite").parquet(rejects_path(ledger_root, batch_id + 1))
         ledger = read_ledger(spark, version_path(ledger_root, batch_id))

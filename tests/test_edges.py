@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyspark.functions.similarity import length_bound
 from tallyspark.operators.identify import identify
 from tallyspark.sources.accounts import accounts_from_dict, pattern_is_valid, read_accounts
-from tallyspark.sources.grid import file_text, grid_scan
+from tallyspark.sources.grid import grid_scan
 from tallyspark.sources.ledger import FileReadError, read_ledger
 
 
@@ -32,10 +32,84 @@ def test_names_with_blanks_and_replacement_characters(spark, tmp_path):
 
 
 def test_wide_files_keep_all_cells(spark, tmp_path):
-    (tmp_path / "w.csv").write_text(",".join(f"x{i}" for i in range(60)) + "\n")
-    assert [c for c in grid_scan(spark, str(tmp_path)).first()["cells"]][59] == "x59"
-    texts = {m: file_text(grid_scan(spark, str(tmp_path), max_cols=m)).first()["text"] for m in (8, 200)}
-    assert texts[8] == texts[200]
+    (tmp_path / "w.csv").write_text(",".join(f"x{i}" for i in range(60)) + "\n1\n")
+    # a row of 62 cells, a line break inside one of them
+    (tmp_path / "q.csv").write_text(",".join(f'"y{i}\n"' if i == 3 else f"y{i}" for i in range(62)) + "\n")
+    rows = {(os.path.basename(r["file"]), r["row_no"]): r["cells"] for r in grid_scan(spark, str(tmp_path)).collect()}
+    assert rows["w.csv", 0] == [f"x{i}" for i in range(60)] and rows["w.csv", 1] == ["1"]
+    assert rows["q.csv", 0] == [f"y{i}\n" if i == 3 else f"y{i}" for i in range(62)]
+
+
+def _random_csv(rng, rows):
+    """Cells with commas, quotes and line breaks, quotes inside plain cells,
+    blank lines, and all three newlines."""
+    out = []
+    for _ in range(rows):
+        cells = []
+        for _ in range(rng.randint(1, 6)):
+            kind = rng.random()
+            if kind < 0.3:
+                inner = "".join(rng.choice(["a", ",", '""', "\n", "\r\n", "é", " "]) for _ in range(rng.randint(0, 12)))
+                cells.append(f'"{inner}"' + rng.choice(["", "", "tail"]))
+            else:
+                cells.append(rng.choice(["", "x", 'five"inch', "word word", "ñ", "12"]))
+        out.append(",".join(cells) + rng.choice(["\n", "\r\n", "\n\n"]))
+    return "".join(out)
+
+
+def test_quoted_newlines_across_splits(spark, tmp_path):
+    """Files cut into splits of a few bytes against a plain CSV reader."""
+    import csv
+    import random
+
+    rng = random.Random(4)
+    want = {}
+    for k in range(12):
+        text = _random_csv(rng, 12)
+        enc = "utf-8" if k % 2 else "cp1252"
+        (tmp_path / f"{k:02d}.csv").write_bytes(text.encode(enc))
+        rows = [r for r in csv.reader(text.splitlines(keepends=True)) if r and not (len(r) == 1 and not r[0].strip())]
+        want[f"{k:02d}.csv"] = [[c or None for c in r] for r in rows]
+    (tmp_path / "mac.csv").write_bytes(b'a,b\r1,"x\ry"\r')
+    want["mac.csv"] = [["a", "b"], ["1", "x\ry"]]
+    settings = {"spark.sql.files.maxPartitionBytes": "37", "spark.sql.files.openCostInBytes": "0"}
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        found = grid_scan(spark, str(tmp_path)).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    got = {}
+    for r in sorted(found, key=lambda r: (r["file"], r["row_no"])):
+        rows = got.setdefault(os.path.basename(r["file"]), [])
+        assert r["row_no"] == len(rows)
+        rows.append(r["cells"])
+    blank = lambda rows: [r for r in rows if any(c is not None and c.strip() for c in r) or len(r) > 1]
+    assert set(got) == set(want)
+    for name in want:
+        assert blank(got[name]) == blank(want[name]), name
+
+
+def test_files_without_rows_are_rejected_with_a_reason(spark, tmp_path):
+    from tallyspark.sources import grid as G
+
+    (tmp_path / "good.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "empty.csv").write_bytes(b"")
+    (tmp_path / "blank.csv").write_text("\n  \n\t\n")
+    (tmp_path / "notes.txt").write_text("hello")
+    (tmp_path / "book.xlsx").write_bytes(b"PK")
+    (tmp_path / "UPPER.CSV").write_text("a\n")
+    (tmp_path / "garbage.csv").write_bytes(b"a,\x81\x8d\n\xff\xfe\n")
+    (tmp_path / "open.csv").write_text('a,"b\nc,d\n')
+    (tmp_path / "marked.csv").write_bytes(b"\xef\xbb\xbfa\n")
+    grid, rejects = G.scan_folder(spark, str(tmp_path))
+    assert {os.path.basename(r["file"]) for r in grid.collect()} == {"good.csv", "marked.csv"}
+    assert {os.path.basename(r["file"]): r["reason"] for r in rejects.collect()} == {
+        "empty.csv": G.EMPTY, "blank.csv": G.EMPTY, "notes.txt": G.NOT_A_FORMAT, "book.xlsx": G.NOT_A_FORMAT,
+        "UPPER.CSV": G.NOT_A_FORMAT, "garbage.csv": G.UNDECODABLE, "open.csv": G.OPEN_QUOTE,
+    }
 
 
 def test_fingerprint_reads_past_short_rows(spark, tmp_path):

@@ -91,8 +91,8 @@ def test_routing(spark):
     df = spark.createDataFrame([("BAC", "savings"), ("REVOLUT", "credit_card"), ("FICOHSA", "credit_card"),
                                 ("HSBC", "savings")], "bank string, t string")
     got = [r[0] for r in df.select(LY.route(F.col("bank"), F.col("t"))).collect()]
-    assert got == ["bac_savings", "reject: credit card cleaning not implemented for Revolut",
-                   "reject: account type not supported", "reject: no transformer for bank: HSBC"]
+    assert got == ["bac_savings", "reject: Revolut card statements cannot be read yet",
+                   "reject: account type not supported", "reject: unknown bank: HSBC"]
 
 
 def test_identify_unique(spark):
