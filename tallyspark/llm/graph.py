@@ -8,10 +8,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import materialised
+from tallyspark.llm.common import materialised, release, shuffle_partitions
 
 #: edges that a task contracts at once (bounds its memory)
 HELD_EDGES = 200_000
+#: a node with more edges, and more than a twentieth of a partition's, is a hub
+HUB_EDGES = 1_000
 
 
 def _spanning_stars(edges: list[tuple]) -> dict:
@@ -32,8 +34,10 @@ def _spanning_stars(edges: list[tuple]) -> dict:
 
 
 def _contracted(edges: DataFrame) -> DataFrame:
-    """The edges of every task's share, in bounded runs, as spanning stars:
-    the same components in fewer edges and shorter paths, without a shuffle."""
+    """The edges (a written table) dealt to tasks in runs of ``HELD_EDGES``,
+    every run as spanning stars: the same components in fewer edges and
+    shorter paths.  Up to one run of edges, these are the components."""
+    n = -(-edges.count() // HELD_EDGES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -52,7 +56,17 @@ def _contracted(edges: DataFrame) -> DataFrame:
         if held:
             yield stars()
 
-    return edges.mapInArrow(run, edges.schema).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    out = edges.repartition(max(1, n)).mapInArrow(run, edges.schema)
+    return materialised(out.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "cc-stars")
+
+
+def _with_least(edges: DataFrame, least: DataFrame, hub_edges: int) -> DataFrame:
+    """``edges`` with ``m`` of ``least`` (a, k, m).  A hub's edges stay where
+    they are: there are few hubs, so theirs are broadcast."""
+    hubs = least.where(F.col("k") > hub_edges).select("a", "m")
+    rest = least.where(F.col("k") <= hub_edges).select("a", "m")
+    of_hubs = edges.join(F.broadcast(hubs), "a")
+    return of_hubs.union(edges.join(F.broadcast(hubs), "a", "left_anti").join(rest, "a").select(of_hubs.columns))
 
 
 def _all_stars(edges: DataFrame) -> bool:
@@ -72,27 +86,33 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Each round links a node's larger neighbours to the smallest node of its
     neighbourhood, then its smaller ones (large star, small star), until only
     stars are left: a number of rounds logarithmic in the nodes.  Before each
-    round every task contracts its own edges.  A node's smallest neighbour is
-    found by a pre-aggregated group, and joined back, so a node with very many
-    neighbours is no group in one task.  Rounds are written tables in the
-    shared folder.  Self-loops, repeated edges, either direction and nulls
-    (dropped) are allowed; no edge gives no row.
+    round every task contracts its share of the edges.  A node's smallest
+    neighbour is found by a pre-aggregated group; those of hubs (at most 40 a
+    partition) are broadcast back, so a node with very many neighbours is no
+    group in one task.  Rounds are written tables in the shared folder.
+    Self-loops, repeated edges, either direction and nulls (dropped) are
+    allowed; no edge gives no row.
     """
-    spread = edges.select("a", "b").where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
-    now = materialised(_contracted(spread), "cc-edges")
-    while not _all_stars(now):
-        both = now.select("a", "b").union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+    spread = edges.select("a", "b").where("a IS NOT NULL AND b IS NOT NULL AND a <> b").distinct()
+    now = materialised(spread, "cc-edges")
+    stars = _contracted(now)
+    release(now)
+    while not _all_stars(stars):
+        hub = max(HUB_EDGES, stars.count() // (20 * shuffle_partitions(stars.sparkSession)))
+        both = stars.select("a", "b").union(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.count("*").alias("k"), F.min("b").alias("m")).select("a", "k", F.least("a", "m").alias("m"))
+        large = _with_least(both.where("b > a"), least, hub).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = materialised(large, "cc-large")
+        least = large.groupBy("a").agg(F.count("*").alias("k"), F.min("b").alias("m"))
         small = (
-            large.join(least, "a")
+            _with_least(large, least, hub)
             .select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e"))
             .select("e.*")
             .where("a <> b")
             .distinct()
         )
-        now = materialised(_contracted(materialised(small, "cc-round")), "cc-edges")
-    now = now.distinct()
-    roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
+        small = materialised(small, "cc-round")
+        before, stars = stars, _contracted(small)
+        release(before, large, small)
+    roots = stars.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+    return stars.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)

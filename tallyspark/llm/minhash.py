@@ -37,6 +37,8 @@ SEED = 20240601
 BLOCK_BYTES = 2 << 20
 #: distinct words whose hashes a task keeps
 HELD_WORDS = 500_000
+#: pairs of one set that a task gets
+GROUP_PAIRS = 1_000
 #: sets on either side of a block of comparisons, and hashes compared at once
 BLOCK_SETS = 256
 SLICE = 4096
@@ -171,9 +173,16 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             dtype="int64",
         )
 
-    left = sets.select(F.col("sig").alias("a"), F.col("shingles").alias("x"))
+    # the pairs of a set that very many others are compared with are dealt over
+    # salts; at most pairs / GROUP_PAIRS sets, 40 bytes each
+    hot = pairs.groupBy("a").agg(F.count("*").alias("k")).where(F.col("k") > GROUP_PAIRS)
+    hot = F.broadcast(hot.select("a", F.ceil(F.col("k") / GROUP_PAIRS).cast("int").alias("salts")))
+    dealt = F.coalesce(F.pmod(F.xxhash64("b"), F.col("salts")).cast("int"), F.lit(0))
+    left = sets.select(F.col("sig").alias("a"), F.col("shingles").alias("x")).join(hot, "a", "left")
+    left = left.withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
     right = sets.select(F.col("sig").alias("b"), F.col("shingles").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", common("x", "y").alias("common"))
+    salted = pairs.join(hot, "a", "left").withColumn("salt", dealt).drop("salts")
+    return salted.join(left, ["a", "salt"]).join(right, "b").select("a", "b", "na", "nb", common("x", "y").alias("common"))
 
 
 def _long_enough(m: Column, n: Column, percent: int) -> Column:
@@ -226,7 +235,7 @@ def set_links(docs: DataFrame, classes: DataFrame, p: Params, id_col: str, text_
     rep = buckets.groupBy("key").agg(F.min(F.struct("sig", "n")).alias("rep"))
     rep = rep.select("key", F.col("rep.sig").alias("a"), F.col("rep.n").alias("na"))
     star = buckets.join(rep, "key").select("key", "a", "na", F.col("sig").alias("b"), F.col("n").alias("nb"))
-    links = materialised(linked(_verified(_pairs(star, p), sets)), "minhash-links")
+    links = materialised(linked(_verified(materialised(_pairs(star, p), "minhash-pairs"), sets)), "minhash-links")
     either = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).withColumn("hit", F.lit(True))
     strays = star.where("a <> b").join(either, ["a", "b"], "left").where("hit IS NULL").select("key", F.col("b").alias("sig"))
     strays = materialised(strays, "minhash-strays")
