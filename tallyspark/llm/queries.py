@@ -126,7 +126,7 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
 
 
-OP8_SQL = f"""
+_MIX_SQL = f"""
 WITH stats AS (
   SELECT source, CAST(sum(coalesce(octet_length(encode(text)), 0)) AS BIGINT) AS bytes FROM documents GROUP BY source),
 raw AS (SELECT *, CASE WHEN bytes > 0 THEN pow(CAST(bytes AS DOUBLE), {MIX["alpha"]}) ELSE 0.0 END AS raw FROM stats),
@@ -141,14 +141,15 @@ cdf AS (
   FROM parts, terms WHERE rate > 0),
 tables AS (SELECT source, any_value(parts) AS parts, list(c ORDER BY k) AS cdf FROM cdf GROUP BY source),
 drawn AS (
-  SELECT d.doc_id, d.source, p.part, t.cdf,
+  SELECT d.*, p.part, t.cdf,
     CAST(('0x' || substr(md5('{MIX_SEED}|' || coalesce(CAST(d.doc_id AS VARCHAR), 'null') || '|' || p.part), 1, 13)) AS BIGINT) / 4503599627370496.0 AS u
   FROM documents d JOIN tables t ON d.source IS NOT DISTINCT FROM t.source, LATERAL (SELECT unnest(range(0, t.parts)) AS part) p),
 counted AS (SELECT *, len(list_filter(cdf, lambda c: c <= u)) AS n FROM drawn),
-copies AS (SELECT doc_id, source, part * 128 + unnest(range(0, n)) AS copy_no FROM counted WHERE n > 0)
-SELECT doc_id, source, CAST(copy_no AS BIGINT) AS copy_no,
-  CAST(('0x' || substr(md5('order{MIX_SEED}|' || coalesce(CAST(doc_id AS VARCHAR), 'null') || '|' || copy_no), 1, 13)) AS BIGINT) AS mix_key
-FROM copies
+copies AS (SELECT * EXCLUDE (cdf, part, u, n), part * 128 + unnest(range(0, n)) AS copy_no FROM counted WHERE n > 0),
+mixed AS (
+  SELECT * REPLACE (CAST(copy_no AS BIGINT) AS copy_no),
+    CAST(('0x' || substr(md5('order{MIX_SEED}|' || coalesce(CAST(doc_id AS VARCHAR), 'null') || '|' || copy_no), 1, 13)) AS BIGINT) AS mix_key
+  FROM copies)
 """
 
 OP12_SQL = r"""
@@ -244,7 +245,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
-    "op8_mix_sources": OP8_SQL,
+    "op8_mix_documents": _MIX_SQL + "SELECT * FROM mixed",
+    "op8_mix_sources": _MIX_SQL + "SELECT doc_id, source, copy_no, mix_key FROM mixed",
     "op12_filter_audit": OP12_SQL,
     "op13_prefix_trie": OP13_SQL,
 }
