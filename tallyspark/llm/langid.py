@@ -30,7 +30,7 @@ BLOCK_LANGS = 512
 #: languages whose counts a training task holds before it hands them on
 HELD_LANGS = 128
 #: texts whose bucket counts are one sparse matrix, and entries multiplied at once
-BATCH_TEXTS = 32
+BATCH_TEXTS = 4
 BATCH_ENTRIES = 1 << 16
 #: added to every count
 SMOOTHING = 0.1
@@ -93,11 +93,12 @@ def batch_counts(texts: list[str | None]) -> np.ndarray | None:
             counts = np.zeros(len(texts) * DIM, np.int64)
         s = np.concatenate([r for _, r in some])
         of = np.repeat(np.arange(len(some)), [len(r) for _, r in some])
-        row = np.array([k for k, _ in some], np.int64) * DIM
+        row = np.array([k for k, _ in some], np.int64)[of] * DIM
+        places = []
         for bucket in _hashed(s):
-            last = of[len(s) - len(bucket) :]
-            own = of[: len(bucket)] == last  # not over the end of a text
-            counts += np.bincount(row[last[own]] + bucket[own], minlength=len(counts))
+            own = of[: len(bucket)] == of[len(s) - len(bucket) :]  # not over the end of a text
+            places.append((row[: len(bucket)] + bucket)[own])
+        counts += np.bincount(np.concatenate(places), minlength=len(counts))
     return None if counts is None else counts.reshape(len(texts), DIM)
 
 
@@ -110,8 +111,9 @@ class Block:
 
     def logits(self, counts: np.ndarray) -> np.ndarray:
         """Texts x languages: the sparse counts times the matrix."""
-        text, bucket = np.nonzero(counts)
-        n = counts[text, bucket].astype(float)
+        at = np.flatnonzero(counts.ravel())
+        text, bucket = at // DIM, at % DIM
+        n = counts.ravel()[at].astype(float)
         out = np.tile(self.log_prior, (len(counts), 1))
         step = max(1, BATCH_ENTRIES * 4 // max(4, len(self.langs)))
         for lo in range(0, len(n), step):
