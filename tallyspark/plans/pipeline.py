@@ -1,16 +1,16 @@
 """The batch job: statement folder + ledger -> new ledger (one lazy plan).
 
-    GRID scan -> identify (broadcast pattern join) -> layout branches
-    -> union -> id -> merge_batch -> write new ledger -> delete inputs
+    GRID scan -> identify (pattern join) -> one projection for all layouts
+    -> id -> merge_batch -> write new ledger -> delete inputs
 
 Actions happen only at the checkpoints named in the operators, at the sink
 and for the metrics.  Inputs are deleted only after the new ledger is
-committed (the reference deletes first and may lose data).
+committed (the reference deletes first and may lose data), and a crash in
+between is made good by the next run (``plans.consume``).
 """
 
 from __future__ import annotations
 
-import os
 import warnings
 from dataclasses import dataclass
 
@@ -24,7 +24,8 @@ from tallyspark.session import ensure_session_defaults
 from tallyspark.sources.accounts import screen_patterns
 from tallyspark.operators.common import stored
 from tallyspark.sources.grid import scan_folder
-from tallyspark.sources.ledger import write_ledger, write_ledger_csv
+from tallyspark.plans.consume import consume
+from tallyspark.sources.ledger import validate_output_path, write_ledger, write_ledger_csv
 
 FATAL_REASONS = ("missing_columns", "header_not_found", *(lay.not_implemented for lay in LAYOUTS if lay.not_implemented))
 
@@ -69,31 +70,20 @@ def run_batch(spark: SparkSession, in_dir: str | list[str], ledger: DataFrame, a
               out_format: str = "parquet", delete_inputs: bool = False,
               glob: str | None = "*.csv", mode: str = "reference", num_chars: int = 400,
               layouts=LAYOUTS, trust_ledger_ids: bool = False) -> BatchResult:
+    if out_path:
+        validate_output_path(spark, out_path)  # before any work is done
     stmts, rejects = load_statements(spark, in_dir, accounts, on_error, num_chars, layouts, glob)
     res = merge_batch(ledger, stmts, threshold, mode=mode, trust_ledger_ids=trust_ledger_ids)
     if out_path:
-        if out_format == "csv":
-            write_ledger_csv(res.ledger, out_path)
-        else:
-            write_ledger(res.ledger, out_path)
+        write = write_ledger_csv if out_format == "csv" else write_ledger
         if delete_inputs:
-            delete_consumed(stmts)
+            files = [r[0] for r in stmts.select("file").distinct().collect()]  # file names only
+            consume(spark, consume_log(out_path), files, f"{out_path.rstrip('/')}/_SUCCESS", lambda: write(res.ledger, out_path))
+        else:
+            write(res.ledger, out_path)
     return BatchResult(merge=res, statements=stmts, rejects=rejects)
 
 
-def delete_consumed(stmts: DataFrame) -> list[str]:
-    """A9, after commit: delete the input files that produced statements.
-    Only local paths are deleted here; streaming ingest uses the source's
-    own ``cleanSource`` instead."""
-    files = [r[0] for r in stmts.select("file").distinct().collect()]  # file names only
-    done = []
-    for f in files:
-        p = f.replace("file://", "").replace("file:", "")
-        if "://" in p:
-            continue
-        try:
-            os.remove(p)
-            done.append(f)
-        except FileNotFoundError:
-            warnings.warn(f"consumed input {f} was not there to delete", stacklevel=2)
-    return done
+def consume_log(out_path: str) -> str:
+    """Where the intents to delete inputs are kept: beside the ledger."""
+    return out_path.rstrip("/").rpartition("/")[0] + "/_consume"

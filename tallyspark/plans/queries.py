@@ -11,15 +11,15 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions import clean as C
 from tallyspark.functions.identity import row_id
 from tallyspark.functions.similarity import DEFAULT_THRESHOLD, similarity_ratio, similar_at_least
 from tallyspark.operators import layouts as LY
-from tallyspark.operators.common import checkpointed
-from tallyspark.operators.identify import account_from_filename, match_accounts, split_unique
+from tallyspark.operators.common import checkpointed, sized_broadcast, stored
+from tallyspark.operators.identify import account_from_filename, match_accounts, split_unique, unknown_accounts
 from tallyspark.operators.merge import (
     _ledger_texts, _new_texts, apply_updates, candidate_pairs, fuzzy_updates, merge_batch,
     merge_statement, new_rows, normalise_ledger, prepare_statements, touched_ledger,
@@ -27,9 +27,11 @@ from tallyspark.operators.merge import (
 from tallyspark.plans import fixtures as FX
 from tallyspark.schema import LEDGER_COLUMNS, enforce_schema
 from tallyspark.session import ensure_session_defaults, scratch_path
+from tallyspark.sources.accounts import read_accounts, screen_patterns
 from tallyspark.sources.csv_text import csv_line, csv_line_from_array
 from tallyspark.sources.html import extract_tables
-from tallyspark.sources.ledger import clean_ledger_text, read_ledger_csv, write_ledger_csv
+from tallyspark.sources.ledger import clean_ledger_text, read_ledger_csv, write_ledger_csv, write_ledger_export
+from tallyspark.sources.versions import merge_into, verified_ledger, write_version
 
 T = FX.table
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -297,12 +299,17 @@ def q12(spark, sf):
     return rows
 
 
-@register("q13_santander_card", _santander_sql("san_cc_", "SANTANDER TARJETA", "Transfer"))
-def q13(spark, sf):
-    """As N4, but card credits are transfers."""
+def _santander_card(spark, sf):
     grid, routed = FX.santander_grid(spark, sf, "san_cc_", "SANTANDER TARJETA")
     grid = grid.withColumn("cells", F.slice("cells", 1, 4)).withColumn(
         "cells", F.when(F.col("row_no") == 7, F.array(*[F.lit(h) for h in ("FECHA OPERACIÓN", "FECHA VALOR", "CONCEPTO", "IMPORTE EUR")])).otherwise(F.col("cells")))
+    return grid, routed
+
+
+@register("q13_santander_card", _santander_sql("san_cc_", "SANTANDER TARJETA", "Transfer"))
+def q13(spark, sf):
+    """As N4, but card credits are transfers."""
+    grid, routed = _santander_card(spark, sf)
     rows, _ = LY.normalise(grid, routed, LY.SANTANDER_CARD)
     return rows
 
@@ -374,6 +381,14 @@ def q16(spark, sf):
     return rows.select("file", "hdr_row", LY.cell_at("name").alias("name"), LY.cell_at("key").cast("long").alias("key"))
 
 
+#: patterns for raw texts: (account, pattern, bank, type, currency)
+RAW_PATTERNS = [
+    ("RAW OF", "the [a-z]+ of", "BAC", "savings", "USD"),
+    ("RAW DIE", "[Dd]ie e[a-z]+ ", "FICOHSA", "savings", "HNL"),
+    ("RAW LOS", "de los ", "SANTANDER", "savings", "EUR"),
+    ("RAW MAIL", "mail[0-9]", "REVOLUT", "savings", "EUR"),
+]
+
 ACCOUNT_PATTERNS = [
     ("ACC THE", "THE", "BAC", "savings", "USD"),
     ("ACC AUX", "AUX", "FICOHSA", "savings", "HNL"),
@@ -857,3 +872,224 @@ def q33(spark, sf):
     res = run_batch(spark, [f"{root}/in/UTF-8", f"{root}/in/windows-1252"], empty_ledger(spark), accounts,
                     glob="part-*")
     return res.merge.ledger
+
+
+# ---------------------------------------------------------------------------
+# folders of many kinds of files, ledger versions, account checks
+# ---------------------------------------------------------------------------
+
+def _verbatim(lines, path: str, encoding: str) -> None:
+    """One .csv file per value of ``kind``, its lines as they are."""
+    # separator and quote characters that never occur
+    (lines.repartition("kind").sortWithinPartitions("kind", "k").select("kind", "line").write
+     .option("sep", "\u0001").option("quote", "\u0002").option("escape", "\u0003").option("encoding", encoding)
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").partitionBy("kind").csv(path))
+
+
+@register("q34_file_rejects", """
+select c_custkey % 6 as kind,
+       case c_custkey % 6 when 1 then 'format not supported' when 2 then 'quoted cell not closed' when 3 then 'empty file'
+                          when 4 then 'text is neither UTF-8 nor cp1252' end as reason,
+       cast(case when c_custkey % 6 in (0, 5) then count(*) else 0 end as bigint) as n_rows,
+       cast(case when c_custkey % 6 in (0, 5) then sum(c_custkey) else 0 end as bigint) as total
+from customer group by c_custkey % 6
+""")
+def q34(spark, sf):
+    """A1-A3: one folder with files of every kind: quoted line breaks, another
+    format, a quote left open, blank lines only, bytes of no known encoding,
+    and cp1252; each gives its rows or a reject with the reason."""
+    from tallyspark.sources.grid import scan_folder
+
+    root = scratch_path(spark, f"kinds-{uuid.uuid4().hex}")
+    c = T(spark, sf, "customer").select((F.col("c_custkey") % 6).alias("kind"), F.col("c_custkey").alias("k"), FX.s("c_custkey").alias("key"), "c_name")
+    name = F.concat("c_name", F.lit(' "x",\n\u00f1'))
+    (c.where("kind = 0").repartition(1).select("key", name.alias("name"))
+     .write.option("quote", '"').option("escape", '"').csv(f"{root}/in/kind=0"))
+    c.where("kind = 1").repartition(1).select("key").write.text(f"{root}/in/kind=1")
+    line = F.when(F.col("kind") == 2, F.concat("key", F.when(F.col("k") == 2, ',"open').otherwise(",open"))).when(F.col("kind") == 3, F.lit(" \t")) \
+        .when(F.col("kind") == 4, F.concat("key", F.lit(",\u0081\u00ff"))).otherwise(F.concat("key", F.lit(',a\u20ac\n'.rstrip())))
+    lines = c.select("kind", "k", line.alias("line"))
+    _verbatim(lines.where("kind IN (2, 3)"), f"{root}/in/utf8", "UTF-8")
+    _verbatim(lines.where("kind = 4"), f"{root}/in/none", "ISO-8859-1")
+    _verbatim(lines.where("kind = 5"), f"{root}/in/cp", "windows-1252")
+    grid, rejects = scan_folder(spark, f"{root}/in")
+    kind = F.regexp_extract("file", "kind=([0-9])", 1).cast("long").alias("kind")
+    right = F.when(F.element_at("cells", 2).endswith(' "x",\n\u00f1') | (F.element_at("cells", 2) == "a\u20ac"), F.element_at("cells", 1).cast("long"))
+    good = grid.groupBy(kind).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(right).alias("total"))
+    good = good.select("kind", F.lit(None).cast("string").alias("reason"), "n_rows", "total")
+    zero = F.lit(0).cast("long")
+    return good.unionByName(rejects.select(kind, "reason", zero.alias("n_rows"), zero.alias("total")))
+
+
+@register("q35_all_layouts", " union all by name ".join(
+    f"select {_CANON} from ({ORACLES[q]})" for q in (
+        "q10_card_dual_currency", "q11_bac_savings", "q12_santander_savings", "q13_santander_card", "q14_ficohsa_savings", "q15_revolut_savings")))
+def q35(spark, sf):
+    """The statements of all six layouts in one grid: one pass for the
+    headers, one for the rows."""
+    made = [
+        (FX.bac_card_grid(spark, sf), LY.BAC_CARD), (FX.bac_savings_grid(spark, sf), LY.BAC_SAVINGS),
+        (FX.santander_grid(spark, sf, "san_sv_", "SANTANDER AHORRO"), LY.SANTANDER_SAVINGS),
+        (_santander_card(spark, sf), LY.SANTANDER_CARD),
+        (FX.ficohsa_grid(spark, sf), LY.FICOHSA_SAVINGS), (FX.revolut_grid(spark, sf), LY.REVOLUT_SAVINGS),
+    ]
+    grid, routed = None, None
+    for (g, r), lay in made:
+        g = g.select("file", "row_no", "cells")
+        r = r.select("file", "account_name", "currency", F.lit(lay.bank).alias("bank"), F.lit(lay.account_type).alias("account_type"))
+        grid = g if grid is None else grid.unionByName(g)
+        routed = r if routed is None else routed.unionByName(r)
+    rows, _ = LY.normalise_all(stored(grid, "all-layouts"), routed, on_error="reject")
+    return rows
+
+
+@register("q36_month_versions", """
+select m as ym, cast(max(case when o_orderkey % 4 = 3 and year(o_orderdate) = 1995 then 1 else 0 end) as bigint) as version,
+       cast(count(*) as bigint) as rows
+from (select *, strftime(o_orderdate, '%Y-%m') as m from orders)
+where o_orderkey % 4 <> 3 or year(o_orderdate) = 1995 group by m
+""")
+def q36(spark, sf):
+    """G7 G9 on ledger versions: a statement of one year reads and writes the
+    months of that year only; the others stay in the files they are in."""
+    root = scratch_path(spark, f"versions-{uuid.uuid4().hex}")
+    write_version(spark, root, 0, normalise_ledger(FX.merge_ledger(spark, sf)))
+    o = FX._orders_base(spark, sf).where(F.year("date") == 1995)
+    stmt = o.select(
+        F.lit("year_1995").alias("file"), F.lit(0).cast("long").alias("stmt_seq"), F.col("k").alias("row_no"),
+        "date", "account_name", F.lit("Expense").alias("tran_type"), F.col("base").alias("description"), F.lit("USD").alias("currency"), "amount")
+    version, _ = merge_into(spark, root, 1, stmt)
+    read = version.read(spark).withColumn("v", F.regexp_extract(F.col("_metadata.file_path"), "v=([0-9]+)", 1).cast("long"))
+    return read.groupBy("ym").agg(F.max("v").alias("version"), F.count(F.lit(1)).alias("rows"))
+
+
+@register("q37_verified_ids", """
+select strftime(o_orderdate, '%Y-%m') as ym, cast(count(*) as bigint) as rows, cast(count(*) as bigint) as right_ids,
+       strftime(o_orderdate, '%Y-%m') = '1996-03' as hashed_again
+from orders where o_orderkey % 4 <> 3 group by all
+""")
+def q37(spark, sf):
+    """ids of a stored ledger.  Months whose checksum agrees with the
+    manifest are not hashed again; in one month ids were forged."""
+    root = scratch_path(spark, f"verified-{uuid.uuid4().hex}")
+    version = write_version(spark, root, 0, normalise_ledger(FX.merge_ledger(spark, sf)))
+    month = version.paths(["1996-03"])[0]
+    forged = stored(version.read(spark, ["1996-03"]).select(*LEDGER_COLUMNS).withColumn("id", F.sha2(F.col("id"), 256)), "forged")
+    forged.write.mode("overwrite").parquet(month)
+    rows, bad = verified_ledger(spark, version)
+    return rows.groupBy("ym").agg(
+        F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col("id") == row_id(), 1)).alias("right_ids")) \
+        .withColumn("hashed_again", F.col("ym").isin(*bad) if bad else F.lit(False))
+
+
+@register("q38_ordered_export", f"""
+with o as (
+  select o_orderdate as date, 'C' || o_custkey as account_name, o_orderpriority as category,
+         'ORDER, "' || o_orderkey || '"' as description, o_totalprice as amount from orders),
+l as (
+  select date, strftime(date, '%Y-%m-%d') || ',' || account_name || ',Expense,' || category || ',,"' || replace(description, '"', '""') || '",,USD,'
+         || amount || ',' || {_id('date', 'description', 'amount', 'account_name')} as line from o),
+a as (select cast(row_number() over (order by date desc, line) as bigint) as pos, line from l)
+select * from a
+union all
+select 0 as pos, chr(65279) || 'date,account_name,tran_type,category,tag,description,notes,currency,amount,id' as line
+""")
+def q38(spark, sf):
+    """The ledger's CSV in parts: newest date first, the parts in the
+    order of their names, one BOM and one header."""
+    o = T(spark, sf, "orders")
+    led = o.select(
+        F.col("o_orderdate").cast("timestamp_ntz").alias("date"), F.concat(F.lit("C"), FX.s("o_custkey")).alias("account_name"),
+        F.lit("Expense").alias("tran_type"), F.col("o_orderpriority").alias("category"), F.lit(None).cast("string").alias("tag"),
+        F.concat(F.lit('ORDER, "'), FX.s("o_orderkey"), F.lit('"')).alias("description"), F.lit(None).cast("string").alias("notes"),
+        F.lit("USD").alias("currency"), F.col("o_totalprice").alias("amount"), ).withColumn("id", row_id())
+    path = scratch_path(spark, f"export-{uuid.uuid4().hex}")
+    write_ledger_export(led, path)
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("at"),
+        F.col("value").alias("line"))
+    lines = stored(lines, "export-lines")
+    # where a split begins, from the rows of those before it
+    splits = lines.groupBy("file", "split").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    w = Window.orderBy("file", "split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("off", F.coalesce(F.sum("n").over(w), F.lit(0)))
+    out = lines.join(sized_broadcast(splits), ["file", "split"])
+    line = F.when(F.col("off") + F.col("at") - F.col("first") == 0, F.concat(F.lit("\ufeff"), F.replace("line", F.lit("\ufeff"), F.lit("")))).otherwise(F.col("line"))
+    return out.select((F.col("off") + F.col("at") - F.col("first")).alias("pos"), line.alias("line"))
+
+
+@register("q39_unknown_accounts", """
+with names as (select c_name || case when c_custkey % 2 = 0 then ' (1).csv' else '.2024.csv' end as file, c_name, c_custkey from customer)
+select file, c_name as account_name, c_custkey % 7 <> 0 as known from names
+""")
+def q39(spark, sf):
+    """The account in a file's name, and whether it is configured."""
+    c = T(spark, sf, "customer")
+    files = c.select(F.concat("c_name", F.when(F.col("c_custkey") % 2 == 0, " (1).csv").otherwise(".2024.csv")).alias("file"))
+    accounts = c.where("c_custkey % 7 <> 0").select(F.col("c_name").alias("account_name"))
+    names = files.withColumn("account_name", account_from_filename(F.col("file")))
+    unknown = unknown_accounts(names, accounts).withColumn("known", F.lit(False))
+    return names.join(unknown.select("file", "known"), "file", "left").withColumn("known", F.coalesce("known", F.lit(True)))
+
+
+@register("q40_accounts_json", """
+select s_name as account_name, 'USD' as currency, 'BAC' as bank, 'savings' as account_type, 'BAC ' || s_suppkey || '|[A-Z]{2}' as id_pattern
+from supplier where s_suppkey % 5 <> 0
+""")
+def q40(spark, sf):
+    """The accounts file, a JSON map, read back without the accounts whose
+    pattern no regex engine can use."""
+    p = T(spark, sf, "supplier").select(
+        "s_name", F.when(F.col("s_suppkey") % 5 == 0, F.lit("(")).otherwise(F.concat(F.lit("BAC "), FX.s("s_suppkey"), F.lit("|[A-Z]{2}"))).alias("pattern"))
+    entry = F.struct(F.lit("USD").alias("currency"), F.lit("BAC").alias("bank"), F.lit("savings").alias("type"), F.col("pattern").alias("id_pattern"))
+    text = p.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("s_name", entry.alias("e"))))).alias("json"))
+    path = scratch_path(spark, f"accounts-{uuid.uuid4().hex}")
+    text.write.text(path)
+    accounts, _ = screen_patterns(read_accounts(spark, path))
+    return accounts
+
+
+@register("q41_raw_match", f"""
+with a(account_name, id_pattern) as (values {", ".join(f"('{n}', '{p}')" for n, p, *_ in RAW_PATTERNS)}),
+m as (select doc_id, a.account_name from documents, a where regexp_matches(text, id_pattern)),
+c as (select doc_id, count(*) as n, min(account_name) as account_name from m group by doc_id)
+select cast(d.doc_id as varchar) as file, case when c.n = 1 then c.account_name end as account_name,
+       case when c.n is null then 'no account matched' when c.n > 1 then 'more than one account matched' end as reason
+from documents d left join c on c.doc_id = d.doc_id where d.text is not null
+""")
+def q41(spark, sf):
+    """Patterns with blanks and lower-case letters, on whole raw texts."""
+    texts = T(spark, sf, "documents").where("text IS NOT NULL").select(FX.s("doc_id").alias("file"), "text")
+    accounts = spark.createDataFrame(RAW_PATTERNS, "account_name string, id_pattern string, bank string, account_type string, currency string")
+    unique, rejects = split_unique(match_accounts(texts, accounts, normalize=False), texts)
+    none = F.lit(None).cast("string")
+    return unique.select("file", "account_name", none.alias("reason")).unionByName(rejects.select("file", none.alias("account_name"), "reason"))
+
+
+@register("q42_consumed_inputs", """
+select c_nationkey as nation, c_nationkey % 3 = 0 as kept, cast(case when c_nationkey % 3 = 0 then 0 else count(*) end as bigint) as in_ledger
+from customer group by c_nationkey
+""")
+def q42(spark, sf):
+    """A batch with its deletions: the files of known accounts go once
+    the ledger is committed, the others stay."""
+    from tallyspark.plans.pipeline import run_batch
+    from tallyspark.sources.accounts import accounts_from_dict
+    from tallyspark.sources.grid import list_files
+    from tallyspark.sources.ledger import empty_ledger, read_ledger
+
+    root = scratch_path(spark, f"consumed-{uuid.uuid4().hex}")
+    c = T(spark, sf, "customer").where("c_nationkey IS NOT NULL")
+    account = F.when(F.col("c_nationkey") % 3 == 0, F.lit("OTHER BANK")).otherwise(F.lit("BAC USD 911"))
+    line = csv_line([account, F.lit("05/01/2024"), FX.s("c_custkey"), F.concat(FX.s("c_nationkey"), F.lit("/"), FX.s("c_custkey")),
+                     F.lit(""), FX.s("c_custkey"), F.lit("0")])
+    data = c.select(F.col("c_nationkey").alias("kind"), (F.col("c_custkey") + 1).alias("k"), line.alias("line"))
+    head = data.select("kind", F.lit(0).cast("long").alias("k"), csv_line([F.lit(h) for h in FX.BAC_SAVINGS_HEADER]).alias("line")).distinct()
+    _verbatim(data.unionByName(head), f"{root}/in", "UTF-8")
+    accounts = accounts_from_dict(spark, {"BAC USD 911": {"currency": "USD", "bank": "BAC", "type": "savings", "id_pattern": "BACUSD911"}})
+    run_batch(spark, f"{root}/in", empty_ledger(spark), accounts, out_path=f"{root}/ledger", delete_inputs=True)
+    nation = F.regexp_extract("file", "kind=([0-9]+)", 1).cast("int")
+    left = list_files(spark, f"{root}/in").select(nation.alias("nation")).withColumn("kept", F.lit(True))
+    led = read_ledger(spark, f"{root}/ledger").groupBy(F.split("description", "/")[0].cast("int").alias("nation")).agg(F.count(F.lit(1)).alias("in_ledger"))
+    return led.join(left, "nation", "full").select(
+        "nation", F.coalesce("kept", F.lit(False)).alias("kept"), F.coalesce("in_ledger", F.lit(0)).cast("long").alias("in_ledger"))

@@ -8,8 +8,6 @@ it reads: every run writes a new location.
 
 from __future__ import annotations
 
-import os
-
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +16,7 @@ from pyspark.sql import functions as F
 from tallyspark.functions.clean import blank_to_null, na_tokens_to_null
 from tallyspark.functions.identity import amount_text
 from tallyspark.schema import LEDGER, LEDGER_COLUMNS, LEDGER_DECLARED, enforce_schema
+from tallyspark.sources.csv_text import csv_line
 
 BOM = "﻿"
 
@@ -49,8 +48,9 @@ def clean_ledger_text(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def read_ledger_csv(spark: SparkSession, path: str, missing_ok: bool = True) -> DataFrame:
-    """A4 + G1 + G2: ledger CSV -> typed ledger (id not yet computed)."""
+def read_ledger_csv(spark: SparkSession, path: str, missing_ok: bool = False) -> DataFrame:
+    """A4 + G1 + G2: ledger CSV -> typed ledger (id not yet computed).  An
+    absent path raises, unless ``missing_ok`` says that this is a first run."""
     if not _path_exists(spark, path):
         if missing_ok:
             return empty_ledger(spark)
@@ -100,18 +100,23 @@ def ledger_date_text(col) -> F.Column:
     )
 
 
-def ledger_csv_frame(df: DataFrame) -> DataFrame:
-    """Ledger as the text columns written to CSV."""
+def _csv_texts() -> list[F.Column]:
+    """The ledger's columns as the texts of its CSV."""
     cols = []
     for c in LEDGER_COLUMNS:
         if c == "date":
-            e = ledger_date_text("date")
+            cols.append(ledger_date_text("date"))
         elif c == "amount":
-            e = F.when(F.col("amount").isNull() | F.isnan("amount"), F.lit(None).cast("string")).otherwise(amount_text("amount"))
+            cols.append(F.when(F.col("amount").isNull() | F.isnan("amount"), F.lit(None).cast("string")).otherwise(amount_text("amount")))
         else:
-            e = F.col(c)
-        cols.append(e.alias(BOM + c if c == LEDGER_COLUMNS[0] else c))
-    return df.select(*cols)
+            cols.append(F.col(c))
+    return cols
+
+
+def ledger_csv_frame(df: DataFrame) -> DataFrame:
+    """Ledger as the text columns written to CSV."""
+    names = [BOM + LEDGER_COLUMNS[0], *LEDGER_COLUMNS[1:]]
+    return df.select(*[e.alias(c) for e, c in zip(_csv_texts(), names, strict=True)])
 
 
 def write_ledger_csv(df: DataFrame, path: str) -> None:
@@ -127,11 +132,22 @@ def write_ledger_csv(df: DataFrame, path: str) -> None:
     )
 
 
-def validate_output_path(path: str) -> str:
-    """The parent folder of a local output path must exist."""
-    if "://" in path and not path.startswith("file:"):
-        return path
-    parent = os.path.dirname(os.path.abspath(path.replace("file://", "")))
-    if not os.path.isdir(parent):
+def write_ledger_export(df: DataFrame, path: str) -> None:
+    """G8 + A6: one CSV in parts.  Rows are ordered by date, newest first, and
+    rows of a date by their line.  The parts, in the order of their names, are
+    the file: BOM and header in the first one only."""
+    rows = df.select(F.lit(1).alias("k"), F.col("date"), csv_line(_csv_texts()).alias("line"))
+    head = df.sparkSession.range(1).select(
+        F.lit(0).alias("k"), F.lit(None).cast("timestamp_ntz").alias("date"), F.lit(BOM + ",".join(LEDGER_COLUMNS)).alias("line"))
+    # range partitions over the whole key: a date of very many rows is cut too
+    ordered = head.unionByName(rows).orderBy("k", F.desc_nulls_last("date"), "line")
+    ordered.select("line").write.mode("errorifexists").text(path)
+
+
+def validate_output_path(spark: SparkSession, path: str) -> str:
+    """The folder that is to hold the ledger must be there, on whatever
+    storage it is."""
+    parent = path.rstrip("/").rpartition("/")[0]
+    if parent and not _path_exists(spark, parent):
         raise ValueError(f"output folder {parent} is missing")
     return path

@@ -2,12 +2,12 @@
 
 ``readStream`` over the statement folder (file source: every new file is
 picked up exactly once per checkpoint) carries file names only;
-``foreachBatch`` runs the batch job's scan and merge on the files of the
-micro-batch and writes its rejects and ledger version ``batch_id + 1`` from
-version ``batch_id``.  A replayed batch recomputes
-the same version from the same input, so a restart after a failure
-overwrites it with identical content (idempotent sink); the file source's
-checkpoint guarantees the batch boundaries are replayed unchanged.
+``foreachBatch`` runs the batch job's scan on the files of the micro-batch,
+merges them into the months of ledger version ``batch_id`` that they touch,
+and writes those as version ``batch_id + 1``, with the batch's rejects.  A
+version is there once its manifest is: a replayed batch that had finished is
+left as it is, one that had not is written again from the same input (the
+file source's checkpoint replays the batch boundaries unchanged).
 """
 
 from __future__ import annotations
@@ -15,22 +15,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.operators.merge import merge_batch
+from tallyspark.operators.merge import normalise_ledger
 from tallyspark.plans.pipeline import load_statements
-from tallyspark.sources.grid import decoded, literal_paths
-from tallyspark.sources.ledger import _path_exists, empty_ledger, read_ledger, write_ledger
+from tallyspark.schema import LEDGER_COLUMNS
 from tallyspark.session import ensure_session_defaults
+from tallyspark.sources.grid import decoded, literal_paths
+from tallyspark.sources.ledger import empty_ledger
+from tallyspark.sources.versions import merge_into, open_version, versions, write_version
 
-
-def version_path(root: str, version: int) -> str:
-    return f"{root.rstrip('/')}/version={version:09d}"
+# files of one micro-batch: their names go through the driver
+MAX_FILES = 10_000
 
 
 def rejects_path(root: str, version: int) -> str:
     return f"{root.rstrip('/')}/_rejects/version={version:09d}"
 
 
-def _stream_files(spark: SparkSession, in_dir: str, max_files: int | None,
+def _stream_files(spark: SparkSession, in_dir: str, max_files: int,
                   glob: str = "*.csv", recursive: bool = False, clean_source: str | None = None,
                   archive_dir: str | None = None):
     r = (
@@ -39,8 +40,7 @@ def _stream_files(spark: SparkSession, in_dir: str, max_files: int | None,
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", str(recursive).lower())
     )
-    if max_files:
-        r = r.option("maxFilesPerTrigger", str(max_files))
+    r = r.option("maxFilesPerTrigger", str(max_files))
     if clean_source:
         # A9 for the stream: the source archives / deletes a file once a
         # later batch has committed (the last file stays until then)
@@ -53,7 +53,7 @@ def _stream_files(spark: SparkSession, in_dir: str, max_files: int | None,
 def start_ingest(spark: SparkSession, in_dir: str, ledger_root: str, accounts: DataFrame,
                  checkpoint: str | None = None, initial_ledger: DataFrame | None = None,
                  threshold: float = 0.8,
-                 max_files_per_trigger: int | None = None, available_now: bool = True,
+                 max_files_per_trigger: int = MAX_FILES, available_now: bool = True,
                  on_error: str = "reject", glob: str = "*.csv", recursive: bool = False,
                  mode: str = "reference", clean_source: str | None = None,
                  archive_dir: str | None = None):
@@ -64,20 +64,18 @@ def start_ingest(spark: SparkSession, in_dir: str, ledger_root: str, accounts: D
     if checkpoint is None:
         checkpoint = ledger_root.rstrip("/") + "/_stream"  # a restart finds it again
 
-    base = initial_ledger if initial_ledger is not None else empty_ledger(spark)
-    v0 = version_path(ledger_root, 0)
-    if not _path_exists(spark, v0):
-        write_ledger(base, v0)
+    if not versions(spark, ledger_root):
+        first = initial_ledger if initial_ledger is not None else empty_ledger(spark)
+        write_version(spark, ledger_root, 0, normalise_ledger(first))
 
     def merge_micro_batch(batch: DataFrame, batch_id: int) -> None:
+        if batch_id + 1 in versions(spark, ledger_root):
+            return
         files = [r[0] for r in batch.collect()]  # file names only, never rows
         stmts, rejects = load_statements(spark, literal_paths(files), accounts, on_error, glob=None)
         # before the version: a version that is there has its rejects
         rejects.write.mode("overwrite").parquet(rejects_path(ledger_root, batch_id + 1))
-        ledger = read_ledger(spark, version_path(ledger_root, batch_id))
-        # versions are written by this job: their stored ids are trusted
-        res = merge_batch(ledger, stmts, threshold, mode=mode, trust_ledger_ids=batch_id > 0)
-        res.ledger.write.mode("overwrite").parquet(version_path(ledger_root, batch_id + 1))
+        merge_into(spark, ledger_root, batch_id + 1, stmts, threshold, mode)
 
     src = _stream_files(spark, in_dir, max_files_per_trigger, glob, recursive, clean_source, archive_dir)
     w = src.writeStream \
@@ -86,11 +84,6 @@ def start_ingest(spark: SparkSession, in_dir: str, ledger_root: str, accounts: D
     return w.start()
 
 
-def latest_version(spark: SparkSession, ledger_root: str, query) -> DataFrame:
+def latest_version(spark: SparkSession, ledger_root: str, query=None) -> DataFrame:
     """The newest committed ledger version under ``ledger_root``."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(ledger_root)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [s.getPath().getName() for s in fs.listStatus(root)]
-    found = sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version="))
-    done = [v for v in found if _path_exists(spark, version_path(ledger_root, v) + "/_SUCCESS")]
-    return read_ledger(spark, version_path(ledger_root, done[-1]))
+    return open_version(spark, ledger_root).read(spark).select(*LEDGER_COLUMNS)

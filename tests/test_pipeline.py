@@ -3,11 +3,13 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyspark.operators.merge import merge_batch
 from tallyspark.plans import fixtures as FX
-from tallyspark.plans.pipeline import delete_consumed, run_batch
+from tallyspark.plans import consume as CN
+from tallyspark.plans.pipeline import consume_log, run_batch
 from tallyspark.sources.accounts import accounts_from_dict
 from tallyspark.sources.ledger import empty_ledger
 from tallyspark.streaming.ingest import latest_version, rejects_path, start_ingest
@@ -42,6 +44,8 @@ def test_folder_to_ledger_and_replay(spark):
     again = run_batch(spark, d, res.merge.ledger, acc)
     assert again.merge.ledger.count() == 4
     assert sum(r.added for r in again.merge.metrics.collect()) == 0
+    with pytest.raises(ValueError):
+        run_batch(spark, d, empty_ledger(spark), acc, out_path="/tmp/no-such-folder/ledger")
     out = tempfile.mkdtemp(prefix="tallyspark-out-", dir="/tmp") + "/ledger"
     run_batch(spark, d, empty_ledger(spark), acc, out_path=out, delete_inputs=True)
     assert spark.read.parquet(out).count() == 4
@@ -96,3 +100,98 @@ def test_contested_batch_equals_sequential_model(spark):
     exp, merged = fold(lrows, stmts)
     assert got == sorted(r["id"] for r in exp)
     assert res.metrics.agg(F.sum("merged")).first()[0] == merged
+
+
+def test_deletion_survives_a_crash_after_every_step(spark, tmp_path, monkeypatch):
+    """Killed after the intent, after the ledger, and amid the deletions: the
+    next run finishes what was committed and drops what was not."""
+    class Killed(Exception):
+        pass
+
+    def files():
+        return sorted(p.name for p in (tmp_path / "in").glob("*.csv"))
+
+    def start():
+        (tmp_path / "in").mkdir(exist_ok=True)
+        for n in ("a.csv", "b.csv"):
+            (tmp_path / "in" / n).write_text(n)
+
+    def die(*_):
+        raise Killed
+
+    mark, log = tmp_path / "ledger" / "_SUCCESS", str(tmp_path / "_consume")
+    names = [f"file:{tmp_path}/in/a.csv", f"file:{tmp_path}/in/b.csv"]
+
+    def commit():
+        mark.parent.mkdir(exist_ok=True)
+        mark.write_text("")
+
+    start()
+    with pytest.raises(Killed):  # the ledger was never written
+        CN.consume(spark, log, names, str(mark), die)
+    assert CN.recover(spark, log) == [] and files() == ["a.csv", "b.csv"] and not list((tmp_path / "_consume").glob("*.json"))
+    with monkeypatch.context() as m, pytest.raises(Killed):  # the ledger is there, no input is gone
+        m.setattr(CN, "finish", die)
+        CN.consume(spark, log, names, str(mark), commit)
+    assert files() == ["a.csv", "b.csv"]
+    assert sorted(CN.recover(spark, log)) == names and files() == []
+    mark.unlink()
+    start()
+    once = CN.delete_path
+    done = []
+
+    def one_only(s, p):
+        if done:
+            raise Killed
+        done.append(p)
+        return once(s, p)
+
+    with monkeypatch.context() as m, pytest.raises(Killed):  # one of two inputs is gone
+        m.setattr(CN, "delete_path", one_only)
+        CN.consume(spark, log, names, str(mark), commit)
+    assert files() == ["b.csv"]
+    (tmp_path / "in" / "b.csv").write_text("a newer statement of the same name")
+    assert CN.recover(spark, log) == [] and files() == ["b.csv"]  # not the file that was read
+    (tmp_path / "in" / "a.csv").write_text("x")
+    # any storage that Hadoop knows, here by another scheme
+    assert CN.consume(spark, log, [f"file://{tmp_path}/in/a.csv"], str(mark), commit) and files() == ["b.csv"]
+
+
+def test_versions_write_only_touched_months(spark, tmp_path):
+    import datetime as dt
+
+    from tallyspark.sources import versions as V
+
+    root = str(tmp_path / "ledger")
+    day = lambda m, d: dt.datetime(2024, m, d)
+    first = [(day(m, d), "A", f"PAYMENT {m:02d}{d:02d}", float(d)) for m in (1, 2, 3) for d in range(1, 10)] + [(None, "A", "no date", 1.0)]
+    schema = "date timestamp_ntz, account_name string, description string, amount double"
+    from tallyspark.operators.merge import normalise_ledger
+    V.write_version(spark, root, 0, normalise_ledger(spark.createDataFrame(first, schema)))
+    stmt = [("f", 0, 0, day(2, 3), "A", "PAYMENT 0203!", 3.0), ("f", 0, 1, day(2, 20), "A", "NEW", -5.0), ("f", 0, 2, day(3, 4), "A", "PAYMENT 0304", 4.0)]
+    stmts = spark.createDataFrame(stmt, "file string, stmt_seq long, row_no long, " + schema)
+    version, res = V.merge_into(spark, root, 1, stmts)
+    # March was read, and nothing in it changed
+    assert [n for n in os.listdir(f"{root}/data/v=000000001") if n.startswith("ym=")] == ["ym=2024-02"]
+    assert {m: e["v"] for m, e in version.months.items()} == {"2024-01": 0, "2024-02": 1, "2024-03": 0, "none": 0}
+    whole = merge_batch(normalise_ledger(spark.createDataFrame(first, schema)), stmts).ledger
+    key = lambda df: sorted((r.id, r.description) for r in df.collect())
+    assert key(version.read(spark)) == key(whole)
+    assert all("/v=000000001/ym=2024-02/" in f for f in version.read(spark, ["2024-02"]).inputFiles())
+    # a replay leaves one version, with the files it has
+    before = sorted(os.listdir(f"{root}/data/v=000000001/ym=2024-02"))
+    again, none = V.merge_into(spark, root, 1, stmts)
+    assert none is None and again == version and sorted(os.listdir(f"{root}/data/v=000000001/ym=2024-02")) == before
+    # an unchanged ledger hashes no row, a tampered month is found
+    rows, bad = V.verified_ledger(spark, version)
+    assert bad == [] and "sha2" not in rows._jdf.queryExecution().toString()
+    month = f"{root}/data/v=000000000/ym=2024-01"
+    spoiled = spark.read.parquet(month).withColumn("id", F.when(F.col("amount") == 3.0, F.lit("forged")).otherwise(F.col("id"))).collect()
+    for n in os.listdir(month):
+        os.remove(f"{month}/{n}")
+    from tallyspark.schema import LEDGER
+    spark.createDataFrame(spoiled, LEDGER).coalesce(1).write.mode("append").parquet(month)
+    rows, bad = V.verified_ledger(spark, version)
+    assert bad == ["2024-01"] and key(rows) == key(whole)
+    assert [p for p in V.vacuum(spark, root, keep=1)] == [f"{root}/data/v=000000000/ym=2024-02"]
+    assert key(V.open_version(spark, root).read(spark)) != [] and V.versions(spark, root) == [1]

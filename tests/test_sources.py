@@ -5,12 +5,13 @@ import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyspark.sources.accounts import read_accounts
 from tallyspark.sources.grid import grid_scan
 from tallyspark.sources.html import extract_tables
-from tallyspark.sources.ledger import read_ledger_csv, write_ledger_csv
+from tallyspark.sources.ledger import FileReadError, read_ledger_csv, write_ledger_csv, write_ledger_export
 from tallyspark.schema import LEDGER
 
 
@@ -54,7 +55,10 @@ def test_ledger_csv_round_trip(spark):
 
 
 def test_missing_ledger_is_empty(spark):
-    assert read_ledger_csv(spark, "/tmp/does-not-exist-ledger.csv").count() == 0
+    absent = "/tmp/does-not-exist-ledger.csv"
+    assert read_ledger_csv(spark, absent, missing_ok=True).count() == 0
+    with pytest.raises(FileReadError):
+        read_ledger_csv(spark, absent)
 
 
 def test_read_accounts(spark):
@@ -93,3 +97,21 @@ def test_row_numbers_across_splits(spark):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert len(rows) == 3000
     assert all(r.row_no == r.v for r in rows)
+
+
+def test_ordered_export_is_one_file_in_parts(spark, tmp_path):
+    d0 = dt.datetime(2024, 1, 1)
+    rows = [(d0 + dt.timedelta(days=i % 5) if i % 11 else None, "A", "Expense", None, None, f"row {i:03d}" + (",\n" if i % 7 == 0 else ""), None, "USD", float(i), f"id{i}") for i in range(200)]
+    df = spark.createDataFrame(rows, LEDGER).repartition(7)
+    write_ledger_export(df, str(tmp_path / "out"))
+    parts = sorted(p for p in os.listdir(tmp_path / "out") if p.startswith("part-"))
+    whole = b"".join((tmp_path / "out" / p).read_bytes() for p in parts).decode()
+    assert len(parts) > 1 and whole.count("\ufeff") == 1 and whole.startswith("\ufeffdate,account_name,")
+    import csv
+    got = list(csv.reader(whole.lstrip("\ufeff").splitlines(keepends=True)))[1:]
+    days = [r[0] for r in got]
+    assert len(got) == 200 and days == sorted(days, reverse=True)
+    assert sorted(r[9] for r in got) == sorted(r[9] for r in rows)
+    again = tmp_path / "again"
+    write_ledger_export(df.repartition(3), str(again))
+    assert whole == b"".join((again / p).read_bytes() for p in sorted(os.listdir(again)) if p.startswith("part-")).decode()
