@@ -25,14 +25,19 @@ from tallyspark.llm.common import small_batches
 
 # fixed values: HTML element classes
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style template noscript textarea title iframe svg math noembed noframes object canvas".split())
+#: elements whose content is no markup, up to their end tag
+RAW = frozenset("script style textarea title iframe noembed noframes".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var center picture output".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var center picture output math svg object canvas noscript".split()
 )
 #: start tags that end an open <p>, and end tags implied by a sibling
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPES = frozenset("html body table ul ol dl td th article section aside nav main header footer form div".split())
+#: formulas and drawings: what is inside is part of the line
+FOREIGN = frozenset(("math", "svg"))
+#: open elements, as in browsers: a deeper one takes the place of the last
+MAX_DEPTH = 512
 
 # fixed values: what names of classes and ids say, by the start of a word
 FAMILIES = {
@@ -47,7 +52,10 @@ FAMILIES = {
     "main": "article content post entry story main body text prose page",
 }
 _FAMILY = {w: f for f, ws in FAMILIES.items() for w in ws.split()}
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|[^<]+|<", re.S)
+_OPEN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+# Up to the end of a tag.  A quote begins a value only behind an equals sign,
+# and only if it is closed; nothing is tried twice.
+_TAIL = re.compile(r"""(?>[^>=]*+(?:=\s*+(?>"[^"]*+"|'[^']*+')?+[^>=]*+)*+)>""")
 _ATTR = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 _WORDS = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
@@ -74,20 +82,57 @@ class Page:
     chunks: list[tuple[int, int, str]]
 
 
+def _tokens(html: str) -> Iterator[tuple[int, str | None, str, int]]:
+    """(kind, tag, text or attributes, end): kind 0 text, 1 start tag, 2 end
+    tag.  One pass: where a tag does not end (a quote left open), tags end at
+    their first ``>`` from there on; without any, the rest is text."""
+    pos, end = 0, len(html)
+    last = html.rfind(">")
+    plain = False
+    while pos < end:
+        at = html.find("<", pos)
+        if at != pos:
+            at = end if at < 0 else at
+            yield 0, None, html[pos:at], at
+            pos = at
+            continue
+        if html.startswith("<!--", pos):
+            close = html.find("-->", pos + 2)
+            pos = end if close < 0 else max(close + 3, pos + 4)
+            continue
+        m = _OPEN.match(html, pos)
+        if pos > last or not (m or html[pos + 1 : pos + 2] in ("!", "?", "/")):
+            stop = html.find("<", pos + 1)
+            stop = end if stop < 0 else stop
+            yield 0, None, html[pos:stop], stop
+            pos = stop
+            continue
+        if m is None:
+            pos = html.find(">", pos) + 1
+            continue
+        tail = None if plain else _TAIL.match(html, m.end())
+        if tail is None:
+            plain = True
+        stop = tail.end() if tail else html.find(">", m.end()) + 1
+        pos = yield 2 if m[1] else 1, m[2].lower(), html[m.end() : stop - 1], stop
+        pos = stop if pos is None else pos
+
+
 def parse(html: str) -> Page:
     nodes = [Node("#root", -1)]
     chunks: list[tuple[int, int, str]] = []
     stack: list[tuple[str, int]] = [("#root", 0)]  # open elements, with the block node each stands in
     links = block = 0
-    pos, end = 0, len(html)
-    while pos < end:
-        m = _TOKEN.match(html, pos)
-        pos = m.end()
-        tag = m[2]
-        if tag is None:
-            text = m[0]
-            if text[0] == "<" and (len(text) > 1):
-                continue
+    drawn = False  # whether a formula or drawing may be open
+    tokens = _tokens(html)
+    go = None
+    while True:
+        try:
+            kind, tag, text, pos = tokens.send(go)
+        except StopIteration:
+            break
+        go = None
+        if kind == 0:
             if "&" in text:
                 text = entities.unescape(text)
             if text:
@@ -97,11 +142,10 @@ def parse(html: str) -> Page:
                 nodes[at].chars += n
                 nodes[at].link_chars += n if links else 0
             continue
-        tag = tag.lower()
-        if m[1]:
+        if kind == 2:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == tag:
-                    block += any(t not in INLINE for t, _ in stack[k:])
+                    block += stack[-1][1] != stack[k - 1][1]
                     links -= sum(t == "a" for t, _ in stack[k:])
                     del stack[k:]
                     break
@@ -109,9 +153,8 @@ def parse(html: str) -> Page:
                     break
             continue
         if tag in RAW:
-            if not m[3].rstrip().endswith("/") or tag in ("script", "style", "title", "textarea", "iframe"):
-                close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(html, pos)
-                pos = close.end() if close else end
+            close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(html, pos)
+            go = close.end() if close else len(html)
             continue
         if tag == "br":
             chunks.append((stack[-1][1], block, " "))
@@ -119,6 +162,16 @@ def parse(html: str) -> Page:
         if tag in VOID:
             block += tag == "hr"
             continue
+        foreign = next((k for k in range(1, len(stack)) if stack[k][0] in FOREIGN), 0) if drawn else 0
+        if foreign and tag in CLOSES_P:
+            # a block ends a formula or drawing that was left open
+            links -= sum(t == "a" for t, _ in stack[foreign:])
+            del stack[foreign:]
+            foreign = 0
+        drawn = bool(foreign) or tag in FOREIGN
+        if len(stack) >= MAX_DEPTH:
+            links -= stack[-1][0] == "a"
+            del stack[-1]
         ends = ("p",) if tag in CLOSES_P else SIBLINGS.get(tag, ())
         if ends:
             for k in range(len(stack) - 1, 0, -1):
@@ -128,12 +181,12 @@ def parse(html: str) -> Page:
                     break
                 if stack[k][0] in SCOPES:
                     break
-        if tag in INLINE:
+        if tag in INLINE or foreign:
             links += tag == "a"
             stack.append((tag, stack[-1][1]))
             continue
         block += 1
-        nodes.append(Node(tag, stack[-1][1], m[3]))
+        nodes.append(Node(tag, stack[-1][1], text))
         stack.append((tag, len(nodes) - 1))
     return Page(nodes, chunks)
 
