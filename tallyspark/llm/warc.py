@@ -22,9 +22,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import materialised, small_batches
+from tallyspark.llm.common import materialised, shuffle_partitions, small_batches
 
 #: a frame closes at so many bytes of records, a bundle at so many of frames
+#: compressed bytes that a reading task takes
+TASK_BYTES = 64 << 20
 FRAME_BYTES = 1 << 20
 BUNDLE_BYTES = 64 << 20
 LEVEL = 6
@@ -244,6 +246,10 @@ def read_bundles(index: DataFrame) -> DataFrame:
                 kinds = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["record_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"])
 
-    listed = names.mapInArrow(frames, "bundle string, offset long, size long").repartition("bundle", "offset")
+    listed = materialised(names.mapInArrow(frames, "bundle string, offset long, size long"), "warc-frames")
+    # rows of the list are small whatever they name: the frames' bytes say how many tasks read them
+    size = listed.agg(F.sum("size")).first()[0] or 0
+    tasks = max(shuffle_partitions(index.sparkSession), -(-size // TASK_BYTES))
+    listed = listed.repartition(tasks, "bundle", "offset")
     return listed.mapInArrow(records, "record_id string, url string, payload_bytes long, payload_digest string, record_type string, refers_to string, payload binary")
 
