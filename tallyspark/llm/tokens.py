@@ -6,6 +6,10 @@ its distinct pre-tokens with postings (document, frequency); pre-tokens are
 hashed into buckets, and one shuffle brings all blocks' occurrences of a
 pre-token to one task.  There each distinct pre-token is tokenised once, its
 count is joined to the postings, and the products are summed per document.
+
+A pre-token that every ``HOT`` th document of a block holds (" the") would
+bring its postings of the whole corpus to one task.  Those are dealt by block
+as well, so such a pre-token is tokenised once in every bucket.
 """
 
 from __future__ import annotations
@@ -31,6 +35,8 @@ BLOCK_BYTES = 32 << 20
 BLOCK_DOCS = 60_000
 #: buckets per shuffle partition
 BUCKETS = 8
+#: a pre-token is frequent in a block if one of so many documents holds it
+HOT = 8
 #: sums held by a reducing task before it passes them on
 HELD_DOCS = 4_000_000
 #: piece counts held by a reducing task
@@ -81,9 +87,9 @@ def frequencies(text: str | None, path: str) -> tuple[Counter, int]:
     return counts, len(parts) - 1
 
 
-def _postings(block: list[tuple[int | None, str | None]], path: str, n_buckets: int):
+def _postings(block: list[tuple[int | None, str | None]], path: str, n_buckets: int, name: int = 0):
     """Rows (bucket, pieces, offsets, postings) of a block, and its row of
-    documents."""
+    documents.  ``name`` tells blocks apart."""
     names: dict[str, int] = {}
     ids, freqs, sizes, n_bytes, specials = [], [], [], [], []
     for _, text in block:
@@ -97,6 +103,8 @@ def _postings(block: list[tuple[int | None, str | None]], path: str, n_buckets:
     doc = np.repeat(np.arange(len(block)), sizes)
     words = list(names)
     bucket = np.fromiter((xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) % n_buckets for w in words), np.int64, len(words))
+    hot = np.bincount(tok, minlength=len(words)) * HOT > len(block)
+    bucket = np.where(hot, (bucket + xxhash.xxh3_64_intdigest(str(name)) % n_buckets) % n_buckets, bucket)
     # one order: bucket, then pre-token, then document
     by_bucket = np.argsort(bucket, kind="stable")
     place = np.empty(len(words), dtype=np.int64)
@@ -164,7 +172,7 @@ def count_tokens(
         rows = (r for b in batches for r in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
         for k, block in enumerate(_blocks(rows, block_bytes)):
             name = (part << 24) + k
-            out = list(_postings(block, tokenizer_path, n_buckets))
+            out = list(_postings(block, tokenizer_path, n_buckets, name))
             # a block's row of documents goes to some bucket's task, not to one for all
             out[-1] = (xxhash.xxh3_64_intdigest(str(name)) % n_buckets, *out[-1][1:])
             yield pa.RecordBatch.from_arrays(
