@@ -15,6 +15,7 @@ bounded groups.  A block returns sums and spanning edges, not pairs.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,8 +29,13 @@ from pyspark.sql import functions as F
 from tallyspark.llm.common import materialised, small_batches
 from tallyspark.llm.graph import connected_components
 
-#: centroids per half
+#: centroids per half, at least and at most, and the vectors of a cell on
+#: average that they grow with
 K = 64
+MOST_K = 256
+CELL_VECTORS = 256
+#: entries of the table of a block of vectors by cells
+TABLE = 1 << 21
 #: vectors that the codebooks are fitted on, in the order of a hash
 SAMPLE = 16_384
 ROUNDS = 12
@@ -42,8 +48,8 @@ BLOCK_BYTES = 32 << 20
 LINKED = 256
 #: the recall to reach
 TARGET = 0.999
-#: cells are visited in powers of two up to
-MOST_CELLS = 1024
+#: vectors of a dimension that are too few for an index: compared pair by pair
+FEW = 256
 #: a group's members and queries
 MEMBERS = 1024
 VISITS = 2048
@@ -69,6 +75,9 @@ class Codebooks:
     def visits(self, x: np.ndarray, n: int) -> np.ndarray:
         """The ``n`` nearest cells of each vector, nearest first (ties by cell
         number)."""
+        step = max(1, TABLE // (min(n, len(self.first)) * min(n, len(self.second))))
+        if len(x) > step:
+            return np.concatenate([self.visits(x[lo : lo + step], n) for lo in range(0, len(x), step)])
         half = x.shape[1] // 2
         a = ((x[:, None, :half] - self.first) ** 2).sum(2)
         b = ((x[:, None, half:] - self.second) ** 2).sum(2)
@@ -168,7 +177,7 @@ def cells_to_visit(vectors: DataFrame, books: Codebooks, threshold: float, targe
     sample's links (mean over queries), that share, and the number of queries
     with a link that it was measured with.  Fewer than LINKED of them means
     that every vector was asked."""
-    most = min(MOST_CELLS, len(books.first) * len(books.second))
+    most = len(books.first) * len(books.second)  # all cells: the exact search
     block, after, linked, total = QUERIES, None, 0, np.zeros(most)
     while linked < LINKED:
         nodes, asked, after = _sample(vectors, block, 11, after)
@@ -200,12 +209,29 @@ def _labels(n: int, m: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, n
             return left, right
 
 
-def _linked(classes: DataFrame, dim: int, threshold: float, target: float) -> tuple[DataFrame, DataFrame]:
-    """(node, links) and edges (a, b) of the classes of one dimension."""
+def _all_pairs(classes: DataFrame, threshold: float) -> DataFrame:
+    """(node, links, other) of classes that are few per dimension."""
+
+    def compare(x: pd.DataFrame) -> pd.DataFrame:
+        a, n, mult = np.array([np.frombuffer(u) for u in x["unit"]]), len(x), x["mult"].to_numpy()
+        i, j = np.nonzero(a @ a.T >= threshold)
+        links = np.zeros(n, np.int64)
+        np.add.at(links, i[i != j], mult[j[i != j]])
+        left, _ = _labels(n, n, np.concatenate((i, np.arange(n))), np.concatenate((j, np.arange(n))))
+        node = x["node"].to_numpy()
+        return pd.DataFrame({"node": node, "links": links, "other": node[left]})
+
+    return classes.select("dim", "node", "mult", "unit").groupBy("dim").applyInPandas(compare, "node long, links long, other long")
+
+
+def _linked(classes: DataFrame, dim: int, threshold: float, target: float) -> tuple[DataFrame, float]:
+    """(node, links, other) of the classes of one dimension, and the recall
+    that was measured."""
     spark = classes.sparkSession
     mine = classes.where(F.col("dim") == dim)
-    books = fit(_sample(mine, SAMPLE, 7)[1])
-    n_cells, _, _ = cells_to_visit(mine, books, threshold, target)
+    k = min(MOST_K, max(K, math.ceil((mine.count() / CELL_VECTORS) ** 0.5)))
+    books = fit(_sample(mine, SAMPLE, 7)[1], k)
+    n_cells, recall, _ = cells_to_visit(mine, books, threshold, target)
     shared = spark.sparkContext.broadcast(books)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,17 +286,19 @@ def _linked(classes: DataFrame, dim: int, threshold: float, target: float) -> tu
 
     asked = query.select(*cols).toDF("q_cell", "q_mb", "q_qb", "q_node", "q_mult", "q_unit", "q_cells")
     grouped = asked.groupBy("q_cell", "q_mb", "q_qb").cogroup(member.select(*cols).groupBy("cell", "mb", "qb"))
-    found = materialised(grouped.applyInPandas(verify, "node long, links long, other long"), "imi-found")
-    return found.groupBy("node").agg(F.sum("links").alias("links")), found.where("node <> other").select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
+    return materialised(grouped.applyInPandas(verify, "node long, links long, other long"), "imi-found"), recall
 
 
 def near_duplicates(df: DataFrame, threshold: float = 0.9, target: float = TARGET, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """One row per input row: id, ``n_links``, ``component_id``, ``kept``.
+    """One row per input row: id, ``n_links``, ``component_id``, ``kept``, and
+    ``recall``, the share of links found that was measured for vectors of its
+    dimension (null for a vector that links with nothing).
 
     Links are the found pairs of rows with cosine >= ``threshold``.  Null, zero
     and empty vectors, and those that hold a null or a non-finite component,
     link with nothing: their component is their own id.  Vectors of different
-    dimensions do not link; more than eight dimensions raise.  Identical
+    dimensions do not link; those of a dimension with few vectors are compared
+    pair by pair, the others go through an index of their own.  Identical
     vectors are linked exactly.  ``component_id`` is the smallest id (nulls
     aside); rows that repeat it are all kept.  Other columns are not read.  An
     empty table gives no row.
@@ -280,22 +308,23 @@ def near_duplicates(df: DataFrame, threshold: float = 0.9, target: float = TARGE
     rows = materialised(unit_vectors(df, vec_col, id_col), "imi-rows")
     classes = rows.where("digest IS NOT NULL").groupBy("digest", "dim").agg(F.count("*").alias("mult"), F.min("id").alias("least"), F.first("unit").alias("unit"))
     classes = materialised(classes.withColumn("node", F.monotonically_increasing_id()), "imi-classes")
-    dims = [r["dim"] for r in classes.select("dim").distinct().limit(9).collect()]
-    if len(dims) > 8:
-        raise ValueError("vectors of more than eight dimensions")
+    sizes = materialised(classes.groupBy("dim").agg(F.count("*").alias("n")), "imi-dims")
     told = classes.select("node", "digest", "dim", "mult", "least", F.lit(0).cast("long").alias("links"))
-    edges, links = None, None
-    for d in sorted(dims):
-        n, e = _linked(classes, d, threshold, target)
-        links, edges = (n, e) if edges is None else (links.union(n), edges.union(e))
-    component = F.col("least")
-    if edges is not None:
-        comps = connected_components(edges)
-        least = comps.join(classes.select("node", "least"), "node").groupBy("component").agg(F.min("least").alias("of_component"))
-        wide = comps.join(least, "component").select("node", "of_component")
-        told = told.drop("links").join(links, "node", "left").join(wide, "node", "left")
-        component = F.coalesce("of_component", "least")
+    few = classes.join(sizes.where((F.col("n") > 1) & (F.col("n") <= FEW)).select("dim"), "dim", "left_semi")
+    found = materialised(_all_pairs(few, threshold), "imi-few")
+    recall = F.lit(1.0)
+    # at most vectors / FEW dimensions
+    for d in sorted(r["dim"] for r in sizes.where(F.col("n") > FEW).collect()):
+        more, share = _linked(classes, d, threshold, target)
+        found, recall = found.union(more), F.when(F.col("dim") == d, share).otherwise(recall)
+    links = found.groupBy("node").agg(F.sum("links").alias("links"))
+    edges = found.where("node <> other").select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
+    comps = connected_components(edges)
+    least = comps.join(classes.select("node", "least"), "node").groupBy("component").agg(F.min("least").alias("of_component"))
+    wide = comps.join(least, "component").select("node", "of_component")
+    told = told.drop("links").join(links, "node", "left").join(wide, "node", "left")
+    component = F.coalesce("of_component", "least")
     told = told.select("digest", "dim", (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("n_links"), component.alias("c"))
     out = rows.select("id", "digest", "dim").join(told, ["digest", "dim"], "left")
     comp = F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col("c"))
-    return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).alias("n_links"), comp.alias("component_id"), comp.eqNullSafe(F.col("id")).alias("kept"))
+    return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).alias("n_links"), comp.alias("component_id"), comp.eqNullSafe(F.col("id")).alias("kept"), F.when(F.col("digest").isNotNull(), recall).alias("recall"))

@@ -216,12 +216,16 @@ def test_warc(spark, tmp_path):
     assert warc.archive(pages.where("false"), str(tmp_path)).isEmpty()
 
 
-def test_embeddings(spark):
+@pytest.mark.parametrize("few", [embeddings.FEW, 1])
+def test_embeddings(spark, monkeypatch, few):
+    monkeypatch.setattr(embeddings, "FEW", few)  # 1: an index for every dimension
     rng = np.random.default_rng(3)
     base = rng.normal(size=(60, 8))
     rows = [(i, [float(x) for x in v]) for i, v in enumerate(base)]
     rows += [(100 + i, [float(x) for x in v + 0.05 * rng.normal(size=8)]) for i, v in enumerate(base[:20])]
     rows += [(200, rows[0][1]), (None, rows[1][1]), (201, None), (202, [0.0] * 8), (203, [float("nan")] * 8), (204, [1.0, None] + [0.0] * 6), (205, []), (206, [1.0, 2.0]), (207, [2.0, 4.0])]
+    if few > 1:  # ragged vectors: any number of dimensions
+        rows += [(300 + 2 * d + k, [float(x) for x in np.arange(d) + 1.0]) for d in range(9, 25) for k in (0, 1)]
     out = embeddings.near_duplicates(spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, n_links int")).collect()
     assert len(out) == len(rows)
     got = {r["vec_id"]: r["n_links"] for r in out}
@@ -231,6 +235,7 @@ def test_embeddings(spark):
         assert got[i] == want, i
     for i in (201, 202, 203, 204, 205):
         assert got[i] == 0
+    assert all((r["recall"] is None) == (r["vec_id"] in (201, 202, 203, 204, 205)) and (r["recall"] or 1) >= 0.999 for r in out)
     assert embeddings.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<double>")).isEmpty()
 
 
