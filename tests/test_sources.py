@@ -103,7 +103,12 @@ def test_ordered_export_is_one_file_in_parts(spark, tmp_path):
     d0 = dt.datetime(2024, 1, 1)
     rows = [(d0 + dt.timedelta(days=i % 5) if i % 11 else None, "A", "Expense", None, None, f"row {i:03d}" + (",\n" if i % 7 == 0 else ""), None, "USD", float(i), f"id{i}") for i in range(200)]
     df = spark.createDataFrame(rows, LEDGER).repartition(7)
-    write_ledger_export(df, str(tmp_path / "out"))
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")  # small parts are not put together
+    try:
+        write_ledger_export(df, str(tmp_path / "out"))
+    finally:
+        spark.conf.set(coalesce, "true")
     parts = sorted(p for p in os.listdir(tmp_path / "out") if p.startswith("part-"))
     whole = b"".join((tmp_path / "out" / p).read_bytes() for p in parts).decode()
     assert len(parts) > 1 and whole.count("\ufeff") == 1 and whole.startswith("\ufeffdate,account_name,")
