@@ -724,23 +724,31 @@ def q29(spark, sf):
 @register("q30_html_tables", """
 with n as (select r.r_regionkey, r.r_name, n.n_name, n.n_nationkey,
                   row_number() over (partition by r.r_regionkey order by n.n_nationkey) as rn
-           from nation n join region r on n.n_regionkey = r.r_regionkey)
+           from nation n join region r on n.n_regionkey = r.r_regionkey),
+c as (select *, row_number() over (partition by c_nationkey order by c_custkey) as rn, count(*) over (partition by c_nationkey) as k from customer)
 select distinct cast(100000 + r_regionkey as bigint) as page_id, cast(0 as bigint) as row_no,
        'Account Name,Nation,Key,Note' as line from n
 union all
 select cast(100000 + r_regionkey as bigint) as page_id, rn as row_no,
        r_name || ',' || n_name || ',' || n_nationkey || ',a & b' as line from n
+union all
+select distinct cast(200000 + c_nationkey as bigint), cast(0 as bigint), 'Account Name,Customer' from c
+union all
+select cast(200000 + c_nationkey as bigint), rn, 'SAVINGS ' || c_nationkey || ',' || c_name || chr(233) || '<' || c_mktsegment || '|' || c_custkey from c
+union all
+select distinct cast(200000 + c_nationkey as bigint), k + 1, 'SAVINGS ' || c_nationkey || ',' || k from c
 """)
 def q30(spark, sf):
     """A10/R2: the visible account table of every page -> CSV rows with the
-    account name prepended (pages rendered from nation + the real pages)."""
+    account name prepended: pages rendered from nation and from customer
+    (foot before the rows, nested tables, hidden by an outer element,
+    character references), and the real pages."""
     n = T(spark, sf, "nation")
     r = T(spark, sf, "region")
+    rows_of = lambda key, tr: F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(key, tr.alias("tr")))), lambda x: x["tr"]), "")
     tr = F.concat(F.lit("<tr>\n  <td>\n\t"), F.col("n_name"), F.lit("\t</td><td>"), FX.s("n_nationkey"),
                   F.lit("</td><td class=\"x\">a &amp; b</td></tr>"))
-    body = n.groupBy("n_regionkey").agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("n_nationkey", tr.alias("tr")))),
-                                 lambda x: x["tr"]), "").alias("body"))
+    body = n.groupBy("n_regionkey").agg(rows_of("n_nationkey", tr).alias("body"))
     html = F.concat(
         F.lit('<html><body><h2 class="bel-typography bel-typography-h2">\n'), F.col("r_name"),
         F.lit('\t</h2><table id="creditCardStateTRX" style="display: none"><tr><td>hidden</td></tr></table>'),
@@ -748,7 +756,16 @@ def q30(spark, sf):
         F.col("body"), F.lit("</table></body></html>"))
     rendered = body.join(r, body.n_regionkey == r.r_regionkey).select(
         (F.lit(100000) + F.col("r_regionkey")).cast("long").alias("page_id"), F.lit("").alias("url"), html.alias("html"))
-    pages = T(spark, sf, "pages").select("page_id", "url", "html").unionByName(rendered)
+    c = T(spark, sf, "customer")
+    tr = F.concat(F.lit("<tr><td>"), F.col("c_name"), F.lit("&eacute;&#60;"), F.col("c_mktsegment"),
+                  F.lit('<table id="transactionTable1"><tr><td>|<td>'), FX.s("c_custkey"), F.lit("</table>"))
+    body = c.groupBy("c_nationkey").agg(rows_of("c_custkey", tr).alias("body"), F.count(F.lit(1)).alias("k"))
+    html = F.concat(
+        F.lit('<div id="debitAccountNameDiv"><p><span>\n\tSAVINGS '), FX.s("c_nationkey"), F.lit('</span></p></div>'),
+        F.lit('<div style="display:none"><section><table id="creditCardRecentMovementsTable"><tr><td>hidden</td></tr></table></section></div>'),
+        F.lit('<table id="transactionTable"><tfoot><tr><td>'), FX.s("k"), F.lit("</tfoot><thead><tr><th>Customer</thead>"), F.col("body"), F.lit("</table>"))
+    accounts = body.select((F.lit(200000) + F.col("c_nationkey")).cast("long").alias("page_id"), F.lit("").alias("url"), html.alias("html"))
+    pages = T(spark, sf, "pages").select("page_id", "url", "html").unionByName(rendered).unionByName(accounts)
     rows = extract_tables(pages)
     return rows.select("page_id", "row_no", csv_line_from_array(F.col("cells")).alias("line"))
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.sources.accounts import read_accounts
 from tallyspark.sources.grid import grid_scan
-from tallyspark.sources.html import extract_tables
+from tallyspark.sources.html import NO_ACCOUNT, NO_TABLE, extract_tables, page_rows, table_rejects
 from tallyspark.sources.ledger import FileReadError, read_ledger_csv, write_ledger_csv, write_ledger_export
 from tallyspark.schema import LEDGER
 
@@ -120,3 +120,28 @@ def test_ordered_export_is_one_file_in_parts(spark, tmp_path):
     again = tmp_path / "again"
     write_ledger_export(df.repartition(3), str(again))
     assert whole == b"".join((again / p).read_bytes() for p in sorted(os.listdir(again)) if p.startswith("part-")).decode()
+
+
+def test_html_tables_of_all_shapes(spark):
+    name = '<h2 class="x bel-typography-h2 bel-typography">A &amp; B</h2>'
+    nested = name + ('<div style="color:red; DISPLAY : none"><table id="creditCardStateTRX"><tr><td>hidden by what is around it</td></tr></table></div>'
+                     '<table id=transactionTable><tfoot><tr><td>last<td>&eacute;&#233;&#xE9;&nbsp;&copy;</tfoot>'
+                     '<thead><tr><th>first<th>&lt;b&gt;</thead>'
+                     '<tr><td>1</td><td>a<table id="transactionTable1"><tr><td>in</td><td>ner</td></tr></table>b</td></tr><tr></tr></table>')
+    pages = spark.createDataFrame([
+        (1, nested), (2, '<div id="debitAccountNameDiv"><b>no span</b></div>' + name + '<table id="transactionTable"><tr><td>x</td></tr></table>'),
+        (3, name + "<p>no table</p>"), (4, None), (5, ""), (6, name + '<table id="transactionTable" style="display:none"><tr><td>x</td></tr></table>'),
+        (7, '<table id="transactionTable1"><tr><td>x</td></tr></table>')], "page_id long, html string")
+    rows = {(r.page_id, r.row_no): r.cells for r in extract_tables(pages).collect()}
+    assert rows == {
+        (1, 0): ["Account Name", "first", "<b>"], (1, 1): ["A &amp; B", "1", "ainnerb"], (1, 2): ["A &amp; B"], (1, 3): ["A &amp; B", "last", "\u00e9\u00e9\u00e9\u00a0\u00a9"]}
+    assert {r.page_id: r.reason for r in table_rejects(pages).collect()} == {2: NO_ACCOUNT, 3: NO_TABLE, 4: NO_TABLE, 5: NO_TABLE, 6: NO_TABLE, 7: NO_ACCOUNT}
+
+
+def test_hostile_account_pages_take_time_in_proportion():
+    import time
+
+    for part in ("<tr>", "<b>", "<table id=transactionTable><tr><td>", "</td>", "<a b='", "<!", "&amp", "<td><tr>"):
+        began = time.process_time()
+        page_rows("<table>" + part * 20_000)
+        assert time.process_time() - began < 10, part
