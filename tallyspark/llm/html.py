@@ -21,12 +21,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyspark.functions.markup import END, RAW, TEXT, tokens
 from tallyspark.llm.common import small_batches
 
 # fixed values: HTML element classes
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: elements whose content is no markup, up to their end tag
-RAW = frozenset("script style textarea title iframe noembed noframes".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var center picture output math svg object canvas noscript".split()
 )
@@ -52,10 +51,6 @@ FAMILIES = {
     "main": "article content post entry story main body text prose page",
 }
 _FAMILY = {w: f for f, ws in FAMILIES.items() for w in ws.split()}
-_OPEN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
-# Up to the end of a tag.  A quote begins a value only behind an equals sign,
-# and only if it is closed; nothing is tried twice.
-_TAIL = re.compile(r"""(?>[^>=]*+(?:=\s*+(?>"[^"]*+"|'[^']*+')?+[^>=]*+)*+)>""")
 _ATTR = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 _WORDS = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
@@ -82,57 +77,16 @@ class Page:
     chunks: list[tuple[int, int, str]]
 
 
-def _tokens(html: str) -> Iterator[tuple[int, str | None, str, int]]:
-    """(kind, tag, text or attributes, end): kind 0 text, 1 start tag, 2 end
-    tag.  One pass: where a tag does not end (a quote left open), tags end at
-    their first ``>`` from there on; without any, the rest is text."""
-    pos, end = 0, len(html)
-    last = html.rfind(">")
-    plain = False
-    while pos < end:
-        at = html.find("<", pos)
-        if at != pos:
-            at = end if at < 0 else at
-            yield 0, None, html[pos:at], at
-            pos = at
-            continue
-        if html.startswith("<!--", pos):
-            close = html.find("-->", pos + 2)
-            pos = end if close < 0 else max(close + 3, pos + 4)
-            continue
-        m = _OPEN.match(html, pos)
-        if pos > last or not (m or html[pos + 1 : pos + 2] in ("!", "?", "/")):
-            stop = html.find("<", pos + 1)
-            stop = end if stop < 0 else stop
-            yield 0, None, html[pos:stop], stop
-            pos = stop
-            continue
-        if m is None:
-            pos = html.find(">", pos) + 1
-            continue
-        tail = None if plain else _TAIL.match(html, m.end())
-        if tail is None:
-            plain = True
-        stop = tail.end() if tail else html.find(">", m.end()) + 1
-        pos = yield 2 if m[1] else 1, m[2].lower(), html[m.end() : stop - 1], stop
-        pos = stop if pos is None else pos
-
-
 def parse(html: str) -> Page:
     nodes = [Node("#root", -1)]
     chunks: list[tuple[int, int, str]] = []
     stack: list[tuple[str, int]] = [("#root", 0)]  # open elements, with the block node each stands in
     links = block = 0
     drawn = False  # whether a formula or drawing may be open
-    tokens = _tokens(html)
-    go = None
-    while True:
-        try:
-            kind, tag, text, pos = tokens.send(go)
-        except StopIteration:
-            break
-        go = None
-        if kind == 0:
+    for kind, tag, text, _, _ in tokens(html):
+        if tag in RAW:
+            continue
+        if kind == TEXT:
             if "&" in text:
                 text = entities.unescape(text)
             if text:
@@ -142,7 +96,7 @@ def parse(html: str) -> Page:
                 nodes[at].chars += n
                 nodes[at].link_chars += n if links else 0
             continue
-        if kind == 2:
+        if kind == END:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == tag:
                     block += stack[-1][1] != stack[k - 1][1]
@@ -152,10 +106,6 @@ def parse(html: str) -> Page:
                 if tag in INLINE and stack[k][0] not in INLINE:
                     break
             continue
-        if tag in RAW:
-            close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(html, pos)
-            go = close.end() if close else len(html)
-            continue
         if tag == "br":
             chunks.append((stack[-1][1], block, " "))
             continue
