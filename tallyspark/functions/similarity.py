@@ -3,7 +3,8 @@
 The ratio is Ratcliff/Obershelp as computed by ``difflib.SequenceMatcher``
 (``2*M / (len(a)+len(b))``, asymmetric, autojunk for long ``b``).  It is the
 only Python in the merge path and runs as an Arrow-batched pandas UDF on
-candidate pairs that already passed the exact native length bound.
+candidate pairs that already passed two exact native bounds: of the lengths,
+and of the characters that both texts have.
 """
 
 from __future__ import annotations
@@ -47,16 +48,6 @@ def similar_at_least(a: pd.Series, b: pd.Series, t: pd.Series) -> pd.Series:
     return pd.Series([_passes(x, y, z) for x, y, z in zip(a, b, t)], dtype="object")
 
 
-@F.pandas_udf(T.BooleanType())
-def similar_either_order(a: pd.Series, b: pd.Series, t: pd.Series) -> pd.Series:
-    """``ratio(a, b) >= t or ratio(b, a) >= t`` (the ratio is asymmetric)."""
-    return pd.Series(
-        [(_passes(x, y, z) or _passes(y, x, z)) if x is not None and y is not None else None
-         for x, y, z in zip(a, b, t)],
-        dtype="object",
-    )
-
-
 def length_bound(len_a: Column, len_b: Column, threshold: float) -> Column:
     """``2*min/(la+lb) >= t`` is a necessary condition for ``ratio >= t``
     (matched characters never exceed the shorter text)."""
@@ -77,3 +68,21 @@ def length_band(length: Column, threshold: float) -> Column:
     # rounding, so partners are never more than one band apart
     ratio = F.log(F.greatest(length, F.lit(1)).cast("double")) / F.lit(math.log(r))
     return F.floor(ratio + F.lit(1e-9)).cast("long")
+
+
+#: characters are counted in so many groups
+GROUPS = 16
+
+
+def character_groups(text: Column) -> Column:
+    """How many characters of each group a text has."""
+    chars = F.transform(F.split(text, ""), lambda c: F.pmod(F.ascii(c), F.lit(GROUPS)))
+    return F.transform(F.sequence(F.lit(0), F.lit(GROUPS - 1)), lambda g: F.size(F.filter(chars, lambda c: c == g)))
+
+
+def shared_bound(groups_a: Column, groups_b: Column, len_a: Column, len_b: Column, threshold: float) -> Column:
+    """Matched characters are characters of both texts: a necessary condition
+    for ``ratio >= t`` by ``character_groups``, in plain arithmetic."""
+    shared = sum((F.least(F.get(groups_a, F.lit(g)), F.get(groups_b, F.lit(g))) for g in range(GROUPS)), F.lit(0))
+    total = len_a + len_b
+    return (total <= 0) | (shared * F.lit(2.0) / F.greatest(total, F.lit(1)) >= F.lit(float(threshold)))

@@ -1,22 +1,115 @@
 """Statement identification (B1-B9): which account does a file belong to.
 
 The fingerprint of a file is its first characters, upper-cased, blanks
-removed (B1).  Every account pattern is tried against every fingerprint
-(B2): a regex theta-join.  The accounts side is configuration with a
-checked size and is broadcast (broadcast nested-loop join); above the
-limit the join runs without the hint.  Files matching exactly one account
-are kept (B4); the others are rejects with a reason.
+removed (B1).  Which account patterns match it (B2) is not tried pattern by
+pattern: every text that matches a pattern contains the pattern's required
+literal (its longest run of plain characters).  One look over the text finds
+the literals that it contains, an equi-join brings their patterns, and only
+those are tried.  The few patterns without a literal are tried on every text,
+each compiled once.  Files matching exactly one account are kept (B4); the
+others are rejects with a reason.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tallyspark.operators.common import checkpointed, sized_broadcast
 from tallyspark.sources.grid import file_text
 
 DEFAULT_NUM_CHARS = 400
-BROADCAST_ACCOUNTS_LIMIT = 10_000
+# a literal is found by so many of its first characters
+KEY_CHARS = 4
+
+
+def required_literal(pattern: str | None) -> str | None:
+    """Characters that every match of a pattern contains, in a row; None
+    where that is not plain to see (alternatives, flags, fewer than two)."""
+    runs, run = [], ""
+    k, n = 0, len(pattern or "")
+
+    def ended():
+        nonlocal run
+        runs.append(run)
+        run = ""
+
+    while k < n:
+        c = pattern[k]
+        if c == "|" or pattern.startswith("(?", k) and not pattern.startswith("(?:", k):
+            return None
+        if c == "\\":
+            nxt = pattern[k + 1 : k + 2]
+            if nxt.isalnum():  # a class, a boundary, a quotation
+                if nxt in "QEpPxuckN0123456789":
+                    return None
+                ended()
+            else:
+                run += nxt
+            k += 2
+        elif c == "[":
+            close = pattern.find("]", k + 2)
+            inner = pattern[k + 1 : close]
+            if close < 0 or "[" in inner or "&&" in inner or "\\" in inner:
+                return None
+            if len(inner) == 1:
+                run += inner  # a class of one character
+            else:
+                ended()
+            k = close + 1
+        elif c == "(":
+            ended()
+            depth, k = 1, k + 1
+            while k < n and depth:  # what a group needs is left out
+                if pattern[k] in "\\[":
+                    return None
+                depth += (pattern[k] == "(") - (pattern[k] == ")")
+                k += 1
+        elif c in "*?{":
+            run = run[:-1]  # the last character may be missing
+            ended()
+            k = pattern.find("}", k) + 1 if c == "{" else k + 1
+            if k == 0:
+                return None
+        elif c in "+.^$)":
+            ended()
+            k += 1
+        else:
+            run += c
+            k += 1
+    ended()
+    best = max(runs, key=len)
+    return best if len(best) > 1 else None
+
+
+@F.pandas_udf(T.StringType())
+def _literal_of(patterns: pd.Series) -> pd.Series:
+    return patterns.map(required_literal)
+
+
+def _literals_in(literals: list[str]):
+    """A function of a text column: the literals that each text contains."""
+    by_start: dict[str, list[str]] = {}
+    for x in literals:
+        by_start.setdefault(x[:KEY_CHARS], []).append(x)
+    sizes = sorted({len(k) for k in by_start})
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def found(texts: pd.Series) -> pd.Series:
+        out = []
+        for t in texts:
+            hits = set()
+            for k in sizes if t else ():
+                for at in range(len(t) - k + 1):
+                    for x in by_start.get(t[at : at + k], ()):
+                        if t.startswith(x, at):
+                            hits.add(x)
+            out.append(sorted(hits))
+        return pd.Series(out, dtype=object)
+
+    return found
 
 
 def fingerprint(text: Column, num_chars: int = DEFAULT_NUM_CHARS, normalize: bool = True) -> Column:
@@ -28,16 +121,24 @@ def fingerprint(text: Column, num_chars: int = DEFAULT_NUM_CHARS, normalize: boo
 
 
 def match_accounts(texts: DataFrame, accounts: DataFrame, num_chars: int = DEFAULT_NUM_CHARS,
-                   normalize: bool = True, n_accounts: int | None = None) -> DataFrame:
+                   normalize: bool = True) -> DataFrame:
     """B2: (file, account attributes) for every pattern found in a file's
     fingerprint.  ``texts``: (file, text)."""
     fp = texts.select("file", fingerprint(F.col("text"), num_chars, normalize).alias("fp"))
-    acc = accounts
-    if n_accounts is None:
-        n_accounts = accounts.count()
-    if n_accounts <= BROADCAST_ACCOUNTS_LIMIT:
-        acc = F.broadcast(accounts)
-    return fp.join(acc, F.regexp_like(F.col("fp"), F.col("id_pattern")), "inner").drop("fp")
+    known = checkpointed(accounts.withColumn("literal", _literal_of("id_pattern")))  # configuration
+    literals = [r[0] for r in known.where("literal IS NOT NULL").select("literal").distinct().collect()]
+    plain = [r[0] for r in known.where("literal IS NULL").select("id_pattern").where("id_pattern IS NOT NULL").distinct().collect()]
+    out = None
+    if literals:
+        hits = fp.withColumn("literal", F.explode(_literals_in(literals)("fp")))
+        out = hits.join(sized_broadcast(known), "literal").where(F.regexp_like("fp", "id_pattern"))
+        out = out.select("file", *accounts.columns)
+    if plain or out is None:
+        tried = F.array(*[F.when(F.col("fp").rlike(p), F.lit(p)) for p in plain]) if plain else F.array().cast("array<string>")
+        hits = fp.select("file", F.explode(F.array_compact(tried)).alias("id_pattern"))
+        more = hits.join(sized_broadcast(known.where("literal IS NULL")), "id_pattern").select("file", *accounts.columns)
+        out = more if out is None else out.unionByName(more)
+    return out
 
 
 def split_unique(matches: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame]:

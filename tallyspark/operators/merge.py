@@ -35,14 +35,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions.identity import amount_text, id_of_texts, row_id
 from tallyspark.functions.similarity import (
     DEFAULT_THRESHOLD,
+    character_groups,
     length_band,
     length_bound,
+    shared_bound,
     similar_at_least,
 )
 from tallyspark.schema import LEDGER, LEDGER_COLUMNS
@@ -69,6 +71,14 @@ def _nan_to_null(df: DataFrame) -> DataFrame:
     return df.withColumn("amount", F.when(F.isnan("amount"), F.lit(None).cast("double")).otherwise(F.col("amount")))
 
 
+NO_MONTH = "none"
+
+
+def month_of(date: Column | str = "date") -> Column:
+    """The month partition of a row: rows without a date are one of their own."""
+    return F.coalesce(F.date_format(date, "yyyy-MM"), F.lit(NO_MONTH))
+
+
 def _keys_not_null():
     return F.col("date").isNotNull() & F.col("amount").isNotNull() & F.col("account_name").isNotNull()
 
@@ -160,9 +170,9 @@ def candidate_pairs(left: DataFrame, right: DataFrame, left_text: str, right_tex
     """Pairs in the same block whose texts differ and pass the exact length
     bound.  The block key plus a geometric length band is the equi-join
     key, so texts of incompatible lengths are never paired."""
-    lft = left.withColumn("_la", F.length(left_text))
+    lft = left.withColumn("_la", F.length(left_text)).withColumn("_ga", character_groups(F.col(left_text)))
     lft = lft.withColumn("_band", length_band(F.col("_la"), threshold))
-    rgt = right.withColumn("_lb", F.length(right_text))
+    rgt = right.withColumn("_lb", F.length(right_text)).withColumn("_gb", character_groups(F.col(right_text)))
     b = length_band(F.col("_lb"), threshold)
     rgt = rgt.withColumn("_band", F.explode(F.array(b - 1, b, b + 1)))
     return (
@@ -172,6 +182,13 @@ def candidate_pairs(left: DataFrame, right: DataFrame, left_text: str, right_tex
     )
 
 
+def similar_pairs(pairs: DataFrame, left_text: str, right_text: str, threshold: float) -> DataFrame:
+    """The ``candidate_pairs`` whose ratio reaches the threshold; only
+    those that share enough characters reach Python."""
+    near = pairs.where(shared_bound(F.col("_ga"), F.col("_gb"), F.col("_la"), F.col("_lb"), threshold))
+    return near.where(similar_at_least(F.col(left_text), F.col(right_text), F.lit(float(threshold)))).drop("_ga", "_gb")
+
+
 def touched_ledger(ledger: DataFrame, stmts: DataFrame, n_bytes: int | None = None) -> DataFrame:
     """Ledger rows the statements can affect: rows in the statements' blocks
     (semi join against the broadcast block keys, checked size) plus rows
@@ -211,7 +228,7 @@ def fuzzy_updates(touched: DataFrame, stmts: DataFrame, threshold: float = DEFAU
     then keep their own descriptions)."""
     lt, nt = _without_exact(_ledger_texts(touched), _new_texts(stmts), mode)
     pairs = candidate_pairs(lt, nt, "l_desc", "n_desc", threshold)
-    pairs = pairs.where(similar_at_least(F.col("l_desc"), F.col("n_desc"), F.lit(float(threshold))))
+    pairs = similar_pairs(pairs, "l_desc", "n_desc", threshold)
     return pairs.groupBy("l_id").agg(
         F.max_by("n_desc", "n_last").alias("new_desc"),
         F.sum(F.col("l_n") * F.col("n_cnt")).alias("merged"),
@@ -298,7 +315,7 @@ def fold_rounds(touched: DataFrame, stmts: DataFrame, threshold: float,
             F.max("n_last").alias("n_last"), F.sum("n_cnt").alias("n_cnt"), F.max("n_file").alias("n_file"))
         lft, rgt = _without_exact(lft, rgt, mode)
         pairs = candidate_pairs(lft, rgt, "l_desc", "n_desc", threshold)
-        pairs = pairs.where(similar_at_least(F.col("l_desc"), F.col("n_desc"), F.lit(float(threshold))))
+        pairs = similar_pairs(pairs, "l_desc", "n_desc", threshold)
         moved = _checkpoint(pairs.groupBy(*KEYS, "l_desc").agg(
             F.max_by("n_desc", "n_last").alias("new_desc"),
             F.max("n_file").alias("n_file"),
@@ -362,13 +379,21 @@ def merge_batch(
     mode: str = "reference",
     trust_ledger_ids: bool = False,
 ) -> MergeResult:
-    """Merge statements (in ``order_col`` order) into the ledger."""
+    """Merge statements (in ``order_col`` order) into the ledger.  Where
+    the ledger has its month partition ``ym``, only the statements' months are
+    read for the merge, and all for the output."""
+    partitioned = ledger if "ym" in ledger.columns else None
     ledger = normalise_ledger(ledger, trust_ledger_ids)
     # statements are the new (small) side and are used by every step below:
     # materialise them once in the shared checkpoint folder
     stmts = _checkpoint(prepare_statements(stmts, order_col))
     n_bytes = size_of(stmts)  # bounds every table of statement keys and ids below
-    touched = touched_ledger(ledger, stmts, n_bytes)  # all later steps read this, not the ledger
+    slice_ = ledger
+    if partitioned is not None:
+        # the id begins with the date: a row of another month is never equal
+        months = [r[0] for r in stmts.select(month_of().alias("ym")).distinct().collect()]
+        slice_ = normalise_ledger(partitioned.where(F.coalesce("ym", F.lit(NO_MONTH)).isin(*months)), trust_ledger_ids) if months else ledger.limit(0)
+    touched = touched_ledger(slice_, stmts, n_bytes)  # all later steps read this, not the ledger
     if not single_statement:
         # one statement in the batch: no fold is possible (tiny aggregate)
         single_statement = (stmts.agg(F.countDistinct("stmt_seq")).first()[0] or 0) <= 1

@@ -416,7 +416,7 @@ def q17(spark, sf):
         [(a, cur, b, t, p) for a, p, b, t, cur in ACCOUNT_PATTERNS],
         "account_name string, currency string, bank string, account_type string, id_pattern string")
     texts = d.select(F.col("doc_id").alias("file"), "text")
-    matches = match_accounts(texts, acc, n_accounts=len(ACCOUNT_PATTERNS))
+    matches = match_accounts(texts, acc)
     unique, _ = split_unique(matches, texts)
     return unique.select("file", "account_name")
 

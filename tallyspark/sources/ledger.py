@@ -71,9 +71,11 @@ def read_ledger(spark: SparkSession, path: str, missing_ok: bool = False) -> Dat
             return empty_ledger(spark)
         raise FileReadError(f"no ledger at {path}")
     found = spark.read.parquet(path)
-    if "ym" in found.columns and "ym" not in LEDGER_COLUMNS:  # the month partition of write_ledger
-        found = found.drop("ym")
-    return enforce_schema(found, LEDGER_DECLARED)
+    if "ym" not in found.columns:
+        return enforce_schema(found, LEDGER_DECLARED)
+    # the month partition of write_ledger, by which a merge reads less
+    enforce_schema(found.drop("ym"), LEDGER_DECLARED)
+    return found.select(*LEDGER_COLUMNS, F.col("ym").cast("string").alias("ym"))
 
 
 def write_ledger(df: DataFrame, path: str, partition_by_month: bool = False) -> None:
@@ -81,7 +83,7 @@ def write_ledger(df: DataFrame, path: str, partition_by_month: bool = False) ->
     only the months a statement touches."""
     w = df.select(*LEDGER_COLUMNS)
     if partition_by_month:
-        w = w.withColumn("ym", F.date_format("date", "yyyy-MM"))
+        w = w.withColumn("ym", F.coalesce(F.date_format("date", "yyyy-MM"), F.lit("none")))
         w.write.mode("errorifexists").partitionBy("ym").parquet(path)
     else:
         w.write.mode("errorifexists").parquet(path)

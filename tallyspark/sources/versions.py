@@ -23,22 +23,15 @@ from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.functions.identity import row_id
 from tallyspark.operators.common import checkpointed
-from tallyspark.operators.merge import merge_batch
+from tallyspark.operators.merge import merge_batch, month_of
 from tallyspark.schema import LEDGER, LEDGER_COLUMNS
 from tallyspark.sources.ledger import FileReadError, empty_ledger
 
-NO_MONTH = "none"
-
-
-def month_of(date: Column | str = "date") -> Column:
-    return F.coalesce(F.date_format(date, "yyyy-MM"), F.lit(NO_MONTH))
-
-
 def _fs(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p

@@ -79,3 +79,43 @@ def test_na_tokens(spark):
     vals = ["NA", "N/A", "null", "x", "", "None"]
     got = [r[0] for r in _col(spark, vals, "string").select(C.na_tokens_to_null("x")).collect()]
     assert got == [None, None, None, "x", None, None]
+
+
+def test_shared_characters_bound_the_ratio(spark):
+    """No pair that reaches the threshold is lost to the native bound."""
+    import random
+    from difflib import SequenceMatcher
+
+    from tallyspark.functions.similarity import character_groups, shared_bound
+
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("ABCdé1 \U0001f600") for _ in range(rng.randint(0, 25))) for _ in range(60)]
+    texts += [t[:-2] + "zz" for t in texts[:30]]
+    df = spark.createDataFrame([(a, b) for a in texts for b in texts], "a string, b string")
+    la, lb = F.length("a"), F.length("b")
+    bound = shared_bound(character_groups(F.col("a")), character_groups(F.col("b")), la, lb, 0.8)
+    rows = df.select("a", "b", bound.alias("may")).collect()
+    assert all(r["may"] for r in rows if SequenceMatcher(None, r["a"], r["b"]).ratio() >= 0.8)
+    assert sum(not r["may"] for r in rows) > len(rows) / 2
+
+
+def test_patterns_by_literal_equal_the_cross_test(spark):
+    """5,000 patterns against texts, and each against each."""
+    import random
+    import re
+
+    from tallyspark.operators.identify import match_accounts, required_literal
+
+    for pattern, literal in (("BAC.*911", "BAC"), ("AB|CD", None), ("(?i)ABC", None), ("A\\.B\\d+", "A.B"), ("ABC?D", "AB"), ("[|]X", "|X"), ("[AB]XYZ+", "XYZ"),
+                             ("(AB)+CDE", "CDE"), ("X{2}AB", "AB"), ("^ABC$", "ABC"), ("\\QA*B\\E", None), ("A", None), ("", None), ("ABCD*", "ABC")):
+        assert required_literal(pattern) == literal, pattern
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("ABCDE01") for _ in range(n))
+    shapes = [lambda: word(4), lambda: word(2) + "[0-9]" + word(3), lambda: word(3) + ".*" + word(2), lambda: word(2) + "|" + word(4), lambda: "[AB]{3}", lambda: word(3) + "?" + word(2), lambda: "(" + word(2) + ")+" + word(2)]
+    patterns = [rng.choice(shapes)() for _ in range(5000)]
+    texts = [(f"f{k}", word(rng.randint(0, 30))) for k in range(40)]
+    accounts = spark.createDataFrame([(f"a{k}", p) for k, p in enumerate(patterns)], "account_name string, id_pattern string")
+    found = match_accounts(spark.createDataFrame(texts, "file string, text string"), accounts)
+    assert "NestedLoop" not in found._jdf.queryExecution().toString()
+    got = sorted((r["file"], r["account_name"]) for r in found.collect())
+    assert got == sorted((f, f"a{k}") for f, t in texts for k, p in enumerate(patterns) if re.search(p, t.upper()))

@@ -125,3 +125,20 @@ def test_protect_exact_matches_model(spark):
     res = merge_batch(_ledger(spark, ledger), _stmts(spark, stmts), mode="protect_exact")
     exp, _ = fold(ledger, stmts, mode="protect_exact")
     assert sorted(r.id for r in res.ledger.collect()) == sorted(r["id"] for r in exp)
+
+
+def test_partitioned_ledger_reads_the_statements_months(spark, tmp_path):
+    from tallyspark.operators.merge import normalise_ledger
+    from tallyspark.sources.ledger import read_ledger, write_ledger
+
+    rows = [_row(D(2024, m, d), f"PAYMENT {m:02d}{d:02d}", float(d)) for m in range(1, 7) for d in range(1, 6)] + [_row(None, "NO DATE", 1.0)]
+    stmt = [_row(D(2024, 3, 2), "PAYMENT 0302!", 2.0), _row(D(2024, 5, 9), "NEW", -1.0), _row(None, "NO DATE", 1.0), _row(D(2024, 3, 3), "PAYMENT 0303", 3.0)]
+    whole = normalise_ledger(_ledger(spark, rows))
+    write_ledger(whole, str(tmp_path / "l"), partition_by_month=True)
+    ledger = read_ledger(spark, str(tmp_path / "l"))
+    months = ledger.where(F.coalesce("ym", F.lit("none")).isin("2024-03", "none"))
+    plan = months._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [coalesce(ym" in plan
+    got = merge_batch(ledger, _stmts(spark, [stmt])).ledger
+    exp, _ = fold(rows, [stmt])
+    assert sorted(r.id for r in got.collect()) == sorted(r["id"] for r in exp) and "ym" not in got.columns
