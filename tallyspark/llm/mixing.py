@@ -110,13 +110,17 @@ def mix_sources(
         .withColumn("_n", F.size(F.filter("_cdf", lambda c: c <= F.col("_u"))))
         .where("_n > 0")
     )
+    n = shuffle_partitions(df.sparkSession)
     copies = drawn.select(*kept, "_part", F.explode(F.expr("sequence(0, _n - 1)")).alias("_copy"))
     return (
         copies.withColumn("copy_no", F.col("_part") * 128 + F.col("_copy"))
         .withColumn("mix_key", hashed(F.lit(f"order{seed}"), key, F.col("copy_no")))
         .drop("_part", "_copy")
-        .repartitionByRange(shuffle_partitions(df.sparkSession), "mix_key")
+        # the key is uniform: its ranges are known without a sample of the rows
+        .withColumn("_range", F.least(F.floor(F.col("mix_key") / F.lit(float(2**52)) * n), F.lit(n - 1)).cast("int"))
+        .repartitionById(n, "_range")
         .sortWithinPartitions("mix_key")
+        .drop("_range")
     )
 
 

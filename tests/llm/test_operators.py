@@ -102,6 +102,7 @@ def test_mixing(spark, docs, empty):
     by = {r["source"]: r["rate"] for r in rates.collect()}
     assert by[None] == 0.0 and by["s"] > 3.0
     out = mixing.mix_sources(docs, rates).collect()
+    assert [r["mix_key"] for r in out] == sorted(r["mix_key"] for r in out)  # in order over all partitions
     assert {r["source"] for r in out} == {"s"}
     # the counts are the inverse of the distribution at the hashed values
     ours = [x for k, x in enumerate(TEXTS) if k % 3]
