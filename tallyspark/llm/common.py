@@ -79,3 +79,9 @@ def in_blocks(rows: list, size_of, max_bytes: int) -> Iterator[list]:
         size += n
     if block:
         yield block
+
+
+def hot_rows(rows: int, least: int, spark: SparkSession) -> int:
+    """Rows of one key from which it is dealt apart: a twentieth of a mean
+    partition's, so at most 20 keys a partition are, and ``least``."""
+    return max(least, rows // (20 * shuffle_partitions(spark)))

@@ -8,8 +8,8 @@ counted per part, and all counts of all orders follow from those (32 at most a
 part) without another look at the documents.
 
 Copies: the right side of the self-join holds each text once, with its
-smallest id, and a hash that more than ``GROUP_ROWS`` rows share is dealt over
-as many salts as it needs.  Texts move only where a hash is shared.
+smallest id, and a hash that more than ``GROUP_ROWS`` rows share (or a share
+of all rows) is dealt over as many salts as it needs.  Texts move only where a hash is shared.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from itertools import permutations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import materialised, release
+from tallyspark.llm.common import hot_rows, materialised, release
 
 FILTERS = "ABCDE"
 BIT = {f: 1 << i for i, f in enumerate(FILTERS)}
@@ -30,7 +30,7 @@ SIGNS = "[#$%&*|]"
 #: fixed values: ASCII white space
 WHITE = " \t\n\x0b\x0c\r"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: rows of one hash that a task gets
+#: rows of one hash that a task gets at least
 GROUP_ROWS = 10_000
 
 
@@ -65,8 +65,9 @@ def repeated(docs: DataFrame, rows: DataFrame, id_col: str = "doc_id", text_col:
     """(doc_id, part, h) of the documents whose exact text a smaller doc_id
     has; ``rows`` are those of ``failures``.  A null id is neither."""
     keys = rows.where("doc_id IS NOT NULL").groupBy("h").agg(F.count("*").alias("k")).where("k > 1")
-    keys = materialised(keys.withColumn("salts", F.ceil(F.col("k") / GROUP_ROWS).cast("int")).select("h", "salts"), "audit-shared")
-    # at most rows / GROUP_ROWS hashes: 32 bytes for 10,000 rows
+    most = hot_rows(rows.count(), GROUP_ROWS, rows.sparkSession)
+    keys = materialised(keys.withColumn("salts", F.ceil(F.col("k") / most).cast("int")).select("h", "salts"), "audit-shared")
+    # at most 20 hashes a partition
     hot = keys.where("salts > 1").select(F.col("h").alias("hot"), F.col("salts").alias("own_salts"))
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     slim = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{part_col}`").cast("string"), F.lit("")).alias("part"), text.alias("text"))

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import materialised, release, shuffle_partitions
+from tallyspark.llm.common import hot_rows, materialised, release
 
 #: edges that a task contracts at once (bounds its memory)
 HELD_EDGES = 200_000
@@ -98,7 +98,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     stars = _contracted(now)
     release(now)
     while not _all_stars(stars):
-        hub = max(HUB_EDGES, stars.count() // (20 * shuffle_partitions(stars.sparkSession)))
+        hub = hot_rows(stars.count(), HUB_EDGES, stars.sparkSession)
         both = stars.select("a", "b").union(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.count("*").alias("k"), F.min("b").alias("m")).select("a", "k", F.least("a", "m").alias("m"))
         large = _with_least(both.where("b > a"), least, hub).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()

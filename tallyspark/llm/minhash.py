@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyspark.llm.common import in_blocks, materialised, release, small_batches, utf8
+from tallyspark.llm.common import hot_rows, in_blocks, materialised, release, small_batches, utf8
 from tallyspark.llm.graph import connected_components
 
 BANDS = 16
@@ -37,7 +37,7 @@ SEED = 20240601
 BLOCK_BYTES = 2 << 20
 #: distinct words whose hashes a task keeps
 HELD_WORDS = 500_000
-#: pairs of one set that a task gets
+#: pairs of one set that a task gets at least
 GROUP_PAIRS = 1_000
 #: sets on either side of a block of comparisons, and hashes compared at once
 BLOCK_SETS = 256
@@ -174,9 +174,10 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         )
 
     # the pairs of a set that very many others are compared with are dealt over
-    # salts; at most pairs / GROUP_PAIRS sets, 40 bytes each
-    hot = pairs.groupBy("a").agg(F.count("*").alias("k")).where(F.col("k") > GROUP_PAIRS)
-    hot = F.broadcast(hot.select("a", F.ceil(F.col("k") / GROUP_PAIRS).cast("int").alias("salts")))
+    # salts; at most 20 sets a partition, 40 bytes each
+    most = hot_rows(pairs.count(), GROUP_PAIRS, pairs.sparkSession)
+    hot = pairs.groupBy("a").agg(F.count("*").alias("k")).where(F.col("k") > most)
+    hot = F.broadcast(hot.select("a", F.ceil(F.col("k") / most).cast("int").alias("salts")))
     dealt = F.coalesce(F.pmod(F.xxhash64("b"), F.col("salts")).cast("int"), F.lit(0))
     left = sets.select(F.col("sig").alias("a"), F.col("shingles").alias("x")).join(hot, "a", "left")
     left = left.withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")

@@ -1,22 +1,23 @@
-"""Removal of repeated 100-byte strings by a distributed suffix comparison.
+"""Removal of repeated 100-byte strings by hashed windows.
 
-A literal difference cover of period 3 sorts two thirds of all byte positions;
-its tables do not fit the limits this library is held to (README).  The cover
-here is chosen by content instead: each window's sampled position is its
+This is not the difference-cover suffix sort: no triples of suffixes are
+sorted, no names are recursed on, and no neighbours in suffix order are
+compared (README).  Windows are grouped by hashes of their bytes instead, at
+positions that the content chooses: a window's sampled position is its
 smallest hashed 20-gram, so equal windows agree on it wherever they stand.
 
 1. Sampled positions are named by their gram; a gram that occurs once cannot
    lie in a repeated window, and its windows are done.
 2. The windows of one sampled position form a run.  Runs are named by the bytes
    they span; of equal runs all but the first are removed whole.
-3. Recursion: of the distinct runs that share a gram, pieces of 8 windows are
-   named in the same way, and where those differ but share their common core,
-   the single windows are (the remaining suffixes).  Within equal names,
-   neighbours in text order are compared: all but the first are removed.
+3. Of the distinct runs that share a gram, pieces of 8 windows are named in the
+   same way, and where those differ but share their common core, the single
+   windows are.  Of equal names, all but the first in text order are removed.
 
 Names are 128-bit hashes of the bytes.  Groups are counted and their first
 member found by pre-aggregated groups that are joined back, so a gram, line or
-passage in a third of all documents is no group in one task.
+passage in a third of all documents is no group in one task; the gram's rows
+meet the list of shared grams salted.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import in_blocks, materialised, release, shuffle_partitions, small_batches
+from tallyspark.llm.common import hot_rows, in_blocks, materialised, release, shuffle_partitions, small_batches
 
 WINDOW = 100
 GRAM = 20
@@ -37,8 +38,11 @@ GRAM = 20
 REACH = WINDOW - GRAM
 PIECE = 8
 _MASK = np.uint64((1 << 21) - 1)
-#: bytes hashed together; positions inside a block fit 21 bits
-BLOCK = 1 << 18
+#: bytes hashed together (their arrays stay in a core's cache); positions
+#: inside a block fit 21 bits
+BLOCK = 1 << 16
+#: rows of one gram that a join takes to one task at least
+HOT = 10_000
 #: a longer document is hashed in overlapping parts
 PART = 1 << 20
 
@@ -89,8 +93,9 @@ def runs(data: np.ndarray, starts: np.ndarray, window: int = WINDOW, gram: int =
     low = sliding_min(key, window - gram + 1)
     anchor = (low & _MASK).astype(np.int64)
     p = np.arange(len(anchor))
-    doc = np.searchsorted(starts, p, side="right") - 1
-    ok = p + window <= starts[doc + 1]
+    size = np.diff(starts)
+    doc = np.repeat(np.arange(len(size)), size)[: len(p)]
+    ok = p + window <= np.repeat(starts[1:], size)[: len(p)]
     p, doc, anchor = p[ok], doc[ok], anchor[ok]
     if not len(p):
         z = np.zeros(0, np.int64)
@@ -212,20 +217,29 @@ def _pieces(ctx: DataFrame, size: int) -> DataFrame:
     return cut.selectExpr("doc", "run", "xxhash64(core, j) AS c", "xxhash64(whole, lo, hi) AS s1", "xxhash64(7L, lo, hi, whole) AS s2")
 
 
+def _of_shared(every: DataFrame, shared: DataFrame) -> DataFrame:
+    """The rows of grams that occur again.  The few grams of very many rows
+    are broadcast, so their rows stay in place."""
+    most = hot_rows(every.count(), HOT, every.sparkSession)
+    hot = F.broadcast(shared.where(F.col("k") > most).select("h"))
+    rest = shared.where(F.col("k") <= most).select("h")
+    return every.join(hot, "h", "left_semi").unionByName(every.join(hot, "h", "left_anti").join(rest, "h", "left_semi"))
+
+
 def repeated_windows(docs: DataFrame) -> DataFrame:
     """(doc, start, stop): byte ranges of ``docs(doc, data)`` that are covered
     by 100-byte strings which also start earlier; ranges may overlap."""
     every = materialised(sampled_runs(docs), "substr-runs")
-    shared = every.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h")
+    shared = materialised(every.groupBy("h").agg(F.count("*").alias("k")).where("k > 1"), "substr-shared")
     # of equal documents only the first is compared; the others go whole
     data = F.col("data")
     same = docs.where(F.octet_length(data) >= WINDOW).groupBy(F.xxhash64(data).alias("x1"), F.xxhash64(F.lit(7), data).alias("x2"), F.octet_length(data).alias("n"))
     firsts = same.agg(F.min("doc").alias("first"), F.count("*").alias("k")).where("k > 1")
     thin = docs.where(F.octet_length(data) >= WINDOW).select("doc", F.xxhash64(data).alias("x1"), F.xxhash64(F.lit(7), data).alias("x2"), F.octet_length(data).alias("n"))
     copies = materialised(thin.join(firsts, ["x1", "x2", "n"]).where("doc <> first").select("doc", "n"), "substr-copies")
-    live = materialised(every.join(shared, "h").join(copies.select("doc"), "doc", "left_anti"), "substr-live")
+    live = materialised(_of_shared(every, shared).join(copies.select("doc"), "doc", "left_anti"), "substr-live")
 
-    release(every)
+    release(every, shared)
     names = materialised(_named(docs, live), "substr-names")
     release(live)
     again, unsure = _split(names)
