@@ -96,7 +96,8 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return embeddings.near_duplicates(read_table(spark, sf_dir, "embeddings"), threshold=0.9)
+    found = embeddings.near_duplicates(read_table(spark, sf_dir, "embeddings"), threshold=0.9)
+    return found.select("vec_id", "n_links", "component_id", "kept")
 
 
 #: a document is predicted toxic from this score on
@@ -152,6 +153,71 @@ mixed AS (
   FROM copies)
 """
 
+def _components_sql(links: str, ids: str) -> str:
+    """CTE ``reach``: every id of ``ids(i)`` with the smallest it reaches over
+    the symmetric ``links(a, b)``."""
+    return f"""
+walk(i, j) AS (SELECT i, i FROM {ids} UNION SELECT w.i, l.b FROM walk w JOIN {links} l ON l.a = w.j),
+reach AS (SELECT i, min(j) AS least FROM walk GROUP BY i)"""
+
+
+OP1_SQL = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {NEAR.shingle} THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - {NEAR.shingle} + 2), lambda k: array_to_string(w[k:k + {NEAR.shingle - 1}], ' '))) END AS s FROM words),
+grams AS (SELECT doc_id, len(s) AS n, md5_number(unnest(s)) AS g FROM sets),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, any_value(x.n) AS na, any_value(y.n) AS nb, count(*) AS inter
+  FROM grams x JOIN grams y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id),
+links AS (SELECT a, b FROM shared WHERE 100 * inter >= {NEAR.percent} * (na + nb - inter)),
+ids AS (SELECT doc_id AS i FROM documents),
+{_components_sql("links", "ids")}
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least AS component_id, least = doc_id AS kept FROM sets JOIN reach ON i = doc_id
+"""
+
+OP6_SQL = r"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+item AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[k:k + least(len(w), 10) - 1], ' ') AS win
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS k FROM item WHERE len(w) > 0)),
+places AS (
+  SELECT doc_id, k, n, array_to_string(w[k:k + n - 1], ' ') AS win
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM doc, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
+hits AS (SELECT p.doc_id, p.k, p.n, v.item_id FROM places p JOIN windows v ON p.n = v.n AND p.win = v.win),
+covered AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS pos FROM hits) GROUP BY doc_id),
+owners AS (SELECT doc_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR)) FILTER (WHERE item_id IS NOT NULL)) AS items FROM hits GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
+  sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc d LEFT JOIN covered c ON c.doc_id = d.doc_id LEFT JOIN owners o ON o.doc_id = d.doc_id
+"""
+
+OP9_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages),
+last AS (SELECT body, max(page_id) AS last FROM p GROUP BY body)
+SELECT page_id, CAST(strlen(p.body) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda k:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((CAST('0x' || substr(h, 1 + 5 * (k // 4), 5) AS BIGINT) >> (15 - 5 * (k % 4))) % 32 AS INT), 1)), '') AS payload_digest,
+  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> last THEN last END AS refers_to
+FROM p JOIN last ON p.body = last.body
+"""
+
+OP10_SQL = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) WHERE list_cosine_similarity(a.x, b.x) >= 0.9),
+ids AS (SELECT vec_id AS i FROM embeddings),
+{_components_sql("links", "ids")},
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, least AS component_id, least = vec_id AS kept
+FROM embeddings JOIN reach ON i = vec_id LEFT JOIN n ON a = vec_id
+"""
+
 OP12_SQL = r"""
 WITH docs AS (
   SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
@@ -245,6 +311,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_minhash_dedup": OP1_SQL,
+    "op6_decontamination": OP6_SQL,
+    "op9_warc": OP9_SQL,
+    "op10_embedding_dedup": OP10_SQL,
     "op8_mix_documents": _MIX_SQL + "SELECT * FROM mixed",
     "op8_mix_sources": _MIX_SQL + "SELECT doc_id, source, copy_no, mix_key FROM mixed",
     "op12_filter_audit": OP12_SQL,
