@@ -177,6 +177,21 @@ ids AS (SELECT doc_id AS i FROM documents),
 SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least AS component_id, least = doc_id AS kept FROM sets JOIN reach ON i = doc_id
 """
 
+OP4_SQL = f"""
+WITH steps AS (SELECT list(list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x // 2, 3988292384 * (x % 2))) ORDER BY n) AS tab FROM range(0, 256) r(n)),
+raw AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+crc AS (
+  SELECT doc_id, CAST(len(h) // 2 + {sharding.ROW_OVERHEAD} AS BIGINT) AS size,
+    xor(list_reduce(list_prepend(4294967295, list_transform(range(0, len(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT))),
+      lambda c, b: xor(c // 256, tab[1 + xor(c % 256, b)])), 4294967295) AS text_crc32 FROM raw, steps),
+run AS (
+  SELECT *, coalesce(sum(size) OVER (ORDER BY doc_id NULLS FIRST, text_crc32, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(size) OVER () AS total FROM crc),
+cut AS (SELECT *, CAST(least(before * {SHARDS} // total, {SHARDS - 1}) AS INT) AS shard FROM run)
+SELECT doc_id, size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'bytes' AS law, shard,
+  CAST(row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS BIGINT) AS slot, CAST(NULL AS INT) AS grown_shard
+FROM cut
+"""
+
 OP6_SQL = r"""
 WITH doc AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -312,6 +327,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op1_minhash_dedup": OP1_SQL,
+    "op4_sharding": OP4_SQL,
     "op6_decontamination": OP6_SQL,
     "op9_warc": OP9_SQL,
     "op10_embedding_dedup": OP10_SQL,
