@@ -148,13 +148,6 @@ SANTANDER_BY_KEYWORD_LAYOUTS: tuple[StatementLayout, ...] = (
 KNOWN_BANKS = ("BAC", "SANTANDER", "REVOLUT", "FICOHSA")
 
 
-def layout_for(bank: str, account_type: str, layouts=LAYOUTS) -> StatementLayout | None:
-    for lay in layouts:
-        if lay.bank == bank and lay.account_type == account_type:
-            return lay
-    return None
-
-
 # ---------------------------------------------------------------------------
 # header handling
 # ---------------------------------------------------------------------------

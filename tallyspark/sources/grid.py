@@ -235,15 +235,6 @@ def grid_scan(
     return stored(grid, "grid") if checkpoint else grid
 
 
-def grid_from_rows(df: DataFrame, file_col: str, row_col: str, cell_cols: list[str]) -> DataFrame:
-    """GRID rows from an already tabular source (e.g. rendered fixtures)."""
-    return df.select(
-        F.col(file_col).cast("string").alias("file"),
-        F.col(row_col).cast("long").alias("row_no"),
-        F.array(*[F.col(c).cast("string") for c in cell_cols]).alias("cells"),
-    )
-
-
 def file_text(grid: DataFrame, num_chars: int | None = 400) -> DataFrame:
     """The first ``num_chars`` characters of each file as text (None: all of
     it): cells joined by a blank, rows by a newline.  Empty cells at a row's

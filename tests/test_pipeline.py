@@ -1,7 +1,6 @@
 """End to end: folder -> ledger, replay, stream = batch, contested fold."""
 
 import os
-import tempfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -26,8 +25,9 @@ def _write(d, name, lines):
         f.write("\n".join(lines) + "\n")
 
 
-def test_folder_to_ledger_and_replay(spark):
-    d = tempfile.mkdtemp(prefix="tallyspark-in-", dir="/tmp")
+def test_folder_to_ledger_and_replay(spark, tmp_path):
+    d = str(tmp_path / "in")
+    os.makedirs(d)
     _write(d, "a.csv", [SAV_HDR, "BAC USD 911,05/01/2024,1,ATM W 001,20.00,,0", "BAC USD 911,06/01/2024,2,SALARY,,100.00,0"])
     _write(d, "b.csv", [SAV_HDR, "BAC USD 911,05/01/2024,1,ATM W 002,20.00,,0", "BAC USD 911,07/01/2024,3,RENT,50.00,,0"])
     _write(d, "c.csv", ["Account Name,Fecha,Concepto,Monto lempiras,Monto dólares",
@@ -46,14 +46,14 @@ def test_folder_to_ledger_and_replay(spark):
     assert sum(r.added for r in again.merge.metrics.collect()) == 0
     with pytest.raises(ValueError):
         run_batch(spark, d, empty_ledger(spark), acc, out_path="/tmp/no-such-folder/ledger")
-    out = tempfile.mkdtemp(prefix="tallyspark-out-", dir="/tmp") + "/ledger"
+    out = str(tmp_path / "ledger")
     run_batch(spark, d, empty_ledger(spark), acc, out_path=out, delete_inputs=True)
     assert spark.read.parquet(out).count() == 4
     assert sorted(os.listdir(d)) == ["unknown.csv"]
 
 
-def test_stream_equals_batch(spark):
-    d = tempfile.mkdtemp(prefix="tallyspark-stream-", dir="/tmp")
+def test_stream_equals_batch(spark, tmp_path):
+    d = str(tmp_path)
     drop = os.path.join(d, "drop")
     os.makedirs(drop)
     _write(drop, "s1.csv", [SAV_HDR, "BAC USD 911,05/01/2024,1,ATM W 001,20.00,,0", "BAC USD 911,06/01/2024,2,SALARY,,100.00,0"])

@@ -3,7 +3,6 @@
 import datetime as dt
 import json
 import os
-import tempfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,12 +14,8 @@ from tallyspark.sources.ledger import FileReadError, read_ledger_csv, write_ledg
 from tallyspark.schema import LEDGER
 
 
-def _dir():
-    return tempfile.mkdtemp(prefix="tallyspark-test-", dir="/tmp")
-
-
-def test_grid_scan_encodings_and_rows(spark):
-    d = _dir()
+def test_grid_scan_encodings_and_rows(spark, tmp_path):
+    d = str(tmp_path)
     with open(os.path.join(d, "utf8.csv"), "w", encoding="utf-8") as f:
         f.write("Fecha,Descripción\n05/01/2024,\"café, con\nleche\"\n\n06/01/2024,NA\n")
     with open(os.path.join(d, "bom.csv"), "w", encoding="utf-8-sig") as f:
@@ -39,8 +34,8 @@ def test_grid_scan_encodings_and_rows(spark):
     assert not any(f == "skip.txt" for f, _ in rows)
 
 
-def test_ledger_csv_round_trip(spark):
-    d = _dir()
+def test_ledger_csv_round_trip(spark, tmp_path):
+    d = str(tmp_path)
     rows = [(dt.datetime(2024, 1, 5), "A", "Expense", None, "t", 'say "hi", ok\nnext', " n ", "USD", -0.0, "x"),
             (dt.datetime(2024, 1, 6, 12, 30), "A", "Income", "c", None, "plain", None, "USD", 1e7, "y")]
     df = spark.createDataFrame(rows, LEDGER)
@@ -61,8 +56,8 @@ def test_missing_ledger_is_empty(spark):
         read_ledger_csv(spark, absent)
 
 
-def test_read_accounts(spark):
-    d = _dir()
+def test_read_accounts(spark, tmp_path):
+    d = str(tmp_path)
     cfg = {"BAC USD 911": {"currency": "USD", "bank": "BAC", "type": "savings", "id_pattern": "BACUSD911"},
            "X": {"currency": "EUR", "bank": "REVOLUT", "type": "savings", "id_pattern": "REV"}}
     with open(os.path.join(d, "accounts.json"), "w") as f:
@@ -81,10 +76,10 @@ def test_html_visible_table(spark):
     assert got == [(1, 0, ["Account Name", "Fecha", "Monto"]), (1, 1, ["MY ACCOUNT", "05/01/2024", "1,00 & x"])]
 
 
-def test_row_numbers_across_splits(spark):
+def test_row_numbers_across_splits(spark, tmp_path):
     """One file read as many splits: row numbers stay the file's line order
     (per-split numbering shifted by earlier splits' counts, no file window)."""
-    d = _dir()
+    d = str(tmp_path)
     with open(os.path.join(d, "big.csv"), "w") as f:
         for i in range(3000):
             f.write(f"{i},row {i}\n")
