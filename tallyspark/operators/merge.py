@@ -445,8 +445,3 @@ def run_metrics(stmts: DataFrame, upd_pairs: DataFrame, added_rows: DataFrame) -
             F.coalesce(F.col("added"), F.lit(0)).cast("long").alias("added"),
         )
     )
-
-
-def empty_ledger(spark: SparkSession) -> DataFrame:
-    """A5: typed empty ledger (first run)."""
-    return spark.createDataFrame([], LEDGER)

@@ -139,3 +139,29 @@ def test_broken_accounts_file_raises(spark, tmp_path):
     (tmp_path / "accounts.json").write_text("{not json")
     with pytest.raises(ValueError):
         read_accounts(spark, str(tmp_path / "accounts.json"))
+
+
+def test_folders_without_files(spark, tmp_path):
+    from tallyspark.sources.grid import scan_folder
+
+    (tmp_path / "none").mkdir()
+    (tmp_path / "other").mkdir()
+    (tmp_path / "other" / "x.txt").write_text("a")
+    grid, rejects = scan_folder(spark, str(tmp_path / "none"))
+    assert grid.isEmpty() and rejects.isEmpty()
+    grid, rejects = scan_folder(spark, str(tmp_path / "other"))
+    assert grid.isEmpty() and rejects.count() == 1
+
+
+def test_all_layouts_take_two_passes_over_the_grid(spark):
+    """However many layouts occur: one pass for the headers, one for the rows."""
+    from tallyspark.operators.common import stored
+    from tallyspark.operators.layouts import LAYOUTS, normalise_all
+
+    files = [(f"f{k}.csv", lay) for k, lay in enumerate(LAYOUTS)]
+    rows = [(f, n, cells) for f, lay in files for n, cells in ((lay.header.row, list(dict.fromkeys([lay.header.keyword] if lay.header.keyword else []) | dict.fromkeys(lay.required()))), (20, ["1"] * 12))]
+    grid = stored(spark.createDataFrame(rows, "file string, row_no long, cells array<string>"), "test-grid")
+    routed = spark.createDataFrame([(f, "A", "USD", lay.bank, lay.account_type) for f, lay in files], "file string, account_name string, currency string, bank string, account_type string")
+    out, _ = normalise_all(grid, routed)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1, plan
