@@ -12,13 +12,15 @@ others are rejects with a reason.
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspark.operators.common import checkpointed, sized_broadcast
-from tallyspark.sources.grid import file_text
+from tallyspark.sources.grid import file_text, row_texts
 
 DEFAULT_NUM_CHARS = 400
 # a literal is found by so many of its first characters
@@ -84,6 +86,21 @@ def required_literal(pattern: str | None) -> str | None:
     return best if len(best) > 1 else None
 
 
+# what may match a line break or depend on where the text begins or ends
+_LINES = re.compile(r"[\n\r^$]|\(\?|\\[^dwbB.\[\](){}*+?|/-]")
+
+
+def within_a_line(pattern: str | None) -> bool:
+    """Whether a pattern matches a text just where it matches one of its
+    lines: nothing in it can match a line break, an end or a beginning."""
+    return pattern is not None and not _LINES.search(pattern)
+
+
+@F.pandas_udf(T.BooleanType())
+def _within_a_line(patterns: pd.Series) -> pd.Series:
+    return patterns.map(within_a_line)
+
+
 @F.pandas_udf(T.StringType())
 def _literal_of(patterns: pd.Series) -> pd.Series:
     return patterns.map(required_literal)
@@ -159,10 +176,19 @@ def split_unique(matches: DataFrame, files: DataFrame) -> tuple[DataFrame, DataF
 def identify(grid: DataFrame, accounts: DataFrame, num_chars: int = DEFAULT_NUM_CHARS,
              normalize: bool = True) -> tuple[DataFrame, DataFrame]:
     """B1-B5 over GRID rows: (routed files, rejects).  ``normalize=False``
-    matches the patterns on the whole text of a file (B3)."""
-    texts = file_text(grid, num_chars if normalize else None)
-    matches = match_accounts(texts, accounts, num_chars, normalize)
-    return split_unique(matches, texts)
+    matches the patterns on the whole raw text of a file (B3): row by row, so
+    a file may be of any size.  Only for patterns that may match a line break,
+    the file's beginning or its end, the file is one text in one task."""
+    if normalize:
+        texts = file_text(grid, num_chars)
+        return split_unique(match_accounts(texts, accounts, num_chars), texts)
+    known = checkpointed(accounts.withColumn("within", _within_a_line("id_pattern")))
+    lines = row_texts(grid).select("file", F.col("line").alias("text"))
+    matches = match_accounts(lines, known.where("within").drop("within"), normalize=False)
+    across = known.where("NOT within").drop("within")
+    if not across.isEmpty():
+        matches = matches.unionByName(match_accounts(file_text(grid, None), across, normalize=False))
+    return split_unique(matches.distinct(), grid.select("file").distinct())
 
 
 def account_from_filename(filename: Column) -> Column:

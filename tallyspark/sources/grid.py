@@ -235,12 +235,17 @@ def grid_scan(
     return stored(grid, "grid") if checkpoint else grid
 
 
+def row_texts(grid: DataFrame) -> DataFrame:
+    """(file, row_no, line): every row as text, cells joined by a blank.
+    Empty cells at a row's end add nothing."""
+    line = F.rtrim(F.array_join(F.transform("cells", lambda x: F.coalesce(x, F.lit(""))), " "))
+    return grid.select("file", "row_no", line.alias("line"))
+
+
 def file_text(grid: DataFrame, num_chars: int | None = 400) -> DataFrame:
     """The first ``num_chars`` characters of each file as text (None: all of
-    it): cells joined by a blank, rows by a newline.  Empty cells at a row's
-    end add nothing, so the grid's width does not matter."""
-    line = F.rtrim(F.array_join(F.transform("cells", lambda x: F.coalesce(x, F.lit(""))), " "))
-    head = grid.select("file", "row_no", line.alias("line"))
+    it): its ``row_texts`` joined by newlines."""
+    head = row_texts(grid)
     if num_chars is not None:
         # a row adds its newline at least, so row k starts at character k or later
         head = head.where(F.col("row_no") < num_chars).withColumn("line", F.substring("line", 1, num_chars))

@@ -165,3 +165,20 @@ def test_all_layouts_take_two_passes_over_the_grid(spark):
     out, _ = normalise_all(grid, routed)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 1, plan
+
+
+def test_raw_match_row_by_row_equals_the_whole_text(spark):
+    import re
+
+    from tallyspark.operators.identify import within_a_line
+
+    for pattern, within in (("BAC \\d+", True), ("a.c", True), ("x\\sy", False), ("^BAC", False), ("end$", False), ("[^,]x", False), ("(?s)a.b", False), ("a\\.b", True), ("a\nb", False)):
+        assert within_a_line(pattern) == within, pattern
+    files = {"a.csv": [["BAC 12", "x"], ["y", "end"]], "b.csv": [["x"], ["y"]], "c.csv": [["q", "BAC 7"], ["z"]], "d.csv": [["nothing"]]}
+    patterns = {"digits": "BAC \\d+", "cross": "x\\sy", "start": "^BAC", "last": "z$"}
+    grid = spark.createDataFrame([(f, k, c) for f, rows in files.items() for k, c in enumerate(rows)], "file string, row_no long, cells array<string>")
+    accounts = spark.createDataFrame([(n, "USD", "BAC", "savings", p) for n, p in patterns.items()], "account_name string, currency string, bank string, account_type string, id_pattern string")
+    routed, rejects = identify(grid, accounts, normalize=False)
+    hits = {f: [n for n, p in patterns.items() if re.search(p, "\n".join(" ".join(c) for c in rows))] for f, rows in files.items()}
+    assert {r["file"]: r["account_name"] for r in routed.collect()} == {f: h[0] for f, h in hits.items() if len(h) == 1}
+    assert {r["file"] for r in rejects.collect()} == {f for f, h in hits.items() if len(h) != 1}
