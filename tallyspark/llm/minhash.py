@@ -39,8 +39,10 @@ BLOCK_BYTES = 2 << 20
 HELD_WORDS = 500_000
 #: pairs of one set that a task gets at least
 GROUP_PAIRS = 1_000
-#: sets on either side of a block of comparisons, and hashes compared at once
-BLOCK_SETS = 256
+#: sets on either side of a block of comparisons, their bytes, and hashes
+#: compared at once
+BLOCK_SETS = 2048
+SIDE_BYTES = 16 << 20
 SLICE = 4096
 
 
@@ -243,12 +245,12 @@ def set_links(docs: DataFrame, classes: DataFrame, p: Params, id_col: str, text_
     comps = materialised(connected_components(links).withColumnRenamed("node", "sig"), "minhash-components")
     # open buckets hold a stray, a third member, and more than one component
     told = buckets.join(strays.select("key").distinct(), "key", "left_semi").join(comps, "sig", "left")
-    told = told.select("key", "sig", F.coalesce("component", "sig").alias("c"))
+    told = told.select("key", "sig", "n", F.coalesce("component", "sig").alias("c"))
     open_ = told.groupBy("key").agg(F.count("*").alias("k"), F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("sig").alias("least"))
     open_ = materialised(told.join(open_.where("k > 2 AND lo <> hi").select("key", "least"), "key"), "minhash-open")
     if not open_.isEmpty():
         families = connected_components(open_.select(F.col("sig").alias("a"), F.col("least").alias("b"))).withColumnRenamed("node", "sig")
-        members = open_.select("sig", "c").distinct().join(families.withColumnRenamed("component", "family"), "sig")
+        members = open_.select("sig", "n", "c").distinct().join(families.withColumnRenamed("component", "family"), "sig")
         asked = strays.join(open_.select("key").distinct(), "key", "left_semi").select("sig").distinct()
         links = links.union(_across(members, asked, sets, p))
     release(buckets, strays)
@@ -281,12 +283,14 @@ def common_sizes(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
 
 def _across(members: DataFrame, asked: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
     """Edges that join components: every asked set against the members
-    (sig, c, family) of its family, in blocks of both.  A block compares full
-    sets in numpy and returns spanning edges, not pairs, so what Spark moves
-    grows with the members."""
+    (sig, n, c, family) of its family, in blocks of both.  A block compares
+    full sets in numpy and returns spanning edges, not pairs.  A set is moved
+    once per opposite block, so what Spark moves grows with the square of a
+    family's size over that of a block."""
     asked = members.join(asked, "sig", "left_semi")
-    parts = members.groupBy("family").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("m"))
-    parts = materialised(parts.join(asked.groupBy("family").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("q")), "family"), "minhash-blocks")
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") * 8 / SIDE_BYTES)).cast("int")
+    parts = members.groupBy("family").agg(blocks.alias("m"))
+    parts = materialised(parts.join(asked.groupBy("family").agg(blocks.alias("q")), "family"), "minhash-blocks")
 
     def dealt(rows: DataFrame, own: str, other: str, salt: int) -> DataFrame:
         block = F.pmod(F.xxhash64(F.lit(salt), "sig"), F.col(own)).cast("int")

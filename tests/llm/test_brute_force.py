@@ -62,6 +62,8 @@ def test_minhash_equals_all_pairs(spark, monkeypatch, held):
     monkeypatch.setattr(graph, "HELD_EDGES", held)  # 25: several rounds of components
     monkeypatch.setattr(graph, "HUB_EDGES", 3)
     monkeypatch.setattr(minhash, "GROUP_PAIRS", 2)
+    if held == 25:
+        monkeypatch.setattr(minhash, "BLOCK_SETS", 3)  # many blocks a family
     texts = _near_texts()
     rows = list(enumerate(texts))
     got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), NEAR).collect()
