@@ -25,6 +25,8 @@ from tallyspark.sources.grid import file_text, row_texts
 DEFAULT_NUM_CHARS = 400
 # a literal is found by so many of its first characters
 KEY_CHARS = 4
+# up to so many literals are looked for one by one, without Python
+FEW_LITERALS = 128
 
 
 def required_literal(pattern: str | None) -> str | None:
@@ -108,6 +110,8 @@ def _literal_of(patterns: pd.Series) -> pd.Series:
 
 def _literals_in(literals: list[str]):
     """A function of a text column: the literals that each text contains."""
+    if len(literals) <= FEW_LITERALS:
+        return lambda text: F.array_compact(F.array(*[F.when(F.contains(text, F.lit(x)), F.lit(x)) for x in literals]))
     by_start: dict[str, list[str]] = {}
     for x in literals:
         by_start.setdefault(x[:KEY_CHARS], []).append(x)
@@ -147,7 +151,7 @@ def match_accounts(texts: DataFrame, accounts: DataFrame, num_chars: int = DEFAU
     plain = [r[0] for r in known.where("literal IS NULL").select("id_pattern").where("id_pattern IS NOT NULL").distinct().collect()]
     out = None
     if literals:
-        hits = fp.withColumn("literal", F.explode(_literals_in(literals)("fp")))
+        hits = fp.withColumn("literal", F.explode(_literals_in(literals)(F.col("fp"))))
         out = hits.join(sized_broadcast(known), "literal").where(F.regexp_like("fp", "id_pattern"))
         out = out.select("file", *accounts.columns)
     if plain or out is None:
