@@ -70,19 +70,19 @@ def length_band(length: Column, threshold: float) -> Column:
     return F.floor(ratio + F.lit(1e-9)).cast("long")
 
 
-#: characters are counted in so many groups
-GROUPS = 16
+#: fixed values: groups of characters that are counted, besides all others
+GROUPS = ("01234", "56789", "AEIOU", "BCDFGHJ", "KLMNPQ", "RSTVWXYZ", " ", "abcdefghijklm", "nopqrstuvwxyz")
 
 
 def character_groups(text: Column) -> Column:
-    """How many characters of each group a text has."""
-    chars = F.transform(F.split(text, ""), lambda c: F.pmod(F.ascii(c), F.lit(GROUPS)))
-    return F.transform(F.sequence(F.lit(0), F.lit(GROUPS - 1)), lambda g: F.size(F.filter(chars, lambda c: c == g)))
+    """How many characters of each group a text has, all others last."""
+    counts = [F.length(text) - F.length(F.translate(text, g, "")) for g in GROUPS]
+    return F.array(*counts, F.length(F.translate(text, "".join(GROUPS), "")))
 
 
 def shared_bound(groups_a: Column, groups_b: Column, len_a: Column, len_b: Column, threshold: float) -> Column:
     """Matched characters are characters of both texts: a necessary condition
     for ``ratio >= t`` by ``character_groups``, in plain arithmetic."""
-    shared = sum((F.least(F.get(groups_a, F.lit(g)), F.get(groups_b, F.lit(g))) for g in range(GROUPS)), F.lit(0))
+    shared = sum((F.least(F.get(groups_a, F.lit(g)), F.get(groups_b, F.lit(g))) for g in range(len(GROUPS) + 1)), F.lit(0))
     total = len_a + len_b
     return (total <= 0) | (shared * F.lit(2.0) / F.greatest(total, F.lit(1)) >= F.lit(float(threshold)))
