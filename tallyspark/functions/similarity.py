@@ -32,20 +32,21 @@ def similarity_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([_ratio(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
-def _passes(a, b, t) -> bool | None:
-    if a is None or b is None:
-        return None
-    sm = SequenceMatcher(None, a, b)
-    # real_quick_ratio and quick_ratio are upper bounds of ratio(): cheap exits
-    if sm.real_quick_ratio() < t or sm.quick_ratio() < t:
-        return False
-    return sm.ratio() >= t
-
-
 @F.pandas_udf(T.BooleanType())
 def similar_at_least(a: pd.Series, b: pd.Series, t: pd.Series) -> pd.Series:
     """``ratio(a, b) >= t`` with difflib's own upper bounds as early exits."""
-    return pd.Series([_passes(x, y, z) for x, y, z in zip(a, b, t)], dtype="object")
+    x, y, least = a.tolist(), b.tolist(), t.tolist()
+    out: list[bool | None] = [None] * len(x)
+    matcher, text = SequenceMatcher(None), None
+    # the second text is analysed once for all of its pairs in the batch
+    for k in sorted((k for k in range(len(x)) if x[k] is not None and y[k] is not None), key=y.__getitem__):
+        if y[k] != text:
+            text = y[k]
+            matcher.set_seq2(text)
+        matcher.set_seq1(x[k])
+        # real_quick_ratio and quick_ratio are upper bounds of ratio(): cheap exits
+        out[k] = matcher.real_quick_ratio() >= least[k] and matcher.quick_ratio() >= least[k] and matcher.ratio() >= least[k]
+    return pd.Series(out, dtype="object")
 
 
 def length_bound(len_a: Column, len_b: Column, threshold: float) -> Column:
