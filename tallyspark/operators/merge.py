@@ -44,8 +44,7 @@ from tallyspark.functions.similarity import (
     character_groups,
     length_band,
     length_bound,
-    shared_bound,
-    similar_at_least,
+    matches_of,
 )
 from tallyspark.schema import LEDGER, LEDGER_COLUMNS
 from tallyspark.operators.common import checkpointed as _checkpoint
@@ -182,11 +181,44 @@ def candidate_pairs(left: DataFrame, right: DataFrame, left_text: str, right_tex
     )
 
 
-def similar_pairs(pairs: DataFrame, left_text: str, right_text: str, threshold: float) -> DataFrame:
-    """The ``candidate_pairs`` whose ratio reaches the threshold; only
-    those that share enough characters reach Python."""
-    near = pairs.where(shared_bound(F.col("_ga"), F.col("_gb"), F.col("_la"), F.col("_lb"), threshold))
-    return near.where(similar_at_least(F.col(left_text), F.col(right_text), F.lit(float(threshold)))).drop("_ga", "_gb")
+# texts of a block that are compared with as many at once
+CHUNK = 256
+
+
+def _packed(texts: DataFrame, text: str, value: Column, name: str) -> DataFrame:
+    """The texts of a block and length band as arrays of at most ``CHUNK``."""
+    w = Window.partitionBy(*KEYS, "_band").orderBy(text)
+    chunk = F.floor((F.row_number().over(w) - 1) / CHUNK)
+    return texts.withColumn("_chunk", chunk).groupBy(*KEYS, "_band", F.col("_chunk").alias(f"_{name}_chunk")) \
+        .agg(F.sort_array(F.collect_list(value)).alias(f"_{name}"))
+
+
+def similar_matches(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
+    """Per ``l_desc`` of a block the ``n_desc`` of the same block that
+    differ and reach the threshold: the last of them (``n_last``), its text
+    (``new_desc``) and file (``last_file``), the greatest file (``n_file``),
+    and their rows (``n_cnt``); in parts, to be aggregated.  ``left``:
+    (block, l_desc); ``right``: (block, n_desc, n_last, n_cnt, n_file).
+
+    As in ``candidate_pairs`` texts of incompatible length never meet; those
+    that do are compared as arrays, every pair of a block in one row of at
+    most ``CHUNK`` x ``CHUNK``, dealt evenly."""
+    left = left.withColumn("_band", length_band(F.length("l_desc"), threshold))
+    b = length_band(F.length("n_desc"), threshold)
+    right = right.withColumn("_band", F.explode(F.array(b - 1, b, b + 1)))
+    lft = _packed(left, "l_desc", F.col("l_desc"), "l")
+    rgt = _packed(right, "n_desc", F.struct("n_last", "n_desc", "n_cnt", "n_file"), "r")
+    rows = lft.join(rgt, on=KEYS + ["_band"]).withColumn("_r_desc", F.col("_r.n_desc"))
+    # a text alone with itself has no partner
+    rows = rows.where((F.size("_l") > 1) | (F.size("_r") > 1) | (F.col("_l") != F.col("_r_desc")))
+    # the work of a row is in its pairs, not in its bytes
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(parts, *KEYS, "_band", "_l_chunk", "_r_chunk")
+    found = rows.withColumn("_m", F.explode(matches_of("_l", "_r_desc", "_r.n_cnt", "_r.n_file", F.lit(float(threshold)))))
+    last = F.get("_r", F.col("_m.last"))
+    return found.select(
+        *KEYS, F.get("_l", F.col("_m.i")).alias("l_desc"), last["n_desc"].alias("new_desc"), last["n_last"].alias("n_last"),
+        last["n_file"].alias("last_file"), F.get("_r", F.col("_m.label"))["n_file"].alias("n_file"), F.col("_m.n").alias("n_cnt"))
 
 
 def touched_ledger(ledger: DataFrame, stmts: DataFrame, n_bytes: int | None = None) -> DataFrame:
@@ -227,12 +259,12 @@ def fuzzy_updates(touched: DataFrame, stmts: DataFrame, threshold: float = DEFAU
     re-description (two real, similar transactions of one day and amount
     then keep their own descriptions)."""
     lt, nt = _without_exact(_ledger_texts(touched), _new_texts(stmts), mode)
-    pairs = candidate_pairs(lt, nt, "l_desc", "n_desc", threshold)
-    pairs = similar_pairs(pairs, "l_desc", "n_desc", threshold)
+    # texts of equal characters and other missing values may have several ids
+    pairs = similar_matches(lt.select(*KEYS, "l_desc").distinct(), nt, threshold).drop("n_file").join(lt, on=KEYS + ["l_desc"])
     return pairs.groupBy("l_id").agg(
-        F.max_by("n_desc", "n_last").alias("new_desc"),
+        F.max_by("new_desc", "n_last").alias("new_desc"),
         F.sum(F.col("l_n") * F.col("n_cnt")).alias("merged"),
-        F.max_by("n_file", "n_last").alias("n_file"),
+        F.max_by("last_file", "n_last").alias("n_file"),
     )
 
 
@@ -314,12 +346,9 @@ def fold_rounds(touched: DataFrame, stmts: DataFrame, threshold: float,
         rgt = new.groupBy(*KEYS, F.col("description").alias("n_desc")).agg(
             F.max("n_last").alias("n_last"), F.sum("n_cnt").alias("n_cnt"), F.max("n_file").alias("n_file"))
         lft, rgt = _without_exact(lft, rgt, mode)
-        pairs = candidate_pairs(lft, rgt, "l_desc", "n_desc", threshold)
-        pairs = similar_pairs(pairs, "l_desc", "n_desc", threshold)
-        moved = _checkpoint(pairs.groupBy(*KEYS, "l_desc").agg(
-            F.max_by("n_desc", "n_last").alias("new_desc"),
-            F.max("n_file").alias("n_file"),
-            F.sum(F.col("l_n") * F.col("n_cnt")).alias("merged")))
+        found = similar_matches(lft.select(*KEYS, "l_desc"), rgt, threshold).groupBy(*KEYS, "l_desc").agg(
+            F.max_by("new_desc", "n_last").alias("new_desc"), F.max("n_file").alias("n_file"), F.sum("n_cnt").alias("n_cnt"))
+        moved = _checkpoint(found.join(lft, on=KEYS + ["l_desc"]).withColumn("merged", F.col("l_n") * F.col("n_cnt")).drop("l_n", "n_cnt"))
         pairs_of.append(moved.select("n_file", "merged"))
         # a null text never moves: plain equality leaves it out
         after = state.join(moved.select(*KEYS, F.col("l_desc").alias("description"), "new_desc"), on=KEYS + ["description"], how="left")
