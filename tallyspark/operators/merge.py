@@ -48,7 +48,7 @@ from tallyspark.functions.similarity import (
 )
 from tallyspark.schema import LEDGER, LEDGER_COLUMNS
 from tallyspark.operators.common import checkpointed as _checkpoint
-from tallyspark.operators.common import size_of, sized_broadcast
+from tallyspark.operators.common import size_of, sized_broadcast, stored
 
 KEYS = ["date", "amount", "account_name"]
 
@@ -229,7 +229,7 @@ def touched_ledger(ledger: DataFrame, stmts: DataFrame, n_bytes: int | None = No
     blocks = stmts.where(_keys_not_null()).select(*KEYS).distinct()  # within the statements' bytes
     in_blocks = ledger.join(sized_broadcast(blocks, bound=n_bytes), on=KEYS, how="left_semi")
     null_keys = ledger.where(~_keys_not_null())
-    return _checkpoint(in_blocks.unionByName(null_keys))
+    return stored(in_blocks.unionByName(null_keys), "touched", "zstd")
 
 
 MODES = ("reference", "protect_exact")
@@ -379,24 +379,17 @@ def fold_rounds(touched: DataFrame, stmts: DataFrame, threshold: float,
 # public entry points
 # ---------------------------------------------------------------------------
 
-def contested_blocks(touched: DataFrame, stmts: DataFrame, n_bytes: int | None = None) -> DataFrame:
-    """Blocks that need the sequential fold: >= 2 statements and >= 2
-    distinct texts among the block's ledger and statement rows.  Any other
-    block gives the same result in one pass (with one statement the fold is
-    a single step; with one text no re-description can happen).  Two
-    aggregates, no pairwise comparison."""
-    multi = (
-        stmts.where(_keys_not_null()).groupBy(*KEYS)
-        .agg(F.countDistinct("stmt_seq").alias("n_seq"))
-        .where(F.col("n_seq") >= 2).select(*KEYS)
-    )
-    lt = touched.join(sized_broadcast(multi, bound=n_bytes), on=KEYS, how="left_semi").select(*KEYS, "description")
-    st = stmts.join(multi, on=KEYS, how="left_semi").select(*KEYS, "description")
-    texts = lt.unionByName(st).where(F.col("description").isNotNull())
-    return (
-        texts.groupBy(*KEYS).agg(F.countDistinct("description").alias("n_txt"))
-        .where(F.col("n_txt") >= 2).select(*KEYS)
-    )
+def mixed_blocks(touched: DataFrame, stmts: DataFrame) -> DataFrame:
+    """Blocks of the statements with >= 2 distinct texts among their ledger
+    and statement rows; in the others no re-description can happen.
+    ``contested``: >= 2 statements, the sequential fold is needed (with one
+    statement it is a single step).  One aggregate by text, one by block, no
+    pairwise comparison."""
+    keyed = lambda df, seq: df.where(_keys_not_null()).select(*KEYS, "description", seq.alias("seq"))
+    texts = keyed(stmts, F.col("stmt_seq")).unionByName(keyed(touched, F.lit(None).cast(stmts.schema["stmt_seq"].dataType)))
+    texts = texts.groupBy(*KEYS, "description").agg(F.min("seq").alias("first"), F.max("seq").alias("last"))
+    blocks = texts.groupBy(*KEYS).agg(F.min("first").alias("first"), F.max("last").alias("last"), F.count("description").alias("n_txt"))
+    return blocks.where(F.col("n_txt") >= 2).select(*KEYS, F.coalesce(F.col("first") < F.col("last"), F.lit(False)).alias("contested"))
 
 
 def merge_batch(
@@ -414,8 +407,8 @@ def merge_batch(
     partitioned = ledger if "ym" in ledger.columns else None
     ledger = normalise_ledger(ledger, trust_ledger_ids)
     # statements are the new (small) side and are used by every step below:
-    # materialise them once in the shared checkpoint folder
-    stmts = _checkpoint(prepare_statements(stmts, order_col))
+    # materialise them once in the shared checkpoint folder, packed by column
+    stmts = stored(prepare_statements(stmts, order_col), "statements", "zstd")
     n_bytes = size_of(stmts)  # bounds every table of statement keys and ids below
     slice_ = ledger
     if partitioned is not None:
@@ -427,15 +420,20 @@ def merge_batch(
         # one statement in the batch: no fold is possible (tiny aggregate)
         single_statement = (stmts.agg(F.countDistinct("stmt_seq")).first()[0] or 0) <= 1
     plain, plain_touched, fold = stmts, touched, None
+    near, near_touched = plain, plain_touched
     if not single_statement:
-        contested = _checkpoint(contested_blocks(touched, stmts, n_bytes))
+        mixed = _checkpoint(mixed_blocks(touched, stmts))
+        contested = mixed.where("contested").select(*KEYS)
+        # texts that meet another one
+        others = sized_broadcast(mixed.where(~F.col("contested")).select(*KEYS))
+        near, near_touched = (df.join(others, on=KEYS, how="left_semi") for df in (stmts, touched))
         if not contested.isEmpty():
             plain = stmts.join(contested, on=KEYS, how="left_anti")
             plain_touched = touched.join(contested, on=KEYS, how="left_anti")
             fold = fold_rounds(touched.join(contested, on=KEYS, how="left_semi"),
                                stmts.join(contested, on=KEYS, how="left_semi"), threshold, mode)
 
-    updates = _checkpoint(fuzzy_updates(plain_touched, plain, threshold, mode))
+    updates = _checkpoint(fuzzy_updates(near_touched, near, threshold, mode))
     cand = plain if single_statement else first_statement_rows(plain, n_bytes)
     added = new_rows(apply_updates(plain_touched, updates), cand, n_bytes)
     merged = updates.select("n_file", "merged")
