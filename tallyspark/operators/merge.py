@@ -16,8 +16,8 @@ Blocks ``(date, amount, account_name)`` never interact, so the statement
 fold runs per block:
 
 * blocks touched by one statement, and blocks with one distinct text, need no
-  fold: one native pass (candidate join on the block key plus a length band,
-  exact length bound, UDF on survivors only, ``max_by`` for last-writer-wins,
+  fold: one pass (texts joined as arrays on the block key plus a length band,
+  all pairs of a batch compared at once, ``max_by`` for last-writer-wins,
   id-based anti-join);
 * *contested* blocks (>= 2 statements and >= 2 distinct texts) are folded in
   rounds: round ``r`` takes the ``r``-th statement of every block at once,
