@@ -331,7 +331,7 @@ def _normalise(grid: DataFrame, files: DataFrame, layouts, on_error: str) -> tup
     )
     if rejecting:
         # written once, and read for the rows and for the rejects
-        out = stored(out.withColumn("bad", bad).drop("_date"), "normalised")
+        out = stored(out.withColumn("bad", bad).drop("_date"), "normalised", "zstd")
         counts = out.where("bad").groupBy("file").agg(F.concat(F.lit("bad_date_rows: "), F.count(F.lit(1)).cast("string")).alias("reason"))
         rejects = rejects.unionByName(counts)
     drops = [lay.name for lay in layouts if lay.drop_null_dates]

@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.functions.identity import row_id
+from tallyspark.operators.common import stored
 from tallyspark.schema import LEDGER_COLUMNS
-from tallyspark.session import ensure_checkpoint_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,11 +47,11 @@ def preamble_rows(files: DataFrame, depth: F.Column, first_cell: str) -> DataFra
     )
 
 
-def materialise(grid: DataFrame) -> DataFrame:
-    """Rendered statement rows are checkpointed, as the folder scan does, so
-    the normaliser reads them instead of re-rendering them per use."""
-    ensure_checkpoint_dir(grid.sparkSession)
-    return grid.checkpoint(eager=True)
+def materialise(grid: DataFrame, kept: bool = True) -> DataFrame:
+    """Rendered statement rows are kept in the shared folder, as the folder
+    scan does, so the normaliser reads them instead of re-rendering them per
+    use.  Not ``kept``: the caller keeps them with others, once."""
+    return stored(grid, "grid", "zstd") if kept else grid
 
 
 def grouped_amount(col) -> F.Column:
@@ -75,7 +75,7 @@ REVOLUT_HEADER = ["Type", "Product", "Started Date", "Completed Date", "Descript
                   "Currency", "State", "Balance"]
 
 
-def bac_card_grid(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+def bac_card_grid(spark, sf_dir, kept: bool = True) -> tuple[DataFrame, DataFrame]:
     """lineitem -> BAC card statements (20 files); ``l_linestatus`` picks
     the currency column; every 50th row has a blank first cell."""
     li = table(spark, sf_dir, "lineitem")
@@ -95,11 +95,11 @@ def bac_card_grid(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     files = data.select("file").distinct()
     grid = header_rows(files, BAC_CARD_HEADER).unionByName(data)
     routed = files.select("file", F.lit("BAC ECONOMIA").alias("account_name"), F.lit("USD/HNL").alias("currency"))
-    return materialise(grid), routed
+    return materialise(grid, kept), routed
 
 
 def bac_savings_grid(spark, sf_dir, account: str = "BAC USD 911", by: str = "c_nationkey",
-                     prefix: str = "bac_sv_") -> tuple[DataFrame, DataFrame]:
+                     prefix: str = "bac_sv_", kept: bool = True) -> tuple[DataFrame, DataFrame]:
     """customer -> BAC savings statements; the sign of ``c_acctbal`` picks
     the debit or the credit column."""
     c = table(spark, sf_dir, "customer")
@@ -119,10 +119,10 @@ def bac_savings_grid(spark, sf_dir, account: str = "BAC USD 911", by: str = "c_n
     files = data.select("file").distinct()
     grid = header_rows(files, BAC_SAVINGS_HEADER).unionByName(data)
     routed = files.select("file", F.lit(account).alias("account_name"), F.lit("USD").alias("currency"))
-    return materialise(grid), routed
+    return materialise(grid, kept), routed
 
 
-def santander_grid(spark, sf_dir, prefix: str, account: str) -> tuple[DataFrame, DataFrame]:
+def santander_grid(spark, sf_dir, prefix: str, account: str, kept: bool = True) -> tuple[DataFrame, DataFrame]:
     """orders -> Santander statements: 7 preamble rows, header on row 7,
     signed amounts; every 23rd date is unreadable."""
     o = table(spark, sf_dir, "orders")
@@ -140,10 +140,10 @@ def santander_grid(spark, sf_dir, prefix: str, account: str) -> tuple[DataFrame,
         .unionByName(data)
     )
     routed = files.select("file", F.lit(account).alias("account_name"), F.lit("EUR").alias("currency"))
-    return materialise(grid), routed
+    return materialise(grid, kept), routed
 
 
-def ficohsa_grid(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+def ficohsa_grid(spark, sf_dir, kept: bool = True) -> tuple[DataFrame, DataFrame]:
     """customer -> Ficohsa statements per nation: a preamble of
     ``nation % 5`` rows before the ``Fecha`` header; nations with
     ``nation % 7 = 6`` have no header row at all (rejected)."""
@@ -170,10 +170,10 @@ def ficohsa_grid(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
         "file", depth.cast("long").alias("row_no"), F.array(*[F.lit(h) for h in FICOHSA_HEADER]).alias("cells"))
     grid = pre.unionByName(hdr).unionByName(data.drop("c_nationkey"))
     routed = files.select("file", F.lit("FICOHSA AHORRO").alias("account_name"), F.lit("HNL").alias("currency"))
-    return materialise(grid), routed
+    return materialise(grid, kept), routed
 
 
-def revolut_grid(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+def revolut_grid(spark, sf_dir, kept: bool = True) -> tuple[DataFrame, DataFrame]:
     """events -> Revolut statements (8 files); ``error`` events are debits."""
     e = table(spark, sf_dir, "events")
     amt = F.when(F.col("event_type") == "error", -F.col("value")).otherwise(F.col("value"))
@@ -186,7 +186,7 @@ def revolut_grid(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     files = data.select("file").distinct()
     grid = header_rows(files, REVOLUT_HEADER).unionByName(data)
     routed = files.select("file", F.lit("REVOLUT EUR").alias("account_name"), F.lit("EUR").alias("currency"))
-    return materialise(grid), routed
+    return materialise(grid, kept), routed
 
 
 # ---------------------------------------------------------------------------

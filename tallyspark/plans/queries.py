@@ -299,8 +299,8 @@ def q12(spark, sf):
     return rows
 
 
-def _santander_card(spark, sf):
-    grid, routed = FX.santander_grid(spark, sf, "san_cc_", "SANTANDER TARJETA")
+def _santander_card(spark, sf, kept=True):
+    grid, routed = FX.santander_grid(spark, sf, "san_cc_", "SANTANDER TARJETA", kept)
     grid = grid.withColumn("cells", F.slice("cells", 1, 4)).withColumn(
         "cells", F.when(F.col("row_no") == 7, F.array(*[F.lit(h) for h in ("FECHA OPERACIÓN", "FECHA VALOR", "CONCEPTO", "IMPORTE EUR")])).otherwise(F.col("cells")))
     return grid, routed
@@ -945,10 +945,10 @@ def q35(spark, sf):
     """The statements of all six layouts in one grid: one pass for the
     headers, one for the rows."""
     made = [
-        (FX.bac_card_grid(spark, sf), LY.BAC_CARD), (FX.bac_savings_grid(spark, sf), LY.BAC_SAVINGS),
-        (FX.santander_grid(spark, sf, "san_sv_", "SANTANDER AHORRO"), LY.SANTANDER_SAVINGS),
-        (_santander_card(spark, sf), LY.SANTANDER_CARD),
-        (FX.ficohsa_grid(spark, sf), LY.FICOHSA_SAVINGS), (FX.revolut_grid(spark, sf), LY.REVOLUT_SAVINGS),
+        (FX.bac_card_grid(spark, sf, kept=False), LY.BAC_CARD), (FX.bac_savings_grid(spark, sf, kept=False), LY.BAC_SAVINGS),
+        (FX.santander_grid(spark, sf, "san_sv_", "SANTANDER AHORRO", kept=False), LY.SANTANDER_SAVINGS),
+        (_santander_card(spark, sf, kept=False), LY.SANTANDER_CARD),
+        (FX.ficohsa_grid(spark, sf, kept=False), LY.FICOHSA_SAVINGS), (FX.revolut_grid(spark, sf, kept=False), LY.REVOLUT_SAVINGS),
     ]
     grid, routed = None, None
     for (g, r), lay in made:
@@ -956,7 +956,7 @@ def q35(spark, sf):
         r = r.select("file", "account_name", "currency", F.lit(lay.bank).alias("bank"), F.lit(lay.account_type).alias("account_type"))
         grid = g if grid is None else grid.unionByName(g)
         routed = r if routed is None else routed.unionByName(r)
-    rows, _ = LY.normalise_all(stored(grid, "all-layouts"), routed, on_error="reject")
+    rows, _ = LY.normalise_all(stored(grid, "all-layouts", "zstd"), routed, on_error="reject")
     return rows
 
 
