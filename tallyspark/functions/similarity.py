@@ -61,6 +61,8 @@ AUTOJUNK = 200
 CELLS = 1 << 20
 # pairs that are compared at once
 PAIRS = 1 << 16
+# pairs and bytes of text that are held at once, of a batch of any size
+HELD = 1 << 20
 
 
 def _similar(a: pa.Array, b: pa.Array, least: float) -> pa.Array:
@@ -72,6 +74,23 @@ def _similar(a: pa.Array, b: pa.Array, least: float) -> pa.Array:
 
 
 def _matches(left: pa.Array, right: pa.Array, weights: pa.Array, labels: pa.Array, least: float) -> pa.Array:
+    """``matches_of`` in steps of a few rows: most pairs of a row may match."""
+    cost = np.cumsum(_sizes(left) * _sizes(right) + _text_bytes(left) + _text_bytes(right))
+    lo, parts = 0, []
+    while lo < len(left) or not parts:
+        hi = max(lo + 1, int(np.searchsorted(cost, (cost[lo - 1] if lo else 0) + HELD, side="right")))
+        parts.append(_matches_of_rows(*(x.slice(lo, hi - lo) for x in (left, right, weights, labels)), least))
+        lo = hi
+    return pa.concat_arrays(parts)
+
+
+def _text_bytes(lists: pa.Array) -> np.ndarray:
+    """Bytes of the texts of each list."""
+    n = pc.binary_length(lists.flatten()).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.diff(np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(_sizes(lists))])])
+
+
+def _matches_of_rows(left: pa.Array, right: pa.Array, weights: pa.Array, labels: pa.Array, least: float) -> pa.Array:
     a, b = _Texts(left.flatten()), _Texts(right.flatten())
     ends_a, ends_b = np.cumsum(_sizes(left)), np.cumsum(_sizes(right))
     weight = weights.flatten().to_numpy(zero_copy_only=False)

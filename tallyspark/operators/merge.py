@@ -47,7 +47,6 @@ from tallyspark.functions.similarity import (
     matches_of,
 )
 from tallyspark.schema import LEDGER, LEDGER_COLUMNS
-from tallyspark.operators.common import checkpointed as _checkpoint
 from tallyspark.operators.common import size_of, sized_broadcast, stored
 
 KEYS = ["date", "amount", "account_name"]
@@ -65,6 +64,11 @@ class MergeResult:
 # helpers
 # ---------------------------------------------------------------------------
 
+def _checkpoint(df: DataFrame) -> DataFrame:
+    """A table of the merge, packed by column; its shuffle files go."""
+    return stored(df, "merge", "zstd")
+
+
 def _nan_to_null(df: DataFrame) -> DataFrame:
     """pandas never matches NaN in ``==``; SQL NULL gives the same, NaN not."""
     return df.withColumn("amount", F.when(F.isnan("amount"), F.lit(None).cast("double")).otherwise(F.col("amount")))
@@ -318,7 +322,7 @@ def _ranked(stmts: DataFrame) -> DataFrame:
     block = Window.partitionBy(*KEYS)
     seqs = seqs.withColumn("rank", F.row_number().over(block.orderBy("stmt_seq"))) \
         .withColumn("n_ranks", F.count(F.lit(1)).over(block))
-    return texts.join(seqs, on=KEYS + ["stmt_seq"])
+    return texts.join(sized_broadcast(seqs), on=KEYS + ["stmt_seq"])
 
 
 def fold_rounds(touched: DataFrame, stmts: DataFrame, threshold: float,
@@ -335,7 +339,7 @@ def fold_rounds(touched: DataFrame, stmts: DataFrame, threshold: float,
     ledger_ids = touched.withColumn("amount_txt", amount_text("amount")).groupBy(*KEYS, "id", "description", "amount_txt").agg(
         F.count(F.lit(1)).alias("n"))
     seq_type = stmts.schema["stmt_seq"].dataType
-    ends = turns.select(*KEYS, "n_ranks").distinct()
+    ends = sized_broadcast(turns.select(*KEYS, "n_ranks").distinct())
     state = _checkpoint(ledger_ids.withColumn("origin", F.col("id")).withColumn("added_by", F.lit(None).cast(seq_type)).select(*_NODE))
     done, pairs_of = [], []
     for r in range(1, rounds + 1):
@@ -423,7 +427,8 @@ def merge_batch(
     near, near_touched = plain, plain_touched
     if not single_statement:
         mixed = _checkpoint(mixed_blocks(touched, stmts))
-        contested = mixed.where("contested").select(*KEYS)
+        # small beside the rows: these are not shuffled to find those of a block
+        contested = sized_broadcast(mixed.where("contested").select(*KEYS))
         # texts that meet another one
         others = sized_broadcast(mixed.where(~F.col("contested")).select(*KEYS))
         near, near_touched = (df.join(others, on=KEYS, how="left_semi") for df in (stmts, touched))
@@ -440,7 +445,7 @@ def merge_batch(
     changed = updates.select("l_id", "new_desc")
     if fold is not None:
         changed = _checkpoint(changed.unionByName(fold[0]))
-        added = added.unionByName(fold[1])
+        added = added.unionByName(_checkpoint(fold[1]))
         merged = merged.unionByName(fold[2])
     added_rows = _added_rows(added)
     return MergeResult(
